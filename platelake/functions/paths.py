@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: <dataset>/<experiment>/Plate<p>/<well>_s<site>_w<channel>.png
@@ -10,6 +10,9 @@ IMAGE_PATTERN = (
     r"([^/]+)/([^/]+)/Plate([0-9]+)/([A-Z][0-9]{2})_s([0-9]+)_w([0-9]+)[.]png$"
 )
 
+# Stands between the parts of a path while it is taken apart.
+_MARK = "\u0001"
+
 
 def _text(name: str) -> Column:
     return F.col(name).cast("string")
@@ -28,20 +31,36 @@ def image_path(root: str | None = None) -> Column:
     return F.concat_ws("/", *parts)
 
 
-def image_key_columns(path: Column) -> dict[str, Column]:
-    """IMAGE_KEY columns read back from a path; all null if it does not parse."""
+def with_path_parts(df: DataFrame, path: Column, out: str) -> DataFrame:
+    """Adds the parts of an image path as an array of six, or of one if the
+    path does not parse.
+
+    The array comes from a generator: filters on anything derived from it,
+    also those Spark infers from joins, then stay above and do not repeat the
+    regular expression.
+    """
+    fields = F.split(
+        F.regexp_replace(
+            path, "^(?:.*/)?" + IMAGE_PATTERN, _MARK.join(f"${i}" for i in range(1, 7))
+        ),
+        _MARK,
+    )
+    return df.select("*", F.explode(F.array(fields)).alias(out))
+
+
+def key_columns(parts: Column) -> dict[str, Column]:
+    """IMAGE_KEY columns from path parts; all null if the path did not parse."""
 
-    def group(i: int) -> Column:
-        found = F.regexp_extract(path, IMAGE_PATTERN, i)
-        return F.when(found != "", found)
+    def part(i: int) -> Column:
+        return F.when(F.size(parts) == 6, F.get(parts, F.lit(i)))
 
     return {
-        "dataset": group(1),
-        "experiment": group(2),
-        "plate": group(3).cast("int"),
-        "well": group(4),
-        "site": group(5).cast("int"),
-        "channel": group(6).cast("int"),
+        "dataset": part(0),
+        "experiment": part(1),
+        "plate": part(2).cast("int"),
+        "well": part(3),
+        "site": part(4).cast("int"),
+        "channel": part(5).cast("int"),
     }
 
 

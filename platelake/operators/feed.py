@@ -70,7 +70,7 @@ def rank_files(files: DataFrame, name: str, seed: int = SEED) -> DataFrame:
 
 def interleave(
     rows: DataFrame, file_rank: str = "file_rank", pos: str = "pos",
-    cycle: int = 32, block: int = 1,
+    cycle: int = 32, block: int = 1, lengths: DataFrame | None = None,
 ) -> DataFrame:
     """``position`` 1, 2, ... of each row when ``cycle`` files are read in
     turn, ``block`` rows at a time.
@@ -79,10 +79,13 @@ def interleave(
     (rank div cycle, pos div block, rank, pos). The position follows from the
     file lengths alone: nothing is sorted and no window runs over the rows.
     For files of unequal length a reader that refills its cycle at once would
-    differ after the first file ends.
+    differ after the first file ends. ``lengths`` (file_rank, n), such as a
+    manifest has, saves counting the rows.
     """
-    lengths = rows.groupBy(F.col(file_rank).cast("long").alias("_rank")).agg(
-        F.count(F.lit(1)).alias("_n")
+    if lengths is None:
+        lengths = rows.groupBy(file_rank).agg(F.count(F.lit(1)).alias("n"))
+    lengths = lengths.select(
+        F.col(file_rank).cast("long").alias("_rank"), F.col("n").alias("_n")
     ).withColumn("_cycle", F.expr(f"_rank div {cycle}"))
     # At most ``cycle`` files per group, so the list is bounded.
     groups = lengths.groupBy("_cycle").agg(

@@ -16,9 +16,11 @@ from platelake.operators.numbering import distinct_copies, number_by_key, order_
 from platelake.schemas import ROW_KEY, ROWS_PER_FILE, SEED, SITE_COLUMNS, SPLITS, STRATEGIES
 
 # Leading hex digits of the order key that cut a split, and a group, into
-# buckets. A split of 10 billion rows gives buckets of about 2.5 million.
+# buckets. 100 TB of images are some 70 million sites: a split that holds them
+# all has buckets of 17,000 rows, a group that holds a third of them buckets
+# of 1.5 million.
 SPLIT_DIGITS = 3
-GROUP_DIGITS = 2
+GROUP_DIGITS = 1
 
 PLAN_COLUMNS = ("strategy", "seed", "layout", "dataset", "file", "dest_path", "pos")
 
@@ -34,11 +36,13 @@ def check_strategies(strategies: Iterable[str]) -> list[str]:
 
 
 def _seeded(sites: DataFrame, seeds: Sequence[int]) -> tuple[DataFrame, list[str]]:
-    """Each site once per seed, with its shuffle key."""
+    """Each site of a known split once per seed, with its shuffle key. The same
+    for every strategy, so that Spark runs it once for all of them."""
     columns = [c for c in SITE_COLUMNS if c in sites.columns]
     keys = [c for c in ROW_KEY if c in columns] + ["copy"]
+    sites = sites.where(F.col("dataset").isin(list(SPLITS))).select(*columns)
     rows = (
-        distinct_copies(sites.select(*columns))
+        distinct_copies(sites)
         .withColumn("seed", F.explode(F.array(*[F.lit(s).cast("long") for s in seeds])))
     )
     rest = [c for c in columns if c not in keys]
@@ -62,7 +66,7 @@ def plan_random(
     """Seeded shuffle of each split, cut into files of ``per_file`` rows."""
     if per_file < 1:
         raise ValueError("per_file must be positive")
-    rows, ties = _seeded(sites.where(F.col("dataset").isin(list(SPLITS))), seeds)
+    rows, ties = _seeded(sites, seeds)
     numbered = number_by_key(
         rows, ["seed", "dataset"], "key", ties, SPLIT_DIGITS, out="rn",
         group_limit=len(seeds) * len(SPLITS),
@@ -98,6 +102,8 @@ def plan_all(
     chosen = check_strategies(strategies)
     if not chosen or not seeds:
         raise ValueError("give at least one strategy and one seed")
+    if datasets is not None and set(datasets) - set(SPLITS):
+        raise ValueError(f"unknown datasets in {list(datasets)}; choose from {list(SPLITS)}")
     sites = select_sites(sites, datasets)
     plans = []
     if "random" in chosen:

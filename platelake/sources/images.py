@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platelake.functions.paths import image_key_columns
+from platelake.functions.paths import key_columns, with_path_parts
 from platelake.schemas import IMAGE_KEY, SPLITS
 
 
@@ -46,8 +46,12 @@ def splits_in(paths: DataFrame, root: str, path: str = "path") -> DataFrame:
 
 def parse_paths(paths: DataFrame, path: str = "path") -> DataFrame:
     """Adds the address columns and ``parsed``; other files stay, with nulls."""
-    keys = image_key_columns(F.col(path))
-    return paths.withColumns(keys).withColumn("parsed", F.col("channel").isNotNull())
+    return (
+        with_path_parts(paths, F.col(path), "_parts")
+        .withColumns(key_columns(F.col("_parts")))
+        .withColumn("parsed", F.size("_parts") == 6)
+        .drop("_parts")
+    )
 
 
 def list_images(
@@ -65,15 +69,19 @@ def list_images(
 
 
 def _planes(images: DataFrame) -> DataFrame:
-    keys = image_key_columns(F.col("image.origin"))
-    return images.select(
-        F.col("image.origin").alias("path"),
-        *[keys[c].alias(c) for c in IMAGE_KEY],
-        F.col("image.height").alias("height"),
-        F.col("image.width").alias("width"),
-        F.col("image.data").alias("data"),
-        readable().alias("readable"),
-    ).where(F.col("channel").isNotNull())
+    keys = key_columns(F.col("_parts"))
+    return (
+        with_path_parts(images, F.col("image.origin"), "_parts")
+        .where(F.size("_parts") == 6)
+        .select(
+            F.col("image.origin").alias("path"),
+            *[keys[c].alias(c) for c in IMAGE_KEY],
+            F.col("image.height").alias("height"),
+            F.col("image.width").alias("width"),
+            F.col("image.data").alias("data"),
+            readable().alias("readable"),
+        )
+    )
 
 
 def readable() -> Column:

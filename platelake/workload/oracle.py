@@ -42,7 +42,7 @@ keyed AS (
 SELECT c.*, s.seed, md5(concat_ws('|', CAST(s.seed AS VARCHAR), dataset, experiment,
   CAST(plate AS VARCHAR), well, CAST(site AS VARCHAR), CAST(id_code AS VARCHAR),
   CAST(NULLIF(copy, 0) AS VARCHAR))) AS key
-FROM copied c, (SELECT unnest([{seeds}]) AS seed) s),
+FROM copied c, (SELECT CAST(unnest([{seeds}]) AS BIGINT) AS seed) s),
 random_plan AS (
 SELECT 'random' AS strategy, seed, dataset, concat('random-', CAST(seed AS VARCHAR), '/', dataset,
   '/', printf('%03d', (rn - 1) // 308 + 1)) AS dest_path,
@@ -89,7 +89,7 @@ RGB_SUM = """least(255, sum(CAST(trunc(least(1.0, (val / 255.0::DOUBLE)
 
 
 def _rgb(colour: str, source: str, keys: str) -> str:
-    return (f"SELECT {keys}, CAST({RGB_SUM.format(colour=colour)} AS BIGINT) AS v "
+    return (f"SELECT {keys}, CAST({RGB_SUM.format(colour=colour)} AS INT) AS v "
             f"FROM {source} JOIN colours USING (channel) GROUP BY {keys}")
 
 

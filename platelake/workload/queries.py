@@ -195,7 +195,7 @@ def chunk_sites(spark, sf):
     values = decode_bytes(F.col("data"), "<u2")
     return chunks.select(
         "array_path", "cy", "cx", "rows", "cols",
-        F.octet_length("data").alias("n_bytes"),
+        F.octet_length("data").cast("long").alias("n_bytes"),
         F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a + v).alias("total"),
     )
 
@@ -242,7 +242,8 @@ def stream_examples(spark, sf):
 def interleave(spark, sf):
     rows = fixtures.logits(spark, sf).select("vec_id", F.col("label").alias("file_rank"))
     numbered = feed.number_in_files(rows, "file_rank", "vec_id")
-    order = feed.batches(feed.interleave(numbered, cycle=4), 64)
+    lengths = rows.groupBy("file_rank").agg(F.count(F.lit(1)).alias("n"))
+    order = feed.batches(feed.interleave(numbered, cycle=4, lengths=lengths), 64)
     return order.select("vec_id", "file_rank", "pos", "position", "batch_id")
 
 

@@ -29,6 +29,17 @@ def _value(v):
     return v
 
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+             "boolean": "BOOLEAN"}
+
+
+def type_differences(df, connection, sql: str) -> list[str]:
+    described = connection.execute(f"DESCRIBE {sql}").fetchall()
+    theirs = {row[0]: row[1] for row in described}
+    ours = {f.name: SQL_TYPES.get(f.dataType.simpleString(), "?") for f in df.schema}
+    return [f"{c}: {ours[c]} vs {theirs.get(c)}" for c in ours if ours[c] != theirs.get(c)]
+
+
 def compare(df, connection, sql: str) -> str:
     """Empty if columns and the multiset of rows agree, else what differs."""
     result = connection.execute(sql)
