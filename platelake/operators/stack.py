@@ -85,23 +85,19 @@ def _same(name: str) -> Column:
     return F.min(name) == F.max(name)
 
 
-def stack_channels(
+def group_planes(
     images: DataFrame,
     keys: Sequence[str] = SITE_KEY,
     channels: Sequence[int] = CHANNELS,
     strict: bool = True,
-    layout: str = "HWC",
 ) -> DataFrame:
-    """One image per key from its channel planes, plane i being channels[i].
+    """One row per key with a column per plane, sorted by key in each task.
 
     Strict: a missing, unreadable or odd-sized plane is an error. Otherwise
     such sites are left out.
     """
-    if layout not in ("HWC", "CHW"):
-        raise ValueError(f"layout must be HWC or CHW, not {layout!r}")
     if "readable" not in images.columns:
         images = images.withColumn("readable", F.lit(True))
-    channels = list(channels)
     distinct = list(dict.fromkeys(channels))
     usable = F.col("readable")
     grouped = (
@@ -119,15 +115,21 @@ def stack_channels(
         plane = F.col(f"_plane{c}")
         ok = ok & plane.isNotNull() & (F.octet_length(plane) == F.col("height") * F.col("width"))
     ok = F.coalesce(ok, F.lit(False))
-    if strict:
-        name = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
-        error = F.raise_error(F.concat(F.lit("missing, unreadable or odd-sized plane: "), name))
-        # In the projected height, so that it cannot be optimised away.
-        grouped = grouped.withColumn(
-            "height", F.when(ok, F.col("height")).otherwise(error.cast("int"))
-        )
-    else:
-        grouped = grouped.where(ok)
+    if not strict:
+        return grouped.where(ok)
+    name = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
+    error = F.raise_error(F.concat(F.lit("missing, unreadable or odd-sized plane: "), name))
+    # On a plane, so that the check runs before the planes are merged.
+    first = f"_plane{distinct[0]}"
+    return grouped.withColumn(first, F.when(ok, F.col(first)).otherwise(error.cast("binary")))
+
+
+def merge_planes(
+    grouped: DataFrame, keys: Sequence[str], channels: Sequence[int], layout: str = "HWC"
+) -> DataFrame:
+    """The planes of group_planes as one image, plane i being channels[i]."""
+    if layout not in ("HWC", "CHW"):
+        raise ValueError(f"layout must be HWC or CHW, not {layout!r}")
     planes = [F.col(f"_plane{c}") for c in channels]
     merged = interleave_planes(planes) if layout == "HWC" else join_planes(planes)
     return grouped.select(
@@ -136,6 +138,17 @@ def stack_channels(
     )
 
 
+def stack_channels(
+    images: DataFrame,
+    keys: Sequence[str] = SITE_KEY,
+    channels: Sequence[int] = CHANNELS,
+    strict: bool = True,
+    layout: str = "HWC",
+) -> DataFrame:
+    """One image per key from its channel planes."""
+    return merge_planes(group_planes(images, keys, channels, strict), keys, channels, layout)
+
+
 def load_sites(
     spark: SparkSession,
     keys: DataFrame,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platelake.operators.stack import stack_channels
+from platelake.operators.stack import group_planes, merge_planes
 from platelake.schemas import CHANNELS, SITE_KEY
 
 # A plan up to this many rows (about 100 bytes each) is broadcast to the image
@@ -84,6 +84,8 @@ def place_images(
     tasks = min(max(size["parts"], 1), MAX_TASKS)
     row = [*dirs, "pos", "part", *[c for c in parts.columns if c not in {*dirs, "pos", "part"}]]
     placed = placed.repartition(tasks, *dirs, "part")
-    stacked = stack_channels(placed, row, channels, strict, layout)
-    # The stacking sorts by the same columns, so this adds no second sort.
-    return stacked.sortWithinPartitions(*dirs, "pos")
+    grouped = group_planes(placed, row, channels, strict)
+    # Grouping sorts by the same columns, so this adds no second sort, and it
+    # tells the writer that none is needed.
+    in_order = grouped.sortWithinPartitions(*dirs, "pos")
+    return merge_planes(in_order, row, channels, layout)
