@@ -61,6 +61,52 @@ def decode_floats(data: Column) -> Column:
     return _per_row(decode, T.ArrayType(T.FloatType()))(data)
 
 
+CHUNKS = T.ArrayType(T.StructType([
+    T.StructField("cy", T.IntegerType()),
+    T.StructField("cx", T.IntegerType()),
+    T.StructField("rows", T.IntegerType()),
+    T.StructField("cols", T.IntegerType()),
+    T.StructField("data", T.BinaryType()),
+]))
+
+
+def _pieces(pixels: np.ndarray, chunk: int) -> list[dict]:
+    found = []
+    for y in range(0, pixels.shape[0], chunk):
+        for x in range(0, pixels.shape[1], chunk):
+            piece = pixels[y:y + chunk, x:x + chunk]
+            found.append({
+                "cy": y // chunk, "cx": x // chunk, "rows": piece.shape[0],
+                "cols": piece.shape[1], "data": piece.tobytes(),
+            })
+    return found
+
+
+def cut_image(
+    data: Column, height: Column, width: Column, channels: Column, chunk: int, dtype: str
+) -> Column:
+    """HWC bytes to a list of (chunk, chunk, all channels) pieces, row by row.
+    Pieces at the edge are smaller, not padded."""
+
+    def cut(raw, h, w, c):
+        pixels = np.frombuffer(raw, np.uint8).reshape(int(h), int(w), int(c))
+        return _pieces(pixels.astype(dtype), chunk)
+
+    return _per_row(cut, CHUNKS)(data, height, width, channels)
+
+
+def cut_planes(
+    planes: Sequence[Column], height: Column, width: Column, chunk: int, dtype: str
+) -> Column:
+    """The same straight from channel planes: one trip through Python."""
+
+    def cut(h, w, *data):
+        merged = np.stack([np.frombuffer(p, np.uint8) for p in data], axis=-1)
+        return _pieces(merged.reshape(int(h), int(w), len(data)).astype(dtype), chunk)
+
+    return _per_row(cut, CHUNKS)(height, width, *planes)
+
+
 def to_channel_first(data: Column, channels: Column) -> Column:
     """HWC bytes to CHW bytes."""
 

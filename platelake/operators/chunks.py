@@ -2,46 +2,40 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platelake.functions.paths import array_path
+from platelake.functions.tensors import cut_image, cut_planes
+from platelake.operators.stack import plane_column
 from platelake.schemas import SITE_KEY
 
 
+def _rows(sites: DataFrame, channels: Column, dtype: str, pieces: Column) -> DataFrame:
+    return sites.select(
+        array_path().alias("array_path"), *SITE_KEY, "height", "width",
+        channels.alias("channels"), F.lit(dtype).alias("dtype"), F.inline(pieces),
+    )
+
+
 def to_chunks(stacked: DataFrame, chunk: int = 512, dtype: str = "<u2") -> DataFrame:
-    """One row per chunk of every HWC image: (chunk, chunk, all channels),
-    widened to ``dtype``. Chunks at the edge are smaller, not padded."""
+    """One row per (chunk, chunk, all channels) piece of every HWC image, its
+    values widened to ``dtype``."""
     if chunk < 1:
         raise ValueError("chunk must be positive")
-    sites = stacked.select(
-        array_path().alias("array_path"), *SITE_KEY, "height", "width", "channels", "image"
-    )
-    keep = sites.columns[:-1]
-
-    def cut(batches):
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                shape = (row.height, row.width, row.channels)
-                pixels = np.frombuffer(row.image, np.uint8).reshape(shape).astype(dtype)
-                pieces = [
-                    (y // chunk, x // chunk, pixels[y:y + chunk, x:x + chunk])
-                    for y in range(0, row.height, chunk)
-                    for x in range(0, row.width, chunk)
-                ]
-                yield pd.DataFrame({
-                    **{c: getattr(row, c) for c in keep},
-                    "cy": [p[0] for p in pieces],
-                    "cx": [p[1] for p in pieces],
-                    "rows": [p[2].shape[0] for p in pieces],
-                    "cols": [p[2].shape[1] for p in pieces],
-                    "data": [p[2].tobytes() for p in pieces],
-                })
-
-    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sites.schema if f.name in keep)
-    chunks = sites.mapInPandas(
-        cut, f"{types}, cy int, cx int, rows int, cols int, data binary"
-    )
-    return chunks.withColumn("dtype", F.lit(dtype))
+    channels = F.col("channels")
+    pieces = cut_image(F.col("image"), F.col("height"), F.col("width"), channels, chunk, dtype)
+    return _rows(stacked, channels, dtype, pieces)
+
+
+def planes_to_chunks(
+    grouped: DataFrame, channels: Sequence[int], chunk: int = 512, dtype: str = "<u2"
+) -> DataFrame:
+    """The same from the result of group_planes."""
+    if chunk < 1:
+        raise ValueError("chunk must be positive")
+    planes = [plane_column(c) for c in channels]
+    pieces = cut_planes(planes, F.col("height"), F.col("width"), chunk, dtype)
+    return _rows(grouped, F.lit(len(channels)), dtype, pieces)

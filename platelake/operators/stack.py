@@ -75,6 +75,11 @@ def complete_sites(
     )
 
 
+def plane_column(channel: int) -> Column:
+    """Where group_planes puts the plane of a channel."""
+    return F.col(f"_plane{channel}")
+
+
 def _plane(channel: int) -> Column:
     """The plane of a channel. If a table has copies of it the largest wins,
     so a recomputed task gives the same; no list of planes is built."""
@@ -112,7 +117,7 @@ def group_planes(
     )
     ok = F.col("_even")
     for c in distinct:
-        plane = F.col(f"_plane{c}")
+        plane = plane_column(c)
         ok = ok & plane.isNotNull() & (F.octet_length(plane) == F.col("height") * F.col("width"))
     ok = F.coalesce(ok, F.lit(False))
     if not strict:
@@ -130,7 +135,7 @@ def merge_planes(
     """The planes of group_planes as one image, plane i being channels[i]."""
     if layout not in ("HWC", "CHW"):
         raise ValueError(f"layout must be HWC or CHW, not {layout!r}")
-    planes = [F.col(f"_plane{c}") for c in channels]
+    planes = [plane_column(c) for c in channels]
     merged = interleave_planes(planes) if layout == "HWC" else join_planes(planes)
     return grouped.select(
         *keys, "height", "width", F.lit(len(channels)).alias("channels"),

@@ -7,11 +7,11 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platelake.operators.chunks import to_chunks
+from platelake.operators.chunks import planes_to_chunks
 from platelake.operators.numbering import number_by_key, order_key
 from platelake.operators.stack import missing_images
 from platelake.plans.packing import SPLIT_DIGITS, manifest, mixed_files, plan_all
-from platelake.plans.placing import PART_ROWS, place_images
+from platelake.plans.placing import PART_ROWS, place_images, place_planes
 from platelake.schemas import (
     CHANNELS, PACK_DIRS, RECORD_COLUMNS, ROWS_PER_FILE, SEED, SITE_KEY, STRATEGIES,
 )
@@ -124,9 +124,9 @@ def write_chunks(
     level: int = 3,
 ) -> None:
     """Chunk table as zstd Parquet, replacing what was there."""
-    placed = place_images(plan, images, ARRAY_DIRS, channels, strict, part_rows=part_rows)
+    placed = place_planes(plan, images, ARRAY_DIRS, channels, strict, part_rows=part_rows)
     (
-        to_chunks(placed, chunk, dtype)
+        planes_to_chunks(placed, channels, chunk, dtype)
         .write.mode("overwrite").option("compression", "zstd")
         .option("parquet.compression.codec.zstd.level", str(level))
         .partitionBy(*ARRAY_DIRS).parquet(dest)

@@ -46,17 +46,16 @@ def _salted(plan: DataFrame, images: DataFrame, hot: DataFrame) -> tuple[DataFra
     return salted, copies
 
 
-def place_images(
+def place_planes(
     plan: DataFrame,
     images: DataFrame,
     dirs: Sequence[str],
     channels: Sequence[int] = CHANNELS,
     strict: bool = True,
-    layout: str = "HWC",
     part_rows: int = PART_ROWS,
     broadcast_rows: int = BROADCAST_PLAN_ROWS,
 ) -> DataFrame:
-    """Each plan row with its site image, partitioned by file and in file order.
+    """Each plan row with its planes, partitioned by file and in file order.
 
     ``plan`` must be materialised: its size is measured to choose the join.
     Broadcast plan: planes move once, straight to the task that writes their
@@ -82,10 +81,27 @@ def place_images(
         placed = copies.join(salted, [*SITE_KEY, "salt"]).drop("salt")
 
     tasks = min(max(size["parts"], 1), MAX_TASKS)
-    row = [*dirs, "pos", "part", *[c for c in parts.columns if c not in {*dirs, "pos", "part"}]]
     placed = placed.repartition(tasks, *dirs, "part")
-    grouped = group_planes(placed, row, channels, strict)
+    grouped = group_planes(placed, _row_columns(parts, dirs), channels, strict)
     # Grouping sorts by the same columns, so this adds no second sort, and it
     # tells the writer that none is needed.
-    in_order = grouped.sortWithinPartitions(*dirs, "pos")
-    return merge_planes(in_order, row, channels, layout)
+    return grouped.sortWithinPartitions(*dirs, "pos")
+
+
+def _row_columns(plan: DataFrame, dirs: Sequence[str]) -> list[str]:
+    first = [*dirs, "pos"]
+    return first + [c for c in plan.columns if c not in first]
+
+
+def place_images(
+    plan: DataFrame,
+    images: DataFrame,
+    dirs: Sequence[str],
+    channels: Sequence[int] = CHANNELS,
+    strict: bool = True,
+    layout: str = "HWC",
+    **placing,
+) -> DataFrame:
+    """Each plan row with its site image, partitioned by file and in file order."""
+    grouped = place_planes(plan, images, dirs, channels, strict, **placing)
+    return merge_planes(grouped, _row_columns(plan, dirs), channels, layout)

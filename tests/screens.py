@@ -14,7 +14,8 @@ SITE_SCHEMA = ("id_code string, dataset string, experiment string, cell_type str
 
 def write_png(path: str, pixels: np.ndarray) -> None:
     os.makedirs(os.path.dirname(path), exist_ok=True)
-    height, width = pixels.shape
+    height, width = pixels.shape[:2]
+    colour = 2 if pixels.ndim == 3 else 0
     depth = 16 if pixels.dtype == np.uint16 else 8
     raw = b"".join(b"\0" + row.astype(">u2" if depth == 16 else np.uint8).tobytes()
                    for row in pixels)
@@ -23,7 +24,7 @@ def write_png(path: str, pixels: np.ndarray) -> None:
         body = kind + data
         return struct.pack(">I", len(data)) + body + struct.pack(">I", zlib.crc32(body))
 
-    header = struct.pack(">IIBBBBB", width, height, depth, 0, 0, 0, 0)
+    header = struct.pack(">IIBBBBB", width, height, depth, colour, 0, 0, 0)
     with open(path, "wb") as file:
         file.write(b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header)
                    + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b""))
