@@ -90,6 +90,13 @@ def _same(name: str) -> Column:
     return F.min(name) == F.max(name)
 
 
+def drop_plane_copies(images: DataFrame) -> DataFrame:
+    """Copies of a plane become one before they are shuffled. Needed for tables
+    of planes only: under one image root a path, and so a plane, is unique."""
+    rest = [c for c in images.columns if c != "data"]
+    return images.groupBy(*rest).agg(F.max("data").alias("data"))
+
+
 def group_planes(
     images: DataFrame,
     keys: Sequence[str] = SITE_KEY,
@@ -163,15 +170,22 @@ def load_sites(
     datasets: Sequence[str] | None = None,
 ) -> DataFrame:
     """Site images of many addresses."""
-    return load_from(scan_images(spark, root, datasets), keys, channels, strict)
+    return load_from(scan_images(spark, root, datasets), keys, channels, strict, unique=True)
 
 
 def load_from(
-    images: DataFrame, keys: DataFrame, channels: Sequence[int] = CHANNELS, strict: bool = True
+    images: DataFrame,
+    keys: DataFrame,
+    channels: Sequence[int] = CHANNELS,
+    strict: bool = True,
+    unique: bool = False,
 ) -> DataFrame:
     """Site images of the addresses in ``keys``. The joins and the stacking use
     the same partitioning, so planes are shuffled once whichever join Spark
-    picks. Strict: an address without a single file is an error too."""
+    picks. Strict: an address without a single file is an error too.
+    ``unique`` promises that no plane is there twice."""
+    if not unique:
+        images = drop_plane_copies(images)
     wanted = keys.select(*SITE_KEY).distinct()
     found = images.join(wanted, list(SITE_KEY), "left_semi")
     stacked = stack_channels(found, SITE_KEY, channels, strict)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from platelake.operators.chunks import planes_to_chunks
 from platelake.operators.numbering import number_by_key, order_key
-from platelake.operators.stack import missing_images
+from platelake.operators.stack import drop_plane_copies, missing_images
 from platelake.plans.packing import SPLIT_DIGITS, manifest, mixed_files, plan_all
 from platelake.plans.placing import PART_ROWS, place_images, place_planes
 from platelake.schemas import (
@@ -61,11 +61,13 @@ def pack_images(
     datasets: Sequence[str] | None = None,
     strict: bool = True,
     inventory: DataFrame | None = None,
+    unique: bool = False,
     **placing,
 ) -> DataFrame:
     """Packs treatment sites from a table of planes; returns the manifest.
 
     Every strategy and seed is written by one job, so an image is decoded once.
+    ``unique`` promises that no plane is there twice.
     """
     plan = cut_lineage(plan_all(sites, strategies, per_file, seeds, datasets))
     mixed = mixed_files(plan).take(5)
@@ -73,6 +75,8 @@ def pack_images(
         raise ValueError(f"files with rows of two splits: {[r.dest_path for r in mixed]}")
     if strict:
         check_images(plan, images if inventory is None else inventory, channels)
+    if not unique:
+        images = drop_plane_copies(images)
     write_packed(plan, images, dest, channels, strict, **placing)
     return manifest(plan)
 
@@ -96,6 +100,7 @@ def pack(
     return pack_images(
         sites, scan_images(spark, image_root, datasets), dest, strategies, channels,
         per_file, seeds, datasets, strict, list_images(spark, image_root, datasets),
+        unique=True,
     )
 
 

@@ -226,6 +226,13 @@ row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS pos FROM embedding
 placed AS (SELECT *, row_number() OVER (ORDER BY file_rank // 4, pos, file_rank) AS position
 FROM copied)
 SELECT vec_id, file_rank, pos, position, (position - 1) // 64 AS batch_id FROM placed""",
+    "feed_order": f"""WITH {_plans('42')}, files AS (
+SELECT dest_path, row_number() OVER (ORDER BY md5(concat('42|', dest_path)), dest_path) - 1 AS r
+FROM (SELECT DISTINCT dest_path FROM random_plan) d),
+placed AS (
+SELECT id_code, site, row_number() OVER (ORDER BY r // 32, pos, r) AS position
+FROM random_plan JOIN files USING (dest_path))
+SELECT id_code, site, position, (position - 1) // 512 AS batch_id FROM placed""",
     "epoch_batches": """WITH copied AS (
 SELECT vec_id, CAST(label AS BIGINT) AS label,
 row_number() OVER (PARTITION BY vec_id, label) - 1 AS copy, count(*) OVER () AS n FROM embeddings),

@@ -18,7 +18,7 @@ from platelake.plans.jobs import pack_images as pack_job
 from platelake.schemas import (
     CHANNELS, PIXEL_STATS, RECORD_COLUMNS, SITE_COLUMNS, SITE_KEY, SPLITS,
 )
-from platelake.session import scratch_path
+from platelake.session import cut_lineage, scratch_path
 from platelake.sources.images import parse_paths, splits_in
 from platelake.sources.packed import read_packed
 from platelake.streaming.feed import feed_examples, stream_packed
@@ -247,6 +247,17 @@ def interleave(spark, sf):
     return order.select("vec_id", "file_rank", "pos", "position", "batch_id")
 
 
+def feed_order(spark, sf):
+    """Batches of the packed files read 32 at a time, files in seeded order."""
+    plan = cut_lineage(packing.plan_random(_treatments(spark, sf)).select(*PLAN))
+    lengths = plan.groupBy("dest_path").agg(F.count(F.lit(1)).alias("n"))
+    ranks = feed.rank_files(lengths, "dest_path").join(lengths, "dest_path")
+    rows = plan.select("id_code", "site", "dest_path", (F.col("pos") - 1).alias("pos"))
+    ranked = rows.join(ranks.drop("n"), "dest_path")
+    order = feed.interleave(ranked, lengths=ranks.select("file_rank", "n"))
+    return feed.batches(order, 512).select("id_code", "site", "position", "batch_id")
+
+
 def epoch_batches(spark, sf):
     keys = fixtures.logits(spark, sf).select("vec_id", "label")
     return feed.plan_batches(keys, batch=64, epochs=3, key_columns=["vec_id"])
@@ -312,7 +323,7 @@ QUERIES = {f.__name__: f for f in (
     pixel_stats,
     load_sites, channel_first_images, rgb_images, normalize_images,
     pixel_stats_images, chunk_sites, pack_images, stream_examples,
-    interleave, epoch_batches, step_plan,
+    interleave, feed_order, epoch_batches, step_plan,
     predict_classes, softmax, eval_metrics, row_losses, score_sites,
 )}
 QUERIES["cross_entropy"] = mean_loss

@@ -1,0 +1,163 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from platelake.operators import feed, scoring
+from platelake.operators.numbering import count_copies, expand_copies, prefix_sum
+from platelake.schemas import PIXEL_STATS
+
+
+def test_interleave_against_brute_force(spark):
+    rng = random.Random(1)
+    lengths = [rng.randint(1, 9) for _ in range(11)]
+    rows = [(f, p) for f, n in enumerate(lengths) for p in range(n)]
+    frame = spark.createDataFrame(rows, "file_rank int, pos int")
+    for cycle, block in ((4, 1), (3, 2), (32, 1), (1, 5)):
+        expected = sorted(rows, key=lambda r: (r[0] // cycle, r[1] // block, r[0], r[1]))
+        got = feed.interleave(frame, cycle=cycle, block=block).collect()
+        assert [(r.file_rank, r.pos) for r in sorted(got, key=lambda r: r.position)] == expected
+        assert sorted(r.position for r in got) == list(range(1, len(rows) + 1))
+
+
+def test_interleave_splits_long_files(spark, monkeypatch):
+    monkeypatch.setattr(feed, "SALT_ROWS", 10)
+    rows = [(0, p) for p in range(95)] + [(1, p) for p in range(10)] + [(2, 0)]
+    frame = spark.createDataFrame(rows, "file_rank int, pos int")
+    expected = sorted(rows, key=lambda r: (r[1], r[0]))
+    got = sorted(feed.interleave(frame).collect(), key=lambda r: r.position)
+    assert [(r.file_rank, r.pos) for r in got] == expected
+
+
+def test_batches_straddle_epochs_and_only_the_end_is_cut(spark):
+    keys = spark.range(10).withColumnRenamed("id", "key")
+    plan = feed.plan_batches(keys, batch=4, epochs=3).collect()
+    batches = {}
+    for r in plan:
+        batches.setdefault(r.batch_id, []).append(r)
+    assert sorted(batches) == list(range(6)) and {len(b) for b in batches.values()} == {4}
+    assert {r.epoch for r in batches[2]} == {1, 2}
+    for epoch in (1, 2):
+        assert sorted(r.key for r in plan if r.epoch == epoch) == list(range(10))
+    orders = [[r.key for r in sorted(plan, key=lambda r: r.rn) if r.epoch == e] for e in (1, 2)]
+    assert orders[0] != orders[1]
+    again = feed.plan_batches(keys.repartition(3), batch=4, epochs=3).collect()
+    assert sorted(map(tuple, plan)) == sorted(map(tuple, again))
+
+
+def test_batches_keep_copies(spark):
+    keys = spark.range(9000).select(F.lit(1).alias("key")).union(spark.range(10).select(
+        F.col("id").cast("int")))
+    plan = feed.plan_batches(keys, batch=10, epochs=1)
+    assert plan.count() == 9010 and plan.select("rn").distinct().count() == 9010
+    assert plan.where("key = 1").count() == 9001
+
+
+def test_fewer_rows_than_a_batch_give_none(spark):
+    assert feed.plan_batches(spark.range(3), batch=4, epochs=5).count() == 0
+
+
+def test_copies_round_trip(spark):
+    rows = spark.range(20_000).select(F.lit("a").alias("x")).union(
+        spark.createDataFrame([("b",), (None,), ("b",)], "x string"))
+    back = expand_copies(count_copies(rows))
+    got = {r.x: (r.n, r.lo, r.hi, r.d) for r in back.groupBy("x").agg(
+        F.count("*").alias("n"), F.min("copy").alias("lo"), F.max("copy").alias("hi"),
+        F.countDistinct("copy").alias("d")).collect()}
+    assert got == {"a": (20_000, 0, 19_999, 20_000), "b": (2, 0, 1, 2), None: (1, 0, 0, 1)}
+
+
+def test_prefix_sum(spark):
+    rows = [(g, i, i % 4) for g in ("a", "b") for i in range(50)]
+    frame = spark.createDataFrame(rows, "g string, i int, w long")
+    for limit in (None, 20):
+        got = prefix_sum(frame, ["g"], F.expr("i div 7"), ["i"], F.col("w"), total="all",
+                         bucket_limit=limit).collect()
+        assert len(got) == 100
+        for r in got:
+            assert r.before == sum(x % 4 for x in range(r.i))
+            assert r["all"] == sum(x % 4 for x in range(50))
+
+
+def test_rank_files(spark):
+    names = spark.createDataFrame([(f"f{i}",) for i in range(40)] * 2, "name string")
+    ranks = {r.name: r.file_rank for r in feed.rank_files(names, "name").collect()}
+    assert sorted(ranks.values()) == list(range(40))
+    assert [ranks[f"f{i}"] for i in range(40)] != list(range(40))
+
+
+def test_unlabelled_examples_are_counted(spark):
+    rows = spark.createDataFrame([(1,), (None,), (2,), (None,)], "sirna long")
+    dropped = Observation()
+    assert [r.sirna for r in feed.labelled(rows, dropped).collect()] == [1, 2]
+    assert dropped.get["n_unlabelled"] == 2
+
+
+def test_normalise_examples(spark):
+    rows = spark.createDataFrame(
+        [(bytearray([0, 51, 255, 1, 2, 3]), 4), (bytearray(6), None)], "image binary, sirna long")
+    (unit,) = feed.normalise_examples(rows).collect()
+    assert unit.label == 4
+    assert np.allclose(np.frombuffer(unit.image, "<f4"), np.array([0, 51, 255, 1, 2, 3]) / 255)
+    (raw,) = feed.normalise_examples(rows, unit=False).collect()
+    assert list(raw.image) == [0, 51, 255, 1, 2, 3]
+
+
+def test_step_plan(spark):
+    steps = feed.step_plan(spark.range(10).withColumn("y", F.col("id") % 3), "y", 4, 3).first()
+    assert tuple(steps) == (10, 3, 2, 6)
+    assert 73_000 // 512 == 142
+
+
+def _logits(spark, rows):
+    return spark.createDataFrame(rows, "logits array<float>, label long")
+
+
+def test_accuracy_ties_and_bad_labels(spark):
+    tie = _logits(spark, [([1.0] * 6, 5)])
+    assert scoring.evaluate(tie).first().top_5_accuracy == 1.0
+    rows = _logits(spark, [([0.0, 3.0, 1.0], 1), ([3.0, 3.0, 1.0], 1), ([1.0, 2.0, 3.0], 9)])
+    got = scoring.evaluate(rows, k=2).first()
+    assert got.n == 3 and math.isclose(got.top_1_accuracy, 1 / 3)
+    assert math.isclose(got.top_2_accuracy, 2 / 3)
+    loss = scoring.mean_cross_entropy(rows).first().loss
+
+    def row_loss(logits, label):
+        return math.log(sum(math.exp(x) for x in logits)) - logits[label]
+
+    assert math.isclose(loss, (row_loss([0, 3, 1], 1) + row_loss([3, 3, 1], 1)) / 3, rel_tol=1e-9)
+
+
+def test_softmax_does_not_overflow(spark):
+    (row,) = scoring.predict(_logits(spark, [([1000.0, 1001.0], 0)])).collect()
+    assert row["class"] == 1
+    assert np.allclose(row.probabilities, [1 / (1 + math.e), math.e / (1 + math.e)])
+
+
+def test_scoring_with_a_model(spark):
+    pixels = np.random.default_rng(0).integers(0, 256, (5, 4, 4, 6), dtype=np.uint8)
+    rows = spark.createDataFrame(
+        [(i, bytearray(p.tobytes()), 1) for i, p in enumerate(pixels)],
+        "i int, image binary, sirna long")
+
+    def make():
+        return lambda x: np.asarray(x, np.float32).mean(axis=(1, 2)).astype(np.float32)
+
+    scored = scoring.predict(scoring.score(
+        feed.normalise_examples(rows, PIXEL_STATS), make, (4, 4, 6)))
+    mean = np.array([s[1] for s in PIXEL_STATS])
+    std = np.array([s[2] for s in PIXEL_STATS])
+    for r in scored.collect():
+        expected = ((pixels[r.i] - mean) / std).mean(axis=(0, 1))
+        assert np.allclose(r.logits, expected, atol=1e-4)
+        assert r["class"] == int(np.argmax(expected))
+        assert math.isclose(sum(r.probabilities), 1.0, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("batch, epochs", [(0, 1), (1, 0)])
+def test_bad_batch_arguments(spark, batch, epochs):
+    with pytest.raises(ValueError):
+        feed.plan_batches(spark.range(3), batch, epochs)
