@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from platelake.functions.tensors import normalised, unit_scaled
 from platelake.operators.numbering import (
-    count_copies, distinct_copies, expand_copies, number_by_key, order_key, prefix_sum,
+    count_copies, dense_ids, distinct_copies, expand_copies, number_by_key, order_key, prefix_sum,
 )
 from platelake.schemas import BATCH_SIZE, CHANNELS, SEED
 
@@ -60,12 +60,7 @@ def number_in_files(rows: DataFrame, file: str, row_id: str) -> DataFrame:
 
 def rank_files(files: DataFrame, name: str, seed: int = SEED) -> DataFrame:
     """Distinct files with a dense rank 0, 1, ... in a seeded order."""
-    keyed = (
-        files.select(name).distinct()
-        .withColumn("_all", F.lit(0)).withColumn("_key", order_key(F.lit(seed), [name]))
-    )
-    numbered = number_by_key(keyed, ["_all"], "_key", [name], 2, "file_rank", group_limit=1)
-    return numbered.select(name, (F.col("file_rank") - 1).alias("file_rank"))
+    return dense_ids(files, [name], seed, "file_rank")
 
 
 def interleave(

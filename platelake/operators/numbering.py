@@ -134,3 +134,14 @@ def number_by_key(
         before=out, total=total, bucket_limit=limit,
     )
     return numbered.withColumn(out, F.col(out) + 1)
+
+
+def dense_ids(df: DataFrame, columns: Sequence[str], seed: int, out: str) -> DataFrame:
+    """Distinct values of ``columns`` with an id 0, 1, ... in a seeded order."""
+    columns = list(columns)
+    keyed = (
+        df.select(*columns).distinct()
+        .withColumn("_all", F.lit(0)).withColumn("_key", order_key(F.lit(seed), columns))
+    )
+    numbered = number_by_key(keyed, ["_all"], "_key", columns, 2, out, group_limit=1)
+    return numbered.select(*columns, (F.col(out) - 1).alias(out))

@@ -11,7 +11,7 @@ from platelake.operators.chunks import planes_to_chunks
 from platelake.operators.numbering import number_by_key, order_key
 from platelake.operators.stack import drop_plane_copies, missing_images
 from platelake.plans.packing import SPLIT_DIGITS, manifest, mixed_files, plan_all
-from platelake.plans.placing import PART_ROWS, place_images, place_planes
+from platelake.plans.placing import place_images, place_planes
 from platelake.schemas import (
     CHANNELS, PACK_DIRS, RECORD_COLUMNS, ROWS_PER_FILE, SEED, SITE_KEY, STRATEGIES,
 )
@@ -37,15 +37,18 @@ def write_packed(
     dest: str,
     channels: Sequence[int] = CHANNELS,
     strict: bool = True,
+    compression: str = "zstd",
     **placing,
 ) -> None:
-    """One gzip Parquet file per planned file, records in plan order."""
+    """One compressed Parquet file per planned file, records in plan order."""
     placed = place_images(plan, images, PACK_DIRS, channels, strict, **placing)
     records = placed.select(
         "pos", "image", "height", "width", "channels", *RECORD_COLUMNS, *PACK_DIRS
     )
     (
-        records.write.mode("append").option("compression", "gzip")
+        records.write.mode("append").option("compression", compression)
+        # Pixels do not repeat from site to site: no dictionary is tried.
+        .option("parquet.enable.dictionary#image", "false")
         .partitionBy(*PACK_DIRS).parquet(dest)
     )
 
@@ -125,11 +128,11 @@ def write_chunks(
     chunk: int = 512,
     dtype: str = "<u2",
     strict: bool = True,
-    part_rows: int = PART_ROWS,
     level: int = 3,
+    **placing,
 ) -> None:
     """Chunk table as zstd Parquet, replacing what was there."""
-    placed = place_planes(plan, images, ARRAY_DIRS, channels, strict, part_rows=part_rows)
+    placed = place_planes(plan, images, ARRAY_DIRS, channels, strict, **placing)
     (
         planes_to_chunks(placed, channels, chunk, dtype)
         .write.mode("overwrite").option("compression", "zstd")

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from platelake.operators.numbering import dense_ids
 from platelake.operators.stack import group_planes, merge_planes
-from platelake.schemas import CHANNELS, SITE_KEY
+from platelake.schemas import CHANNELS, SEED, SITE_KEY
 
 # A plan up to this many rows (about 100 bytes each) is broadcast to the image
 # scan; a longer one is shuffle-joined.
@@ -27,14 +28,16 @@ PART_ROWS = 1500
 MAX_TASKS = 100_000
 
 
-def _salted(plan: DataFrame, images: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _salted(
+    plan: DataFrame, images: DataFrame, hot: DataFrame, dirs: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
     """Splits the rows of hot addresses over ``salts`` keys, and repeats just
     the images of those addresses."""
     small = F.broadcast(hot)
     salted = (
         plan.join(small, list(SITE_KEY), "left")
         .withColumn("salt", F.coalesce(
-            F.pmod(F.xxhash64("layout", "file", "pos"), F.col("salts")), F.lit(0).cast("long")))
+            F.pmod(F.xxhash64(*dirs, "pos"), F.col("salts")), F.lit(0).cast("long")))
         .drop("salts")
     )
     copies = (
@@ -74,15 +77,23 @@ def place_planes(
         .where(F.col("_n") > hot_limit)
         .select(*SITE_KEY, F.expr(f"(_n - 1) div {hot_limit} + 1").alias("salts"))
     )
+    # One part per task. Hashing the parts instead would give the unluckiest of
+    # many tasks several of them.
+    tasks = min(max(size["parts"], 1), MAX_TASKS)
+    ids = dense_ids(parts, [*dirs, "part"], SEED, "task")
+    tasked = (
+        parts.join(ids, [*dirs, "part"])
+        .withColumn("task", (F.col("task") % tasks).cast("int")).drop("part")
+    )
+
     if size["n"] <= broadcast_rows and hot.isEmpty():
-        placed = images.join(F.broadcast(parts), list(SITE_KEY))
+        placed = images.join(F.broadcast(tasked), list(SITE_KEY))
     else:
-        salted, copies = _salted(parts, images, hot)
+        salted, copies = _salted(tasked, images, hot, dirs)
         placed = copies.join(salted, [*SITE_KEY, "salt"]).drop("salt")
 
-    tasks = min(max(size["parts"], 1), MAX_TASKS)
-    placed = placed.repartition(tasks, *dirs, "part")
-    grouped = group_planes(placed, _row_columns(parts, dirs), channels, strict)
+    placed = placed.repartitionById(tasks, F.col("task"))
+    grouped = group_planes(placed, _row_columns(plan, dirs) + ["task"], channels, strict)
     # Grouping sorts by the same columns, so this adds no second sort, and it
     # tells the writer that none is needed.
     return grouped.sortWithinPartitions(*dirs, "pos")
