@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,3 +117,13 @@ def place_images(
     """Each plan row with its site image, partitioned by file and in file order."""
     grouped = place_planes(plan, images, dirs, channels, strict, **placing)
     return merge_planes(grouped, _row_columns(plan, dirs), channels, layout)
+
+
+def map_files(
+    placed: DataFrame,
+    function: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+    schema: str,
+) -> DataFrame:
+    """Runs ``function`` once per file of place_images, over batches of its
+    records in file order: a file is a stream, never one data frame."""
+    return placed.mapInPandas(function, schema)

@@ -56,6 +56,20 @@ RECORD_COLUMNS = (
 # Directory columns of a packed tree. All text, so "001" stays "001".
 PACK_DIRS = ("layout", "dataset", "file")
 
+# One decoded channel file.
+PLANES = T.StructType([
+    T.StructField("plate", T.IntegerType()),
+    T.StructField("well", T.StringType()),
+    T.StructField("site", T.IntegerType()),
+    T.StructField("channel", T.IntegerType()),
+    T.StructField("height", T.IntegerType()),
+    T.StructField("width", T.IntegerType()),
+    T.StructField("readable", T.BooleanType()),
+    T.StructField("data", T.BinaryType()),
+    T.StructField("dataset", T.StringType()),
+    T.StructField("experiment", T.StringType()),
+])
+
 PACKED = T.StructType([
     T.StructField("pos", T.LongType()),
     T.StructField("image", T.BinaryType()),

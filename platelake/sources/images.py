@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platelake.functions.paths import key_columns, with_path_parts
-from platelake.schemas import IMAGE_KEY, SPLITS
+from platelake.schemas import IMAGE_KEY, PLANES, SPLITS
 
 
 def _globs(
@@ -23,13 +23,34 @@ def _globs(
     return [f"{root.rstrip('/')}/{choice(datasets)}/{choice(experiments)}/Plate*"]
 
 
+def _folder(spark: SparkSession, path: str):
+    """Hadoop path and file system, for look-ups of single directories."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, system = _folder(spark, path)
+    return system.exists(folder)
+
+
 def list_splits(spark: SparkSession, root: str) -> list[str]:
     """Names of the split directories under an image root: one look-up each,
     however many files there are."""
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path
-    system = path(root).getFileSystem(context._jsc.hadoopConfiguration())
-    return [d for d in SPLITS if system.exists(path(f"{root.rstrip('/')}/{d}"))]
+    return [d for d in SPLITS if exists(spark, f"{root.rstrip('/')}/{d}")]
+
+
+def list_experiments(
+    spark: SparkSession, root: str, datasets: Sequence[str] | None = None
+) -> list[tuple[str, str]]:
+    """(dataset, experiment) directories under an image root."""
+    found = []
+    for dataset in list_splits(spark, root) if datasets is None else datasets:
+        folder, system = _folder(spark, f"{root.rstrip('/')}/{dataset}")
+        found += [(dataset, status.getPath().getName())
+                  for status in system.listStatus(folder) if status.isDirectory()]
+    return sorted(found)
 
 
 def splits_in(paths: DataFrame, root: str, path: str = "path") -> DataFrame:
@@ -119,3 +140,8 @@ def scan_site(
     folder = f"{root.rstrip('/')}/{dataset}/{experiment}/Plate{plate}"
     files = [f"{folder}/{well}_s{site}_w{c}.png" for c in dict.fromkeys(channels)]
     return _planes(spark.read.format("image").load(files))
+
+
+def read_planes(spark: SparkSession, root: str) -> DataFrame:
+    """Planes that ingest_planes wrote."""
+    return spark.read.schema(PLANES).parquet(root)

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from platelake.operators.stack import load_site, load_site_rgb, load_sites, load_sites_rgb
 from platelake.plans import jobs, packing, placing
+from platelake.plans.ingest import ingest_planes
 from platelake.schemas import PIXEL_STATS
 from platelake.session import cut_lineage
-from platelake.sources.images import list_images, list_splits, scan_images
+from platelake.sources.images import (
+    list_experiments, list_images, list_splits, read_planes, scan_images,
+)
 from platelake.sources.packed import read_chunks, read_packed
 from platelake.streaming.feed import feed_examples, stream_packed
 from tests.screens import image_file, site_frame, site_rows, write_images, write_png
@@ -211,6 +214,45 @@ def test_large_file_is_split_into_ordered_parts(spark, tmp_path):
         assert sorted(positions) == list(range(1, len(positions) + 1))
 
 
+def test_ingested_planes_pack_the_same(spark, tmp_path):
+    rows = site_rows(wells=4, experiments=2)
+    root, table = str(tmp_path / "raw"), str(tmp_path / "planes")
+    images = write_images(root, rows, (1, 2))
+    done = [("test", "HUVEC-01"), ("test", "HUVEC-02"), ("train", "RPE-01"), ("train", "RPE-02")]
+    assert list_experiments(spark, root) == done
+    assert ingest_planes(spark, root, table, jobs_at_once=2) == done
+    assert ingest_planes(spark, root, table) == []
+    os.remove(f"{table}/dataset=train/experiment=RPE-02/_SUCCESS")
+    assert ingest_planes(spark, root, table) == [("train", "RPE-02")]
+    planes = read_planes(spark, table)
+    assert planes.count() == 2 * len(rows)
+    dest = str(tmp_path / "packed")
+    jobs.pack_images(site_frame(spark, rows), planes, dest, channels=(1, 2), per_file=3,
+                     unique=True)
+    records = read_packed(spark, dest, "random-42").collect()
+    assert len(records) == len(rows)
+    for r in records:
+        assert np.array_equal(_image(r), images[_key(r)])
+
+
+def test_function_over_files(spark, tmp_path):
+    rows, _, plan, planes = _plan_and_images(spark, tmp_path, copies=4)
+    placed = placing.place_images(plan, planes, ("layout", "dataset", "file"), (1, 2))
+
+    def summarise(batches):
+        import pandas as pd
+        files, positions = [], []
+        for batch in batches:
+            files += list(batch["file"])
+            positions += list(batch["pos"])
+        yield pd.DataFrame({"file": files[:1], "files": [len(set(files))] if files else [],
+                            "ordered": [positions == sorted(positions)] if files else []})
+
+    got = placing.map_files(placed, summarise, "file string, files int, ordered boolean").collect()
+    assert sorted(r.file for r in got) == ["001", "002", "003"]
+    assert all(r.files == 1 and r.ordered for r in got)
+
+
 def _csv(path, header, rows):
     with open(path, "w") as file:
         file.write(",".join(header) + "\n")
