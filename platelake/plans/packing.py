@@ -6,6 +6,7 @@ Plans hold keys and metadata only; image bytes join them later, once.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +37,9 @@ def check_strategies(strategies: Iterable[str]) -> list[str]:
 
 
 def _seeded(sites: DataFrame, seeds: Sequence[int]) -> tuple[DataFrame, list[str]]:
-    """Each site of a known split once per seed, with its shuffle key. The same
-    for every strategy, so that Spark runs it once for all of them."""
+    """Each site of a known split once per seed, with its shuffle key, and the
+    columns that break ties. The same for every strategy, so that Spark runs
+    it once for all of them."""
     columns = [c for c in SITE_COLUMNS if c in sites.columns]
     keys = [c for c in ROW_KEY if c in columns] + ["copy"]
     sites = sites.where(F.col("dataset").isin(list(SPLITS))).select(*columns)
@@ -60,37 +62,44 @@ def _finish(numbered: DataFrame, strategy: str, dest: Column) -> DataFrame:
     )
 
 
-def plan_random(
-    sites: DataFrame, per_file: int = ROWS_PER_FILE, seeds: Sequence[int] = (SEED,)
-) -> DataFrame:
-    """Seeded shuffle of each split, cut into files of ``per_file`` rows."""
+def _random_files(rows: DataFrame, ties: list[str], per_file: int, n_seeds: int) -> DataFrame:
     if per_file < 1:
         raise ValueError("per_file must be positive")
-    rows, ties = _seeded(sites, seeds)
     numbered = number_by_key(
         rows, ["seed", "dataset"], "key", ties, SPLIT_DIGITS, out="rn",
-        group_limit=len(seeds) * len(SPLITS),
-    )
-    files = (
-        numbered
-        .withColumn("file", padded_number(F.expr(f"(rn - 1) div {per_file} + 1")))
-        .withColumn("pos", F.expr(f"(rn - 1) % {per_file} + 1"))
+        group_limit=n_seeds * len(SPLITS),
     )
+    files = numbered.withColumns({
+        "file": padded_number(F.expr(f"(rn - 1) div {per_file} + 1")),
+        "pos": F.expr(f"(rn - 1) % {per_file} + 1"),
+    })
     return _finish(files, "random", F.concat_ws("/", "dataset", "file"))
 
 
-def plan_grouped(sites: DataFrame, seeds: Sequence[int] = (SEED,)) -> DataFrame:
-    """One file per experiment, plate and site, each in shuffled well order."""
-    rows, ties = _seeded(sites, seeds)
+def _group_files(rows: DataFrame, ties: list[str]) -> DataFrame:
+    # One text that is never null: nothing is filtered for the grouping, so
+    # that the rows stay those of the random plan and are computed once.
+    group = F.concat_ws("/", "dataset", group_file())
     numbered = number_by_key(
-        rows, ["seed", "dataset", "experiment", "plate", "site"], "key", ties,
-        GROUP_DIGITS,
+        rows.withColumn("group", group), ["seed", "group"], "key", ties, GROUP_DIGITS
     )
     return _finish(
         numbered.withColumn("file", group_file()), "by_exp_plate_site", F.col("file")
     )
 
 
+def plan_random(
+    sites: DataFrame, per_file: int = ROWS_PER_FILE, seeds: Sequence[int] = (SEED,)
+) -> DataFrame:
+    """Seeded shuffle of each split, cut into files of ``per_file`` rows."""
+    return _random_files(*_seeded(sites, seeds), per_file, len(seeds))
+
+
+def plan_grouped(sites: DataFrame, seeds: Sequence[int] = (SEED,)) -> DataFrame:
+    """One file per experiment, plate and site, each in shuffled well order."""
+    return _group_files(*_seeded(sites, seeds))
+
+
 def plan_all(
     sites: DataFrame,
     strategies: Iterable[str] = STRATEGIES,
@@ -104,16 +113,13 @@ def plan_all(
         raise ValueError("give at least one strategy and one seed")
     if datasets is not None and set(datasets) - set(SPLITS):
         raise ValueError(f"unknown datasets in {list(datasets)}; choose from {list(SPLITS)}")
-    sites = select_sites(sites, datasets)
+    rows, ties = _seeded(select_sites(sites, datasets), seeds)
     plans = []
     if "random" in chosen:
-        plans.append(plan_random(sites, per_file, seeds))
+        plans.append(_random_files(rows, ties, per_file, len(seeds)))
     if "by_exp_plate_site" in chosen:
-        plans.append(plan_grouped(sites, seeds))
-    out = plans[0]
-    for plan in plans[1:]:
-        out = out.unionByName(plan)
-    return out
+        plans.append(_group_files(rows, ties))
+    return reduce(DataFrame.unionByName, plans)
 
 
 def manifest(plan: DataFrame) -> DataFrame:
