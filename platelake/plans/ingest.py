@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import SparkSession
 
 from platelake.schemas import PLANES
+from platelake.session import image_parquet
 from platelake.sources.images import exists, list_experiments, scan_images
 
 
@@ -41,7 +42,7 @@ def ingest_planes(
         planes = scan_images(spark, root, [dataset], [experiment]).select(*columns)
         (
             planes.write.mode("overwrite").option("compression", "zstd")
-            .option("parquet.enable.dictionary#data", "false")
+            .options(**image_parquet("data", 512 * 512))
             .parquet(target(dataset, experiment))
         )
 

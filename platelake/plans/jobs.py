@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from platelake.plans.placing import place_images, place_planes
 from platelake.schemas import (
     CHANNELS, PACK_DIRS, RECORD_COLUMNS, ROWS_PER_FILE, SEED, SITE_KEY, STRATEGIES,
 )
-from platelake.session import cut_lineage
+from platelake.session import cut_lineage, image_parquet
 from platelake.sources.images import list_images, list_splits, scan_images
 from platelake.sources.metadata_csv import site_table
 
@@ -47,8 +48,7 @@ def write_packed(
     )
     (
         records.write.mode("append").option("compression", compression)
-        # Pixels do not repeat from site to site: no dictionary is tried.
-        .option("parquet.enable.dictionary#image", "false")
+        .options(**image_parquet("image"))
         .partitionBy(*PACK_DIRS).parquet(dest)
     )
 
@@ -137,6 +137,7 @@ def write_chunks(
         planes_to_chunks(placed, channels, chunk, dtype)
         .write.mode("overwrite").option("compression", "zstd")
         .option("parquet.compression.codec.zstd.level", str(level))
+        .options(**image_parquet("data", chunk * chunk * len(channels) * np.dtype(dtype).itemsize))
         .partitionBy(*ARRAY_DIRS).parquet(dest)
     )
 

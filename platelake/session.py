@@ -24,6 +24,24 @@ IMAGE_CONF = {
 }
 
 
+# Uncompressed bytes a Parquet row group of images may hold at most.
+ROW_GROUP_BYTES = 192 * 1024 * 1024
+
+
+def image_parquet(column: str, row_bytes: int = 512 * 512 * 6) -> dict[str, str]:
+    """Parquet write options for rows of about ``row_bytes`` pixels in ``column``.
+
+    Pixels do not repeat, so no dictionary is tried. Row groups are limited by
+    rows: by compressed size alone a group of dark images could hold gigabytes,
+    and readers take up to 4,096 rows of a group at once.
+    """
+    return {
+        f"parquet.enable.dictionary#{column}": "false",
+        "parquet.block.row.count.limit": str(max(1, ROW_GROUP_BYTES // row_bytes)),
+        "parquet.page.size.row.check.min": "1",
+    }
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.conf.get("spark.master", "local").startswith("local")
 

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from platelake.operators.feed import normalise_examples
 from platelake.schemas import CHANNELS, PACKED
+from platelake.session import image_parquet
 
 
 def stream_packed(
@@ -46,6 +47,7 @@ def feed_examples(
         normalise_examples(records, stats, channels)
         .writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", checkpoint).option("path", dest)
+        .options(**image_parquet("image", 512 * 512 * 6 * 4))
     )
     if drain:
         writer = writer.trigger(availableNow=True)

@@ -214,6 +214,20 @@ def test_large_file_is_split_into_ordered_parts(spark, tmp_path):
         assert sorted(positions) == list(range(1, len(positions) + 1))
 
 
+def test_row_groups_are_small(spark, tmp_path, monkeypatch):
+    _, _, plan, planes = _plan_and_images(spark, tmp_path, copies=40)
+    monkeypatch.setattr("platelake.session.ROW_GROUP_BYTES", 2 * 512 * 512 * 6)
+    dest = str(tmp_path / "packed")
+    jobs.write_packed(plan, planes, dest, (1, 2))
+    for paths in _file_rows(dest).values():
+        for path in paths:
+            meta = pq.ParquetFile(path).metadata
+            groups = [meta.row_group(i) for i in range(meta.num_row_groups)]
+            assert max(g.num_rows for g in groups) <= 2
+            image = groups[0].column(meta.schema.names.index("image"))
+            assert "RLE_DICTIONARY" not in image.encodings
+
+
 def test_ingested_planes_pack_the_same(spark, tmp_path):
     rows = site_rows(wells=4, experiments=2)
     root, table = str(tmp_path / "raw"), str(tmp_path / "planes")
