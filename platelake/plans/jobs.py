@@ -41,13 +41,17 @@ def write_packed(
     compression: str = "zstd",
     **placing,
 ) -> None:
-    """One compressed Parquet file per planned file, records in plan order."""
-    placed = place_images(plan, images, PACK_DIRS, channels, strict, **placing)
+    """One compressed Parquet file per planned file, records in plan order.
+    Files of the same name are replaced, others stay."""
+    needed = dict.fromkeys([*PACK_DIRS, "pos", *SITE_KEY, *RECORD_COLUMNS])
+    placed = place_images(
+        plan.select(*needed), images, PACK_DIRS, channels, strict, **placing)
     records = placed.select(
         "pos", "image", "height", "width", "channels", *RECORD_COLUMNS, *PACK_DIRS
     )
     (
-        records.write.mode("append").option("compression", compression)
+        records.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("compression", compression)
         .options(**image_parquet("image"))
         .partitionBy(*PACK_DIRS).parquet(dest)
     )

@@ -12,9 +12,9 @@ from platelake.operators.numbering import dense_ids
 from platelake.operators.stack import group_planes, merge_planes
 from platelake.schemas import CHANNELS, SEED, SITE_KEY
 
-# A plan up to this many rows (about 100 bytes each) is broadcast to the image
+# A plan up to this many rows (about 200 bytes each) is broadcast to the image
 # scan; a longer one is shuffle-joined.
-BROADCAST_PLAN_ROWS = 500_000
+BROADCAST_PLAN_ROWS = 1_000_000
 
 # Plan rows that use the same address before that address counts as hot.
 HOT_ADDRESS_ROWS = 4096
