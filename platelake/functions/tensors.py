@@ -133,14 +133,14 @@ def false_colour(
     for channel in channels:
         red, green, blue, low, high = by_channel[channel]
         share = np.minimum(1.0, level / ((high - low) / 255.0) + low / 255.0)
-        tables.append(np.trunc(np.outer(share, (red, green, blue))).astype(np.int64))
+        tables.append(np.trunc(np.outer(share, (red, green, blue))).astype(np.int32))
     n = len(tables)
 
     def paint(raw):
         pixels = np.frombuffer(raw, np.uint8).reshape(-1, n)
-        total = np.zeros((len(pixels), 3), np.int64)
+        total = np.zeros((len(pixels), 3), np.int32)
         for i, table in enumerate(tables):
-            total += table[pixels[:, i]]
+            total += np.take(table, pixels[:, i], axis=0)
         return np.minimum(total, 255).astype(np.uint8).tobytes()
 
     return _per_row(paint, T.BinaryType())(data)

@@ -104,6 +104,8 @@ def pack(
     ``datasets`` the splits found under the image root are packed."""
     if datasets is None:
         datasets = list_splits(spark, image_root)
+        if not datasets:
+            raise ValueError(f"no split directory under {image_root}")
     return pack_images(
         sites, scan_images(spark, image_root, datasets), dest, strategies, channels,
         per_file, seeds, datasets, strict, list_images(spark, image_root, datasets),
@@ -113,6 +115,9 @@ def pack(
 
 ARRAY_DIRS = ("dataset", "experiment")
 
+# Sites per array file: about 1 GB of widened pixels.
+ARRAY_PART_ROWS = 308
+
 
 def plan_arrays(sites: DataFrame) -> DataFrame:
     """Distinct addresses numbered inside their experiment, so that a large
@@ -133,10 +138,11 @@ def write_chunks(
     dtype: str = "<u2",
     strict: bool = True,
     level: int = 3,
+    part_rows: int = ARRAY_PART_ROWS,
     **placing,
 ) -> None:
     """Chunk table as zstd Parquet, replacing what was there."""
-    placed = place_planes(plan, images, ARRAY_DIRS, channels, strict, **placing)
+    placed = place_planes(plan, images, ARRAY_DIRS, channels, strict, part_rows, **placing)
     (
         planes_to_chunks(placed, channels, chunk, dtype)
         .write.mode("overwrite").option("compression", "zstd")

@@ -124,6 +124,7 @@ def map_files(
     function: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
     schema: str,
 ) -> DataFrame:
-    """Runs ``function`` once per file of place_images, over batches of its
-    records in file order: a file is a stream, never one data frame."""
+    """Runs ``function`` once per task of place_images, that is per file part
+    (more than one only past MAX_TASKS parts), over batches of its records in
+    file order: a file is a stream, never one data frame."""
     return placed.mapInPandas(function, schema)

@@ -60,7 +60,6 @@ def shared_folder(spark: SparkSession) -> str:
         if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="platelake-")
-    if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
 

@@ -161,3 +161,9 @@ def test_scoring_with_a_model(spark):
 def test_bad_batch_arguments(spark, batch, epochs):
     with pytest.raises(ValueError):
         feed.plan_batches(spark.range(3), batch, epochs)
+
+
+def test_batch_windows_are_split(spark):
+    plan = feed.plan_batches(spark.range(1000), batch=10, epochs=2)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in text and "SinglePartition" not in text
