@@ -161,16 +161,29 @@ def stack_channels(
     return merge_planes(group_planes(images, keys, channels, strict), keys, channels, layout)
 
 
+# Directories a scan is narrowed to by name; with more it takes the whole tree.
+MAX_NAMED_EXPERIMENTS = 1000
+
+
 def load_sites(
     spark: SparkSession,
     keys: DataFrame,
     root: str,
     channels: Sequence[int] = CHANNELS,
     strict: bool = True,
-    datasets: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Site images of many addresses."""
-    return load_from(scan_images(spark, root, datasets), keys, channels, strict, unique=True)
+    """Site images of many addresses. Only the directories of their
+    experiments are listed, unless there are very many."""
+    names = (
+        keys.select("dataset", "experiment").distinct()
+        .limit(MAX_NAMED_EXPERIMENTS + 1).collect()
+    )
+    datasets = experiments = None
+    if 0 < len(names) <= MAX_NAMED_EXPERIMENTS:
+        datasets = sorted({r.dataset for r in names})
+        experiments = sorted({r.experiment for r in names})
+    images = scan_images(spark, root, datasets, experiments)
+    return load_from(images, keys, channels, strict, unique=True)
 
 
 def load_from(

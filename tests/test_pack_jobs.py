@@ -329,3 +329,13 @@ def test_arrays_with_a_shuffled_plan_and_small_parts(spark, tmp_path):
         expected = images[_key(c)][c.cy * 9:c.cy * 9 + 9, c.cx * 9:c.cx * 9 + 9, ::-1]
         assert np.array_equal(pixels, expected)
     assert len(glob.glob(f"{dest}/dataset=train/experiment=RPE-01/*.parquet")) == 3
+
+
+def test_nothing_to_pack(spark, tmp_path):
+    rows = site_rows(datasets=("train",), wells=2)
+    root, dest = str(tmp_path / "raw"), str(tmp_path / "packed")
+    write_images(root, rows, (1, 2))
+    controls = site_frame(spark, rows).withColumn("well_type", F.lit("negative_control"))
+    assert jobs.pack(spark, controls, root, dest, channels=(1, 2)).count() == 0
+    with pytest.raises(ValueError, match="no split directory"):
+        jobs.pack(spark, controls, str(tmp_path), dest)
