@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-from pyspark.ml.functions import predict_batch_udf
+import pandas as pd
+from pyspark.ml.model_cache import ModelCache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +15,6 @@ from pyspark.sql import types as T
 from platelake.functions.scores import (
     cross_entropy, in_top_k, predicted_class, probabilities,
 )
-from platelake.functions.tensors import decode_floats
 
 
 def score(
@@ -25,12 +26,28 @@ def score(
 ) -> DataFrame:
     """Adds ``logits``. ``make_model`` is called once per Python worker and
     returns a function from float32 [n, *shape] to logits [n, classes].
-    ``image`` holds float32 bytes."""
-    model = predict_batch_udf(
-        make_model, return_type=T.ArrayType(T.FloatType()), batch_size=batch,
-        input_tensor_shapes=[list(shape)],
-    )
-    return examples.withColumn("logits", model(decode_floats(F.col(image))))
+
+    ``image`` holds float32 bytes. They go to the model as they are: turning a
+    megabyte image into a Spark array first takes most of the time.
+    """
+    shape = tuple(shape)
+    key = uuid.uuid4()
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def model(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        run = ModelCache.get(key)
+        if run is None:
+            run = make_model()
+            ModelCache.add(key, run)
+        for images in batches:
+            logits = []
+            for start in range(0, len(images), batch):
+                part = images.iloc[start:start + batch]
+                pixels = np.stack([np.frombuffer(raw, "<f4").reshape(shape) for raw in part])
+                logits.extend(np.asarray(run(pixels), np.float32))
+            yield pd.Series(logits, dtype=object)
+
+    return examples.withColumn("logits", model(F.col(image)))
 
 
 def predict(scored: DataFrame, logits: str = "logits") -> DataFrame:

@@ -43,6 +43,7 @@ def _seeded(sites: DataFrame, seeds: Sequence[int]) -> tuple[DataFrame, list[str
     columns = [c for c in SITE_COLUMNS if c in sites.columns]
     keys = [c for c in ROW_KEY if c in columns] + ["copy"]
     sites = sites.where(F.col("dataset").isin(list(SPLITS))).select(*columns)
+    seeds = dict.fromkeys(seeds)
     rows = (
         distinct_copies(sites)
         .withColumn("seed", F.explode(F.array(*[F.lit(s).cast("long") for s in seeds])))

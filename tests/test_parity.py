@@ -1,6 +1,9 @@
 """Every registered query against its SQL, on the tables as they are and on
 tables where one row makes up a third."""
 
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -45,3 +48,21 @@ def test_query_equals_sql_on_skewed_tables(spark, skewed, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) == set(entry.queries())
+
+
+def test_python_workers_need_no_package_on_their_path(tmp_path):
+    """From a foreign folder, as a driver that loads the entry file by path."""
+    code = f"""
+import importlib.util
+from pyspark.sql import SparkSession
+spec = importlib.util.spec_from_file_location("given", {entry.__file__!r})
+given = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(given)
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+for name in ("chunk_sites", "score_sites"):
+    print(name, len(given.queries()[name](spark, {SOURCE!r}).collect()))
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "chunk_sites 332" in done.stdout and "score_sites 83" in done.stdout

@@ -124,6 +124,7 @@ def test_manifest_and_mixed_files(spark):
     assert sum(m.n_sites for m in manifest) == len(rows) * 4
     assert all(m.first_pos == 1 and m.last_pos == m.n_sites for m in manifest)
     assert packing.mixed_files(plan).count() == 0
+    assert packing.plan_all(site_frame(spark, rows), ["random"], seeds=(7, 7)).count() == len(rows)
     twin = [r for r in rows if r[1] == "train"]
     twin += [(r[0], "test") + r[2:] for r in twin]
     mixed = packing.mixed_files(packing.plan_grouped(site_frame(spark, twin))).collect()
