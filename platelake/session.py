@@ -68,10 +68,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "cut", with_path: bool = False):
     """The same rows read back from a table in the shared folder. It survives
-    lost executors, and later steps read just the columns they need."""
+    lost executors, and later steps read just the columns they need. With
+    ``with_path`` also its folder, for drop_scratch."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    return (table, path) if with_path else table
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch table that nothing reads any more, in whatever store
+    the shared folder is."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
