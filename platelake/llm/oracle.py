@@ -31,7 +31,7 @@ WITH w AS (
          CAST(CASE WHEN n_words < 10 THEN 1 ELSE 0 END
               + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
               + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END
-              + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
+              + CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END
               + CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 16 ELSE 0 END
               + CASE WHEN 2 * n_upper > word_chars THEN 32 ELSE 0 END
               + CASE WHEN 2 * n_marks > n_words THEN 64 ELSE 0 END AS BIGINT) AS fail_bits

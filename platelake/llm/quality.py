@@ -25,7 +25,7 @@ def _rules() -> dict[str, Column]:
         "few_words": n < 10,
         "repeated_words": 100 * F.col("n_repeat_words") > 20 * n,
         "symbols": 10 * F.col("n_symbols") > n,
-        "repeated_lines": 100 * F.col("n_dup_lines") > 30 * F.col("n_lines"),
+        "repeated_lines": 100 * F.col("n_dup_lines") > 50 * F.col("n_lines"),
         "word_length": (chars < 2 * n) | (chars > 20 * n),
         "upper_case": 2 * F.col("n_upper") > chars,
         "marks": 2 * F.col("n_marks") > n,
