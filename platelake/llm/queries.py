@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platelake.llm import bpe, decontaminate, lines, quality, simhash, urls, warc
+from platelake.llm import (
+    bpe, decontaminate, licences, lines, pii, pitman_yor, quality, simhash, urls, warc,
+)
 from platelake.session import scratch_path
 
 
@@ -14,6 +16,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_pitman_yor(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return pitman_yor.score_documents(docs).withColumnRenamed("id", "doc_id")
+
+
 def op2_quality_rules(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     judged = quality.apply_policies(quality.ledger(docs))
@@ -23,6 +30,12 @@ def op2_quality_rules(spark, sf):
         F.col(f"kept_{quality.POLICY}").alias("kept"), "fail_bits")
 
 
+def op3_licences(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    found = licences.scan_licences(docs).drop("spans")
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op4_simhash(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs)
@@ -30,6 +43,11 @@ def op4_simhash(spark, sf):
         F.col("id").alias("doc_id"), simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op5_personal_data(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return pii.find_personal_data(docs).drop("found").withColumnRenamed("id", "doc_id")
+
+
 def op6_warc(spark, sf):
     pages = _table(spark, sf, "pages").select("page_id", "url", "html")
     path = scratch_path(spark, "warc")
@@ -67,6 +85,6 @@ def op10_decontamination(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality_rules, op4_simhash, op6_warc, op7_line_dedup, op8_byte_bpe, op9_url_filter,
-    op10_decontamination,
+    op1_pitman_yor, op2_quality_rules, op3_licences, op4_simhash, op5_personal_data, op6_warc,
+    op7_line_dedup, op8_byte_bpe, op9_url_filter, op10_decontamination,
 )}
