@@ -98,8 +98,12 @@ class ByteBpe:
 
     def tokens(self, piece: str) -> list[tuple[int, int, int]]:
         """Id, first and last byte (exclusive) of each token of a piece."""
-        shown = self.chars(piece.encode("utf-8"))
-        return [(t.id, *t.offsets) for t in self.model.tokenize(shown)]
+        out, at = [], 0
+        for token in self.model.tokenize(self.chars(piece.encode("utf-8"))):
+            end = at + len(self.token_bytes[token.id])
+            out.append((token.id, at, end))
+            at = end
+        return out
 
     def _piece_ids(self, piece: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

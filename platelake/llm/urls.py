@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from platelake.llm.text import ascii_lower, whole
 from platelake.session import cut_lineage, drop_scratch
 
-DAMPING = 0.85
-ROUNDS = 12
-# A host is blocked if its distrust is ahead of its trust by this much.
-MARGIN = 0.1
+DAMPING = 0.6
+ROUNDS = 8
+# A host is blocked if its distrust is ahead of its trust by this much. One
+# step from a wholly blocked host distrust is DAMPING at most, two steps its square.
+MARGIN = 0.4
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']([^"'<>]*)["']"""
 
 
@@ -76,18 +77,17 @@ def judged(pages: DataFrame, rules: Sequence[Rule] = RULES, url: str = "url",
 def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``src``, ``dst`` and ``n``: how many links lead from host to host.
 
-    Links without a host lead to the page's own. Links to hosts without any
-    page count too. A page counts as one link to its own host besides, so
-    every host has a way on.
+    Links without a host stay on the page's own and are left out, as are all
+    links of a host to itself. Links to hosts without any page count.
     """
     host = url_host(F.col(url))
     targets = F.regexp_extract_all(whole(html), F.lit(LINK), F.lit(1))
-    links = pages.select(host.alias("src"), F.explode(F.concat(targets, F.array(F.lit("")))).alias("to"))
+    links = pages.select(host.alias("src"), F.explode(targets).alias("to"))
     to = F.when(F.startswith("to", F.lit("//")), url_host(F.concat(F.lit(":"), F.col("to"))))
     to = to.when(F.col("to").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), url_host(F.col("to")))
     return (
-        links.select("src", to.otherwise(F.col("src")).alias("dst"))
-        .where("src <> '' and dst <> ''")
+        links.select("src", to.otherwise(F.lit("")).alias("dst"))
+        .where("src <> '' and dst <> '' and src <> dst")
         .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -103,8 +103,10 @@ def seeds(judged_pages: DataFrame) -> DataFrame:
 
 def _spread(edges: DataFrame, seed: DataFrame, rounds: int, damping: float) -> DataFrame:
     """Personalised PageRank: ``host``, ``score``. ``edges`` (src, dst, share)
-    must share out 1 per source; ``seed`` (host, weight) must hold every host.
+    share out 1 per source; ``seed`` (host, weight) must hold every host.
 
+    Scores are not scaled to sum to one: a host keeps its whole weight and
+    passes on ``damping`` of its score, so an isolated one scores its weight.
     Every few rounds the scores become a written table, which keeps plans
     short and lost executors cheap.
     """
@@ -114,8 +116,7 @@ def _spread(edges: DataFrame, seed: DataFrame, rounds: int, damping: float) -> D
         sent = edges.join(score, edges["src"] == score["host"]).groupBy("dst").agg(
             F.sum(F.col("share") * F.col("score")).alias("got"))
         score = seed.join(sent, seed["host"] == sent["dst"], "left").select(
-            "host", ((1 - damping) * F.col("weight")
-                     + damping * F.coalesce("got", F.lit(0.0))).alias("score"))
+            "host", (F.col("weight") + damping * F.coalesce("got", F.lit(0.0))).alias("score"))
         if k % 4 == 3 or k == rounds - 1:
             score, path = cut_lineage(score, "scores", with_path=True)
             paths.append(path)
@@ -133,15 +134,15 @@ def propagate(
     from blocked ones, so whoever links to a blocked host takes a part of it.
     Links out of (or, for distrust, into) a host share by their number.
     """
+    links = cut_lineage(links, "links")
+    if links.isEmpty():
+        return seed_hosts.select(
+            "host", F.col("trusted").alias("trust"), F.col("blocked").alias("distrust"))
     ends = links.select(F.col("src").alias("host")).union(links.select("dst"))
     everyone = ends.union(seed_hosts.select("host")).distinct()
     weights = cut_lineage(everyone.join(seed_hosts, "host", "left").select(
         "host", F.coalesce("trusted", F.lit(0.0)).alias("trusted"),
         F.coalesce("blocked", F.lit(0.0)).alias("blocked")), "seeds")
-    # A host that only others name has no link to itself: it keeps its share.
-    links = cut_lineage(links.unionByName(weights.select(
-        F.col("host").alias("src"), F.col("host").alias("dst"), F.lit(1).cast("long").alias("n")
-    )).groupBy("src", "dst").agg(F.sum("n").alias("n")), "links")
 
     def shared(src: str, dst: str) -> DataFrame:
         total = links.groupBy(src).agg(F.sum("n").alias("total")).withColumnRenamed(src, "_from")
