@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platelake.llm.text import SPACES, ascii_lower, let, positions, whole
+from platelake.session import cut_lineage
 
 MIN_CHARS = 10
 MIN_DOCUMENTS = 2
@@ -71,8 +72,11 @@ def drop_repeated_lines(
     joined, not grouped, so adaptive execution can split it.
     """
     lines = keyed_lines(docs, doc_id, text, min_chars)
+    # As a table of its own the keys are shuffled (or broadcast) on their own,
+    # and adaptive execution can split the lines of a hot key.
+    keys = cut_lineage(repeated_keys(lines, min_documents), "repeated-lines")
     drops = (
-        lines.join(repeated_keys(lines, min_documents), ["h1", "h2"])
+        lines.join(keys, ["h1", "h2"])
         .where(F.col("id") > F.col("first_id"))
         .groupBy("id", "text_hash").agg(F.collect_set("pos").alias("drops"))
     )
