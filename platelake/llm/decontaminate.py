@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platelake.llm.text import let, plain_words, positions, whole
+from platelake.session import cut_lineage
 
 WINDOW = 10
 # Windows are broadcast up to this many bytes; more are joined by a shuffle.
@@ -33,24 +34,31 @@ def benchmark_windows(
             lambda i: F.slice(w, i + 1, n)))).alias("window"))
     return windows.groupBy("window").agg(F.collect_set("item").alias("items")).select(
         F.xxhash64("window").alias("hash"), F.array_join("window", " ").alias("gram"),
-        F.size("window").alias("len"), "items")
+        F.size("window").alias("gram_len"), "items")
 
 
 def _fits(windows: DataFrame, limit: int) -> tuple[bool, list[int]]:
     """Whether the windows may be broadcast, and the lengths they have: at
     most as many as a window has words."""
-    per_length = windows.groupBy("len").agg(F.sum(
+    per_length = windows.groupBy("gram_len").agg(F.sum(
         F.octet_length("gram") + F.lit(ROW_BYTES) + 16 * F.size("items")).alias("bytes")).collect()
-    return sum(r["bytes"] for r in per_length) <= limit, sorted(r["len"] for r in per_length)
+    return sum(r["bytes"] for r in per_length) <= limit, sorted(r["gram_len"] for r in per_length)
 
 
-def _hashes(words: Column, lengths: list[int]) -> Column:
-    """Hashes of all windows of each length in turn, one list."""
-    def of_length(w: Column, n: int) -> Column:
-        return F.transform(
-            positions(F.size(w) - (n - 1)), lambda i: F.xxhash64(F.slice(w, i + 1, n)))
+def _windows_of(listed: DataFrame, lengths: list[int]) -> DataFrame:
+    """Adds ``start`` and ``len`` of every window of each length, a row each.
 
-    return let(words, lambda w: F.concat(*[of_length(w, n) for n in lengths]))
+    Only whole numbers are listed, so the windows themselves are cut and
+    hashed in generated code rather than in a lambda over the words.
+    """
+    ahead = start = F.lit(0)
+    length = F.lit(lengths[0])
+    for n in lengths:
+        start = F.when(F.col("k") >= ahead, F.col("k") - ahead).otherwise(start)
+        length = F.when(F.col("k") >= ahead, F.lit(n)).otherwise(length)
+        ahead = ahead + F.greatest(F.size("words") - (n - 1), F.lit(0))
+    numbered = listed.select("*", F.explode(positions(ahead)).alias("k"))
+    return numbered.select(*listed.columns, start.alias("start"), length.alias("len"))
 
 
 def overlaps(
@@ -65,26 +73,18 @@ def overlaps(
     are found are compared by their words. Documents without a hit have no
     row. Null ids and repeated rows are told by the text as well.
     """
-    windows = benchmark_windows(benchmark, item_id, benchmark_text, n)
+    windows = cut_lineage(benchmark_windows(benchmark, item_id, benchmark_text, n), "windows")
     small, lengths = _fits(windows, broadcast_bytes)
     lengths = lengths or [n]
     listed = docs.select(
         F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash"),
         plain_words(whole(text)).alias("words"))
-    scanned = listed.select(
-        "id", "text_hash", "words",
-        F.posexplode(_hashes(F.col("words"), lengths)).alias("k", "hash"))
+    window = F.slice("words", F.col("start") + 1, F.col("len"))
+    scanned = _windows_of(listed, lengths).withColumn("hash", F.xxhash64(window))
     found = scanned.join(F.broadcast(windows) if small else windows, "hash")
-    # The place in the list gives the start: windows of earlier lengths stand ahead.
-    start, ahead = F.lit(None).cast("int"), F.lit(0)
-    for length in lengths:
-        start = F.when(F.col("len") == length, F.col("k") - ahead).otherwise(start)
-        ahead = ahead + F.greatest(F.size("words") - (length - 1), F.lit(0))
-    placed = found.withColumn("start", start).where(F.col("start").between(
-        F.lit(0), F.size("words") - F.col("len")))
-    same = F.array_join(F.slice("words", F.col("start") + 1, F.col("len")), " ") == F.col("gram")
+    same = (F.col("len") == F.col("gram_len")) & (F.array_join(window, " ") == F.col("gram"))
     return (
-        placed.where(same).select("id", "text_hash", "start", "len", "items")
+        found.where(same).select("id", "text_hash", "start", "len", "items")
         .groupBy("id", "text_hash").agg(
             F.sort_array(F.collect_set(F.struct("start", "len"))).alias("spans"),
             F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
