@@ -172,7 +172,9 @@ def filter_urls(
     joined to its scores, never gathered.
     """
     marked = judged(pages, rules, url, row)
-    scores = propagate(host_links(pages, url, html), seeds(marked), rounds, damping)
+    # A table of its own: the pages of a hot host can then be split in the join.
+    scores = cut_lineage(
+        propagate(host_links(pages, url, html), seeds(marked), rounds, damping), "host-scores")
     scored = marked.join(scores, "host", "left")
     own = F.when(F.col("distrust") - F.col("trust") >= margin, F.lit("block")).otherwise(F.lit("allow"))
     return scored.select(
