@@ -1,6 +1,6 @@
-"""Order in which examples are fed: interleaving, epochs and batches.
+"""Order in which examples are fed: epochs and batches.
 
-Everything here works on keys; pixels are joined to the result by key.
+Orders are planned on keys; pixels are joined to the plan by key, once.
 """
 
 from __future__ import annotations
@@ -11,19 +11,19 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from platelake.functions.tensors import normalised, unit_scaled
-from platelake.operators.numbering import (
-    count_copies, dense_ids, distinct_copies, expand_copies, number_by_key, order_key, prefix_sum,
-)
+from platelake.operators.numbering import distinct_copies, number_by_key, order_key
 from platelake.schemas import BATCH_SIZE, CHANNELS, SEED
+from platelake.session import cut_lineage
 
 EPOCH_DIGITS = 3
-ID_BUCKET = 4096
-SALT_ROWS = 65_536
+# Batches of pixels one task holds.
+BATCHES_PER_TASK = 4
 
 
-def labelled(examples: DataFrame, dropped: Observation | None = None) -> DataFrame:
+def labelled(examples: DataFrame, dropped: Observation | str | None = None) -> DataFrame:
     """Examples with a label. ``dropped`` receives the count of the others
-    (``n_unlabelled``) while the query runs, without another pass."""
+    (``n_unlabelled``) while the query runs, without another pass; give a
+    name rather than an Observation for a stream."""
     if dropped is not None:
         examples = examples.observe(
             dropped, F.count(F.when(F.col("sirna").isNull(), 1)).alias("n_unlabelled")
@@ -33,96 +33,43 @@ def labelled(examples: DataFrame, dropped: Observation | None = None) -> DataFra
 
 def normalise_examples(
     packed: DataFrame, stats=None, channels: Sequence[int] = CHANNELS, layout: str = "HWC",
-    unit: bool = True,
+    unit: bool = True, only_labelled: bool = False, dropped: Observation | str | None = None,
 ) -> DataFrame:
-    """Labelled records with float32 pixels: standardised if ``stats`` are
-    given, else scaled to 0..1, or left as they are if ``unit`` is off."""
+    """Records with float32 pixels: standardised if ``stats`` are given, else
+    scaled to 0..1, or left as they are if ``unit`` is off.
+
+    All records stay, those to be predicted with a null ``label`` or none at
+    all; ``only_labelled`` leaves the unlabelled out and ``dropped`` counts them.
+    """
     pixels = image = F.col("image")
     if stats is not None:
         pixels = normalised(image, channels, stats, layout)
     elif unit:
         pixels = unit_scaled(image)
-    return labelled(packed).withColumn("image", pixels).withColumnRenamed("sirna", "label")
-
-
-def number_in_files(rows: DataFrame, file: str, row_id: str) -> DataFrame:
-    """``pos`` 0, 1, ... of each row of a file by a whole-number id."""
-    bucket = F.expr(f"{row_id} div {ID_BUCKET}")
-    rest = [c for c in rows.columns if c not in (file, row_id)]
-    counted = prefix_sum(
-        count_copies(rows), [file], bucket, [row_id, *rest], F.col("copies"), "_before"
-    )
-    return (
-        expand_copies(counted)
-        .withColumn("pos", F.col("_before") + F.col("copy")).drop("_before", "copy")
-    )
-
-
-def rank_files(files: DataFrame, name: str, seed: int = SEED) -> DataFrame:
-    """Distinct files with a dense rank 0, 1, ... in a seeded order."""
-    return dense_ids(files, [name], seed, "file_rank")
+    if only_labelled:
+        packed = labelled(packed, dropped)
+    return packed.withColumn("image", pixels).withColumnRenamed("sirna", "label")
 
 
-def interleave(
-    rows: DataFrame, file_rank: str = "file_rank", pos: str = "pos",
-    cycle: int = 32, block: int = 1, lengths: DataFrame | None = None,
+def batch_examples(
+    packed: DataFrame, plan: DataFrame, keys: Sequence[str] = ("file", "pos"),
+    batches_per_task: int = BATCHES_PER_TASK, **normalising,
 ) -> DataFrame:
-    """``position`` 1, 2, ... of each row when ``cycle`` files are read in
-    turn, ``block`` rows at a time.
-
-    Files are taken in groups of ``cycle`` by rank, so the order is
-    (rank div cycle, pos div block, rank, pos). The position follows from the
-    file lengths alone: nothing is sorted and no window runs over the rows.
-    For files of unequal length a reader that refills its cycle at once would
-    differ after the first file ends. ``lengths`` (file_rank, n), such as a
-    manifest has, saves counting the rows.
-    """
-    if lengths is None:
-        lengths = rows.groupBy(file_rank).agg(F.count(F.lit(1)).alias("n"))
-    lengths = lengths.select(
-        F.col(file_rank).cast("long").alias("_rank"), F.col("n").alias("_n")
-    ).withColumn("_cycle", F.expr(f"_rank div {cycle}"))
-    # At most ``cycle`` files per group, so the list is bounded.
-    groups = lengths.groupBy("_cycle").agg(
-        F.collect_list(F.struct("_rank", "_n")).alias("_files"),
-        F.sum("_n").alias("_group_n"),
-    ).withColumn("_all", F.lit(0))
-    groups = prefix_sum(
-        groups, ["_all"], F.expr("_cycle div 1024"), ["_cycle"], F.col("_group_n"), "_ahead"
-    )
-    # A file is met by (rank, salt): long files are split, so a file that
-    # holds a third of the rows is not joined by one task.
-    files = groups.select("_files", "_ahead", F.explode("_files").alias("_file")).select(
-        F.col("_file._rank").alias("_rank"), "_files", "_ahead",
-        F.explode(F.sequence(
-            F.lit(0).cast("long"), F.floor((F.col("_file._n") - 1) / F.lit(SALT_ROWS))
-        )).alias("_salt"),
-    )
-    salted = rows.withColumns({
-        "_rank": F.col(file_rank).cast("long"),
-        "_salt": F.expr(f"{pos} div {SALT_ROWS}"),
-        "_turn": F.expr(f"{pos} div {block}"),
-    })
-
-    def read_before(f):
-        """Rows of another file of the group that are read earlier."""
-        turns = F.col("_turn") + F.when(f["_rank"] < F.col("_rank"), 1).otherwise(0)
-        return F.when(f["_rank"] == F.col("_rank"), F.col(pos).cast("long")).otherwise(
-            F.least(f["_n"], turns * block)
-        )
+    """Normalised examples in the order of a plan_batches plan.
 
-    ahead = F.aggregate("_files", F.lit(0).cast("long"), lambda acc, f: acc + read_before(f))
-    return (
-        salted.join(files, ["_rank", "_salt"])
-        .withColumn("position", F.col("_ahead") + ahead + 1)
-        .drop("_rank", "_salt", "_turn", "_files", "_ahead")
-    )
-
-
-def batches(positions: DataFrame, batch: int, position: str = "position") -> DataFrame:
-    """``batch_id`` of each row by its position. The last may be short: see
-    plan_batches for feeds that leave it out."""
-    return positions.withColumn("batch_id", F.expr(f"({position} - 1) div {batch}"))
+    A task holds ``batches_per_task`` batches one after another, sorted by
+    ``batch_id`` and ``batch_pos``. The plan, keys only, is written once; Spark
+    broadcasts it if it is small, and then pixels move once per epoch, straight
+    to the task of their batch. ``keys`` must name one record each.
+    """
+    plan = cut_lineage(plan, "batches")
+    last = plan.agg(F.max("batch_id")).first()[0]
+    tasks = (last or 0) // batches_per_task + 1
+    placed = packed.join(plan, list(keys)).withColumn(
+        "_task", F.expr(f"cast(batch_id div {batches_per_task} as int)"))
+    ordered = placed.repartitionById(tasks, F.col("_task")).sortWithinPartitions(
+        "batch_id", "batch_pos")
+    return normalise_examples(ordered, **normalising).drop("_task")
 
 
 def plan_batches(

@@ -77,14 +77,18 @@ def prefix_sum(
 ) -> DataFrame:
     """Adds to each row the summed weight of the rows ahead of it in its group.
 
-    ``bucket`` must not decrease along ``order``. Rows whose group is null are
-    left out. ``bucket_limit`` is the number of (group, bucket) pairs the
+    ``bucket`` must not decrease along ``order``. A null group or bucket is an
+    error: a join on it would lose the row. ``bucket_limit`` is the number of (group, bucket) pairs the
     caller can prove; with it small the offsets are broadcast, without it
     Spark picks the join from the measured size.
     """
     groups = list(groups)
     weight = F.lit(1).cast("long") if weight is None else weight
     rows = df.withColumn("_bucket", bucket).withColumn("_weight", weight)
+    # In the columns themselves: the join below filters on them first of all.
+    rows = rows.withColumns({c: F.coalesce(c, F.raise_error(F.lit(
+        f"null in {c}: the row has no place")).cast(rows.schema[c].dataType))
+        for c in [*groups, "_bucket"]})
 
     sums = rows.groupBy(*groups, "_bucket").agg(F.sum("_weight").alias("_sum"))
     per_group = Window.partitionBy(*groups)

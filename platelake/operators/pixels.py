@@ -28,16 +28,30 @@ def stats_table(spark: SparkSession, stats=PIXEL_STATS) -> DataFrame:
     return _inline(spark, rows, "channel, mean, std")
 
 
+def _looked_up(pixels: DataFrame, table: DataFrame, value: str) -> DataFrame:
+    """Pixels with the values of their channel; an unknown channel is an error."""
+    joined = pixels.join(F.broadcast(table), "channel", "left")
+    error = F.raise_error(F.concat(F.lit("unknown channel "), F.col("channel").cast("string")))
+    return joined.withColumn(value, F.coalesce(F.col(value), error.cast(table.schema[value].dataType)))
+
+
 def to_rgb_rows(
     pixels: DataFrame,
     keys: Sequence[str],
-    channels: Sequence[int] = CHANNELS,
+    channels: Sequence[int] | None = None,
     vmax: float = 255,
     colour_map=COLOUR_MAP,
 ) -> DataFrame:
     """False colour per pixel: each channel's share of its colour is cut to a
-    whole number, the channels are added and the sum is clipped at 255."""
-    colours = F.broadcast(colour_table(pixels.sparkSession, colour_map, channels))
+    whole number, the channels are added and the sum is clipped at 255.
+    Without ``channels`` all pixels are coloured; a channel without a colour
+    is an error."""
+    known = [r[0] for r in colour_map]
+    if channels is not None:
+        if set(channels) - set(known):
+            raise ValueError(f"no colour for channels {sorted(set(channels) - set(known))}")
+        pixels = pixels.where(F.col("channel").isin(list(channels)))
+    colours = colour_table(pixels.sparkSession, colour_map, known)
     level = F.col("val") / F.lit(float(vmax))
     span = (F.col("high") - F.col("low")) / F.lit(255.0)
     share = F.least(F.lit(1.0), level / span + F.col("low") / F.lit(255.0))
@@ -46,7 +60,7 @@ def to_rgb_rows(
         return F.least(F.lit(255).cast("long"), F.sum((F.col("_share") * F.col(name)).cast("long")))
 
     return (
-        pixels.join(colours, "channel")
+        _looked_up(pixels, colours, "low")
         .withColumn("_share", share)
         .groupBy(*keys, "px")
         .agg(total("red").alias("r"), total("green").alias("g"), total("blue").alias("b"))
@@ -54,9 +68,8 @@ def to_rgb_rows(
 
 
 def normalise_rows(pixels: DataFrame, stats=PIXEL_STATS) -> DataFrame:
-    table = F.broadcast(stats_table(pixels.sparkSession, stats))
     return (
-        pixels.join(table, "channel")
+        _looked_up(pixels, stats_table(pixels.sparkSession, stats), "std")
         .withColumn("normalised", (F.col("val").cast("double") - F.col("mean")) / F.col("std"))
         .drop("mean", "std")
     )
@@ -103,9 +116,26 @@ def pixel_stats_rows(pixels: DataFrame) -> DataFrame:
     ))
 
 
+def _usable(images: DataFrame):
+    """Readable planes of one byte per pixel, as far as the table tells."""
+    usable = F.col("data").isNotNull()
+    if "readable" in images.columns:
+        usable = usable & F.coalesce("readable", F.lit(False))
+    if {"height", "width"} <= set(images.columns):
+        usable = usable & (F.octet_length("data") == F.col("height") * F.col("width"))
+    return F.coalesce(usable, F.lit(False))
+
+
+def unusable_planes(images: DataFrame) -> DataFrame:
+    """What pixel_stats leaves out, without the bytes."""
+    return images.where(~_usable(images)).drop("data")
+
+
 def pixel_stats(images: DataFrame) -> DataFrame:
     """The same from plane bytes (channel, data): each plane becomes three
-    whole numbers, and only those are shuffled."""
+    whole numbers, and only those are shuffled. Planes that are null, not
+    readable or not of one byte per pixel are left out; ``unusable_planes``
+    lists them."""
 
     values = np.arange(256, dtype=np.int64)
 
@@ -122,7 +152,7 @@ def pixel_stats(images: DataFrame) -> DataFrame:
             })
 
     sums = (
-        images.select("channel", "data")
+        images.where(_usable(images)).select("channel", "data")
         .mapInPandas(summarise, "channel int, n long, total long, squares long")
         .groupBy("channel")
         .agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")])

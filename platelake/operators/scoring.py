@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from platelake.functions.scores import (
-    cross_entropy, in_top_k, predicted_class, probabilities,
+    cross_entropy, in_top_k, is_best, predicted_class, probabilities,
 )
 
 
@@ -61,20 +61,23 @@ def predict(scored: DataFrame, logits: str = "logits") -> DataFrame:
 def evaluate(
     scored: DataFrame, logits: str = "logits", label: str = "label", k: int = 5
 ) -> DataFrame:
-    """Accuracy over all rows: best class right, and right class in the best k."""
-    best = predicted_class(F.col(logits)) == F.col(label)
+    """Accuracy over the ``n`` rows with a label: best class right, and right
+    class in the best k. Rows without one are counted as ``n_unlabelled``."""
+    hits = {"top_1_accuracy": is_best(F.col(logits), F.col(label))}
+    if k != 1:
+        hits[f"top_{k}_accuracy"] = in_top_k(F.col(logits), F.col(label), k)
     return scored.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(best.cast("double")).alias("top_1_accuracy"),
-        F.avg(in_top_k(F.col(logits), F.col(label), k).cast("double"))
-        .alias(f"top_{k}_accuracy"),
+        F.count(label).alias("n"),
+        F.count(F.when(F.col(label).isNull(), 1)).alias("n_unlabelled"),
+        *[F.avg(hit.cast("double")).alias(name) for name, hit in hits.items()],
     )
 
 
 def mean_cross_entropy(
     scored: DataFrame, logits: str = "logits", label: str = "label"
 ) -> DataFrame:
+    """Mean loss over the ``n`` rows with a label."""
     return scored.agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(label).alias("n"),
         F.avg(cross_entropy(F.col(logits), F.col(label))).alias("loss"),
     )

@@ -81,11 +81,17 @@ def plane_column(channel: int) -> Column:
 
 
 def _plane(channel: int) -> Column:
-    """The plane of a channel. If a table has copies of it the largest wins,
-    so a recomputed task gives the same; no list of planes is built."""
+    """The plane of a channel. Copies must be equal (see _copies_agree), so the
+    largest is any of them; no list of planes is built."""
     return F.max(F.when((F.col("channel") == channel) & F.col("readable"), F.col("data")))
 
 
+def _copies_agree(channel: int) -> Column:
+    """Whether the copies of a plane are one and the same, by their hashes."""
+    mark = F.when((F.col("channel") == channel) & F.col("readable"), F.xxhash64("data"))
+    return F.min(mark) == F.max(mark)
+
+
 def _same(name: str) -> Column:
     return F.min(name) == F.max(name)
 
@@ -94,7 +100,9 @@ def drop_plane_copies(images: DataFrame) -> DataFrame:
     """Copies of a plane become one before they are shuffled. Needed for tables
     of planes only: under one image root a path, and so a plane, is unique."""
     rest = [c for c in images.columns if c != "data"]
-    return images.groupBy(*rest).agg(F.max("data").alias("data"))
+    # Different planes of one address both stay: group_planes refuses them.
+    marked = images.withColumn("_mark", F.xxhash64("data"))
+    return marked.groupBy(*rest, "_mark").agg(F.max("data").alias("data")).drop("_mark")
 
 
 def group_planes(
@@ -105,8 +113,8 @@ def group_planes(
 ) -> DataFrame:
     """One row per key with a column per plane, sorted by key in each task.
 
-    Strict: a missing, unreadable or odd-sized plane is an error. Otherwise
-    such sites are left out.
+    Strict: a missing, unreadable or odd-sized plane is an error, and so are
+    two planes of one address that differ. Otherwise such sites are left out.
     """
     if "readable" not in images.columns:
         images = images.withColumn("readable", F.lit(True))
@@ -120,20 +128,24 @@ def group_planes(
             F.min(F.when(usable, F.col("height"))).alias("height"),
             F.min(F.when(usable, F.col("width"))).alias("width"),
             (_same("height") & _same("width")).alias("_even"),
+            *[_copies_agree(c).alias(f"_one{c}") for c in distinct],
         )
     )
-    ok = F.col("_even")
+    ok, agree = F.col("_even"), F.lit(True)
     for c in distinct:
         plane = plane_column(c)
         ok = ok & plane.isNotNull() & (F.octet_length(plane) == F.col("height") * F.col("width"))
+        agree = agree & F.coalesce(F.col(f"_one{c}"), F.lit(True))
     ok = F.coalesce(ok, F.lit(False))
     if not strict:
-        return grouped.where(ok)
+        return grouped.where(ok & agree)
     name = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
-    error = F.raise_error(F.concat(F.lit("missing, unreadable or odd-sized plane: "), name))
+    said = F.when(agree, F.lit("missing, unreadable or odd-sized plane: ")).otherwise(
+        F.lit("planes of one address that differ: "))
+    error = F.raise_error(F.concat(said, name))
     # On a plane, so that the check runs before the planes are merged.
     first = f"_plane{distinct[0]}"
-    return grouped.withColumn(first, F.when(ok, F.col(first)).otherwise(error.cast("binary")))
+    return grouped.withColumn(first, F.when(ok & agree, F.col(first)).otherwise(error.cast("binary")))
 
 
 def merge_planes(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 import numpy as np
@@ -10,15 +11,17 @@ from pyspark.sql import functions as F
 
 from platelake.operators.chunks import planes_to_chunks
 from platelake.operators.numbering import number_by_key, order_key
-from platelake.operators.stack import drop_plane_copies, missing_images
+from platelake.operators.metadata import select_sites
+from platelake.operators.stack import complete_sites, drop_plane_copies, missing_images
 from platelake.plans.packing import SPLIT_DIGITS, manifest, mixed_files, plan_all
 from platelake.plans.placing import place_images, place_planes
 from platelake.schemas import (
     CHANNELS, PACK_DIRS, RECORD_COLUMNS, ROWS_PER_FILE, SEED, SITE_KEY, STRATEGIES,
 )
-from platelake.session import cut_lineage, image_parquet
+from platelake.session import cut_lineage, drop_scratch, image_parquet, replace_folder
 from platelake.sources.images import list_images, list_splits, scan_images
 from platelake.sources.metadata_csv import site_table
+from platelake.sources.packed import read_packed
 
 
 class MissingImages(ValueError):
@@ -42,19 +45,41 @@ def write_packed(
     **placing,
 ) -> None:
     """One compressed Parquet file per planned file, records in plan order.
-    Files of the same name are replaced, others stay."""
+
+    The run is written aside and swapped in as a whole: each split of each
+    layout that the plan names is replaced, so no file of an earlier run with
+    other file sizes stays in it. Other layouts and splits are left alone.
+    """
     needed = dict.fromkeys([*PACK_DIRS, "pos", *SITE_KEY, *RECORD_COLUMNS])
     placed = place_images(
         plan.select(*needed), images, PACK_DIRS, channels, strict, **placing)
     records = placed.select(
         "pos", "image", "height", "width", "channels", *RECORD_COLUMNS, *PACK_DIRS
     )
+    root = dest.rstrip("/")
+    run = f"{root}/_run-{uuid.uuid4().hex}"
     (
-        records.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("compression", compression)
+        records.write.option("compression", compression)
         .options(**image_parquet("image"))
-        .partitionBy(*PACK_DIRS).parquet(dest)
+        .partitionBy(*PACK_DIRS).parquet(run)
     )
+    # A layout per strategy and seed, and two splits at most.
+    splits = plan.select("layout", "dataset").distinct().collect()
+    spark = plan.sparkSession
+    for split in splits:
+        name = f"layout={split['layout']}/dataset={split['dataset']}"
+        replace_folder(spark, f"{run}/{name}", f"{root}/{name}")
+    drop_scratch(spark, run)
+
+
+def written_manifest(spark: SparkSession, plan: DataFrame, dest: str) -> DataFrame:
+    """One row per file of the plan that has records, counted in the files."""
+    found = read_packed(spark, dest).groupBy(*PACK_DIRS).agg(
+        F.count(F.lit(1)).alias("n_sites"), F.min("pos").alias("first_pos"),
+        F.max("pos").alias("last_pos"))
+    files = plan.select("strategy", "seed", "dest_path", *PACK_DIRS).distinct()
+    return files.join(found, list(PACK_DIRS)).select(
+        "strategy", "seed", "dataset", "dest_path", "n_sites", "first_pos", "last_pos")
 
 
 def pack_images(
@@ -71,11 +96,20 @@ def pack_images(
     unique: bool = False,
     **placing,
 ) -> DataFrame:
-    """Packs treatment sites from a table of planes; returns the manifest.
+    """Packs treatment sites from a table of planes; returns the manifest of
+    what was written. Not strict: sites without a readable plane in every
+    channel are left out before files are planned, so places have no gaps;
+    only odd-sized or conflicting planes, known from their bytes, leave one.
 
     Every strategy and seed is written by one job, so an image is decoded once.
     ``unique`` promises that no plane is there twice.
     """
+    if not strict:
+        listed = images if inventory is None else inventory
+        if "readable" in listed.columns:
+            listed = listed.where("readable")
+        whole = complete_sites(select_sites(sites, datasets), listed, channels)
+        sites = sites.join(whole.select(*SITE_KEY), list(SITE_KEY), "left_semi")
     plan = cut_lineage(plan_all(sites, strategies, per_file, seeds, datasets))
     mixed = mixed_files(plan).take(5)
     if mixed:
@@ -85,7 +119,7 @@ def pack_images(
     if not unique:
         images = drop_plane_copies(images)
     write_packed(plan, images, dest, channels, strict, **placing)
-    return manifest(plan)
+    return manifest(plan) if strict else written_manifest(plan.sparkSession, plan, dest)
 
 
 def pack(
@@ -141,11 +175,13 @@ def write_chunks(
     part_rows: int = ARRAY_PART_ROWS,
     **placing,
 ) -> None:
-    """Chunk table as zstd Parquet, replacing what was there."""
+    """Chunk table as zstd Parquet. The experiments of the plan are replaced,
+    others stay."""
     placed = place_planes(plan, images, ARRAY_DIRS, channels, strict, part_rows, **placing)
     (
         planes_to_chunks(placed, channels, chunk, dtype)
-        .write.mode("overwrite").option("compression", "zstd")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
         .option("parquet.compression.codec.zstd.level", str(level))
         .options(**image_parquet("data", chunk * chunk * len(channels) * np.dtype(dtype).itemsize))
         .partitionBy(*ARRAY_DIRS).parquet(dest)

@@ -37,12 +37,16 @@ def check_strategies(strategies: Iterable[str]) -> list[str]:
 
 
 def _seeded(sites: DataFrame, seeds: Sequence[int]) -> tuple[DataFrame, list[str]]:
-    """Each site of a known split once per seed, with its shuffle key, and the
-    columns that break ties. The same for every strategy, so that Spark runs
+    """Each site once per seed, with its shuffle key, and the columns that
+    break ties. A site of an unknown split is an error. The same for every strategy, so that Spark runs
     it once for all of them."""
     columns = [c for c in SITE_COLUMNS if c in sites.columns]
     keys = [c for c in ROW_KEY if c in columns] + ["copy"]
-    sites = sites.where(F.col("dataset").isin(list(SPLITS))).select(*columns)
+    known = F.coalesce(F.col("dataset").isin(list(SPLITS)), F.lit(False))
+    error = F.raise_error(F.concat(
+        F.lit("unknown split "), F.coalesce("dataset", F.lit("null")))).cast("string")
+    sites = sites.select(*columns).withColumn(
+        "dataset", F.when(known, F.col("dataset")).otherwise(error))
     seeds = dict.fromkeys(seeds)
     rows = (
         distinct_copies(sites)

@@ -39,12 +39,16 @@ def feed_examples(
     stats=None,
     channels: Sequence[int] = CHANNELS,
     drain: bool = False,
+    only_labelled: bool = True,
 ) -> StreamingQuery:
-    """Writes normalised labelled examples as Parquet. The query is stateless,
-    and the file sink with its checkpoint writes each example once even if it
-    restarts. ``drain`` stops when all present files are read."""
+    """Writes normalised examples as Parquet. The query is stateless, and the
+    file sink with its checkpoint writes each example once even if it
+    restarts. ``drain`` stops when all present files are read. Unlabelled
+    records are left out unless ``only_labelled`` is off; the progress reports
+    of the query count them as ``n_unlabelled`` of the metrics ``feed``."""
     writer = (
-        normalise_examples(records, stats, channels)
+        normalise_examples(
+            records, stats, channels, only_labelled=only_labelled, dropped="feed")
         .writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", checkpoint).option("path", dest)
         .options(**image_parquet("image", 512 * 512 * 6 * 4))

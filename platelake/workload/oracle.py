@@ -112,7 +112,8 @@ SELECT DISTINCT vec_id // 6 AS id_code,
 FROM embeddings),
 keyed AS (
 SELECT *, md5(concat_ws('|', '42', dataset, experiment, CAST(plate AS VARCHAR), well,
-  CAST(site AS VARCHAR), CAST(id_code AS VARCHAR))) AS key FROM plane_sites),
+  CAST(site AS VARCHAR), CAST(id_code AS VARCHAR))) AS key FROM plane_sites
+WHERE id_code IN (SELECT site_id FROM whole)),
 placed AS (
 SELECT 'random-42' AS layout, dataset, printf('%03d', (rn - 1) // 50 + 1) AS file,
   (rn - 1) % 50 + 1 AS pos, well, experiment, plate, site, sirna, id_code
@@ -220,19 +221,6 @@ CAST(weighted AS BIGINT) AS weighted FROM placed JOIN sums USING (id_code)""",
     "stream_examples": f"""WITH {STACKED}, {STATS}, {SHARED_STATS}
 SELECT well, site_id % 1108 AS label, round(sum(f), 4) AS total FROM float_pixels
 WHERE site_id % 4 <> 0 GROUP BY well, site_id""",
-    "interleave": """WITH copied AS (
-SELECT vec_id, CAST(label AS BIGINT) AS file_rank,
-row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS pos FROM embeddings),
-placed AS (SELECT *, row_number() OVER (ORDER BY file_rank // 4, pos, file_rank) AS position
-FROM copied)
-SELECT vec_id, file_rank, pos, position, (position - 1) // 64 AS batch_id FROM placed""",
-    "feed_order": f"""WITH {_plans('42')}, files AS (
-SELECT dest_path, row_number() OVER (ORDER BY md5(concat('42|', dest_path)), dest_path) - 1 AS r
-FROM (SELECT DISTINCT dest_path FROM random_plan) d),
-placed AS (
-SELECT id_code, site, row_number() OVER (ORDER BY r // 32, pos, r) AS position
-FROM random_plan JOIN files USING (dest_path))
-SELECT id_code, site, position, (position - 1) // 512 AS batch_id FROM placed""",
     "epoch_batches": """WITH copied AS (
 SELECT vec_id, CAST(label AS BIGINT) AS label,
 row_number() OVER (PARTITION BY vec_id, label) - 1 AS copy, count(*) OVER () AS n FROM embeddings),
@@ -242,6 +230,26 @@ FROM copied, (SELECT CAST(unnest([1, 2, 3]) AS INT) AS epoch) e),
 placed AS (SELECT *, row_number() OVER (ORDER BY epoch, key, vec_id, label) AS rn FROM epochs)
 SELECT vec_id, label, epoch, rn, (rn - 1) // 64 AS batch_id, (rn - 1) % 64 AS batch_pos
 FROM placed WHERE (rn - 1) // 64 < n // 64 * 3""",
+    "feed_batches": f"""WITH {RECORDS}, {STATS}, {SHARED_STATS},
+fed AS (SELECT file, pos, id_code, well, sirna, count(*) OVER () AS n FROM placed
+  WHERE layout = 'random-42' AND dataset = 'train'),
+epochs AS (SELECT *, row_number() OVER (ORDER BY epoch, md5(concat_ws('|', '42',
+  CAST(epoch AS VARCHAR), file, CAST(pos AS VARCHAR))), file, pos) AS rn
+  FROM fed, (SELECT CAST(unnest([1, 2]) AS INT) AS epoch) e),
+totals AS (SELECT site_id, round(sum(f), 4) AS total FROM float_pixels GROUP BY site_id)
+SELECT epoch, (rn - 1) // 8 AS batch_id, (rn - 1) % 8 AS batch_pos, well, sirna AS label, total
+FROM epochs JOIN totals ON site_id = id_code WHERE (rn - 1) // 8 < n // 8 * 2""",
+    "written_manifest": f"""WITH {RECORDS}
+SELECT CASE WHEN layout = 'random-42' THEN 'random' ELSE 'by_exp_plate_site' END AS strategy,
+  CAST(42 AS BIGINT) AS seed, dataset,
+  CASE WHEN layout = 'random-42' THEN concat('random-42/', dataset, '/', file)
+  ELSE concat('by_exp_plate_site-42/', file) END AS dest_path,
+  count(*) AS n_sites, min(pos) AS first_pos, max(pos) AS last_pos
+FROM placed GROUP BY layout, dataset, file""",
+    "score_unlabelled": f"""WITH {STACKED}, {STATS}, {SHARED_STATS}, means AS (
+SELECT well, channel, avg(f) AS m FROM float_pixels WHERE site_id % 4 = 0 GROUP BY well, channel)
+SELECT well, CAST(arg_max(channel, m) - 1 AS BIGINT) AS class, round(max(m), 3) AS best
+FROM means GROUP BY well""",
     "step_plan": """SELECT n_examples, n_classes, n_examples // 64 AS steps_per_epoch,
 n_examples // 64 * 3 AS train_steps
 FROM (SELECT count(*) AS n_examples, count(DISTINCT label) AS n_classes FROM embeddings) c""",

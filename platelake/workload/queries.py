@@ -16,7 +16,7 @@ from platelake.operators.chunks import to_chunks
 from platelake.plans import packing
 from platelake.plans.jobs import pack_images as pack_job
 from platelake.schemas import (
-    CHANNELS, PIXEL_STATS, RECORD_COLUMNS, SITE_COLUMNS, SITE_KEY, SPLITS,
+    CHANNELS, PIXEL_STATS, RECORD_COLUMNS, SITE_COLUMNS, SITE_KEY, SPLITS, STRATEGIES,
 )
 from platelake.session import cut_lineage, scratch_path
 from platelake.sources.images import parse_paths, splits_in
@@ -180,8 +180,7 @@ def rgb_images(spark, sf):
 
 
 def normalize_images(spark, sf):
-    records = _stacked(spark, sf).withColumn("sirna", F.lit(1).cast("long"))
-    out = feed.normalise_examples(records, PIXEL_STATS)
+    out = feed.normalise_examples(_stacked(spark, sf), PIXEL_STATS)
     return out.select("well", F.posexplode(decode_floats(F.col("image"))).alias("idx", "v")).select(
         "well", "idx", F.round(F.col("v").cast("double"), 5).alias("normalised"))
 
@@ -200,12 +199,12 @@ def chunk_sites(spark, sf):
     )
 
 
-def _packed_tree(spark, sf):
+def _packed_tree(spark, sf, strategies=STRATEGIES):
     """Packs the planes of the vectors; incomplete sites are left out."""
     dest = scratch_path(spark, "packed")
     pack_job(
         fixtures.plane_sites(spark, sf), fixtures.planes(spark, sf), dest,
-        per_file=50, strict=False,
+        strategies, per_file=50, strict=False,
     )
     return dest
 
@@ -226,7 +225,7 @@ def pack_images(spark, sf):
 
 
 def stream_examples(spark, sf):
-    records = stream_packed(spark, _packed_tree(spark, sf), layout="random-42")
+    records = stream_packed(spark, _packed_tree(spark, sf, ["random"]), layout="random-42")
     dest = scratch_path(spark, "examples")
     query = feed_examples(
         records, dest, scratch_path(spark, "feed-state"), PIXEL_STATS, drain=True)
@@ -239,25 +238,6 @@ def stream_examples(spark, sf):
 
 # --- feeding ----------------------------------------------------------------
 
-def interleave(spark, sf):
-    rows = fixtures.logits(spark, sf).select("vec_id", F.col("label").alias("file_rank"))
-    numbered = feed.number_in_files(rows, "file_rank", "vec_id")
-    lengths = rows.groupBy("file_rank").agg(F.count(F.lit(1)).alias("n"))
-    order = feed.batches(feed.interleave(numbered, cycle=4, lengths=lengths), 64)
-    return order.select("vec_id", "file_rank", "pos", "position", "batch_id")
-
-
-def feed_order(spark, sf):
-    """Batches of the packed files read 32 at a time, files in seeded order."""
-    plan = cut_lineage(packing.plan_random(_treatments(spark, sf)).select(*PLAN))
-    lengths = plan.groupBy("dest_path").agg(F.count(F.lit(1)).alias("n"))
-    ranks = feed.rank_files(lengths, "dest_path").join(lengths, "dest_path")
-    rows = plan.select("id_code", "site", "dest_path", (F.col("pos") - 1).alias("pos"))
-    ranked = rows.join(ranks.drop("n"), "dest_path")
-    order = feed.interleave(ranked, lengths=ranks.select("file_rank", "n"))
-    return feed.batches(order, 512).select("id_code", "site", "position", "batch_id")
-
-
 def epoch_batches(spark, sf):
     keys = fixtures.logits(spark, sf).select("vec_id", "label")
     return feed.plan_batches(keys, batch=64, epochs=3, key_columns=["vec_id"])
@@ -267,6 +247,26 @@ def step_plan(spark, sf):
     return feed.step_plan(fixtures.logits(spark, sf), "label", batch=64, epochs=3)
 
 
+def feed_batches(spark, sf):
+    """Two epochs of the packed training records in batches of eight."""
+    records = read_packed(
+        spark, _packed_tree(spark, sf, ["random"]), layout="random-42", dataset="train")
+    plan = feed.plan_batches(records.select("file", "pos"), batch=8, epochs=2)
+    fed = feed.batch_examples(records, plan, stats=PIXEL_STATS, only_labelled=True)
+    values = F.transform(decode_floats(F.col("image")), lambda v: v.cast("double"))
+    total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+    return fed.select(
+        "epoch", "batch_id", "batch_pos", "well", "label", F.round(total, 4).alias("total"))
+
+
+def written_manifest(spark, sf):
+    """What two packings of one folder with other file sizes leave there."""
+    dest = scratch_path(spark, "packed")
+    sites, planes = fixtures.plane_sites(spark, sf), fixtures.planes(spark, sf)
+    pack_job(sites, planes, dest, per_file=7, strict=False)
+    return pack_job(sites, planes, dest, per_file=50, strict=False)
+
+
 # --- scoring ----------------------------------------------------------------
 
 def predict_classes(spark, sf):
@@ -305,7 +305,10 @@ def _channel_means():
 
 def score_sites(spark, sf):
     """Scoring with a model whose logits are the mean normalised pixels."""
-    records = _stacked(spark, sf).withColumn("sirna", F.lit(1).cast("long"))
+    return _scored(_stacked(spark, sf))
+
+
+def _scored(records):
     side = fixtures.SIDE
     scored = scoring.score(
         feed.normalise_examples(records, PIXEL_STATS), _channel_means,
@@ -314,6 +317,12 @@ def score_sites(spark, sf):
     return scoring.predict(scored).select("well", "class", F.round(best, 3).alias("best"))
 
 
+def score_unlabelled(spark, sf):
+    """The test split, whose sites have no label, from packed files."""
+    records = read_packed(spark, _packed_tree(spark, sf, ["random"]), dataset="test")
+    return _scored(records.where(F.col("sirna").isNull()))
+
+
 QUERIES = {f.__name__: f for f in (
     combine_metadata, expand_sites, metadata_head, fix_labels, filter_sites,
     select_experiments, site_keys, packed_columns, labelled_examples,
@@ -323,7 +332,7 @@ QUERIES = {f.__name__: f for f in (
     pixel_stats,
     load_sites, channel_first_images, rgb_images, normalize_images,
     pixel_stats_images, chunk_sites, pack_images, stream_examples,
-    interleave, feed_order, epoch_batches, step_plan,
-    predict_classes, softmax, eval_metrics, row_losses, score_sites,
+    epoch_batches, step_plan, feed_batches, written_manifest,
+    predict_classes, softmax, eval_metrics, row_losses, score_sites, score_unlabelled,
 )}
 QUERIES["cross_entropy"] = mean_loss

@@ -1,5 +1,5 @@
 import math
-import random
+import time
 
 import numpy as np
 import pytest
@@ -11,27 +11,6 @@ from platelake.operators.numbering import count_copies, expand_copies, prefix_su
 from platelake.schemas import PIXEL_STATS
 
 
-def test_interleave_against_brute_force(spark):
-    rng = random.Random(1)
-    lengths = [rng.randint(1, 9) for _ in range(11)]
-    rows = [(f, p) for f, n in enumerate(lengths) for p in range(n)]
-    frame = spark.createDataFrame(rows, "file_rank int, pos int")
-    for cycle, block in ((4, 1), (3, 2), (32, 1), (1, 5)):
-        expected = sorted(rows, key=lambda r: (r[0] // cycle, r[1] // block, r[0], r[1]))
-        got = feed.interleave(frame, cycle=cycle, block=block).collect()
-        assert [(r.file_rank, r.pos) for r in sorted(got, key=lambda r: r.position)] == expected
-        assert sorted(r.position for r in got) == list(range(1, len(rows) + 1))
-
-
-def test_interleave_splits_long_files(spark, monkeypatch):
-    monkeypatch.setattr(feed, "SALT_ROWS", 10)
-    rows = [(0, p) for p in range(95)] + [(1, p) for p in range(10)] + [(2, 0)]
-    frame = spark.createDataFrame(rows, "file_rank int, pos int")
-    expected = sorted(rows, key=lambda r: (r[1], r[0]))
-    got = sorted(feed.interleave(frame).collect(), key=lambda r: r.position)
-    assert [(r.file_rank, r.pos) for r in got] == expected
-
-
 def test_batches_straddle_epochs_and_only_the_end_is_cut(spark):
     keys = spark.range(10).withColumnRenamed("id", "key")
     plan = feed.plan_batches(keys, batch=4, epochs=3).collect()
@@ -82,13 +61,6 @@ def test_prefix_sum(spark):
             assert r["all"] == sum(x % 4 for x in range(50))
 
 
-def test_rank_files(spark):
-    names = spark.createDataFrame([(f"f{i}",) for i in range(40)] * 2, "name string")
-    ranks = {r.name: r.file_rank for r in feed.rank_files(names, "name").collect()}
-    assert sorted(ranks.values()) == list(range(40))
-    assert [ranks[f"f{i}"] for i in range(40)] != list(range(40))
-
-
 def test_unlabelled_examples_are_counted(spark):
     rows = spark.createDataFrame([(1,), (None,), (2,), (None,)], "sirna long")
     dropped = Observation()
@@ -99,10 +71,13 @@ def test_unlabelled_examples_are_counted(spark):
 def test_normalise_examples(spark):
     rows = spark.createDataFrame(
         [(bytearray([0, 51, 255, 1, 2, 3]), 4), (bytearray(6), None)], "image binary, sirna long")
-    (unit,) = feed.normalise_examples(rows).collect()
-    assert unit.label == 4
+    everyone = feed.normalise_examples(rows).collect()
+    assert sorted(r.label or 0 for r in everyone) == [0, 4]
+    dropped = Observation()
+    (unit,) = feed.normalise_examples(rows, only_labelled=True, dropped=dropped).collect()
+    assert unit.label == 4 and dropped.get["n_unlabelled"] == 1
     assert np.allclose(np.frombuffer(unit.image, "<f4"), np.array([0, 51, 255, 1, 2, 3]) / 255)
-    (raw,) = feed.normalise_examples(rows, unit=False).collect()
+    (raw,) = feed.normalise_examples(rows, unit=False, only_labelled=True).collect()
     assert list(raw.image) == [0, 51, 255, 1, 2, 3]
 
 
@@ -163,6 +138,55 @@ def test_bad_batch_arguments(spark, batch, epochs):
         feed.plan_batches(spark.range(3), batch, epochs)
 
 
+def test_metrics_on_null_and_not_a_number(spark):
+    nan = float("nan")
+    rows = _logits(spark, [([0.0, 3.0], 1), ([0.0, 3.0], 0), ([0.0, 3.0], None), ([nan, nan], 0)])
+    got = scoring.evaluate(rows).first()
+    assert (got.n, got.n_unlabelled) == (3, 1)
+    assert math.isclose(got.top_1_accuracy, 1 / 3) and math.isclose(got.top_5_accuracy, 2 / 3)
+    one = scoring.evaluate(rows, k=1)
+    assert one.columns == ["n", "n_unlabelled", "top_1_accuracy"]
+    loss = scoring.mean_cross_entropy(_logits(spark, [([0.0, 0.0], 1), ([0.0, 0.0], None)])).first()
+    assert loss.n == 1 and math.isclose(loss.loss, math.log(2))
+
+
+def test_scores_are_linear_in_classes(spark):
+    """The largest logit is worked out once, not inside the lambda."""
+    from platelake.functions.scores import cross_entropy, probabilities
+
+    def seconds(n):
+        rows = spark.range(2000).select(
+            F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: i.cast("float")).alias("l"))
+        start = time.perf_counter()
+        rows.select(F.sum(probabilities(F.col("l"))[0]), F.sum(cross_entropy(F.col("l"), F.lit(1)))).collect()
+        return time.perf_counter() - start
+
+    seconds(64)
+    assert seconds(2048) < 32 * 4 * max(seconds(64), 0.1)
+
+
+def test_batches_bring_their_pixels(spark):
+    packed = spark.range(20).select(
+        F.lit("001").alias("file"), F.col("id").alias("pos"), F.lit(bytes([0, 51, 255])).alias("image"),
+        F.col("id").alias("sirna"))
+    plan = feed.plan_batches(packed.select("file", "pos"), batch=3, epochs=2)
+    fed = feed.batch_examples(packed, plan, batches_per_task=2)
+    got = [(r.batch_id, r.batch_pos, r.pos) for r in fed.collect()]
+    assert sorted(got) == sorted((r.batch_id, r.batch_pos, r.pos) for r in plan.collect())
+    places = fed.select(F.spark_partition_id().alias("p"), "batch_id", "batch_pos").collect()
+    for p in {r.p for r in places}:
+        own = [(r.batch_id, r.batch_pos) for r in places if r.p == p]
+        assert own == sorted(own) and len({b for b, _ in own}) <= 2
+    text = fed._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") + text.count("REPARTITION") <= 2
+
+
+def test_null_groups_are_refused(spark):
+    rows = spark.createDataFrame([("a", 1), (None, 2)], "g string, i int")
+    with pytest.raises(Exception, match="null in"):
+        prefix_sum(rows, ["g"], F.col("i"), ["i"]).collect()
+
+
 def test_batch_windows_are_split(spark):
     plan = feed.plan_batches(spark.range(1000), batch=10, epochs=2)
     text = plan._jdf.queryExecution().executedPlan().toString()

@@ -117,3 +117,12 @@ def test_filter_reaches_the_scan(spark, tmp_path):
     text = wanted._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(plate,1)" in text and text.count("FileScan") == 1
     assert "sirna" not in text
+
+
+def test_labels_keep_digits_and_refuse_text(spark):
+    big = 9007199254740993
+    longs = spark.createDataFrame([(big,), (None,)], "v long")
+    assert [r[0] for r in longs.select(label_id(F.col("v"))).collect()] == [big, None]
+    for bad in ("abc", "1.5", "inf"):
+        with pytest.raises(Exception, match="not a label"):
+            spark.createDataFrame([(bad,)], "v string").select(label_id(F.col("v"))).collect()

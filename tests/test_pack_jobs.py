@@ -339,3 +339,57 @@ def test_nothing_to_pack(spark, tmp_path):
     assert jobs.pack(spark, controls, root, dest, channels=(1, 2)).count() == 0
     with pytest.raises(ValueError, match="no split directory"):
         jobs.pack(spark, controls, str(tmp_path), dest)
+
+
+def _site_planes(spark, wells, dataset="train", value=1):
+    rows = [(dataset, "RPE-01", 1, w, 1, c, 2, 2, bytearray([value] * 4)) for w in wells for c in (1, 2)]
+    return spark.createDataFrame(rows, "dataset string, experiment string, plate int, well string, "
+                                 "site int, channel int, height int, width int, data binary")
+
+
+def _sites(spark, wells, dataset="train"):
+    return spark.createDataFrame(
+        [(w, dataset, "RPE-01", "RPE", 1, w, "treatment", 1, 1) for w in wells],
+        "id_code string, dataset string, experiment string, cell_type string, plate int, well string, "
+        "well_type string, sirna long, site int")
+
+
+def test_packing_again_leaves_no_stale_file(spark, tmp_path):
+    wells, dest = [f"B{i:02d}" for i in range(12)], str(tmp_path / "packed")
+    sites, planes = _sites(spark, wells), _site_planes(spark, wells)
+    for per_file, files in ((3, 4), (6, 2)):
+        jobs.pack_images(sites, planes, dest, ["random"], (1, 2), per_file=per_file)
+        records = read_packed(spark, dest)
+        assert records.count() == 12 and records.select("file").distinct().count() == files
+
+
+def test_manifest_of_what_was_written(spark, tmp_path):
+    wells = [f"B{i:02d}" for i in range(10)]
+    planes = _site_planes(spark, wells).where("not (well = 'B03' and channel = 2)")
+    got = jobs.pack_images(_sites(spark, wells), planes, str(tmp_path / "p"), ["random"], (1, 2),
+                           per_file=5, strict=False).collect()
+    assert sorted((r.n_sites, r.first_pos, r.last_pos) for r in got) == [(4, 1, 4), (5, 1, 5)]
+
+
+def test_planes_that_differ_are_an_error(spark, tmp_path):
+    wells = ["B01", "B02"]
+    sites, planes = _sites(spark, wells), _site_planes(spark, wells)
+    same = planes.union(planes)
+    jobs.pack_images(sites, same, str(tmp_path / "a"), ["random"], (1, 2))
+    assert read_packed(spark, str(tmp_path / "a")).count() == 2
+    other = planes.union(_site_planes(spark, ["B02"], value=9))
+    with pytest.raises(Exception, match="differ"):
+        jobs.pack_images(sites, other, str(tmp_path / "b"), ["random"], (1, 2))
+
+
+def test_unknown_splits_are_errors(spark):
+    with pytest.raises(Exception, match="unknown split other"):
+        packing.plan_random(_sites(spark, ["B01"], "other")).collect()
+
+
+def test_arrays_of_other_experiments_stay(spark, tmp_path):
+    dest = str(tmp_path / "arrays")
+    for dataset in ("train", "test"):
+        plan = cut_lineage(jobs.plan_arrays(_sites(spark, ["B01", "B02"], dataset)))
+        jobs.write_chunks(plan, _site_planes(spark, ["B01", "B02"], dataset), dest, (1, 2), chunk=2)
+    assert {r.dataset for r in read_chunks(spark, dest).collect()} == {"train", "test"}

@@ -150,3 +150,19 @@ def test_decode(spark):
     raw = spark.createDataFrame([(bytearray(values.tobytes()),), (None,)], "data binary")
     assert [r[0] for r in raw.select(decode_bytes(F.col("data"), "<u2")).collect()] == [
         [1, 300, 65535], None]
+
+
+def test_unknown_channels_are_errors(spark):
+    rows = spark.createDataFrame([("a", 1, 0, 9), ("a", 7, 0, 9)], "k string, channel int, px int, val int")
+    for call in (lambda: pixels.to_rgb_rows(rows, ["k"]), lambda: pixels.normalise_rows(rows)):
+        with pytest.raises(Exception, match="unknown channel 7"):
+            call().collect()
+
+
+def test_unusable_planes_are_left_out_and_listed(spark):
+    planes = spark.createDataFrame(
+        [(1, bytearray([1, 3]), True, 1, 2), (1, None, False, -1, -1), (1, bytearray(6), True, 1, 2)],
+        "channel int, data binary, readable boolean, height int, width int")
+    (row,) = pixels.pixel_stats(planes).collect()
+    assert (row.n, row.mean) == (2, 2.0)
+    assert pixels.unusable_planes(planes).count() == 2
