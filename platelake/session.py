@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -52,16 +55,24 @@ def is_local(spark: SparkSession) -> bool:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 
-    Only a local session may fall back to a temporary folder; a cluster
-    without ``spark.checkpoint.dir`` is an error.
+    Only a local session may fall back to a temporary folder of its own; a
+    cluster without ``spark.checkpoint.dir`` is an error.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="platelake-")
-        context.setCheckpointDir(folder)
+        folder = _local_folder()
+    return folder
+
+
+@functools.cache
+def _local_folder() -> str:
+    """A folder for this process, gone with it. The caller's checkpoint folder
+    is not touched."""
+    folder = tempfile.mkdtemp(prefix="platelake-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
 
 

@@ -271,6 +271,14 @@ SELECT well, CAST(arg_max(channel, m) - 1 AS BIGINT) AS class, round(max(m), 3)
 FROM means GROUP BY well""",
 }
 
+ORACLE["strict_sites"] = ORACLE["load_sites"]
+ORACLE["write_arrays"] = ORACLE["chunk_sites"]
+ORACLE["metadata_csv"] = f"""WITH {SITES} SELECT CAST(id_code AS VARCHAR) AS id_code, dataset,
+experiment, cell_type, plate, well, well_type, sirna, site FROM sites"""
+ORACLE["file_summaries"] = f"""WITH {RECORDS} SELECT layout, dataset, file, count(*) AS n,
+CAST(sum(total) AS BIGINT) AS total FROM placed JOIN sums USING (id_code)
+WHERE layout = 'random-42' GROUP BY layout, dataset, file"""
+
 _STATS_SQL = f"""WITH {PIXELS}, sums AS (SELECT channel, count(*) AS n, sum(val) AS t,
 sum(val * val) AS s FROM pixels GROUP BY channel)
 SELECT channel, n, round(t / CAST(n AS DOUBLE), 6) AS mean,

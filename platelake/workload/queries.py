@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,13 +15,17 @@ from platelake.functions.tensors import decode_bytes, decode_floats
 from platelake.operators import feed, metadata, pixels, scoring, stack
 from platelake.operators.chunks import to_chunks
 from platelake.plans import packing
+from platelake.operators.stack import drop_plane_copies
 from platelake.plans.jobs import pack_images as pack_job
+from platelake.plans.jobs import plan_arrays, write_chunks
+from platelake.plans.placing import map_files, place_images
 from platelake.schemas import (
-    CHANNELS, PIXEL_STATS, RECORD_COLUMNS, SITE_COLUMNS, SITE_KEY, SPLITS, STRATEGIES,
+    CHANNELS, PACK_DIRS, PIXEL_STATS, RECORD_COLUMNS, SITE_COLUMNS, SITE_KEY, SPLITS, STRATEGIES,
 )
 from platelake.session import cut_lineage, scratch_path
 from platelake.sources.images import parse_paths, splits_in
-from platelake.sources.packed import read_packed
+from platelake.sources.metadata_csv import site_table
+from platelake.sources.packed import read_chunks, read_packed
 from platelake.streaming.feed import feed_examples, stream_packed
 
 EXPERIMENTS = ["RPE-05", "U2OS-03"]
@@ -37,6 +42,15 @@ def combine_metadata(spark, sf):
     return metadata.merge_wells(fixtures.well_files(spark, sf))
 
 
+def metadata_csv(spark, sf):
+    """The four files, written by Spark and read back as one site table."""
+    base = scratch_path(spark, "metadata")
+    for dataset, (wells, controls) in fixtures.well_files(spark, sf).items():
+        wells.write.option("header", True).csv(f"{base}/{dataset}.csv")
+        controls.write.option("header", True).csv(f"{base}/{dataset}_controls.csv")
+    return site_table(spark, base)
+
+
 def expand_sites(spark, sf):
     wells = fixtures.plate_map(spark, sf).select("id_code", "experiment", "plate", "well")
     return metadata.expand_sites(wells)
@@ -190,7 +204,10 @@ def pixel_stats_images(spark, sf):
 
 
 def chunk_sites(spark, sf):
-    chunks = to_chunks(_stacked(spark, sf), chunk=4)
+    return _chunk_totals(to_chunks(_stacked(spark, sf), chunk=4))
+
+
+def _chunk_totals(chunks):
     values = decode_bytes(F.col("data"), "<u2")
     return chunks.select(
         "array_path", "cy", "cx", "rows", "cols",
@@ -199,6 +216,51 @@ def chunk_sites(spark, sf):
     )
 
 
+def strict_sites(spark, sf):
+    """Sites with all planes, stacked in strict mode."""
+    planes = fixtures.planes(spark, sf)
+    whole = planes.groupBy(*SITE_KEY).agg(F.count_distinct("channel").alias("n"))
+    planes = planes.join(whole.where(F.col("n") == len(CHANNELS)), list(SITE_KEY), "left_semi")
+    stacked = stack.stack_channels(planes, strict=True)
+    return stacked.select("well", F.posexplode(decode_bytes(F.col("image"))).alias("idx", "val"))
+
+
+def write_arrays(spark, sf):
+    """Arrays of one split after another, written to one folder and read back."""
+    dest = scratch_path(spark, "arrays")
+    planes, sites = fixtures.planes(spark, sf), fixtures.plane_sites(spark, sf)
+    for dataset in SPLITS:
+        plan = cut_lineage(plan_arrays(sites.where(F.col("dataset") == dataset)))
+        write_chunks(plan, drop_plane_copies(planes), dest, chunk=4, strict=False)
+    return _chunk_totals(read_chunks(spark, dest))
+
+
+def _file_totals(batches):
+    """Records and pixel sum of each file of a task's stream."""
+    found = {}
+    for batch in batches:
+        for layout, dataset, file, image in zip(
+                batch["layout"], batch["dataset"], batch["file"], batch["image"], strict=True):
+            n, total = found.get((layout, dataset, file), (0, 0))
+            found[layout, dataset, file] = (
+                n + 1, total + int(np.frombuffer(image, np.uint8).sum(dtype=np.int64)))
+    yield pd.DataFrame(
+        [(*k, *v) for k, v in found.items()], columns=["layout", "dataset", "file", "n", "total"])
+
+
+def file_summaries(spark, sf):
+    """A function over the stream of each planned file."""
+    sites = fixtures.plane_sites(spark, sf)
+    planes = drop_plane_copies(fixtures.planes(spark, sf))
+    whole = stack.complete_sites(sites, planes)
+    plan = cut_lineage(packing.plan_all(
+        sites.join(whole.select(*SITE_KEY), list(SITE_KEY), "left_semi"), ["random"], per_file=50))
+    placed = place_images(plan.select(*dict.fromkeys(
+        [*PACK_DIRS, "pos", *SITE_KEY, *RECORD_COLUMNS])), planes, PACK_DIRS)
+    return map_files(
+        placed, _file_totals, "layout string, dataset string, file string, n long, total long")
+
+
 def _packed_tree(spark, sf, strategies=STRATEGIES):
     """Packs the planes of the vectors; incomplete sites are left out."""
     dest = scratch_path(spark, "packed")
@@ -330,6 +392,7 @@ QUERIES = {f.__name__: f for f in (
     pack_random, pack_by_group, pack_multi_seed, pack_manifest,
     stack_complete_sites, pixel_index, rgb_compose, normalize_pixels, unit_scale,
     pixel_stats,
+    metadata_csv, strict_sites, write_arrays, file_summaries,
     load_sites, channel_first_images, rgb_images, normalize_images,
     pixel_stats_images, chunk_sites, pack_images, stream_examples,
     epoch_batches, step_plan, feed_batches, written_manifest,
