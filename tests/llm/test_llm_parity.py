@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import types as T
 
 import __spark_entry__ as entry
+from platelake.llm import pii
 from platelake.llm.oracle import ORACLE
 from platelake.llm.queries import QUERIES
 from tests.parity import compare, connect, type_differences
@@ -112,13 +113,19 @@ def empty(spark, tmp_path_factory):
     return folder
 
 
+@pytest.fixture
+def quick_tagger(monkeypatch):
+    """These tests are about rows; how well the tagger does is tested elsewhere."""
+    monkeypatch.setattr(pii.train, "__defaults__", ("text", 20, 5))
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_empty_tables_give_no_rows(spark, empty, name):
+def test_empty_tables_give_no_rows(spark, empty, quick_tagger, name):
     assert QUERIES[name](spark, empty).collect() == []
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_every_row_has_a_result(spark, awkward, name):
+def test_every_row_has_a_result(spark, awkward, quick_tagger, name):
     rows = QUERIES[name](spark, awkward).collect()
     column, given = ("page_id", awkward_pages()) if "page_id" in rows[0] else ("doc_id", awkward_documents())
     key = lambda x: (x is None, x or 0)
