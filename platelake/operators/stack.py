@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from platelake.functions.tensors import false_colour, interleave_planes, join_planes
 from platelake.schemas import CHANNELS, COLOUR_MAP, SITE_KEY
-from platelake.sources.images import scan_images, scan_site
+from platelake.sources.images import scan_keys, scan_site
 
 
 def channel_mask(channels: Sequence[int]) -> Column:
@@ -173,10 +173,6 @@ def stack_channels(
     return merge_planes(group_planes(images, keys, channels, strict), keys, channels, layout)
 
 
-# Directories a scan is narrowed to by name; with more it takes the whole tree.
-MAX_NAMED_EXPERIMENTS = 1000
-
-
 def load_sites(
     spark: SparkSession,
     keys: DataFrame,
@@ -184,17 +180,10 @@ def load_sites(
     channels: Sequence[int] = CHANNELS,
     strict: bool = True,
 ) -> DataFrame:
-    """Site images of many addresses. Only the directories of their
-    experiments are listed, unless there are very many."""
-    names = (
-        keys.select("dataset", "experiment").distinct()
-        .limit(MAX_NAMED_EXPERIMENTS + 1).collect()
-    )
-    datasets = experiments = None
-    if 0 < len(names) <= MAX_NAMED_EXPERIMENTS:
-        datasets = sorted({r.dataset for r in names})
-        experiments = sorted({r.experiment for r in names})
-    images = scan_images(spark, root, datasets, experiments)
+    """Site images of many addresses. Only their plates are listed, and only
+    files of their wells, sites and channels are read. No keys, no images; an
+    address whose directory is not there is like one without files."""
+    images = scan_keys(spark, root, keys, channels)
     return load_from(images, keys, channels, strict, unique=True)
 
 

@@ -82,6 +82,14 @@ def written_manifest(spark: SparkSession, plan: DataFrame, dest: str) -> DataFra
         "strategy", "seed", "dataset", "dest_path", "n_sites", "first_pos", "last_pos")
 
 
+def _whole_sites(sites: DataFrame, listed: DataFrame, channels: Sequence[int]) -> DataFrame:
+    """The sites with a readable plane in every channel."""
+    if "readable" in listed.columns:
+        listed = listed.where("readable")
+    whole = complete_sites(sites, listed, channels)
+    return sites.join(whole.select(*SITE_KEY), list(SITE_KEY), "left_semi")
+
+
 def pack_images(
     sites: DataFrame,
     images: DataFrame,
@@ -104,18 +112,15 @@ def pack_images(
     Every strategy and seed is written by one job, so an image is decoded once.
     ``unique`` promises that no plane is there twice.
     """
+    listed = images if inventory is None else inventory
     if not strict:
-        listed = images if inventory is None else inventory
-        if "readable" in listed.columns:
-            listed = listed.where("readable")
-        whole = complete_sites(select_sites(sites, datasets), listed, channels)
-        sites = sites.join(whole.select(*SITE_KEY), list(SITE_KEY), "left_semi")
+        sites = _whole_sites(select_sites(sites, datasets), listed, channels)
     plan = cut_lineage(plan_all(sites, strategies, per_file, seeds, datasets))
     mixed = mixed_files(plan).take(5)
     if mixed:
         raise ValueError(f"files with rows of two splits: {[r.dest_path for r in mixed]}")
     if strict:
-        check_images(plan, images if inventory is None else inventory, channels)
+        check_images(plan, listed, channels)
     if not unique:
         images = drop_plane_copies(images)
     write_packed(plan, images, dest, channels, strict, **placing)
@@ -188,12 +193,42 @@ def write_chunks(
     )
 
 
-def convert_all(
-    spark: SparkSession, metadata: str, image_root: str, dest: str, strict: bool = True
+def convert_images(
+    sites: DataFrame,
+    images: DataFrame,
+    dest: str,
+    channels: Sequence[int] = CHANNELS,
+    datasets: Sequence[str] | None = None,
+    strict: bool = True,
+    inventory: DataFrame | None = None,
+    unique: bool = False,
+    **writing,
 ) -> None:
-    """Every treatment site of the metadata as a chunked array."""
-    sites = site_table(spark, metadata, include_controls=False)
+    """Treatment sites from a table of planes as chunked arrays. Not strict:
+    sites without a readable plane in every channel are left out before files
+    are planned. ``unique`` promises that no plane is there twice."""
+    sites = select_sites(sites, datasets)
+    listed = images if inventory is None else inventory
+    if not strict:
+        sites = _whole_sites(sites, listed, channels)
     plan = cut_lineage(plan_arrays(sites))
     if strict:
-        check_images(plan, list_images(spark, image_root), CHANNELS)
-    write_chunks(plan, scan_images(spark, image_root), dest, strict=strict)
+        check_images(plan, listed, channels)
+    if not unique:
+        images = drop_plane_copies(images)
+    write_chunks(plan, images, dest, channels, strict=strict, **writing)
+
+
+def convert_all(
+    spark: SparkSession,
+    metadata: str,
+    image_root: str,
+    dest: str,
+    strict: bool = True,
+    datasets: Sequence[str] | None = None,
+) -> None:
+    """Every treatment site of the metadata, or of some splits, as a chunked array."""
+    convert_images(
+        site_table(spark, metadata, include_controls=False),
+        scan_images(spark, image_root, datasets), dest, datasets=datasets, strict=strict,
+        inventory=list_images(spark, image_root, datasets), unique=True)

@@ -5,22 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from platelake.operators.numbering import dense_ids
 from platelake.operators.stack import group_planes, merge_planes
 from platelake.schemas import CHANNELS, SEED, SITE_KEY
 
-# A plan up to this many rows (about 200 bytes each) is broadcast to the image
-# scan; a longer one is shuffle-joined.
-BROADCAST_PLAN_ROWS = 1_000_000
+# A plan up to this many bytes is broadcast to the image scan; a longer one is
+# shuffle-joined.
+BROADCAST_PLAN_BYTES = 192 << 20
+# What a row takes besides its texts, and a text besides its bytes.
+ROW_BYTES = 64
+TEXT_BYTES = 16
 
-# Plan rows that use the same address before that address counts as hot.
-HOT_ADDRESS_ROWS = 4096
+# Pixels that one address may bring to a task before it counts as hot.
+HOT_ADDRESS_BYTES = 512 << 20
 
-# At most this many addresses can be hot: the limit is raised with the plan.
-MAX_HOT_ADDRESSES = 20_000
+# At most this many addresses can be hot (some 30 MB): beyond 70 million plan
+# rows the limit is raised with the plan.
+MAX_HOT_ADDRESSES = 200_000
+
+# Pixels of a site, unless the caller knows better.
+IMAGE_BYTES = 512 * 512 * 6
 
 # Rows of one file that a single task writes (about 2.4 GB of pixels). A file
 # with more becomes several part files in its directory.
@@ -29,6 +37,15 @@ PART_ROWS = 1500
 MAX_TASKS = 100_000
 
 
+def _row_bytes(plan: DataFrame) -> Column:
+    """What a plan row takes in a broadcast table."""
+    total = F.lit(ROW_BYTES + 8 * len(plan.columns))
+    for field in plan.schema.fields:
+        if isinstance(field.dataType, T.StringType):
+            total = total + TEXT_BYTES + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return total
+
+
 def _salted(
     plan: DataFrame, images: DataFrame, hot: DataFrame, dirs: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
@@ -57,7 +74,8 @@ def place_planes(
     channels: Sequence[int] = CHANNELS,
     strict: bool = True,
     part_rows: int = PART_ROWS,
-    broadcast_rows: int = BROADCAST_PLAN_ROWS,
+    broadcast_bytes: int = BROADCAST_PLAN_BYTES,
+    image_bytes: int = IMAGE_BYTES,
 ) -> DataFrame:
     """Each plan row with its planes, partitioned by file and in file order.
 
@@ -67,12 +85,12 @@ def place_planes(
     """
     parts = plan.withColumn("part", F.expr(f"(pos - 1) div {part_rows}"))
     size = parts.agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(parts)).alias("bytes"),
         F.count_distinct(*dirs, "part").alias("parts"),
     ).first()
     images = images.where(F.col("channel").isin(list(channels)))
 
-    hot_limit = max(HOT_ADDRESS_ROWS, size["n"] // MAX_HOT_ADDRESSES)
+    hot_limit = max(HOT_ADDRESS_BYTES // image_bytes, size["n"] // MAX_HOT_ADDRESSES, 1)
     hot = (
         parts.groupBy(*SITE_KEY).agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > hot_limit)
@@ -87,7 +105,7 @@ def place_planes(
         .withColumn("task", (F.col("task") % tasks).cast("int")).drop("part")
     )
 
-    if size["n"] <= broadcast_rows and hot.isEmpty():
+    if (size["bytes"] or 0) <= broadcast_bytes and hot.isEmpty():
         placed = images.join(F.broadcast(tasked), list(SITE_KEY))
     else:
         salted, copies = _salted(tasked, images, hot, dirs)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import defaultdict
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platelake.functions.paths import key_columns, with_path_parts
-from platelake.schemas import IMAGE_KEY, PLANES, SPLITS
+from platelake.schemas import IMAGE_KEY, PLANES, SITE_KEY, SPLITS
 
 
 def _globs(
@@ -53,6 +54,23 @@ def list_experiments(
     return sorted(found)
 
 
+def plate_folders(
+    spark: SparkSession, root: str, plates: Iterable[tuple[str, str, int]]
+) -> list[str]:
+    """Directories of the (dataset, experiment, plate) that are there: one
+    listing of plate names per experiment, no image is listed."""
+    wanted = defaultdict(set)
+    for dataset, experiment, plate in plates:
+        wanted[dataset, experiment].add(f"Plate{plate}")
+    found = []
+    for (dataset, experiment), names in sorted(wanted.items()):
+        folder, system = _folder(spark, f"{root.rstrip('/')}/{dataset}/{experiment}")
+        if system.exists(folder):
+            found += [status.getPath().toString() for status in system.listStatus(folder)
+                      if status.getPath().getName() in names]
+    return sorted(found)
+
+
 def splits_in(paths: DataFrame, root: str, path: str = "path") -> DataFrame:
     """The same from a table of paths: first directory under the root."""
     prefix = root.rstrip("/") + "/"
@@ -82,13 +100,30 @@ def list_images(
     experiments: Sequence[str] | None = None,
 ) -> DataFrame:
     """Addresses of the image files, without reading their content."""
+    return list_files(spark, root, datasets, experiments).drop("modified")
+
+
+def list_files(
+    spark: SparkSession,
+    root: str,
+    datasets: Sequence[str] | None = None,
+    experiments: Sequence[str] | None = None,
+) -> DataFrame:
+    """The same with the time of the last change, in milliseconds."""
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.png")
-        .load(_globs(root, datasets, experiments)).select("path")
+        .load(_globs(root, datasets, experiments))
+        .select("path", F.unix_millis("modificationTime").alias("modified"))
     )
     return parse_paths(files).where("parsed").drop("parsed")
 
 
+def modified(spark: SparkSession, path: str) -> int | None:
+    """When a single file was last changed, in milliseconds; None if it is not there."""
+    folder, system = _folder(spark, path)
+    return system.getFileStatus(folder).getModificationTime() if system.exists(folder) else None
+
+
 def _planes(images: DataFrame) -> DataFrame:
     keys = key_columns(F.col("_parts"))
     return (
@@ -125,6 +160,32 @@ def scan_images(
     return _planes(images)
 
 
+def scan_keys(
+    spark: SparkSession, root: str, keys: DataFrame, channels: Sequence[int]
+) -> DataFrame:
+    """Planes of the plates that ``keys`` names, of its wells and sites and
+    the channels only; the rest of the tree is not listed or opened. A superset
+    of the keys: wells and sites are chosen over all plates together.
+
+    What comes to the driver is less than the names of the files read, which
+    Spark lists there. Plates that are not there are left out.
+    """
+    named = keys.select(*SITE_KEY).dropna().where(F.col("well").rlike("^[A-Z][0-9]{2}$"))
+    plates = named.select("dataset", "experiment", "plate").distinct().collect()
+    folders = plate_folders(spark, root, map(tuple, plates))
+    if not folders:
+        return spark.createDataFrame([], PLANES)
+    wells, sites = (sorted(r[0] for r in named.select(c).distinct().collect())
+                    for c in ("well", "site"))
+
+    def choice(names):
+        return "{" + ",".join(map(str, names)) + "}"
+
+    names = f"{choice(wells)}_s{choice(sites)}_w{choice(dict.fromkeys(channels))}.png"
+    images = spark.read.format("image").option("pathGlobFilter", names).load(folders)
+    return _planes(images)
+
+
 def scan_site(
     spark: SparkSession,
     root: str,

@@ -273,6 +273,7 @@ FROM means GROUP BY well""",
 
 ORACLE["strict_sites"] = ORACLE["load_sites"]
 ORACLE["write_arrays"] = ORACLE["chunk_sites"]
+ORACLE["convert_sites"] = ORACLE["chunk_sites"]
 ORACLE["metadata_csv"] = f"""WITH {SITES} SELECT CAST(id_code AS VARCHAR) AS id_code, dataset,
 experiment, cell_type, plate, well, well_type, sirna, site FROM sites"""
 ORACLE["file_summaries"] = f"""WITH {RECORDS} SELECT layout, dataset, file, count(*) AS n,

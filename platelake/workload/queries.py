@@ -16,6 +16,7 @@ from platelake.operators import feed, metadata, pixels, scoring, stack
 from platelake.operators.chunks import to_chunks
 from platelake.plans import packing
 from platelake.operators.stack import drop_plane_copies
+from platelake.plans.jobs import convert_images
 from platelake.plans.jobs import pack_images as pack_job
 from platelake.plans.jobs import plan_arrays, write_chunks
 from platelake.plans.placing import map_files, place_images
@@ -235,6 +236,14 @@ def write_arrays(spark, sf):
     return _chunk_totals(read_chunks(spark, dest))
 
 
+def convert_sites(spark, sf):
+    """The conversion job from a table of planes; incomplete sites are left out."""
+    dest = scratch_path(spark, "converted")
+    convert_images(fixtures.plane_sites(spark, sf), fixtures.planes(spark, sf), dest,
+                   strict=False, chunk=4)
+    return _chunk_totals(read_chunks(spark, dest))
+
+
 def _file_totals(batches):
     """Records and pixel sum of each file of a task's stream."""
     found = {}
@@ -392,7 +401,7 @@ QUERIES = {f.__name__: f for f in (
     pack_random, pack_by_group, pack_multi_seed, pack_manifest,
     stack_complete_sites, pixel_index, rgb_compose, normalize_pixels, unit_scale,
     pixel_stats,
-    metadata_csv, strict_sites, write_arrays, file_summaries,
+    metadata_csv, strict_sites, write_arrays, convert_sites, file_summaries,
     load_sites, channel_first_images, rgb_images, normalize_images,
     pixel_stats_images, chunk_sites, pack_images, stream_examples,
     epoch_batches, step_plan, feed_batches, written_manifest,

@@ -12,7 +12,7 @@ from platelake.plans.ingest import ingest_planes
 from platelake.schemas import PIXEL_STATS
 from platelake.session import cut_lineage
 from platelake.sources.images import (
-    list_experiments, list_images, list_splits, read_planes, scan_images,
+    list_experiments, list_images, list_splits, read_planes, scan_images, scan_keys,
 )
 from platelake.sources.packed import read_chunks, read_packed
 from platelake.streaming.feed import feed_examples, stream_packed
@@ -86,6 +86,32 @@ def test_channel_order_is_the_argument_order(spark, tmp_path):
         assert np.array_equal(_image(r), images[_key(r)][:, :, [1, 1]])
 
 
+def test_only_wanted_files_are_read(spark, tmp_path):
+    rows = site_rows(datasets=("train",), experiments=2, plates=2, wells=4, sites=2)
+    root = str(tmp_path / "raw")
+    images = write_images(root, rows, (1, 2, 3))
+    some = [r for r in rows if (r[2], r[4], r[5], r[8]) == ("RPE-02", 1, "C03", 2)]
+    keys = site_frame(spark, some + some)
+    read = scan_keys(spark, root, keys, (3, 1)).inputFiles()
+    assert sorted(f.split("/raw/")[1] for f in read) == [
+        "train/RPE-02/Plate1/C03_s2_w1.png", "train/RPE-02/Plate1/C03_s2_w3.png"]
+    (one,) = load_sites(spark, keys, root, (3, 1)).collect()
+    assert np.array_equal(_image(one), images[_key(one)][:, :, [2, 0]])
+
+
+def test_keys_without_directories(spark, tmp_path):
+    rows = site_rows(datasets=("train",), wells=2)
+    root = str(tmp_path / "raw")
+    write_images(root, rows, (1, 2))
+    keys = site_frame(spark, rows)
+    assert load_sites(spark, keys.limit(0), root, (1, 2)).count() == 0
+    for column, value in (("experiment", "RPE-77"), ("plate", 9), ("dataset", None)):
+        other = keys.withColumn(column, F.lit(value).cast(keys.schema[column].dataType))
+        assert load_sites(spark, keys.union(other), root, (1, 2), strict=False).count() == 2
+        with pytest.raises(Exception, match="no image file"):
+            load_sites(spark, keys.union(other), root, (1, 2)).collect()
+
+
 def test_one_site_and_its_colours(spark, tmp_path):
     rows = site_rows(datasets=("train",), wells=3)
     root, channels = str(tmp_path / "raw"), (1, 2, 3, 4, 5, 6)
@@ -190,11 +216,11 @@ def test_planes_are_shuffled_once(spark, tmp_path):
 
 
 @pytest.mark.parametrize("hot_rows", [4096, 10])
-def test_shuffled_plan_and_hot_addresses_give_the_same(spark, tmp_path, monkeypatch, hot_rows):
+def test_shuffled_plan_and_hot_addresses_give_the_same(spark, tmp_path, hot_rows):
     rows, images, plan, planes = _plan_and_images(spark, tmp_path, copies=40)
-    monkeypatch.setattr(placing, "HOT_ADDRESS_ROWS", hot_rows)
     placed = placing.place_images(
-        plan, planes, ("layout", "dataset", "file"), (1, 2), broadcast_rows=0)
+        plan, planes, ("layout", "dataset", "file"), (1, 2), broadcast_bytes=0,
+        image_bytes=placing.HOT_ADDRESS_BYTES // hot_rows)
     got = placed.collect()
     assert sorted(r.id_code for r in got) == sorted(r[0] for r in rows)
     for r in got:
@@ -242,6 +268,13 @@ def test_ingested_planes_pack_the_same(spark, tmp_path):
     assert ingest_planes(spark, root, table) == [("train", "RPE-02")]
     planes = read_planes(spark, table)
     assert planes.count() == 2 * len(rows)
+    arrays = str(tmp_path / "arrays")
+    jobs.convert_images(site_frame(spark, rows), planes, arrays, (1, 2), chunk=16)
+    chunks = read_chunks(spark, arrays).collect()
+    assert len(chunks) == len(rows)
+    for c in chunks:
+        pixels = np.frombuffer(c.data, "<u2").reshape(c.rows, c.cols, c.channels)
+        assert np.array_equal(pixels, images[_key(c)])
     dest = str(tmp_path / "packed")
     jobs.pack_images(site_frame(spark, rows), planes, dest, channels=(1, 2), per_file=3,
                      unique=True)
@@ -251,6 +284,22 @@ def test_ingested_planes_pack_the_same(spark, tmp_path):
         assert np.array_equal(_image(r), images[_key(r)])
 
 
+def test_ingest_notices_new_and_changed_files(spark, tmp_path):
+    rows = site_rows(datasets=("train",), wells=3, experiments=2)
+    root, table = str(tmp_path / "raw"), str(tmp_path / "planes")
+    write_images(root, rows, (1, 2))
+    assert len(ingest_planes(spark, root, table)) == 2
+    assert ingest_planes(spark, root, table) == []
+    first = (root, *rows[0][1:3], *rows[0][4:6], 1)
+    write_png(image_file(*first, 3), np.zeros((16, 16), np.uint8))
+    os.utime(image_file(*first, 3), (1, 1))  # told by the number of files
+    assert ingest_planes(spark, root, table) == [("train", "RPE-01")]
+    later = os.path.getmtime(f"{table}/dataset=train/experiment=RPE-01/_SUCCESS") + 60
+    os.utime(image_file(*first, 3), (later, later))
+    assert ingest_planes(spark, root, table) == [("train", "RPE-01")]
+    assert read_planes(spark, table).count() == 2 * len(rows) + 1
+
+
 def test_function_over_files(spark, tmp_path):
     rows, _, plan, planes = _plan_and_images(spark, tmp_path, copies=4)
     placed = placing.place_images(plan, planes, ("layout", "dataset", "file"), (1, 2))
@@ -321,7 +370,7 @@ def test_arrays_with_a_shuffled_plan_and_small_parts(spark, tmp_path):
     images = write_images(root, rows, (1, 2))
     plan = cut_lineage(jobs.plan_arrays(site_frame(spark, rows + rows)))
     jobs.write_chunks(plan, scan_images(spark, root), dest, (2, 1), chunk=9, dtype="uint8",
-                      broadcast_rows=0, part_rows=2)
+                      broadcast_bytes=0, part_rows=2)
     chunks = read_chunks(spark, dest).collect()
     assert len(chunks) == 4 * len(rows)
     for c in chunks:
