@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from platelake.llm import urls
+
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 PLAIN = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -105,9 +107,71 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+
+def _host(url: str) -> str:
+    rest = f"substr({url}, strpos({url}, '://') + 3)"
+    return (f"CASE WHEN strpos(coalesce({url}, ''), '://') = 0 THEN '' ELSE "
+            f"translate(regexp_extract({rest}, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+            "'abcdefghijklmnopqrstuvwxyz') END")
+
+
+def _spread(name: str, shares: str, weight: str) -> str:
+    """The rounds of one propagation, a common table each."""
+    out = [f"{name}0 AS (SELECT host, {weight} AS score FROM weights)"]
+    for k in range(urls.ROUNDS):
+        out.append(
+            f"{name}{k + 1} AS (SELECT host, {weight} + {urls.DAMPING} * coalesce(got, 0) AS score "
+            "FROM weights LEFT JOIN (SELECT dst AS host, sum(share * score) AS got "
+            f"FROM {shares} JOIN {name}{k} ON src = host GROUP BY dst) USING (host))")
+    return ",\n".join(out)
+
+
+_RULES = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}', '{r.name}')" for r in urls.RULES)
+
+URLS = rf"""
+WITH rules(verdict, rule_host, rule_path, rule) AS (VALUES {_RULES}),
+p AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS html, {_host("url")} AS host,
+         CASE WHEN strpos(coalesce(url, ''), '://') = 0 THEN '' ELSE
+         regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) END AS path
+  FROM pages
+), best AS (
+  SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS rule_verdict
+  FROM p JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+    AND starts_with(path, rule_path)
+  GROUP BY r
+), judged AS MATERIALIZED (SELECT * FROM p LEFT JOIN best USING (r)),
+found AS (SELECT host AS src, unnest(regexp_extract_all(html, '{urls.LINK.replace("'", "''")}', 1)) AS ref FROM p),
+links AS MATERIALIZED (
+  SELECT src, dst, count(*) AS n
+  FROM (SELECT src, CASE WHEN starts_with(ref, '//') THEN {_host("':' || ref")}
+        WHEN regexp_matches(ref, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {_host("ref")} ELSE '' END AS dst
+        FROM found)
+  WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst
+), seeds AS (
+  SELECT host, avg(CASE WHEN rule_verdict = 'allow' THEN 1.0::DOUBLE ELSE 0 END) AS trusted,
+         avg(CASE WHEN rule_verdict = 'block' THEN 1.0::DOUBLE ELSE 0 END) AS blocked
+  FROM judged WHERE host <> '' GROUP BY host
+), weights AS MATERIALIZED (
+  SELECT host, coalesce(trusted, 0) AS trusted, coalesce(blocked, 0) AS blocked
+  FROM (SELECT host FROM seeds UNION SELECT src FROM links UNION SELECT dst FROM links) everyone
+  LEFT JOIN seeds USING (host)
+), ahead AS MATERIALIZED (
+  SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS share FROM links
+), back AS MATERIALIZED (
+  SELECT dst AS src, src AS dst, n / sum(n) OVER (PARTITION BY dst) AS share FROM links
+), {_spread("trust", "ahead", "trusted")},
+{_spread("distrust", "back", "blocked")}
+SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE
+  WHEN distrust.score - trust.score >= {urls.MARGIN} THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged LEFT JOIN trust{urls.ROUNDS} AS trust USING (host)
+LEFT JOIN distrust{urls.ROUNDS} AS distrust USING (host)
+"""
+
 ORACLE = {
     "op2_quality_rules": QUALITY,
     "op6_warc": WARC,
     "op7_line_dedup": LINES,
+    "op9_url_filter": URLS,
     "op10_decontamination": CONTAMINATION,
 }

@@ -1,6 +1,7 @@
 """Queries with SQL against DuckDB; all queries on empty and awkward tables."""
 
 import datetime
+import random
 
 import duckdb
 import pytest
@@ -54,6 +55,26 @@ def test_query_equals_sql_on_hot_rows(spark, skewed, name):
     assert compare(QUERIES[name](spark, skewed), connection, ORACLE[name]) == ""
 
 
+def test_verdicts_over_links_equal_sql(spark, tmp_path):
+    rng = random.Random(5)
+    hosts = [f"h{i}.{rng.choice(['net', 'org', 'com'])}" for i in range(30)] + ["HUB.org", "example.com"]
+    pages = []
+    for i in range(400):
+        own = rng.choice(hosts)
+        refs = "".join(
+            f'<a {rng.choice(["href", "SRC"])} = "{rng.choice(["http://", "//", "x:", "/"])}{rng.choice(hosts)}/en/">'
+            for _ in range(rng.randint(0, 3)))
+        pages.append((i, f"http://{own}/{rng.choice(['en/', 'es/', 'fr/', '', 'de/?://c.net/'])}", refs))
+    folder = str(tmp_path)
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{folder}/pages.parquet/*.parquet'")
+    df = QUERIES["op9_url_filter"](spark, folder)
+    assert compare(df, connection, ORACLE["op9_url_filter"]) == ""
+    # Verdicts of both kinds come from the links as well.
+    assert {r.verdict for r in df.where("rule IS NULL").collect()} == {"allow", "block"}
+
+
 DOCS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
     T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
@@ -150,10 +171,14 @@ def test_long_texts(spark, awkward):
 
 
 # Nulls beside ids and repeated ids are defined by the operators, not by the SQL.
-@pytest.mark.parametrize("name", ["op2_quality_rules", "op10_decontamination"])
+@pytest.mark.parametrize("name", ["op2_quality_rules", "op9_url_filter", "op10_decontamination"])
 def test_awkward_rows_equal_sql(spark, awkward, name):
     connection = duckdb.connect()
     connection.execute(f"CREATE VIEW benchmark AS SELECT * FROM '{awkward}/benchmark.parquet/*.parquet' WHERE item_id IS NOT NULL")
+    if name == "op9_url_filter":
+        connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{awkward}/pages.parquet/*.parquet'")
+        assert compare(QUERIES[name](spark, awkward), connection, ORACLE[name]) == ""
+        return
     connection.execute(f"""CREATE VIEW documents AS SELECT DISTINCT doc_id, text FROM
         '{awkward}/documents.parquet/*.parquet' WHERE doc_id IS NOT NULL AND doc_id NOT IN {LONG_IDS}""")
     df = QUERIES[name](spark, awkward).where(f"doc_id NOT IN {LONG_IDS}").dropDuplicates()
