@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from platelake.functions.tensors import false_colour, interleave_planes, join_planes
 from platelake.schemas import CHANNELS, COLOUR_MAP, SITE_KEY
+from platelake.session import cut_lineage
 from platelake.sources.images import scan_keys, scan_site
 
 
@@ -98,11 +99,22 @@ def _same(name: str) -> Column:
 
 def drop_plane_copies(images: DataFrame) -> DataFrame:
     """Copies of a plane become one before they are shuffled. Needed for tables
-    of planes only: under one image root a path, and so a plane, is unique."""
+    of planes only: under one image root a path, and so a plane, is unique.
+
+    A first job looks at addresses alone. Without copies the planes are given
+    back as they are; otherwise only those of repeated addresses are grouped,
+    and the others pass by.
+    """
     rest = [c for c in images.columns if c != "data"]
+    address = [c for c in (*SITE_KEY, "channel") if c in rest]
+    repeated = images.groupBy(*address).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    repeated = cut_lineage(repeated.select(*address), "plane-copies")
+    if repeated.isEmpty():
+        return images
     # Different planes of one address both stay: group_planes refuses them.
-    marked = images.withColumn("_mark", F.xxhash64("data"))
-    return marked.groupBy(*rest, "_mark").agg(F.max("data").alias("data")).drop("_mark")
+    copies = images.join(repeated, address, "left_semi").withColumn("_mark", F.xxhash64("data"))
+    merged = copies.groupBy(*rest, "_mark").agg(F.max("data").alias("data"))
+    return images.join(repeated, address, "left_anti").unionByName(merged.drop("_mark"))
 
 
 def group_planes(
@@ -196,8 +208,9 @@ def load_from(
 ) -> DataFrame:
     """Site images of the addresses in ``keys``. The joins and the stacking use
     the same partitioning, so planes are shuffled once whichever join Spark
-    picks. Strict: an address without a single file is an error too.
-    ``unique`` promises that no plane is there twice."""
+    picks; copies of planes, if there are any, are shuffled once more. Strict:
+    an address without a single file is an error too. ``unique`` promises that
+    no plane is there twice, which saves looking for copies."""
     if not unique:
         images = drop_plane_copies(images)
     wanted = keys.select(*SITE_KEY).distinct()

@@ -7,7 +7,7 @@ from platelake.functions.tensors import (
 )
 from platelake.operators import pixels
 from platelake.operators.chunks import to_chunks
-from platelake.operators.stack import drop_plane_copies, stack_channels
+from platelake.operators.stack import drop_plane_copies, load_from, stack_channels
 from platelake.schemas import CHANNELS, PIXEL_STATS
 
 
@@ -112,6 +112,29 @@ def test_copies_of_a_plane_change_nothing(spark):
     assert drop_plane_copies(many).count() == 2
     (one,) = stack_channels(many, ["well"], (1, 2)).collect()
     assert list(one.image) == [v for v in range(6) for _ in range(2)]
+    # One that differs stays, so that stacking can refuse it.
+    other = _planes(spark, [("a", 2, range(1, 7)), (None, 2, range(6)), (None, 2, range(6))])
+    kept = drop_plane_copies(many.unionByName(other))
+    assert sorted((str(r.well), r.channel) for r in kept.collect()) == [
+        ("None", 2), ("None", 2), ("a", 1), ("a", 2), ("a", 2)]
+
+
+def test_planes_without_copies_move_once(spark):
+    rows = [("train", "RPE-01", 1, f"B{w:02}", 1, c, 2, 3, bytearray(range(6)))
+            for w in range(2, 6) for c in (1, 2)]
+    planes = spark.createDataFrame(
+        rows, "dataset string, experiment string, plate int, well string, site int, channel int, "
+              "height int, width int, data binary")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        loaded = load_from(planes, planes.where("well < 'B05'"), (1, 2), strict=False)
+        text = loaded._jdf.queryExecution().executedPlan().toString()
+        # One exchange of pixels, one of wanted keys; stacking reuses them.
+        assert text.count("Exchange hashpartitioning") == text.count("Exchange") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(r.well for r in loaded.collect()) == ["B02", "B03", "B04"]
 
 
 def test_statistics(spark):
