@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +29,14 @@ SAMPLE_WINDOWS_OF_A_DOC = 6
 MADE_WINDOWS = 1500
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# Repeats that cannot give anything back keep no way back, however long they are.
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 # A match cannot start within a run of digits whose start has failed.
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
-_CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
+_CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_ANCHORS = re.compile(r"[0-9@](?:[^\n]{0,16}[0-9@])*")
+_ANCHORS = re.compile(r"[0-9@](?:[^\n]{0,16}[0-9@])*+")
 
 
 def luhn(digits: str) -> bool:
@@ -140,12 +142,21 @@ def reconcile(text: str, starts: list[int], tags: np.ndarray,
                 found[span] = max(found.get(span, -1), margin)
     taken = list(base)
     added = [(m, s) for s, m in found.items() if plausible(s[0], text[s[1]:s[2]])]
-    # Base spans of different kinds may overlap; added ones never do.
-    occupied = sorted((a, b) for _, a, b in base)
+    # Base spans of different kinds may overlap; added ones never do. What is
+    # occupied is kept in order and apart, so only the neighbours are asked.
+    froms, tos = [], []
+    for _, a, b in sorted(base, key=lambda s: s[1:]):
+        if tos and a < tos[-1]:
+            tos[-1] = max(tos[-1], b)
+        else:
+            froms.append(a)
+            tos.append(b)
     for _, (kind, a, b) in sorted(added, key=lambda x: (-x[0], x[1][1] - x[1][2], x[1][1], x[1][0])):
-        if all(b <= x or a >= y for x, y in occupied):
+        i = bisect_left(froms, a)
+        if (i == 0 or tos[i - 1] <= a) and (i == len(froms) or b <= froms[i]):
             taken.append((kind, a, b))
-            occupied.append((a, b))
+            froms.insert(i, a)
+            tos.insert(i, b)
     return taken
 
 
@@ -260,10 +271,11 @@ def spans_of_texts(tagger: Tagger, texts: list[str]) -> Iterator[tuple[list, lis
     held = 0
 
     def flush():
-        filled = [(t, s) for t, s, _ in waiting if s]
-        codes = np.concatenate([codes_of(t, s) for t, s in filled]) if filled else np.zeros((0, WINDOW), np.int64)
-        tags = np.concatenate([tagger.decode(codes[i:i + DECODED]) for i in range(0, len(codes), DECODED)]
-                              ) if len(codes) else codes
+        places = [(text, s) for text, starts, _ in waiting for s in starts]
+        tags = np.zeros((len(places), WINDOW), np.int8)
+        for i in range(0, len(places), DECODED):
+            codes = np.concatenate([codes_of(text, [s]) for text, s in places[i:i + DECODED]])
+            tags[i:i + DECODED] = tagger.decode(codes)
         at = 0
         for text, starts, base in waiting:
             own = tags[at:at + len(starts)]

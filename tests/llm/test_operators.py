@@ -383,6 +383,35 @@ def test_tagger_and_spans(spark):
     assert added[3].startswith("email:")
 
 
+def test_spans_are_reconciled_as_by_hand():
+    """Against asking every span taken before."""
+    rng = random.Random(5)
+    for _ in range(300):
+        text = "".join(rng.choice("0123456789@. +") for _ in range(rng.randint(1, 300)))
+        starts = pii.windows(text)
+        base = pii.base_spans(text)
+        tags = np.array([[rng.choice((0, 0, 7, 8, 8, 8, 8, 8, 8)) for _ in range(pii.WINDOW)] for _ in starts])
+        found = {}
+        for start, row in zip(starts, tags.reshape(-1, pii.WINDOW)):
+            length = min(pii.WINDOW, len(text) - start)
+            for kind, a, b in tagger.spans_of(row[:length]):
+                if not (a == 0 and start > 0) and not (b == length and start + length < len(text)):
+                    span = (kind, start + a, start + b)
+                    found[span] = max(found.get(span, 0), min(a, length - b))
+        taken = list(base)
+        for kind, a, b in sorted(found, key=lambda s: (-found[s], s[1] - s[2], s[1], s[0])):
+            if pii.plausible(kind, text[a:b]) and all(b <= x or a >= y for _, x, y in taken):
+                taken.append((kind, a, b))
+        assert sorted(pii.reconcile(text, starts, tags, base)) == sorted(taken)
+
+
+def test_long_texts_of_spans():
+    line = "call (212) 555-0147 or +1 212 555 0147 or joe@host.com, "
+    model = tagger.Tagger()
+    (base, spans), (nothing, none) = pii.spans_of_texts(model, [line * 5000, "7" * 1_000_000])
+    assert len(base) == 10_000 and set(base) <= set(spans) and nothing == none == []
+
+
 # --- 6 -----------------------------------------------------------------------
 
 def test_archives_are_read_back(spark, tmp_path):
