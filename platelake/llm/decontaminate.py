@@ -81,8 +81,13 @@ def overlaps(
         plain_words(whole(text)).alias("words"))
     window = F.slice("words", F.col("start") + 1, F.col("len"))
     scanned = _windows_of(listed, lengths).withColumn("hash", F.xxhash64(window))
-    found = scanned.join(F.broadcast(windows) if small else windows, "hash")
-    same = (F.col("len") == F.col("gram_len")) & (F.array_join(window, " ") == F.col("gram"))
+    own = F.array_join(window, " ")
+    if not small:
+        # A shuffled row holds its window, not all words of the text.
+        scanned = scanned.select("id", "text_hash", "start", "len", "hash", own.alias("own"))
+        own = F.col("own")
+    found = scanned.join(F.broadcast(windows) if small else windows.hint("merge"), "hash")
+    same = (F.col("len") == F.col("gram_len")) & (own == F.col("gram"))
     return (
         found.where(same).select("id", "text_hash", "start", "len", "items")
         .groupBy("id", "text_hash").agg(

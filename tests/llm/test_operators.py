@@ -567,3 +567,7 @@ def test_joined_windows_equal_broadcast_ones(spark):
 
     assert rows(1 << 30) == rows(0)
     assert any(n for _, n, _ in rows(0))
+    plan = decontaminate.overlaps(docs, benchmark, broadcast_bytes=0)._jdf.queryExecution().executedPlan().toString()
+    # What is shuffled by window is the window, without the words of its text.
+    assert "SortMergeJoin" in plan
+    assert re.search(r"Project \[id#\d+L, text_hash#\d+L, start#\d+, len#\d+, xxhash64\(", plan)
