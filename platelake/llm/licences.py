@@ -50,8 +50,28 @@ TEMPLATES = (
     ("cc-by", "licensed under a Creative Commons Attribution 4.0 International License"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with "
             "or without fee is hereby granted"),
+    ("gpl-2", "licensed under the GNU General Public License, version 2"),
+    ("lgpl-3", "licensed under the GNU Lesser General Public License, version 3"),
+    ("lgpl-2.1", "licensed under the GNU Lesser General Public License, version 2.1"),
+    ("lgpl-2", "licensed under the GNU Library General Public License, version 2"),
+    ("agpl-3", "licensed under the GNU Affero General Public License, version 3"),
+    *((label, f"under the terms of the GNU {name} General Public License as published by the Free "
+              f"Software Foundation, either version {version} of the License, or (at your option) "
+              "any later version")
+      for label, name, version in (
+          ("lgpl-3", "Lesser", "3"), ("lgpl-2.1", "Lesser", "2.1"), ("lgpl-2", "Library", "2"),
+          ("agpl-3", "Affero", "3"))),
+    *((f"cc-by-{label}", f"licensed under a Creative Commons Attribution-{name} 4.0 International License")
+      for label, name in (
+          ("sa", "ShareAlike"), ("nd", "NoDerivatives"), ("nc-sa", "NonCommercial-ShareAlike"),
+          ("nc-nd", "NonCommercial-NoDerivatives"))),
 )
 
+# Words that make another licence of the same notice. None may stand in a gap,
+# and like the version number a template's own must be matched.
+MARKERS = frozenset(w.encode() for w in (
+    "lesser", "library", "affero", "noncommercial", "sharealike", "noderivatives", "noderivs"))
+
 # Every byte that is no part of a word becomes a space; A-Z are lower-cased before.
 _TO_WORDS = bytes(
     b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else 0x20 for b in range(256))
@@ -61,6 +81,17 @@ def words_of(data: bytes) -> list[bytes]:
     return data.lower().translate(_TO_WORDS).split()
 
 
+def key_places(words: Sequence[bytes]) -> list[int]:
+    """Places of the words that tell a template from its neighbours: markers,
+    and the numbers right behind "version" or "v", but for a zero."""
+    out, counting = [], False
+    for place, word in enumerate(words):
+        counting = word.isdigit() and (counting or (place > 0 and words[place - 1] in (b"version", b"v")))
+        if word in MARKERS or (counting and word != b"0"):
+            out.append(place)
+    return out
+
+
 class State:
     __slots__ = ("length", "link", "next", "ends", "phrases")
 
@@ -89,15 +120,21 @@ class Automaton:
         self.phrase_count = len(phrases)
         self.vocabulary: dict[bytes, int] = {}
         self.sizes: list[int] = []
+        # Per text its places that must be matched, none for phrases.
+        self.keys: list[list[int]] = []
         self.states = [State(0, -1, {})]
         for k, (_, text) in enumerate(texts):
-            tokens = [self.vocabulary.setdefault(w, len(self.vocabulary))
-                      for w in words_of(text.encode("utf-8"))]
+            words = words_of(text.encode("utf-8"))
+            tokens = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words]
             self.sizes.append(len(tokens))
+            self.keys.append(key_places(words) if k >= self.phrase_count else [])
             last = 0
             for place, token in enumerate(tokens):
                 last = self._add(last, token)
                 self.states[last].ends.append((k, place))
+        # Markers are known words even where no template has them.
+        self.markers = {self.vocabulary.setdefault(w, len(self.vocabulary)) for w in sorted(MARKERS)}
+        self.reach = max(self.sizes, default=0)
         self._close()
 
     def _add(self, last: int, token: int) -> int:
@@ -160,6 +197,8 @@ class Scan:
         self.phrase_labels: set[str] = set()
         self.state = self.length = 0
         self.at = -1
+        # Places of the last markers, as far back as a gap may lie.
+        self.marked: deque = deque()
         # Per template the chains that a match could still go on.
         self.open: dict[int, deque] = {}
         self.found: list[tuple] = []
@@ -183,6 +222,10 @@ class Scan:
                 self.length = states[self.state].length
         following = states[self.state].next.get(token)
         self.at = place
+        if token in self.a.markers:
+            self.marked.append(place)
+            while place - self.marked[0] > self.a.reach + self.max_gap + 1:
+                self.marked.popleft()
         if following is None:
             self.state = self.length = 0
             return
@@ -201,23 +244,43 @@ class Scan:
         templates that hold it."""
         if self.length < self.min_match:
             return
-        start, size = self.at - self.length + 1, self.length
         for k, place in self.a.states[self.state].ends:
-            begin = place - size + 1
-            chains = self.open.setdefault(k, deque())
-            while chains and start - chains[0][0] > self.max_gap + 1:
-                chains.popleft()
-            best = (0, start, start)
-            for end, template_end, covered, first in chains:
-                # Words shared by both matches count once.
-                shared = max(end - start + 1, template_end - begin + 1, 0)
-                if shared < size and end < self.at and template_end < place:
-                    best = max(best, (covered - shared, -first, first))
-            covered, first = best[0] + size, best[2]
-            chains.append((self.at, place, covered, first))
-            score = covered / self.a.sizes[k]
-            if score >= self.min_cover:
-                self.found.append((first, self.at, k, min(score, 1.0)))
+            self._chain(k, place, self.length)
+
+    def _chain(self, k: int, place: int, size: int) -> None:
+        """Lets the ``size`` words that end here and at ``place`` of template
+        ``k`` go on the best of its chains, or begin one.
+
+        A chain holds every key of the template up to where it has come, and
+        its gaps hold no marker. Words in its gaps lower the score: it is what
+        is covered, over the template and the gaps.
+        """
+        start, begin = self.at - size + 1, place - size + 1
+        keys = self.a.keys[k]
+        chains = self.open.setdefault(k, deque())
+        while chains and self.at - self.a.sizes[k] - chains[0][0] > self.max_gap + 1:
+            chains.popleft()
+        # Value, first word, words covered, words in gaps.
+        best = (size, -start, size, 0) if not keys or begin <= keys[0] else None
+        for end, template_end, covered, gaps, first in chains:
+            # Words shared by both matches count once.
+            shared = max(end - start + 1, template_end - begin + 1, 0)
+            if not (shared < size and end < self.at and template_end < place) or (
+                    start - end > self.max_gap + 1):
+                continue
+            if any(template_end < key < begin + shared for key in keys) or any(
+                    end < mark < start + shared for mark in self.marked):
+                continue
+            total, skipped = covered + size - shared, gaps + start + shared - end - 1
+            value = (total - self.min_cover * skipped, -first, total, skipped)
+            best = value if best is None else max(best, value)
+        if best is None:
+            return
+        _, first, covered, gaps = best
+        chains.append((self.at, place, covered, gaps, -first))
+        score = covered / (self.a.sizes[k] + gaps)
+        if score >= self.min_cover and (not keys or place >= keys[-1]):
+            self.found.append((-first, self.at, k, min(score, 1.0)))
 
     def spans(self) -> list[Span]:
         """Template spans that do not overlap: the better covered of two

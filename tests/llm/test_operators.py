@@ -224,6 +224,42 @@ def test_licence_labels(text, labels):
     assert licences.scan_text(licences.Automaton(), text.encode())[5] == labels
 
 
+_GNU = "licensed under the GNU {}General Public License, version {}"
+_LATER = ("under the terms of the GNU {}General Public License as published by the Free Software Foundation, "
+          "either version {} of the License, or (at your option) any later version")
+_CC = "licensed under a Creative Commons Attribution{} 4.0 International License"
+_NEAR = [
+    *[(form.format(name, version), label) for form in (_GNU, _LATER) for name, version, label in (
+        ("", "2", "gpl-2"), ("", "3", "gpl-3"), ("Lesser ", "3", "lgpl-3"), ("Lesser ", "2.1", "lgpl-2.1"),
+        ("Library ", "2", "lgpl-2"), ("Affero ", "3", "agpl-3"), ("", "1", ""), ("Affero ", "1", ""))],
+    *[(_CC.format(name), label) for name, label in (
+        ("", "cc-by"), ("-ShareAlike", "cc-by-sa"), ("-NoDerivatives", "cc-by-nd"), ("-NonCommercial", "cc-by-nc"),
+        ("-NonCommercial-ShareAlike", "cc-by-nc-sa"), ("-NonCommercial-NoDerivatives", "cc-by-nc-nd"),
+        ("-NoDerivs", ""))],
+    ("Licensed under the Apache License, Version 1.1", ""),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1", ""),
+]
+
+
+@pytest.mark.parametrize("text, label", _NEAR)
+def test_near_licences_are_told_apart(text, label):
+    automaton = licences.Automaton()
+    found = licences.scan_text(automaton, text.encode())
+    assert (found[5], found[6]) == (label, 1.0 if label else 0.0)
+    for other, other_label in _NEAR:
+        both = licences.scan_text(automaton, f"{text}. {'word ' * 20} {other}.".encode())
+        assert both[5] == ",".join(sorted({label, other_label} - {""}))
+
+
+def test_words_in_gaps_lower_the_score():
+    text = "licensed under a fine Creative Commons Attribution 4.0 International License"
+    found = licences.scan_text(licences.Automaton(), text.encode())
+    size = len(licences.words_of(_CC.format("").encode()))
+    assert found[5] == "cc-by" and math.isclose(found[6], size / (size + 1))
+    text = text.replace("fine", "very very very very very fine")
+    assert licences.scan_text(licences.Automaton(), text.encode())[5] == ""
+
+
 # --- 4 -----------------------------------------------------------------------
 
 def simhash_of(text, size=3):
