@@ -120,6 +120,7 @@ class Automaton:
         self.phrase_count = len(phrases)
         self.vocabulary: dict[bytes, int] = {}
         self.sizes: list[int] = []
+        self.tokens: list[list[int]] = []
         # Per text its places that must be matched, none for phrases.
         self.keys: list[list[int]] = []
         self.states = [State(0, -1, {})]
@@ -127,6 +128,7 @@ class Automaton:
             words = words_of(text.encode("utf-8"))
             tokens = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words]
             self.sizes.append(len(tokens))
+            self.tokens.append(tokens)
             self.keys.append(key_places(words) if k >= self.phrase_count else [])
             last = 0
             for place, token in enumerate(tokens):
@@ -135,8 +137,26 @@ class Automaton:
         # Markers are known words even where no template has them.
         self.markers = {self.vocabulary.setdefault(w, len(self.vocabulary)) for w in sorted(MARKERS)}
         self.reach = max(self.sizes, default=0)
+        self._ending: dict[tuple[int, int | None], list[tuple[int, int, int]]] = {}
         self._close()
 
+    def ending(self, state: int, token: int | None) -> list[tuple[int, int, int]]:
+        """(template, last place, longest size) of the occurrences at a state
+        and its suffix links that ``token`` does not go on."""
+        out = self._ending.get((state, token))
+        if out is None:
+            out, seen, at = [], set(), state
+            while at > 0:
+                for k, place in self.states[at].ends:
+                    if (k, place) not in seen:
+                        seen.add((k, place))
+                        words = self.tokens[k]
+                        if place + 1 == len(words) or words[place + 1] != token:
+                            out.append((k, place, self.states[at].length))
+                at = self.states[at].link
+            self._ending[state, token] = out
+        return out
+
     def _add(self, last: int, token: int) -> int:
         states = self.states
         known = states[last].next.get(token)
@@ -213,10 +233,10 @@ class Scan:
     def _step(self, place: int, token: int) -> None:
         states = self.a.states
         if place != self.at + 1 and self.length:
-            self._match_ends()
+            self._match_ends(None)
             self.state = self.length = 0
-        if self.length and token not in states[self.state].next:
-            self._match_ends()
+        if self.length:
+            self._match_ends(token)
             while self.state and token not in states[self.state].next:
                 self.state = states[self.state].link
                 self.length = states[self.state].length
@@ -239,13 +259,16 @@ class Scan:
                 self.last = start if self.last is None else max(self.last, start)
                 self.phrase_labels.add(self.a.labels[k])
 
-    def _match_ends(self) -> None:
-        """Adds the longest match up to the last word to the chains of all
-        templates that hold it."""
+    def _match_ends(self, token: int | None) -> None:
+        """Adds to the chains of each template what matches it up to the last
+        word and does not go on with ``token``: the longest match, and shorter
+        ones that only end here in another place or template."""
         if self.length < self.min_match:
             return
-        for k, place in self.a.states[self.state].ends:
-            self._chain(k, place, self.length)
+        for k, place, longest in self.a.ending(self.state, token):
+            size = min(longest, self.length)
+            if size >= self.min_match:
+                self._chain(k, place, size)
 
     def _chain(self, k: int, place: int, size: int) -> None:
         """Lets the ``size`` words that end here and at ``place`` of template
@@ -285,7 +308,7 @@ class Scan:
     def spans(self) -> list[Span]:
         """Template spans that do not overlap: the better covered of two
         stands, then the longer, then the one further ahead."""
-        self._match_ends()
+        self._match_ends(None)
         self.state = self.length = 0
         out: list[Span] = []
         group: list[tuple] = []

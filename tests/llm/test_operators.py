@@ -260,6 +260,47 @@ def test_words_in_gaps_lower_the_score():
     assert licences.scan_text(licences.Automaton(), text.encode())[5] == ""
 
 
+def test_templates_inside_longer_matches():
+    automaton = licences.Automaton()
+    text = 'Licensed under the Apache License, Version 2.0 (the "License") is what it says'
+    assert licences.scan_text(automaton, text.encode())[7] == [
+        {"label": "apache-2", "start": 0, "end": 8, "score": 1.0}]
+    # A suffix of what matches the one template begins the other.
+    nested = licences.Automaton((), (("long", "a b c d e f g h"), ("inner", "c d e f"), ("tail", "e f g x y z")))
+    spans = licences.scan_text(nested, b"a b c d e f g x y z")[7]
+    assert [(s["label"], s["start"], s["end"]) for s in spans] == [("tail", 4, 10)]
+    assert [s["label"] for s in licences.scan_text(nested, b"b c d e f g")[7]] == ["inner"]
+
+
+def test_matches_of_every_template():
+    """What is chained, against every longest run of words shared with a template."""
+    automaton = licences.Automaton()
+    rng = random.Random(8)
+    known = [licences.words_of(t.encode()) for _, t in licences.TEMPLATES]
+    for _ in range(40):
+        words = []
+        while len(words) < 40:
+            w = rng.choice(known)
+            i = rng.randrange(len(w))
+            words += w[i:i + rng.randint(1, 12)]
+        expected = set()
+        for k, w in enumerate(known):
+            for i in range(len(words)):
+                for j in range(len(w)):
+                    n = 0
+                    while n <= min(i, j) and words[i - n] == w[j - n]:
+                        n += 1
+                    goes_on = i + 1 < len(words) and j + 1 < len(w) and words[i + 1] == w[j + 1]
+                    if n >= licences.MIN_MATCH and not goes_on:
+                        expected.add((k + len(licences.PHRASES), i, j, n))
+        got = set()
+        scan = licences.Scan(automaton)
+        scan._chain = lambda k, place, size: got.add((k, scan.at, place, size))
+        scan.feed(words)
+        scan.spans()
+        assert {g for g in got if g[0] >= len(licences.PHRASES)} == expected
+
+
 # --- 4 -----------------------------------------------------------------------
 
 def simhash_of(text, size=3):
