@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
+import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -38,6 +40,25 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _ANCHORS = re.compile(r"[0-9@](?:[^\n]{0,16}[0-9@])*+")
 
+# What stands for @, dots and digits. Brackets may be around a sign as well.
+_OPEN, _CLOSE = r"\s{0,3}[\[({<]\s?", r"\s?[\])}>]\s{0,3}"
+_DOT = rf"(?:{_OPEN}(?:dot|\.){_CLOSE}|\s{{1,3}}dot\s{{1,3}}|\.)"
+_LABEL = r"[a-z0-9-]{1,63}"
+_WORDED_EMAIL = re.compile(
+    rf"(?i)[a-z0-9_%+-]+(?:{_DOT}[a-z0-9_%+-]+)*"
+    rf"(?:{_OPEN}(?:at|@){_CLOSE}|(?P<at>\s{{1,3}}at\s{{1,3}})|\s{{0,3}}@\s{{0,3}})"
+    rf"(?P<domain>{_LABEL}(?:{_DOT}{_LABEL})+)")
+_NUMBER = {w: str(i) for i, w in enumerate(
+    "zero one two three four five six seven eight nine".split())} | {"oh": "0", "plus": "+"}
+_WORD = re.compile(r"[a-z]+")
+# An email's "at" and what follows; what stands ahead of it, in a bounded slice.
+_WORDED_AT = re.compile(rf"(?i)\bat\b\s?[\])}}>]?\s{{0,3}}{_LABEL}{_DOT}[a-z0-9]")
+_AHEAD = re.compile(rf"(?i)[a-z0-9_%+-]+(?:{_DOT}[a-z0-9_%+-]+)*(?:{_OPEN}|\s{{1,3}})\Z")
+AHEAD = 320
+# Digit words in a row, groups of digits among them.
+_TOKEN = f"(?:{'|'.join(w for w in _NUMBER if w != 'plus')}|[0-9]{{1,4}}+)"
+_WORDED_NUMBER = re.compile(rf"(?i)\b(?:plus\s|\+)?{_TOKEN}\b(?:[\s,./-]{{1,3}}+{_TOKEN}\b){{2,}}+")
+
 
 def luhn(digits: str) -> bool:
     total = 0
@@ -87,12 +108,43 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+@functools.lru_cache(1 << 16)
+def _folded(char: str) -> str:
+    """The ASCII character that a wide or foreign one stands for, or itself."""
+    if char.isdecimal():
+        return str(unicodedata.decimal(char))
+    plain = unicodedata.normalize("NFKC", char)
+    return plain if len(plain) == 1 and plain.isascii() and not plain.isdigit() else char
+
+
+def folded(text: str) -> str:
+    """The text with all decimal digits and full-width signs as ASCII ones, of
+    the same length."""
+    return text if text.isascii() else "".join(c if c < "\x80" else _folded(c) for c in text)
+
+
+def _numbered(text: str) -> str:
+    """A text of digits and digit words with digits for the words; as it is if
+    it holds another word."""
+    lowered = text.lower()
+    if any(w not in _NUMBER for w in _WORD.findall(lowered)):
+        return text
+    return _WORD.sub(lambda m: _NUMBER[m.group()], lowered)
+
+
 def plausible(kind: int, text: str) -> bool:
     """What an added span must be at least."""
-    digits = _digits(text)
+    text = folded(text)
     if kind == EMAIL:
         left, _, right = text.partition("@")
-        return bool(left.strip()) and "." in right.strip(" .") and len(text.split()) <= 5
+        if bool(left.strip()) and "." in right.strip(" .") and len(text.split()) <= 5:
+            return True
+        worded = _WORDED_EMAIL.fullmatch(text)
+        # "look at example.org" is none: a bare "at" needs a worded dot.
+        return bool(worded) and (not worded["at"] or re.search("(?i)dot", worded["domain"]) is not None)
+    if kind in (CARD, PHONE):
+        text = _numbered(text)
+    digits = _digits(text)
     if kind == IP:
         parts = re.split(r"[^0-9]+", text)
         return len(parts) == 4 and all(p and len(p) <= 3 and int(p) <= 255 for p in parts)
@@ -101,9 +153,43 @@ def plausible(kind: int, text: str) -> bool:
     return 9 <= len(digits) <= 15 and not re.search(r"[^0-9+() ./-]", text)
 
 
+def kind_of(kind: int, text: str) -> int | None:
+    """The kind of an added span, None if it is not plausible. Digit words of
+    cards and phones look the same until they are counted, so of those the
+    count decides: from 13 digits on that fit and no plus a card, else a phone."""
+    if kind in (CARD, PHONE) and _WORD.search(folded(text).lower()):
+        numbered = _numbered(folded(text))
+        long = len(_digits(numbered)) >= 13 and "+" not in numbered
+        order = (CARD, PHONE) if long else (PHONE, CARD)
+        return next((k for k in order if plausible(k, text)), None)
+    return kind if plausible(kind, text) else None
+
+
+def worded_spans(text: str) -> list[tuple[int, int, int]]:
+    """(kind, start, end) of emails and numbers that are written in words.
+    A row of digits that only counts up is none."""
+    out = []
+    for m in _WORDED_AT.finditer(text):
+        low = max(m.start() - AHEAD, 0)
+        ahead = _AHEAD.search(text[low:m.start()])
+        # A name that begins ahead of the slice is too long for an address.
+        if not ahead or (low and not ahead.start() and text[low - 1] in _LOCAL):
+            continue
+        found = _WORDED_EMAIL.match(text, low + ahead.start())
+        if found and found.end() > m.start() and plausible(EMAIL, found.group()):
+            out.append((EMAIL, *found.span()))
+    for m in _WORDED_NUMBER.finditer(text):
+        if _WORD.search(m.group().lower()) and _digits(_numbered(m.group())) not in "0123456789":
+            kind = kind_of(PHONE, m.group())
+            if kind is not None:
+                out.append((kind, *m.span()))
+    return out
+
+
 def windows(text: str) -> list[int]:
-    """Starts of the overlapping windows over every stretch with a digit or
-    an @. A span must hold one of them, so elsewhere all tags are outside."""
+    """Starts of the overlapping windows over every stretch with a digit of any
+    script or an @. What holds neither is found by its words, not by tags."""
+    text = folded(text)
     starts, reach = [], -1
     for m in _ANCHORS.finditer(text):
         start = max(m.start() - STRIDE, 0, reach)
@@ -120,18 +206,20 @@ def windows(text: str) -> list[int]:
 def codes_of(text: str, starts: list[int]) -> np.ndarray:
     out = np.zeros((len(starts), WINDOW), np.int64)
     for row, s in zip(out, starts, strict=True):
-        found = encode(text[s:s + WINDOW])
+        found = encode(folded(text[s:s + WINDOW]))
         row[:len(found)] = found
     return out
 
 
 def reconcile(text: str, starts: list[int], tags: np.ndarray,
-              base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+              base: list[tuple[int, int, int]],
+              more: dict[tuple[int, int, int], int] | None = None) -> list[tuple[int, int, int]]:
     """Base spans and what the windows add. A span that touches the end of its
     window is left to the window that holds more around it. Of two that
     overlap the one further from the ends of its window stands, then the
-    longer, then the one ahead; base spans always stand."""
-    found = {}
+    longer, then the one ahead; base spans always stand. ``more`` are further
+    spans with what counts as their room."""
+    found = dict(more or {})
     for start, row in zip(starts, tags, strict=True):
         length = min(WINDOW, len(text) - start)
         for kind, a, b in spans_of(row[:length]):
@@ -141,7 +229,8 @@ def reconcile(text: str, starts: list[int], tags: np.ndarray,
                 margin = min(a, length - b)
                 found[span] = max(found.get(span, -1), margin)
     taken = list(base)
-    added = [(m, s) for s, m in found.items() if plausible(s[0], text[s[1]:s[2]])]
+    added = [(m, (kind, a, b)) for (tag, a, b), m in found.items()
+             if (kind := kind_of(tag, text[a:b])) is not None]
     # Base spans of different kinds may overlap; added ones never do. What is
     # occupied is kept in order and apart, so only the neighbours are asked.
     froms, tos = [], []
@@ -270,6 +359,15 @@ def spans_of_texts(tagger: Tagger, texts: list[str]) -> Iterator[tuple[list, lis
     waiting: list[tuple[str, list[int], list]] = []
     held = 0
 
+    def beyond(text: str, base: list) -> dict:
+        """Added spans that need no tags: those of the exact patterns once wide
+        and foreign signs are ASCII, and worded ones."""
+        shown = folded(text)
+        found = worded_spans(shown)
+        if shown != text:
+            found += set(base_spans(shown)) - set(base)
+        return dict.fromkeys(found, len(text))
+
     def flush():
         places = [(text, s) for text, starts, _ in waiting for s in starts]
         tags = np.zeros((len(places), WINDOW), np.int8)
@@ -280,7 +378,8 @@ def spans_of_texts(tagger: Tagger, texts: list[str]) -> Iterator[tuple[list, lis
         for text, starts, base in waiting:
             own = tags[at:at + len(starts)]
             at += len(starts)
-            yield base, reconcile(text, starts, own, base) if starts else base
+            more = beyond(text, base)
+            yield base, reconcile(text, starts, own, base, more) if starts or more else base
         waiting.clear()
 
     for text in texts:
@@ -326,7 +425,8 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     Windows cover every digit and @ of the whole text with room around, are
     decoded one by one and reconciled over the text. Null texts are empty and
-    hold nothing. Rows are independent; repeated rows give repeated results.
+    hold nothing. Full-width signs and digits of all scripts count as ASCII in
+    added spans, and emails and numbers in words are added. Rows are independent; repeated rows give repeated results.
     The weights of the tagger, a few thousand numbers, travel with the tasks.
     """
     tagger = tagger or train(docs, text, **training)

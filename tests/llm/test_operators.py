@@ -460,6 +460,46 @@ def test_tagger_and_spans(spark):
     assert added[3].startswith("email:")
 
 
+@pytest.fixture(scope="module")
+def trained(spark):
+    return pii.train(documents(spark))
+
+
+@pytest.mark.parametrize("text, kind, span", [
+    ("mail jane at example dot org for more of it", "email", "jane at example dot org"),
+    ("write to name [at] host [dot] com now", "email", "name [at] host [dot] com"),
+    ("name (at) mail.host.com is the address", "email", "name (at) mail.host.com"),
+    ("call five five five one two three four five six seven now please", "phone",
+     "five five five one two three four five six seven"),
+    ("the card ４１１１ １１１１ １１１１ １１１１ is mine", "card", "４１１１ １１１１ １１１１ １１１１"),
+    ("call +４４ ２０ ７９４６ ０９５８ now", "phone", "+４４ ２０ ７９４６ ０９５８"),
+    ("call （５５５） １２３-４５６７ now", "phone", "（５５５） １２３-４５６７"),
+    ("joe＠host．com here", "email", "joe＠host．com"),
+    ("John dot Smith AT mail dot example dot com and so on", "email", "John dot Smith AT mail dot example dot com"),
+    ("pay four " + "one " * 15 + "today", "card", "four" + " one" * 15),
+    ("dial plus four four 20 seven nine four six oh nine five eight now", "phone",
+     "plus four four 20 seven nine four six oh nine five eight"),
+    ("look at example.org for one or two", None, ""),
+    ("one two three four and the dot at the end", None, ""),
+])
+def test_worded_and_wide_spans(trained, text, kind, span):
+    ((base, spans),) = pii.spans_of_texts(trained, [text])
+    assert base == [] and [(pii.KINDS[k], text[a:b]) for k, a, b in spans] == ([(kind, span)] if kind else [])
+
+
+def test_plausible_forms():
+    assert pii.plausible(pii.EMAIL, "a at b dot org") and pii.plausible(pii.EMAIL, "a[at]b.org")
+    assert not pii.plausible(pii.EMAIL, "look at example.org") and not pii.plausible(pii.EMAIL, "a at b")
+    card = "four " + "one " * 15
+    assert pii.kind_of(pii.PHONE, card.strip()) == pii.CARD and pii.kind_of(pii.CARD, card + "bread") is None
+    assert pii.kind_of(pii.CARD, "plus " + "one " * 10 + "two") == pii.PHONE
+    assert pii.folded("٣ ５＠．²①é") == "3 5@.²①é"
+    assert max(pii.windows("x" * 90 + "٣")) + pii.WINDOW >= 91
+    counted = "one two three four five six seven eight nine"
+    assert pii.worded_spans(counted) == [] and pii.worded_spans("oh " + counted + " one") != []
+    assert pii.worded_spans("a" * 100_000 + " at b dot org") == [] == pii.worded_spans("one " * 100_000)
+
+
 def test_spans_are_reconciled_as_by_hand():
     """Against asking every span taken before."""
     rng = random.Random(5)
