@@ -6,8 +6,9 @@ import functools
 import hashlib
 import re
 import unicodedata
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,10 @@ EMAIL, IP, CARD, PHONE = range(4)
 # Windows of the tagger and how far the next one starts, in characters.
 WINDOW = 64
 STRIDE = 32
+# Widths of the windows that spans are decoded in again where they touch an
+# end, and how long a stretch of such spans may be to be one.
+WIDER = (128, 256, 512, 1024, 2048)
+STRETCH = 512
 # Windows decoded at once.
 DECODED = 512
 
@@ -203,19 +208,95 @@ def windows(text: str) -> list[int]:
     return starts
 
 
-def codes_of(text: str, starts: list[int]) -> np.ndarray:
-    out = np.zeros((len(starts), WINDOW), np.int64)
+def codes_of(text: str, starts: list[int], width: int = WINDOW) -> np.ndarray:
+    out = np.zeros((len(starts), width), np.int64)
     for row, s in zip(out, starts, strict=True):
-        found = encode(folded(text[s:s + WINDOW]))
+        found = encode(folded(text[s:s + width]))
         row[:len(found)] = found
     return out
 
 
+def _is_cut(a: int, b: int, start: int, length: int, text: str) -> bool:
+    """Whether a span of a window touches an end with more text behind it."""
+    return (a == 0 and start > 0) or (b == length and start + length < len(text))
+
+
+def cut_stretches(text: str, starts: list[int], tags: np.ndarray,
+                  base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Where spans are cut by the ends of all windows that hold them, pieces
+    that touch put together. Pieces over a base span cannot be added."""
+    whole_ones, pieces = [[] for _ in KINDS], []
+    for start, row in zip(starts, tags, strict=True):
+        length = min(WINDOW, len(text) - start)
+        for kind, a, b in spans_of(row[:length]):
+            if _is_cut(a, b, start, length, text):
+                pieces.append((start + a, start + b, kind))
+            else:
+                whole_ones[kind].append((start + a, start + b))
+
+    def ordered(spans):
+        spans = sorted(spans)
+        return [a for a, _ in spans], list(accumulate((b for _, b in spans), max))
+
+    holding = [ordered(w) for w in whole_ones]
+    froms, tos = ordered((a, b) for _, a, b in base)
+    out: list[tuple[int, int]] = []
+    for a, b, kind in sorted(pieces):
+        i = bisect_right(holding[kind][0], a)
+        j = bisect_left(froms, b)
+        if (i and holding[kind][1][i - 1] >= b) or (j and tos[j - 1] > a):
+            continue
+        if out and a <= out[-1][1] and b - out[-1][0] <= STRETCH:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
+def decoded(tagger: Tagger, places: list[tuple[str, int]], width: int = WINDOW) -> np.ndarray:
+    """Tags of the windows at (text, start), slice by slice."""
+    tags = np.zeros((len(places), width), np.int8)
+    step = max(DECODED * WINDOW // width, 1)
+    for i in range(0, len(places), step):
+        codes = np.concatenate([codes_of(text, [s], width) for text, s in places[i:i + step]])
+        tags[i:i + step] = tagger.decode(codes)
+    return tags
+
+
+def extend(tagger: Tagger, stretches: list[tuple[int, str, int, int]]) -> dict[int, dict]:
+    """Spans over each stretch (owner, text, start, end) from windows that
+    become wider until none of them touches an end; the widest has room for
+    more than an address can hold. Per owner the spans with their room."""
+    found: dict[int, dict] = {}
+    for width in WIDER:
+        now = [x for x in stretches if x[3] - x[2] + STRIDE <= width]
+        later = [x for x in stretches if x[3] - x[2] + STRIDE > width]
+        froms = [max((a + b - width) // 2, 0) for _, _, a, b in now]
+        tags = decoded(tagger, [(x[1], s) for x, s in zip(now, froms, strict=True)], width)
+        for x, start, row in zip(now, froms, tags, strict=True):
+            owner, text, first, last = x
+            length = min(width, len(text) - start)
+            touches = False
+            for kind, a, b in spans_of(row[:length]):
+                if start + a >= last or start + b <= first:
+                    continue
+                if _is_cut(a, b, start, length, text):
+                    touches = True
+                else:
+                    spans = found.setdefault(owner, {})
+                    span = (kind, start + a, start + b)
+                    spans[span] = max(spans.get(span, 0), min(a, length - b))
+            if touches:
+                later.append(x)
+        stretches = later
+    return found
+
+
 def reconcile(text: str, starts: list[int], tags: np.ndarray,
               base: list[tuple[int, int, int]],
               more: dict[tuple[int, int, int], int] | None = None) -> list[tuple[int, int, int]]:
     """Base spans and what the windows add. A span that touches the end of its
-    window is left to the window that holds more around it. Of two that
+    window is left to the windows that hold more around it. Of two that
     overlap the one further from the ends of its window stands, then the
     longer, then the one ahead; base spans always stand. ``more`` are further
     spans with what counts as their room."""
@@ -223,9 +304,8 @@ def reconcile(text: str, starts: list[int], tags: np.ndarray,
     for start, row in zip(starts, tags, strict=True):
         length = min(WINDOW, len(text) - start)
         for kind, a, b in spans_of(row[:length]):
-            cut = (a == 0 and start > 0) or (b == length and start + length < len(text))
             span = (kind, start + a, start + b)
-            if not cut:
+            if not _is_cut(a, b, start, length, text):
                 margin = min(a, length - b)
                 found[span] = max(found.get(span, -1), margin)
     taken = list(base)
@@ -369,17 +449,17 @@ def spans_of_texts(tagger: Tagger, texts: list[str]) -> Iterator[tuple[list, lis
         return dict.fromkeys(found, len(text))
 
     def flush():
-        places = [(text, s) for text, starts, _ in waiting for s in starts]
-        tags = np.zeros((len(places), WINDOW), np.int8)
-        for i in range(0, len(places), DECODED):
-            codes = np.concatenate([codes_of(text, [s]) for text, s in places[i:i + DECODED]])
-            tags[i:i + DECODED] = tagger.decode(codes)
-        at = 0
-        for text, starts, base in waiting:
+        tags = decoded(tagger, [(text, s) for text, starts, _ in waiting for s in starts])
+        at, rows, stretches = 0, [], []
+        for k, (text, starts, base) in enumerate(waiting):
             own = tags[at:at + len(starts)]
             at += len(starts)
-            more = beyond(text, base)
-            yield base, reconcile(text, starts, own, base, more) if starts or more else base
+            rows.append(own)
+            stretches += [(k, text, a, b) for a, b in cut_stretches(text, starts, own, base)]
+        wider = extend(tagger, stretches)
+        for k, (text, starts, base) in enumerate(waiting):
+            more = {**wider.get(k, {}), **beyond(text, base)}
+            yield base, reconcile(text, starts, rows[k], base, more) if starts or more else base
         waiting.clear()
 
     for text in texts:
@@ -424,7 +504,8 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """``id``, counts and digest of the exact patterns, and all spans.
 
     Windows cover every digit and @ of the whole text with room around, are
-    decoded one by one and reconciled over the text. Null texts are empty and
+    decoded one by one and reconciled over the text; spans that no window holds
+    whole are decoded again in wider ones, up to 700 characters long for sure. Null texts are empty and
     hold nothing. Full-width signs and digits of all scripts count as ASCII in
     added spans, and emails and numbers in words are added. Rows are independent; repeated rows give repeated results.
     The weights of the tagger, a few thousand numbers, travel with the tasks.

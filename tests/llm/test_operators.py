@@ -500,6 +500,27 @@ def test_plausible_forms():
     assert pii.worded_spans("a" * 100_000 + " at b dot org") == [] == pii.worded_spans("one " * 100_000)
 
 
+class Lines:
+    """Stands for a tagger: every line is an email."""
+
+    def decode(self, codes):
+        inside = ~np.isin(codes, [0, tagger.encode("\n")[0]])
+        before = np.concatenate([np.zeros((len(codes), 1), bool), inside[:, :-1]], 1)
+        return np.where(inside, np.where(before, 2, 1), 0)
+
+
+@pytest.mark.parametrize("form", ["joe @ {}.example.org", "{}x @ example.org", "a @ {}.7-7.org"])
+def test_long_spans_at_every_offset(form):
+    texts, spans = [], []
+    for size in (32, 33, 47, 63, 64, 65, 90, 128, 200, 400):
+        span = form.format("a" * (size - len(form) + 2))
+        for offset in range(66):
+            texts.append("\n" * offset + span + "\n" * 700)
+            spans.append((pii.EMAIL, offset, offset + size))
+    got = [s for _, s in pii.spans_of_texts(Lines(), texts)]
+    assert got == [[s] for s in spans]
+
+
 def test_spans_are_reconciled_as_by_hand():
     """Against asking every span taken before."""
     rng = random.Random(5)
