@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import re
 import unicodedata
@@ -113,19 +112,33 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-@functools.lru_cache(1 << 16)
+class _Folds(dict):
+    """What characters beyond ASCII are folded to, by code point, worked out
+    when first met. A plain dict travels to workers by value; the wrapper of a
+    cached function would be looked up in a package they may not have."""
+
+    def __missing__(self, code: int) -> str:
+        self[code] = out = _folded(chr(code))
+        return out
+
+
 def _folded(char: str) -> str:
     """The ASCII character that a wide or foreign one stands for, or itself."""
+    if char < "\x80":
+        return char
     if char.isdecimal():
         return str(unicodedata.decimal(char))
     plain = unicodedata.normalize("NFKC", char)
     return plain if len(plain) == 1 and plain.isascii() and not plain.isdigit() else char
 
 
+_FOLDS = _Folds()
+
+
 def folded(text: str) -> str:
     """The text with all decimal digits and full-width signs as ASCII ones, of
     the same length."""
-    return text if text.isascii() else "".join(c if c < "\x80" else _folded(c) for c in text)
+    return text if text.isascii() else text.translate(_FOLDS)
 
 
 def _numbered(text: str) -> str:
