@@ -168,10 +168,117 @@ FROM judged LEFT JOIN trust{urls.ROUNDS} AS trust USING (host)
 LEFT JOIN distrust{urls.ROUNDS} AS distrust USING (host)
 """
 
+NEGATIVES = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM (SELECT * FROM v WHERE vec_id % 100 = 0) a JOIN v b ON a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 10
+"""
+
+
+def _encoded(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    shift = "list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, byte))"
+    return f"xor(list_reduce({codes}, lambda crc, byte: {shift}, 4294967295), 4294967295)"
+
+
+def _tree(name: str, levels: int) -> str:
+    """Levels of the trees over ``<name>0`` (g, rank, n, hash), each with what
+    stands left and right of a node in its run."""
+    out = []
+    for k in range(levels):
+        beside = "OVER (PARTITION BY g, rank // 8 ORDER BY rank ROWS BETWEEN"
+        out.append(
+            f"{name}{k}s AS MATERIALIZED (SELECT *, "
+            f"coalesce(string_agg(hash, '') {beside} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, "
+            f"coalesce(string_agg(hash, '') {beside} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r "
+            f"FROM {name}{k})")
+        out.append(
+            f"{name}{k + 1} AS MATERIALIZED (SELECT g, rank // 8 AS rank, (max(n) + 7) // 8 AS n, "
+            "CASE WHEN max(n) > 1 THEN sha256(string_agg(hash, '' ORDER BY rank)) ELSE min(hash) END "
+            f"AS hash FROM {name}{k} GROUP BY g, rank // 8)")
+    return ",\n".join(out)
+
+
+# 16 million rows of a language, 4,096 languages.
+_DEEP, _TOP = 8, 4
+
+
+def _fold() -> str:
+    """The hash of a leaf taken up one level after another."""
+    out, steps = [], [f"d{k}" for k in range(_DEEP)] + [f"t{k}" for k in range(_TOP)]
+    for k, step in enumerate(steps):
+        h = f"f.h{k - 1}" if k else "f.start"
+        place = (f"s.g = f.g AND s.rank = f.rank // {8 ** k}" if k < _DEEP
+                 else f"s.rank = f.top_rank // {8 ** (k - _DEEP)}")
+        out.append(
+            f"f{k + 1} AS (SELECT f.*, s.l || s.r AS p{k}, CASE WHEN s.n > 1 "
+            f"THEN sha256(s.l || {h} || s.r) ELSE {h} END AS h{k} FROM f{k} f JOIN {step}s s ON {place})")
+    return ",\n".join(out)
+
+
+_FIELDS = ("doc_id", "source", "lang", "n_chars")
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_HEAD = " || ".join(_encoded(c) for c in _FIELDS)
+_LAST = _DEEP + _TOP
+
+MANIFEST = f"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN lang IS NULL THEN '-' ELSE '=' || lang END AS g,
+         sha256({_HEAD} || {_encoded("text")}) AS leaf,
+         CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0
+              THEN sha256({_HEAD} || {_encoded(_LOWER)}) END AS tampered
+  FROM documents
+), placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+         count(*) OVER (PARTITION BY g) AS n
+  FROM docs
+), d0 AS (SELECT g, rank, n, leaf AS hash FROM placed),
+{_tree("d", _DEEP)},
+tops AS MATERIALIZED (
+  SELECT g AS of_g, row_number() OVER (ORDER BY g) - 1 AS rank, count(*) OVER () AS n, hash
+  FROM d{_DEEP}
+), t0 AS (SELECT '' AS g, rank, n, hash FROM tops),
+{_tree("t", _TOP)},
+f0 AS (
+  SELECT placed.*, tops.rank AS top_rank, tops.hash AS subroot, coalesce(tampered, leaf) AS start
+  FROM placed JOIN tops ON of_g = placed.g
+),
+{_fold()}
+SELECT doc_id, leaf, subroot, t{_TOP}.hash AS root,
+       sha256({" || ".join(f"p{k}" for k in range(_LAST))}) AS proof_sha256,
+       h{_LAST - 1} AS folded_root, h{_LAST - 1} = t{_TOP}.hash AS verified
+FROM f{_LAST}, t{_TOP}
+"""
+
 ORACLE = {
     "op2_quality_rules": QUALITY,
     "op6_warc": WARC,
     "op7_line_dedup": LINES,
     "op9_url_filter": URLS,
     "op10_decontamination": CONTAMINATION,
+    "op11_hard_negatives": NEGATIVES,
+    "op13_manifest": MANIFEST,
 }

@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platelake.llm import (
-    bpe, decontaminate, licences, lines, pii, pitman_yor, quality, simhash, urls, warc,
+    bpe, decontaminate, licences, lines, manifest, negatives, pii, pitman_yor, quality, shards,
+    simhash, urls, warc,
 )
+from platelake.llm.text import ascii_lower, whole
 from platelake.session import scratch_path
 
 
@@ -84,7 +86,38 @@ def op10_decontamination(spark, sf):
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_hard_negatives(spark, sf):
+    rows = _table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op12_sharding(spark, sf):
+    placed = shards.shuffle_into_shards(_table(spark, sf, "documents"))
+    text = whole(F.col("row.text"))
+    return placed.select(
+        "row.doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_manifest(spark, sf):
+    docs = _table(spark, sf, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = [ascii_lower(F.col(c)) if c == "text" else F.col(c) for c in columns]
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    listed = manifest.manifest(
+        docs, columns, carry={"tampered": F.when(chosen, manifest.leaf_hash(lowered))})
+    folded = listed.withColumn("folded_root", manifest.fold(F.coalesce("tampered", "leaf")))
+    proof = F.array_join(manifest.siblings(), "")
+    return folded.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(proof.cast("binary"), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pitman_yor, op2_quality_rules, op3_licences, op4_simhash, op5_personal_data, op6_warc,
-    op7_line_dedup, op8_byte_bpe, op9_url_filter, op10_decontamination,
+    op7_line_dedup, op8_byte_bpe, op9_url_filter, op10_decontamination, op11_hard_negatives,
+    op12_sharding, op13_manifest,
 )}
