@@ -119,6 +119,43 @@ def plane_address(site):
     ]
 
 
+def file_address(site):
+    """An address that can be a file's, its own for every site number."""
+    number = lambda n: F.lpad((n + 1).cast("string"), 2, "0")
+    tree = F.expr("site_id div 4") % 3
+    place = F.expr("site_id div 12")
+    return {
+        "dataset": F.when(tree == 0, "test").otherwise("train"),
+        "experiment": F.concat(F.when(tree == 0, "HUVEC-").otherwise("RPE-"),
+                               number(F.expr("site_id div 7392") * 3 + tree)),
+        "plate": (site % 4 + 1).cast("int"),
+        "well": F.concat(F.chr(place % 14 + 66), number(F.expr("site_id div 168") % 22 + 1)),
+        "site": (F.expr("site_id div 3696") % 2 + 1).cast("int"),
+    }
+
+
+def file_planes(spark: SparkSession, sf_dir: str, deep: bool = False) -> DataFrame:
+    """The planes at addresses that files can have. ``deep``: every fifth plane
+    has 16 bits, most of its values beyond 255. Rows that repeat a vector id
+    are one plane."""
+    value = lambda v, top, scale: F.floor(F.abs(v.cast("double")) * scale).cast("int") % top
+    two = lambda v: F.concat(F.lpad(F.hex(v % 256), 2, "0"), F.lpad(F.hex(F.floor(v / 256)), 2, "0"))
+    shallow = F.transform("embedding", lambda v: F.lpad(F.hex(_pixel(v)), 2, "0"))
+    deeper = F.transform("embedding", lambda v: two(value(v, 65536, 100_000)))
+    is_deep = (F.col("vec_id") % 5 == 0) if deep else F.lit(False)
+    return (
+        table(spark, sf_dir, "embeddings").dropDuplicates(["vec_id"])
+        .withColumn("site_id", F.expr("vec_id div 6"))
+        .select(
+            *[c.alias(name) for name, c in file_address(F.col("site_id")).items()],
+            (F.col("vec_id") % 6 + 1).cast("int").alias("channel"),
+            F.lit(SIDE).alias("height"), F.lit(SIDE).alias("width"),
+            F.when(is_deep, 16).otherwise(8).alias("depth"),
+            F.unhex(F.array_join(F.when(is_deep, deeper).otherwise(shallow), "")).alias("data"),
+        )
+    )
+
+
 def plane_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Site table that goes with ``planes``."""
     site = F.col("site_id")

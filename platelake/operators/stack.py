@@ -11,6 +11,8 @@ from platelake.functions.tensors import false_colour, interleave_planes, join_pl
 from platelake.schemas import CHANNELS, COLOUR_MAP, SITE_KEY
 from platelake.session import cut_lineage
 from platelake.sources.images import scan_keys, scan_site
+from platelake.sources.plates import open_sites
+from platelake.sources.stores import can_open
 
 
 def channel_mask(channels: Sequence[int]) -> Column:
@@ -191,12 +193,30 @@ def load_sites(
     root: str,
     channels: Sequence[int] = CHANNELS,
     strict: bool = True,
+    depth: int = 8,
 ) -> DataFrame:
-    """Site images of many addresses. Only their plates are listed, and only
-    files of their wells, sites and channels are read. No keys, no images; an
-    address whose directory is not there is like one without files."""
-    images = scan_keys(spark, root, keys, channels)
-    return load_from(images, keys, channels, strict, unique=True)
+    """Site images of many addresses. Exactly their files are opened, each site
+    by one task, and pixels are not shuffled. No keys, no images. Strict: an
+    address without files and a missing, broken or odd-sized plane are errors;
+    otherwise such sites are left out. ``depth`` 16 gives two bytes per value,
+    low one first; 8 refuses files of 16 bits as if they were broken.
+
+    Where tasks cannot open files by name (a store only Spark reads), the
+    plates of the keys are listed and read by Spark's image source instead,
+    which knows 8 bits only.
+    """
+    if not can_open(root):
+        if depth != 8:
+            raise ValueError(f"files of {root} can be read at 8 bits only")
+        return load_from(scan_keys(spark, root, keys, channels), keys, channels, strict, unique=True)
+    opened, problem = open_sites(spark, root, keys, channels, depth), F.col("problem")
+    # A filter is kept whatever columns are read.
+    if strict:
+        opened = opened.where(
+            F.when(problem.isNull(), True).otherwise(F.raise_error(problem).cast("boolean")))
+    else:
+        opened = opened.where(problem.isNull())
+    return opened.drop("problem")
 
 
 def load_from(

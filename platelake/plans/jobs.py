@@ -20,6 +20,7 @@ from platelake.schemas import (
 )
 from platelake.session import cut_lineage, drop_scratch, image_parquet, replace_folder
 from platelake.sources.images import list_images, list_splits, scan_images
+from platelake.sources.plates import list_plates, scan_plates
 from platelake.sources.metadata_csv import site_table
 from platelake.sources.packed import read_packed
 
@@ -127,6 +128,15 @@ def pack_images(
     return manifest(plan) if strict else written_manifest(plan.sparkSession, plan, dest)
 
 
+def _tree(
+    spark: SparkSession, root: str, datasets: Sequence[str] | None, by_plate: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Planes and addresses of an image tree."""
+    if by_plate:
+        return scan_plates(spark, root, datasets), list_plates(spark, root, datasets)
+    return scan_images(spark, root, datasets), list_images(spark, root, datasets)
+
+
 def pack(
     spark: SparkSession,
     sites: DataFrame,
@@ -138,18 +148,20 @@ def pack(
     seeds: Sequence[int] = (SEED,),
     datasets: Sequence[str] | None = None,
     strict: bool = True,
+    by_plate: bool = False,
 ) -> DataFrame:
     """Packs treatment sites from image files; returns the manifest. Without
-    ``datasets`` the splits found under the image root are packed."""
+    ``datasets`` the splits found under the image root are packed. ``by_plate``
+    lists files on executors, plate by plate, where Spark's image source would
+    keep all their names on the driver; planes of 16 bits are then refused."""
     if datasets is None:
         datasets = list_splits(spark, image_root)
         if not datasets:
             raise ValueError(f"no split directory under {image_root}")
+    images, inventory = _tree(spark, image_root, datasets, by_plate)
     return pack_images(
-        sites, scan_images(spark, image_root, datasets), dest, strategies, channels,
-        per_file, seeds, datasets, strict, list_images(spark, image_root, datasets),
-        unique=True,
-    )
+        sites, images, dest, strategies, channels, per_file, seeds, datasets, strict, inventory,
+        unique=True)
 
 
 ARRAY_DIRS = ("dataset", "experiment")
@@ -226,9 +238,11 @@ def convert_all(
     dest: str,
     strict: bool = True,
     datasets: Sequence[str] | None = None,
+    by_plate: bool = False,
 ) -> None:
-    """Every treatment site of the metadata, or of some splits, as a chunked array."""
+    """Every treatment site of the metadata, or of some splits, as a chunked
+    array. ``by_plate`` as in ``pack``."""
+    images, inventory = _tree(spark, image_root, datasets, by_plate)
     convert_images(
-        site_table(spark, metadata, include_controls=False),
-        scan_images(spark, image_root, datasets), dest, datasets=datasets, strict=strict,
-        inventory=list_images(spark, image_root, datasets), unique=True)
+        site_table(spark, metadata, include_controls=False), images, dest, datasets=datasets,
+        strict=strict, inventory=inventory, unique=True)

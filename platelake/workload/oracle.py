@@ -127,6 +127,26 @@ sums AS (
 SELECT site_id AS id_code, sum(val) AS total, sum(val * (hwc + 1)) AS weighted
 FROM stacked GROUP BY site_id)"""
 
+# Planes at addresses that files can have; every fifth one may have 16 bits.
+FILED = """filed AS (
+SELECT DISTINCT site_id, channel, px, val, depth, pixel,
+  CASE WHEN site_id // 4 % 3 = 0 THEN 'test' ELSE 'train' END AS dataset,
+  concat(CASE WHEN site_id // 4 % 3 = 0 THEN 'HUVEC-' ELSE 'RPE-' END,
+    lpad(CAST(site_id // 7392 * 3 + site_id // 4 % 3 + 1 AS VARCHAR), 2, '0')) AS experiment,
+  CAST(site_id % 4 + 1 AS INT) AS plate,
+  concat(chr(CAST(66 + site_id // 12 % 14 AS INT)),
+    lpad(CAST(site_id // 168 % 22 + 2 AS VARCHAR), 2, '0')) AS well,
+  CAST(site_id // 3696 % 2 + 1 AS INT) AS site
+FROM (SELECT CAST(vec_id // 6 AS BIGINT) AS site_id, CAST(vec_id % 6 + 1 AS INT) AS channel,
+  CAST(p AS INT) AS px, CAST(floor(abs(CAST(v AS DOUBLE)) * 1000) AS INT) % 256 AS pixel,
+  CASE WHEN vec_id % 5 = 0 THEN 16 ELSE 8 END AS depth,
+  CASE WHEN vec_id % 5 = 0 THEN CAST(floor(abs(CAST(v AS DOUBLE)) * 100000) AS INT) % 65536
+    ELSE CAST(floor(abs(CAST(v AS DOUBLE)) * 1000) AS INT) % 256 END AS val
+  FROM (SELECT vec_id, unnest(range(0, 64)) AS p, unnest(embedding) AS v FROM embeddings) e) f),
+filled AS (SELECT * FROM filed WHERE site_id IN
+  (SELECT site_id FROM filed GROUP BY site_id HAVING count(DISTINCT channel) = 6))"""
+FILE_KEY = "dataset, experiment, plate, well, site"
+
 SHARED_STATS = """float_pixels AS (
 SELECT well, site_id, channel, hwc,
   CAST((CAST(val AS FLOAT) - CAST(mean AS FLOAT)) / CAST(std AS FLOAT) AS DOUBLE) AS f
@@ -271,6 +291,18 @@ SELECT well, CAST(arg_max(channel, m) - 1 AS BIGINT) AS class, round(max(m), 3)
 FROM means GROUP BY well""",
 }
 
+ORACLE["load_png_sites"] = f"""WITH {FILED}
+SELECT {FILE_KEY}, px * 6 + channel - 1 AS idx, val FROM filled"""
+ORACLE["load_png_rgb"] = f"""WITH {FILED}, {COLOURS},
+coloured AS (SELECT * REPLACE (pixel AS val) FROM filled)
+""" + " UNION ALL ".join(
+    f"SELECT {FILE_KEY}, px * 3 + {i} AS idx, v AS val FROM ("
+    + _rgb(colour, "coloured", f"{FILE_KEY}, px") + f") c{i}"
+    for i, colour in enumerate(("red", "green", "blue")))
+ORACLE["scan_png_plates"] = f"""WITH {FILED}
+SELECT {FILE_KEY}, channel, 8 AS height, 8 AS width, true AS readable, depth,
+CAST(sum(val) AS BIGINT) AS total FROM filed WHERE dataset = 'train'
+GROUP BY {FILE_KEY}, channel, depth"""
 ORACLE["strict_sites"] = ORACLE["load_sites"]
 ORACLE["write_arrays"] = ORACLE["chunk_sites"]
 ORACLE["convert_sites"] = ORACLE["chunk_sites"]

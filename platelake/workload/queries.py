@@ -25,6 +25,7 @@ from platelake.schemas import (
 )
 from platelake.session import cut_lineage, scratch_path
 from platelake.sources.images import parse_paths, splits_in
+from platelake.sources.plates import scan_plates, write_plates
 from platelake.sources.metadata_csv import site_table
 from platelake.sources.packed import read_chunks, read_packed
 from platelake.streaming.feed import feed_examples, stream_packed
@@ -184,6 +185,39 @@ def load_sites(spark, sf):
     return loaded.select("well", F.posexplode(decode_bytes(F.col("image"))).alias("idx", "val"))
 
 
+def _png_tree(spark, sf, deep):
+    """The planes as PNG files, and the addresses they have."""
+    root = scratch_path(spark, "png")
+    planes = fixtures.file_planes(spark, sf, deep)
+    write_plates(planes, root)
+    return root, planes.select(*SITE_KEY).distinct()
+
+
+def load_png_sites(spark, sf):
+    """Files of both depths, written and opened again by their key."""
+    root, keys = _png_tree(spark, sf, deep=True)
+    loaded = stack.load_sites(spark, keys, root, strict=False, depth=16)
+    values = decode_bytes(F.col("image"), "<u2")
+    return loaded.select(*SITE_KEY, F.posexplode(values).alias("idx", "val"))
+
+
+def load_png_rgb(spark, sf):
+    root, keys = _png_tree(spark, sf, deep=False)
+    rgb = stack.to_rgb(stack.load_sites(spark, keys, root, strict=False))
+    return rgb.select(*SITE_KEY, F.posexplode(decode_bytes(F.col("image"))).alias("idx", "val"))
+
+
+def scan_png_plates(spark, sf):
+    """Every file of one split, plate folder by plate folder."""
+    root, _ = _png_tree(spark, sf, deep=True)
+    planes = scan_plates(spark, root, datasets=["train"])
+    eight, sixteen = (decode_bytes(F.col("data"), kind) for kind in ("uint8", "<u2"))
+    total = lambda values: F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a + v)
+    return planes.select(
+        *SITE_KEY, "channel", "height", "width", "readable", "depth",
+        F.when(F.col("depth") == 16, total(sixteen)).otherwise(total(eight)).alias("total"))
+
+
 def channel_first_images(spark, sf):
     loaded = _stacked(spark, sf, "CHW")
     return loaded.select("well", F.posexplode(decode_bytes(F.col("image"))).alias("idx", "val"))
@@ -402,7 +436,7 @@ QUERIES = {f.__name__: f for f in (
     stack_complete_sites, pixel_index, rgb_compose, normalize_pixels, unit_scale,
     pixel_stats,
     metadata_csv, strict_sites, write_arrays, convert_sites, file_summaries,
-    load_sites, channel_first_images, rgb_images, normalize_images,
+    load_sites, load_png_sites, load_png_rgb, scan_png_plates, channel_first_images, rgb_images, normalize_images,
     pixel_stats_images, chunk_sites, pack_images, stream_examples,
     epoch_batches, step_plan, feed_batches, written_manifest,
     predict_classes, softmax, eval_metrics, row_losses, score_sites, score_unlabelled,

@@ -1,0 +1,242 @@
+"""Image trees by plate folder and site images by key, on real PNG files."""
+
+import os
+import struct
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from platelake.functions import png
+from platelake.operators.stack import load_sites
+from platelake.plans import jobs
+from platelake.schemas import IMAGE_KEY
+from platelake.sources import stores
+from platelake.sources.images import list_images, scan_images
+from platelake.sources.packed import read_packed
+from platelake.sources.plates import list_plates, open_sites, scan_plates, write_plates
+from tests.screens import image_file, site_frame, site_rows, write_images, write_png
+
+KEY = ("dataset", "experiment", "plate", "well", "site")
+
+
+def _key(row):
+    return tuple(row[k] for k in KEY)
+
+
+def _filtered(pixels: np.ndarray, kinds) -> bytes:
+    """A PNG file whose rows use the given filters, byte by byte."""
+    depth = 16 if pixels.dtype == np.uint16 else 8
+    lanes, (height, width) = depth // 8, pixels.shape
+    raw = pixels.astype(">u2" if depth == 16 else np.uint8).tobytes()
+    rows = np.frombuffer(raw, np.uint8).reshape(height, width * lanes).astype(int)
+    out = b""
+    for y, kind in enumerate(kinds):
+        line = []
+        for i in range(width * lanes):
+            a = rows[y, i - lanes] if i >= lanes else 0
+            b = rows[y - 1, i] if y else 0
+            c = rows[y - 1, i - lanes] if y and i >= lanes else 0
+            far = {v: abs(a + b - c - v) for v in (c, b, a)}
+            nearest = min((a, b, c), key=lambda v: far[v])
+            line.append((rows[y, i] - (0, a, b, (a + b) // 2, nearest)[kind]) % 256)
+        out += bytes([kind]) + bytes(line)
+
+    def chunk(name, data):
+        body = name + data
+        return struct.pack(">I", len(data)) + body + struct.pack(">I", zlib.crc32(body))
+
+    header = struct.pack(">IIBBBBB", width, height, depth, 0, 0, 0, 0)
+    packed = zlib.compress(out)
+    return (png.SIGNATURE + chunk(b"IHDR", header) + chunk(b"IDAT", packed[:9])
+            + chunk(b"IDAT", packed[9:]) + chunk(b"IEND", b""))
+
+
+@pytest.mark.parametrize("kind", [np.uint8, np.uint16])
+def test_pixels_of_every_filter(kind):
+    rng = np.random.default_rng(1)
+    for height, width in ((1, 1), (1, 9), (9, 1), (5, 7), (24, 31)):
+        pixels = rng.integers(0, np.iinfo(kind).max + 1, (height, width)).astype(kind)
+        depth = 8 * pixels.dtype.itemsize
+        data = pixels.astype("<u2" if depth == 16 else np.uint8).tobytes()
+        for kinds in (*(np.full(height, k) for k in range(5)), rng.integers(0, 5, height)):
+            assert png.decode_png(_filtered(pixels, kinds)) == (height, width, depth, data)
+        assert png.decode_png(png.encode_png(height, width, depth, data))[3] == data
+
+
+def test_broken_files_are_refused():
+    whole = png.encode_png(4, 4, 8, bytes(16))
+    header = whole.index(b"IHDR") + 4
+    colour = bytearray(whole)
+    colour[header + 9] = 2
+    laced = bytearray(whole)
+    laced[header + 12] = 1
+    for raw in (b"", b"junk", whole[:30], whole[:-20], bytes(colour), bytes(laced),
+                whole.replace(b"IDAT", b"XDAT")):
+        with pytest.raises(ValueError):
+            png.decode_png(raw)
+
+
+def test_scan_equals_the_image_source(spark, tmp_path):
+    rows = site_rows(experiments=2, plates=2, wells=3, sites=2)
+    root = str(tmp_path / "raw")
+    write_images(root, rows, (1, 2))
+    broken = image_file(root, "train", "RPE-01", 1, "B02", 1, 1)
+    with open(broken, "wb") as file:
+        file.write(b"junk")
+    os.remove(image_file(root, "train", "RPE-01", 1, "C03", 1, 2))
+    open(f"{root}/train/RPE-01/Plate1/notes.txt", "w").close()
+    columns = [*IMAGE_KEY, "height", "width", "readable", "data"]
+
+    def found(df):
+        return sorted(
+            tuple(r[c] if r.readable or c not in ("height", "width", "data") else None for c in columns)
+            for r in df.select(*columns).collect())
+
+    assert found(scan_plates(spark, root)) == found(scan_images(spark, root))
+    assert found(scan_plates(spark, root, datasets=["test"], plates=[2], channels=[1])) == found(
+        scan_images(spark, root, ["test"]).where("plate = 2 and channel = 1"))
+    names = lambda df: sorted(df.select(*IMAGE_KEY).collect())
+    assert names(list_plates(spark, root)) == names(list_images(spark, root))
+    assert list_plates(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_filters_choose_folders_and_files(spark, tmp_path):
+    rows = site_rows(experiments=2, plates=3, wells=4, sites=2)
+    root = str(tmp_path / "raw")
+    write_images(root, rows, (1, 2))
+    key, before = "spark.sql.python.filterPushdown.enabled", spark.conf.get(
+        "spark.sql.python.filterPushdown.enabled")
+    spark.conf.set(key, "true")
+    try:
+        scan = scan_plates(spark, root, splits=2)
+        assert scan.rdd.getNumPartitions() == 2 * 2 * 2 * 3
+        some = scan.where("dataset = 'train' and plate >= 2 and plate < 3 and well in ('B02', 'C03')"
+                          " and site = 2 and channel > 1 and depth = 8")
+        # Folders that cannot match are no partitions; the rest of the filters
+        # chooses files, and Spark keeps only those the source does not know.
+        assert some.rdd.getNumPartitions() == 2 * 2
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert "depth" in plan.split("Filter")[1].split("\n")[0] and "well" not in plan.split(
+            "Filter")[1].split("\n")[0].replace("isnotnull(well", "")
+        got = sorted(tuple(r[c] for c in IMAGE_KEY) for r in some.collect())
+        # A file that is not chosen is not opened: a folder in its place is no error.
+        other = image_file(root, "train", "RPE-01", 2, "B02", 1, 1)
+        os.remove(other)
+        os.mkdir(other)
+        assert sorted(tuple(r[c] for c in IMAGE_KEY) for r in some.collect()) == got
+    finally:
+        spark.conf.set(key, before)
+    assert got == sorted(
+        (r[1], r[2], r[4], r[5], r[8], 2) for r in rows
+        if r[1] == "train" and r[4] == 2 and r[5] in ("B02", "C03") and r[8] == 2)
+
+
+def test_exactly_the_files_of_the_keys_are_opened(spark, tmp_path):
+    rows = site_rows(datasets=("train",), plates=2, wells=4, sites=2)
+    root = str(tmp_path / "raw")
+    images = write_images(root, rows, (1, 2, 3))
+    # (plate 1, B02, 1) and (plate 2, C03, 2): neither the other combinations of
+    # plates, wells and sites nor channel 2 may be touched.
+    chosen = [r for r in rows if (r[4], r[5], r[8]) in {(1, "B02", 1), (2, "C03", 2)}]
+    keep = {image_file(root, r[1], r[2], r[4], r[5], r[8], c) for r in chosen for c in (1, 3)}
+    for folder, _, names in os.walk(root):
+        for name in names:
+            path = os.path.join(folder, name)
+            if path not in keep:
+                os.remove(path)
+                os.mkdir(path)  # opening it would be an error, not a missing file
+    keys = site_frame(spark, chosen + chosen)
+    got = load_sites(spark, keys, root, (3, 1)).collect()
+    assert len(got) == 2
+    for r in got:
+        pixels = np.frombuffer(r.image, np.uint8).reshape(r.height, r.width, r.channels)
+        assert np.array_equal(pixels, images[_key(r)][:, :, [2, 0]])
+
+
+def test_loading_moves_no_pixels(spark, tmp_path):
+    rows = site_rows(datasets=("train",), wells=2)
+    root = str(tmp_path / "raw")
+    write_images(root, rows, (1, 2))
+    plan = load_sites(spark, site_frame(spark, rows), root, (1, 2))._jdf.queryExecution().executedPlan()
+    below = plan.toString().split("MapInArrow")
+    assert len(below) == 2 and "Exchange" not in below[0]
+
+
+def test_depths(spark, tmp_path):
+    rows = site_rows(datasets=("train",), wells=2)
+    root = str(tmp_path / "raw")
+    images = write_images(root, rows, (1, 2))
+    deep = np.random.default_rng(0).integers(0, 65536, (16, 16)).astype(np.uint16)
+    first = rows[0]
+    write_png(image_file(root, first[1], first[2], first[4], first[5], first[8], 2), deep)
+    keys = site_frame(spark, rows)
+    got = {_key(r): np.frombuffer(r.image, "<u2").reshape(16, 16, 2)
+           for r in load_sites(spark, keys, root, (1, 2), depth=16).collect()}
+    for key, pixels in images.items():
+        expected = pixels.astype(np.uint16)
+        if key == (first[1], first[2], first[4], first[5], first[8]):
+            expected[:, :, 1] = deep
+        assert np.array_equal(got[key], expected)
+    with pytest.raises(Exception, match="16-bit plane"):
+        load_sites(spark, keys, root, (1, 2)).collect()
+    assert load_sites(spark, keys, root, (1, 2), strict=False).count() == 1
+    with pytest.raises(ValueError):
+        load_sites(spark, keys, root, (1, 2), depth=12)
+    depths = scan_plates(spark, root).groupBy("depth").count().collect()
+    assert sorted(map(tuple, depths)) == [(8, 3), (16, 1)]
+    # Packing by plate refuses what the image source would reduce without notice.
+    with pytest.raises(Exception, match="odd-sized"):
+        jobs.pack(spark, keys, root, str(tmp_path / "p"), ["random"], (1, 2), by_plate=True)
+
+
+def test_problems_are_named(spark, tmp_path):
+    rows = site_rows(datasets=("train",), wells=4)
+    root = str(tmp_path / "raw")
+    write_images(root, rows, (1, 2))
+    write_png(image_file(root, "train", "RPE-01", 1, "B02", 1, 2), np.zeros((3, 3), np.uint8))
+    os.remove(image_file(root, "train", "RPE-01", 1, "C03", 1, 1))
+    keys = site_frame(spark, rows)
+    nowhere = keys.limit(1).withColumn("plate", F.lit(9))
+    nothing = keys.limit(1).withColumn("well", F.lit(None).cast("string"))
+    found = {_key(r): r.problem for r in open_sites(
+        spark, root, keys.unionByName(nowhere).unionByName(nothing), (1, 2)).collect()}
+    said = {(k[2], k[3]): v for k, v in found.items()}
+    assert said[1, "B02"].startswith("missing, unreadable or odd-sized plane: train/RPE-01/1/B02/1")
+    assert said[1, "C03"].startswith("missing") and said[1, "D04"] is None
+    assert said[9, "B02"].startswith("no image file for train/RPE-01/9/B02/1")
+    assert said[1, None].startswith("no image file")
+
+
+def test_written_planes_come_back(spark, tmp_path):
+    rows = [("train", "RPE-01", 1, "B02", 1, c, 2, 3, d, bytes(range(6 * d // 8)))
+            for c, d in ((1, 8), (2, 16))]
+    planes = spark.createDataFrame(
+        rows, "dataset string, experiment string, plate int, well string, site int, channel int, "
+              "height int, width int, depth int, data binary")
+    root = f"file:{tmp_path}/out"
+    assert write_plates(planes, root) == 2 and write_plates(planes, root) == 2
+    got = scan_plates(spark, root).select(*planes.columns).collect()
+    assert sorted(map(tuple, got)) == sorted((*r[:-1], bytearray(r[-1])) for r in rows)
+    assert write_plates(planes.limit(0), root) == 0
+
+
+def test_packing_by_plate_gives_the_same(spark, tmp_path):
+    rows = site_rows(wells=4, plates=2, sites=2)
+    root = str(tmp_path / "raw")
+    write_images(root, rows, (1, 2))
+    os.remove(image_file(root, "train", "RPE-01", 1, "C03", 1, 2))
+    packed = []
+    for by_plate in (False, True):
+        dest = str(tmp_path / f"packed{by_plate}")
+        jobs.pack(spark, site_frame(spark, rows), root, dest, channels=(1, 2), per_file=5,
+                  strict=False, by_plate=by_plate)
+        packed.append(sorted(map(tuple, read_packed(spark, dest).drop("sirna").collect())))
+    assert packed[0] == packed[1] and len(packed[0]) == 2 * (len(rows) - 1)
+
+
+def test_stores():
+    assert stores.can_open("/tmp/x") and stores.can_open("file:/tmp/x") and stores.can_open("file:///tmp/x")
+    assert not stores.can_open("viewfs://cluster/x")
+    assert stores.open_store("file:/tmp/x/")[1] == "/tmp/x"
