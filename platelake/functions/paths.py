@@ -77,6 +77,15 @@ def group_file() -> Column:
     )
 
 
+# Fixed value: <experiment>_p<plate>_s<site>, as group_file writes it.
+GROUP_PATTERN = r"^(.*)_p-?[0-9]+_s-?[0-9]+$"
+
+
+def file_experiment(file: Column) -> Column:
+    """The experiment a file of the grouped layout is of."""
+    return F.regexp_extract(file, GROUP_PATTERN, 1)
+
+
 def layout_name(strategy: str, seed: Column) -> Column:
     return F.concat(F.lit(strategy + "-"), seed.cast("string"))
 

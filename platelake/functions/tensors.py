@@ -66,6 +66,10 @@ CHUNKS = T.ArrayType(T.StructType([
     T.StructField("cx", T.IntegerType()),
     T.StructField("rows", T.IntegerType()),
     T.StructField("cols", T.IntegerType()),
+    T.StructField("y0", T.IntegerType()),
+    T.StructField("y1", T.IntegerType()),
+    T.StructField("x0", T.IntegerType()),
+    T.StructField("x1", T.IntegerType()),
     T.StructField("data", T.BinaryType()),
 ]))
 
@@ -77,7 +81,8 @@ def _pieces(pixels: np.ndarray, chunk: int) -> list[dict]:
             piece = pixels[y:y + chunk, x:x + chunk]
             found.append({
                 "cy": y // chunk, "cx": x // chunk, "rows": piece.shape[0],
-                "cols": piece.shape[1], "data": piece.tobytes(),
+                "cols": piece.shape[1], "y0": y, "y1": y + piece.shape[0],
+                "x0": x, "x1": x + piece.shape[1], "data": piece.tobytes(),
             })
     return found
 
@@ -107,6 +112,26 @@ def cut_planes(
     return _per_row(cut, CHUNKS)(height, width, *planes)
 
 
+def put_together(
+    pieces: Column, dtype: Column, channels: Column,
+    top: Column, bottom: Column, left: Column, right: Column,
+) -> Column:
+    """Rows [top, bottom) and columns [left, right) of an image from a list of
+    its pieces (y0, x0, rows, cols, data), each cut to what lies inside."""
+
+    def put(found, kind, c, y0, y1, x0, x1):
+        out = np.zeros((int(y1 - y0), int(x1 - x0), int(c)), kind)
+        for p in found:
+            pixels = np.frombuffer(p["data"], kind).reshape(p["rows"], p["cols"], int(c))
+            a, b = max(p["y0"], y0), min(p["y0"] + p["rows"], y1)
+            s, t = max(p["x0"], x0), min(p["x0"] + p["cols"], x1)
+            out[a - y0:b - y0, s - x0:t - x0] = pixels[
+                a - p["y0"]:b - p["y0"], s - p["x0"]:t - p["x0"]]
+        return out.tobytes()
+
+    return _per_row(put, T.BinaryType())(pieces, dtype, channels, top, bottom, left, right)
+
+
 def to_channel_first(data: Column, channels: Column) -> Column:
     """HWC bytes to CHW bytes."""
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Sequence
 
 import numpy as np
@@ -16,13 +15,14 @@ from platelake.operators.stack import complete_sites, drop_plane_copies, missing
 from platelake.plans.packing import SPLIT_DIGITS, manifest, mixed_files, plan_all
 from platelake.plans.placing import place_images, place_planes
 from platelake.schemas import (
-    CHANNELS, PACK_DIRS, RECORD_COLUMNS, ROWS_PER_FILE, SEED, SITE_KEY, STRATEGIES,
+    ARRAY_DIRS, CHANNELS, PACK_DIRS, RECORD_COLUMNS, ROWS_PER_FILE, SEED, SITE_KEY, STRATEGIES,
 )
-from platelake.session import cut_lineage, drop_scratch, image_parquet, replace_folder
+from platelake.session import cut_lineage, image_parquet
 from platelake.sources.images import list_images, list_splits, scan_images
 from platelake.sources.plates import list_plates, scan_plates
 from platelake.sources.metadata_csv import site_table
 from platelake.sources.packed import read_packed
+from platelake.sources.runs import commit, new_run
 
 
 class MissingImages(ValueError):
@@ -47,9 +47,10 @@ def write_packed(
 ) -> None:
     """One compressed Parquet file per planned file, records in plan order.
 
-    The run is written aside and swapped in as a whole: each split of each
-    layout that the plan names is replaced, so no file of an earlier run with
-    other file sizes stays in it. Other layouts and splits are left alone.
+    The run has a folder of its own, and one commit makes it seen as a whole:
+    each split of each layout that the plan names is replaced, so no file of an
+    earlier run with other file sizes is read any more. Other layouts and
+    splits stay. Readers of the run before keep what they have opened.
     """
     needed = dict.fromkeys([*PACK_DIRS, "pos", *SITE_KEY, *RECORD_COLUMNS])
     placed = place_images(
@@ -57,20 +58,16 @@ def write_packed(
     records = placed.select(
         "pos", "image", "height", "width", "channels", *RECORD_COLUMNS, *PACK_DIRS
     )
-    root = dest.rstrip("/")
-    run = f"{root}/_run-{uuid.uuid4().hex}"
+    spark, root = plan.sparkSession, dest.rstrip("/")
+    run, folder = new_run(root)
     (
         records.write.option("compression", compression)
         .options(**image_parquet("image"))
-        .partitionBy(*PACK_DIRS).parquet(run)
+        .partitionBy(*PACK_DIRS).parquet(folder)
     )
     # A layout per strategy and seed, and two splits at most.
     splits = plan.select("layout", "dataset").distinct().collect()
-    spark = plan.sparkSession
-    for split in splits:
-        name = f"layout={split['layout']}/dataset={split['dataset']}"
-        replace_folder(spark, f"{run}/{name}", f"{root}/{name}")
-    drop_scratch(spark, run)
+    commit(spark, root, run, [f"layout={s['layout']}/dataset={s['dataset']}" for s in splits])
 
 
 def written_manifest(spark: SparkSession, plan: DataFrame, dest: str) -> DataFrame:
@@ -164,8 +161,6 @@ def pack(
         unique=True)
 
 
-ARRAY_DIRS = ("dataset", "experiment")
-
 # Sites per array file: about 1 GB of widened pixels.
 ARRAY_PART_ROWS = 308
 
@@ -190,19 +185,31 @@ def write_chunks(
     strict: bool = True,
     level: int = 3,
     part_rows: int = ARRAY_PART_ROWS,
+    by_window: bool = False,
     **placing,
 ) -> None:
-    """Chunk table as zstd Parquet. The experiments of the plan are replaced,
-    others stay."""
+    """Chunk table as zstd Parquet, one commit for the whole job. The
+    experiments of the plan are replaced, others stay.
+
+    ``by_window`` sorts the pieces of a file by their place in the image, so
+    that reading a window of many arrays skips row groups; it needs memory or
+    disk for the pixels of a file. Array paths have a Bloom filter.
+    """
+    spark, root = plan.sparkSession, dest.rstrip("/")
     placed = place_planes(plan, images, ARRAY_DIRS, channels, strict, part_rows, **placing)
+    pieces = planes_to_chunks(placed, channels, chunk, dtype)
+    if by_window:
+        pieces = pieces.sortWithinPartitions(*ARRAY_DIRS, "cy", "cx", "array_path")
+    run, folder = new_run(root)
     (
-        planes_to_chunks(placed, channels, chunk, dtype)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
+        pieces.write.option("compression", "zstd")
         .option("parquet.compression.codec.zstd.level", str(level))
+        .option("parquet.bloom.filter.enabled#array_path", "true")
         .options(**image_parquet("data", chunk * chunk * len(channels) * np.dtype(dtype).itemsize))
-        .partitionBy(*ARRAY_DIRS).parquet(dest)
+        .partitionBy(*ARRAY_DIRS).parquet(folder)
     )
+    written = plan.select(*ARRAY_DIRS).distinct().collect()
+    commit(spark, root, run, [f"dataset={w['dataset']}/experiment={w['experiment']}" for w in written])
 
 
 def convert_images(

@@ -56,6 +56,9 @@ RECORD_COLUMNS = (
 # Directory columns of a packed tree. All text, so "001" stays "001".
 PACK_DIRS = ("layout", "dataset", "file")
 
+# Directory columns of a tree of chunked arrays.
+ARRAY_DIRS = ("dataset", "experiment")
+
 # One decoded channel file.
 PLANES = T.StructType([
     T.StructField("plate", T.IntegerType()),
@@ -87,3 +90,26 @@ PACKED = T.StructType([
     T.StructField("dataset", T.StringType()),
     T.StructField("file", T.StringType()),
 ])
+
+# One piece of a chunked array: rows [y0, y1) and columns [x0, x1) of an image.
+CHUNK_TABLE = T.StructType([
+    T.StructField("array_path", T.StringType()),
+    T.StructField("plate", T.IntegerType()),
+    T.StructField("well", T.StringType()),
+    T.StructField("site", T.IntegerType()),
+    T.StructField("height", T.IntegerType()),
+    T.StructField("width", T.IntegerType()),
+    T.StructField("channels", T.IntegerType()),
+    T.StructField("dtype", T.StringType()),
+    T.StructField("cy", T.IntegerType()),
+    T.StructField("cx", T.IntegerType()),
+    T.StructField("rows", T.IntegerType()),
+    T.StructField("cols", T.IntegerType()),
+    T.StructField("y0", T.IntegerType()),
+    T.StructField("y1", T.IntegerType()),
+    T.StructField("x0", T.IntegerType()),
+    T.StructField("x1", T.IntegerType()),
+    T.StructField("data", T.BinaryType()),
+    T.StructField("dataset", T.StringType()),
+    T.StructField("experiment", T.StringType()),
+])

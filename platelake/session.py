@@ -96,15 +96,3 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     the shared folder is."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def replace_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Puts ``source`` in the place of ``target``; without it target just goes."""
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    old, new = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (target, source))
-    store = old.getFileSystem(hadoop)
-    store.delete(old, True)
-    if store.exists(new):
-        store.mkdirs(old.getParent())
-        if not store.rename(new, old):
-            raise OSError(f"cannot move {source} to {target}")

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from platelake.operators.feed import normalise_examples
 from platelake.schemas import CHANNELS, PACKED
 from platelake.session import image_parquet
+from platelake.sources.runs import unit_paths
 
 
 def stream_packed(
@@ -20,11 +21,19 @@ def stream_packed(
     dataset: str | None = None,
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Packed records as they arrive; every file is read once."""
+    """Packed records as they arrive; every file is read once. Of a folder with
+    commits the units of the latest one are read; a query that is started anew
+    after a further commit reads the files of the new run as new ones."""
+    paths = unit_paths(spark, root)
     reader = spark.readStream.schema(PACKED)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    records = reader.parquet(root)
+    if paths is None:
+        records = reader.parquet(root)
+    else:
+        base = root.rstrip("/")
+        inner = ",".join(p.removeprefix(base + "/") for p in paths)
+        records = reader.option("basePath", base).parquet(f"{base}/{{{inner}}}")
     if layout is not None:
         records = records.where(F.col("layout") == layout)
     if dataset is not None:

@@ -303,6 +303,17 @@ ORACLE["scan_png_plates"] = f"""WITH {FILED}
 SELECT {FILE_KEY}, channel, 8 AS height, 8 AS width, true AS readable, depth,
 CAST(sum(val) AS BIGINT) AS total FROM filed WHERE dataset = 'train'
 GROUP BY {FILE_KEY}, channel, depth"""
+_ARRAY_PATH = """concat(CASE WHEN site_id % 4 = 0 THEN 'test/HUVEC-' ELSE 'train/RPE-' END,
+lpad(CAST(site_id % 3 + 1 AS VARCHAR), 2, '0'), '/Plate', CAST(site_id % 2 + 1 AS VARCHAR),
+'/', well, '_s1')"""
+ORACLE["assemble_arrays"] = f"""WITH {STACKED} SELECT {_ARRAY_PATH} AS array_path,
+8 AS height, 8 AS width, hwc AS idx, val FROM stacked"""
+ORACLE["read_window"] = f"""WITH {STACKED} SELECT {_ARRAY_PATH} AS array_path,
+5 AS height, 4 AS width, ((px // 8 - 2) * 4 + px % 8 - 4) * 6 + channel - 1 AS idx, val
+FROM stacked WHERE px // 8 BETWEEN 2 AND 6 AND px % 8 >= 4"""
+ORACLE["read_experiments"] = f"""WITH {RECORDS}
+SELECT layout, dataset, file, pos, experiment, well, CAST(total AS BIGINT) AS total
+FROM placed JOIN sums USING (id_code) WHERE experiment = 'RPE-02'"""
 ORACLE["strict_sites"] = ORACLE["load_sites"]
 ORACLE["write_arrays"] = ORACLE["chunk_sites"]
 ORACLE["convert_sites"] = ORACLE["chunk_sites"]

@@ -13,6 +13,8 @@ from platelake.functions.paths import image_path
 from platelake.functions.scores import cross_entropy, predicted_class, probabilities
 from platelake.functions.tensors import decode_bytes, decode_floats
 from platelake.operators import feed, metadata, pixels, scoring, stack
+from platelake.operators.chunks import assemble_arrays as put_arrays_together
+from platelake.operators.chunks import read_window as window_of
 from platelake.operators.chunks import to_chunks
 from platelake.plans import packing
 from platelake.operators.stack import drop_plane_copies
@@ -278,6 +280,27 @@ def convert_sites(spark, sf):
     return _chunk_totals(read_chunks(spark, dest))
 
 
+def _ragged_arrays(spark, sf):
+    """Arrays in pieces of 3x3, smaller ones at the edges."""
+    dest = scratch_path(spark, "ragged")
+    convert_images(fixtures.plane_sites(spark, sf), fixtures.planes(spark, sf), dest,
+                   strict=False, chunk=3, by_window=True)
+    return read_chunks(spark, dest)
+
+
+def assemble_arrays(spark, sf):
+    images = put_arrays_together(_ragged_arrays(spark, sf))
+    values = decode_bytes(F.col("image"), "<u2")
+    return images.select("array_path", "height", "width", F.posexplode(values).alias("idx", "val"))
+
+
+def read_window(spark, sf):
+    """Rows 2 to 6 and columns 4 on, cut at the edge of the images."""
+    images = window_of(_ragged_arrays(spark, sf), top=2, left=4, height=5, width=9)
+    values = decode_bytes(F.col("image"), "<u2")
+    return images.select("array_path", "height", "width", F.posexplode(values).alias("idx", "val"))
+
+
 def _file_totals(batches):
     """Records and pixel sum of each file of a task's stream."""
     found = {}
@@ -329,6 +352,15 @@ def pack_images(spark, sf):
     )
 
 
+def read_experiments(spark, sf):
+    """Records of one experiment out of both layouts."""
+    records = read_packed(spark, _packed_tree(spark, sf), experiments=["RPE-02"])
+    values = decode_bytes(F.col("image"))
+    return records.select(
+        "layout", "dataset", "file", "pos", "experiment", "well",
+        F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a + v).alias("total"))
+
+
 def stream_examples(spark, sf):
     records = stream_packed(spark, _packed_tree(spark, sf, ["random"]), layout="random-42")
     dest = scratch_path(spark, "examples")
@@ -435,7 +467,8 @@ QUERIES = {f.__name__: f for f in (
     pack_random, pack_by_group, pack_multi_seed, pack_manifest,
     stack_complete_sites, pixel_index, rgb_compose, normalize_pixels, unit_scale,
     pixel_stats,
-    metadata_csv, strict_sites, write_arrays, convert_sites, file_summaries,
+    metadata_csv, strict_sites, write_arrays, convert_sites, assemble_arrays, read_window,
+    read_experiments, file_summaries,
     load_sites, load_png_sites, load_png_rgb, scan_png_plates, channel_first_images, rgb_images, normalize_images,
     pixel_stats_images, chunk_sites, pack_images, stream_examples,
     epoch_batches, step_plan, feed_batches, written_manifest,

@@ -1,4 +1,5 @@
 import glob
+import json
 import os
 
 import numpy as np
@@ -29,11 +30,19 @@ def _image(row):
     return np.frombuffer(row.image, np.uint8).reshape(row.height, row.width, row.channels)
 
 
+def _commit(dest):
+    with open(max(glob.glob(f"{dest}/_commits/[0-9]*"))) as file:
+        return json.load(file)
+
+
 def _file_rows(dest):
-    """{(layout, dataset, file): [part files]}"""
+    """{(layout, dataset, file): [part files]} of the latest run of each unit"""
     found = {}
-    for path in glob.glob(f"{dest}/layout=*/dataset=*/file=*/*.parquet"):
-        dirs = path[len(dest) + 1:].split("/")[:3]
+    current = {f"run={run}/{unit}" for unit, run in _commit(dest).items()}
+    for path in glob.glob(f"{dest}/run=*/layout=*/dataset=*/file=*/*.parquet"):
+        run, *dirs = path[len(dest) + 1:].split("/")[:4]
+        if "/".join([run, *dirs[:2]]) not in current:
+            continue
         found.setdefault(tuple(d.split("=")[1] for d in dirs), []).append(path)
     return found
 
@@ -377,7 +386,7 @@ def test_arrays_with_a_shuffled_plan_and_small_parts(spark, tmp_path):
         pixels = np.frombuffer(c.data, np.uint8).reshape(c.rows, c.cols, 2)
         expected = images[_key(c)][c.cy * 9:c.cy * 9 + 9, c.cx * 9:c.cx * 9 + 9, ::-1]
         assert np.array_equal(pixels, expected)
-    assert len(glob.glob(f"{dest}/dataset=train/experiment=RPE-01/*.parquet")) == 3
+    assert len(glob.glob(f"{dest}/run=*/dataset=train/experiment=RPE-01/*.parquet")) == 3
 
 
 def test_nothing_to_pack(spark, tmp_path):
