@@ -29,7 +29,7 @@ LOW, UNIT, HIGH = 30, 100, 90
 SCALE = 256
 
 # Codes per vector. Each further one codes what those before left over.
-CODES = 3
+CODES = 4
 # Bit planes of an anchor's rotated components.
 PLANES = 6
 SEED = 42
@@ -49,6 +49,8 @@ LONG = 1 << 62
 # Pairs scored one by one; beyond this share of a block all of it is.
 SLICE = 1 << 14
 DENSE = 0.15
+# Below this share of a block its pairs are followed one by one.
+GATHER = 0.15
 
 _NO_SCORE = np.iinfo(np.int64).min
 _NO_ID = np.iinfo(np.int64).max
@@ -138,35 +140,63 @@ def turn_anchors(vectors: np.ndarray, turns: list[np.ndarray], planes: int = PLA
 def _along_code(t: Turned, k: int, a, bits: np.ndarray, width: int) -> np.ndarray:
     """Products of gridded anchors with unit codes, from the counts of common
     bits: the sum over set bits counts twice, less the sum over all."""
-    on = np.bitwise_count(bits).sum(axis=-1, dtype=np.int64) * t.start[k][a]
-    counts = 0
-    for p in range(t.planes.shape[1]):
-        both = np.bitwise_count(bits & t.planes[k, p][a])
-        counts = counts + (both.sum(axis=-1, dtype=np.int32) << p)
-    on = on + counts * t.step[k][a]
-    return (2 * on - t.total[k][a]) / np.sqrt(width)
-
-
-def intervals(codes: Codes, t: Turned, a, x, upto: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bounds of the scores of anchors ``a`` with vectors ``x`` (indices that
-    broadcast together) from the first ``upto`` codes.
-
-    A vector is its codes, each times its alignment, and a rest at right angles
-    to the last code. By Cauchy and Schwarz the rest adds at most its length
-    times that of the anchor's part at right angles to that code.
-    """
-    middle, slack = 0.0, 0.0
-    for k in range(upto):
+    ones, counts = 0, 0
+    for word in range(bits.shape[-1]):
+        own = bits[..., word]
+        ones = ones + np.bitwise_count(own).astype(np.int32)
+        for p in range(t.planes.shape[1]):
+            both = np.bitwise_count(own & t.planes[k, p][a][..., word]).astype(np.int32)
+            both <<= p
+            counts = counts + both
+    on = counts * t.step[k][a]
+    on += ones * t.start[k][a]
+    on *= 2
+    on -= t.total[k][a]
+    on /= np.sqrt(width)
+    return on
+
+
+@dataclass
+class Estimate:
+    """Scores of anchors ``a`` with vectors ``x`` (indices that broadcast
+    together) as far as some codes tell them."""
+    a: np.ndarray
+    x: np.ndarray
+    middle: np.ndarray | float = 0.0
+    slack: np.ndarray | float = 0.0
+    upto: int = 0
+
+    def add(self, codes: Codes, t: Turned, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Takes one more code and returns the bounds of the scores.
+
+        A vector is its codes, each times its alignment, and a rest at right
+        angles to the last code. By Cauchy and Schwarz the rest adds at most its
+        length times that of the anchor's part at right angles to that code.
+        """
+        k, a, x = self.upto, self.a, self.x
         product = _along_code(t, k, a, codes.bits[k][x], width)
-        off = t.off[k][a]
-        middle = middle + codes.along[k][x] * product
-        slack = slack + codes.along[k][x] * off
-    least = np.maximum(np.abs(product) - off, 0.0)
-    length = t.length[a]
-    rest = codes.left[upto - 1][x] * np.sqrt(np.maximum(length * length - least * least, 0.0))
-    # Rounding of the doubles themselves.
-    slack = slack + rest + 1e-9 * length * (codes.along[:, x].sum(axis=0) + 1) + 1e-6
-    return middle - slack, middle + slack
+        off, length, along = t.off[k][a], t.length[a], codes.along[k][x]
+        # Rounding of the doubles themselves is allowed for at each code.
+        self.slack = self.slack + along * (off + 1e-9 * length) + 1e-6
+        least = np.abs(product)
+        least -= off
+        np.maximum(least, 0.0, out=least)
+        least *= least
+        np.subtract(length * length, least, out=least)
+        np.maximum(least, 0.0, out=least)
+        rest = np.sqrt(least, out=least)
+        rest *= codes.left[k][x]
+        rest += self.slack + 1e-9 * length * codes.left[k][x]
+        product *= along
+        product += self.middle
+        self.middle, self.upto = product, k + 1
+        return product - rest, product + rest
+
+    def only(self, near: np.ndarray) -> Estimate:
+        """The pairs of a mask, as lists of indices."""
+        a, x = np.broadcast_arrays(self.a, self.x)
+        slack = np.broadcast_to(self.slack, near.shape)
+        return Estimate(a[near], x[near], self.middle[near], slack[near], self.upto)
 
 
 # --- lists -------------------------------------------------------------------
@@ -229,20 +259,18 @@ def _reaching(codes: Codes, t: Turned, width: int, wanted: np.ndarray, low: np.n
     some = np.nonzero(~open_ & (low <= high))[0]
     if not len(some):
         return a_open, x_open
-    lower, upper = intervals(codes, t, (some[:, None]), np.arange(wanted.shape[1])[None, :], 1, width)
-    near = wanted[some] & (upper >= low[some, None]) & (lower <= high[some, None])
-    a, x = np.nonzero(near)
-    a = some[a]
-    for upto in range(2, len(codes.bits) + 1):
-        if not len(a):
-            break
-        parts = []
-        for i in range(0, len(a), 1 << 17):
-            lower, upper = intervals(codes, t, a[i:i + (1 << 17)], x[i:i + (1 << 17)], upto, width)
-            parts.append((upper >= low[a[i:i + (1 << 17)]]) & (lower <= high[a[i:i + (1 << 17)]]))
-        near = np.concatenate(parts)
-        a, x = a[near], x[near]
-    return np.concatenate([a_open, a]), np.concatenate([x_open, x])
+    found = Estimate(some[:, None], np.arange(wanted.shape[1])[None, :])
+    near = wanted[some]
+    while found.upto < len(codes.bits):
+        lower, upper = found.add(codes, t, width)
+        near &= (upper >= low[found.a]) & (lower <= high[found.a])
+        # While many pairs are left, whole blocks are quicker than lists.
+        if near.ndim == 1 or np.count_nonzero(near) < GATHER * near.size:
+            found = found.only(near)
+            near = np.ones(len(found.a), bool)
+    if near.ndim > 1:
+        found = found.only(near)
+    return np.concatenate([a_open, found.a]), np.concatenate([x_open, found.x])
 
 
 # --- blocks ------------------------------------------------------------------
