@@ -99,24 +99,42 @@ def _same(name: str) -> Column:
     return F.min(name) == F.max(name)
 
 
+# Words of 64 bits in the bitmap of repeated addresses: some 40 MB as a
+# broadcast table, however many addresses there are.
+COPY_WORD_BITS = 20
+
+
+def _copy_bit(address: Sequence[str]) -> tuple[Column, Column]:
+    """Word and bit of an address in the bitmap."""
+    mark = F.xxhash64(*address)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), mark.bitwiseAND(F.lit(63)).cast("int"))
+    return F.shiftrightunsigned(mark, 64 - COPY_WORD_BITS), bit
+
+
 def drop_plane_copies(images: DataFrame) -> DataFrame:
     """Copies of a plane become one before they are shuffled. Needed for tables
     of planes only: under one image root a path, and so a plane, is unique.
 
     A first job looks at addresses alone. Without copies the planes are given
-    back as they are; otherwise only those of repeated addresses are grouped,
-    and the others pass by.
+    back as they are. Otherwise the repeated addresses become a bitmap of
+    bounded size that the scan of the planes is held against: what has no bit
+    passes by, in whatever number, and the rest is grouped. An address that
+    shares a bit by chance is grouped too, which leaves it as it is.
     """
     rest = [c for c in images.columns if c != "data"]
     address = [c for c in (*SITE_KEY, "channel") if c in rest]
+    word, bit = _copy_bit(address)
     repeated = images.groupBy(*address).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    repeated = cut_lineage(repeated.select(*address), "plane-copies")
-    if repeated.isEmpty():
+    bitmap = cut_lineage(
+        repeated.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits")), "plane-copies")
+    if bitmap.isEmpty():
         return images
+    held = images.withColumn("_word", word).join(F.broadcast(bitmap), "_word", "left")
+    marked = F.coalesce(F.col("_bits"), F.lit(0).cast("long")).bitwiseAND(bit) != 0
     # Different planes of one address both stay: group_planes refuses them.
-    copies = images.join(repeated, address, "left_semi").withColumn("_mark", F.xxhash64("data"))
+    copies = held.where(marked).withColumn("_mark", F.xxhash64("data"))
     merged = copies.groupBy(*rest, "_mark").agg(F.max("data").alias("data"))
-    return images.join(repeated, address, "left_anti").unionByName(merged.drop("_mark"))
+    return held.where(~marked).select(*images.columns).unionByName(merged.drop("_mark"))
 
 
 def group_planes(

@@ -36,20 +36,25 @@ def check_strategies(strategies: Iterable[str]) -> list[str]:
     return [s for s in STRATEGIES if s in wanted]
 
 
+def _check_splits(sites: DataFrame) -> None:
+    """A site of an unknown split is an error. Looked for ahead, by one column:
+    a check among the rows' own columns would keep Spark from computing them
+    once for all strategies."""
+    known = F.coalesce(F.col("dataset").isin(list(SPLITS)), F.lit(False))
+    for row in sites.where(~known).select("dataset").take(1):
+        raise ValueError(f"unknown split {row['dataset']}; choose from {list(SPLITS)}")
+
+
 def _seeded(sites: DataFrame, seeds: Sequence[int]) -> tuple[DataFrame, list[str]]:
     """Each site once per seed, with its shuffle key, and the columns that
-    break ties. A site of an unknown split is an error. The same for every strategy, so that Spark runs
-    it once for all of them."""
+    break ties. The same for every strategy, so that Spark runs it once for all
+    of them."""
+    _check_splits(sites)
     columns = [c for c in SITE_COLUMNS if c in sites.columns]
     keys = [c for c in ROW_KEY if c in columns] + ["copy"]
-    known = F.coalesce(F.col("dataset").isin(list(SPLITS)), F.lit(False))
-    error = F.raise_error(F.concat(
-        F.lit("unknown split "), F.coalesce("dataset", F.lit("null")))).cast("string")
-    sites = sites.select(*columns).withColumn(
-        "dataset", F.when(known, F.col("dataset")).otherwise(error))
     seeds = dict.fromkeys(seeds)
     rows = (
-        distinct_copies(sites)
+        distinct_copies(sites.select(*columns).where(F.col("dataset").isin(list(SPLITS))))
         .withColumn("seed", F.explode(F.array(*[F.lit(s).cast("long") for s in seeds])))
     )
     rest = [c for c in columns if c not in keys]

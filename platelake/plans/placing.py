@@ -67,6 +67,22 @@ def _salted(
     return salted, copies
 
 
+def _colocated(
+    plan: DataFrame, images: DataFrame, hot: DataFrame, dirs: Sequence[str], any_hot: bool
+) -> DataFrame:
+    """Planes that are bucketed by their address stay where they are: the plan,
+    which holds keys only, is shuffled to them. Only planes of hot addresses are
+    taken out, shuffled and repeated."""
+    if not any_hot:
+        return images.join(plan, list(SITE_KEY))
+    few = F.broadcast(hot.select(*SITE_KEY))
+    main = images.join(plan.join(few, list(SITE_KEY), "left_anti"), list(SITE_KEY))
+    salted, copies = _salted(
+        plan.join(few, list(SITE_KEY), "left_semi"),
+        images.join(few, list(SITE_KEY), "left_semi"), hot, dirs)
+    return main.unionByName(copies.join(salted, [*SITE_KEY, "salt"]).drop("salt"))
+
+
 def place_planes(
     plan: DataFrame,
     images: DataFrame,
@@ -76,12 +92,14 @@ def place_planes(
     part_rows: int = PART_ROWS,
     broadcast_bytes: int = BROADCAST_PLAN_BYTES,
     image_bytes: int = IMAGE_BYTES,
+    bucketed: bool = False,
 ) -> DataFrame:
     """Each plan row with its planes, partitioned by file and in file order.
 
     ``plan`` must be materialised: its size is measured to choose the join.
     Broadcast plan: planes move once, straight to the task that writes their
-    file. Shuffled plan: they move twice, and hot addresses are split.
+    file. Shuffled plan: they move once too if they are ``bucketed`` by address
+    (read_bucketed), otherwise twice; hot addresses are split.
     """
     parts = plan.withColumn("part", F.expr(f"(pos - 1) div {part_rows}"))
     size = parts.agg(
@@ -105,8 +123,11 @@ def place_planes(
         .withColumn("task", (F.col("task") % tasks).cast("int")).drop("part")
     )
 
-    if (size["bytes"] or 0) <= broadcast_bytes and hot.isEmpty():
+    any_hot = not hot.isEmpty()
+    if (size["bytes"] or 0) <= broadcast_bytes and not any_hot:
         placed = images.join(F.broadcast(tasked), list(SITE_KEY))
+    elif bucketed:
+        placed = _colocated(tasked, images, hot, dirs, any_hot)
     else:
         salted, copies = _salted(tasked, images, hot, dirs)
         placed = copies.join(salted, [*SITE_KEY, "salt"]).drop("salt")

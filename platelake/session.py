@@ -23,6 +23,9 @@ IMAGE_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "32",
     # A 1.5 MB image row is large for the columnar page buffers.
     "spark.sql.parquet.columnarReaderBatchSize": "64",
+    # Files of bucketed planes are sorted, one per bucket: a join by address
+    # then need not sort pixels.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",

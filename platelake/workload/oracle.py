@@ -314,6 +314,7 @@ FROM stacked WHERE px // 8 BETWEEN 2 AND 6 AND px % 8 >= 4"""
 ORACLE["read_experiments"] = f"""WITH {RECORDS}
 SELECT layout, dataset, file, pos, experiment, well, CAST(total AS BIGINT) AS total
 FROM placed JOIN sums USING (id_code) WHERE experiment = 'RPE-02'"""
+ORACLE["pack_bucketed"] = ORACLE["pack_images"]
 ORACLE["strict_sites"] = ORACLE["load_sites"]
 ORACLE["write_arrays"] = ORACLE["chunk_sites"]
 ORACLE["convert_sites"] = ORACLE["chunk_sites"]

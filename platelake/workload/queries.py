@@ -26,6 +26,7 @@ from platelake.schemas import (
     CHANNELS, PACK_DIRS, PIXEL_STATS, RECORD_COLUMNS, SITE_COLUMNS, SITE_KEY, SPLITS, STRATEGIES,
 )
 from platelake.session import cut_lineage, scratch_path
+from platelake.sources.bucketed import read_bucketed, write_bucketed
 from platelake.sources.images import parse_paths, splits_in
 from platelake.sources.plates import scan_plates, write_plates
 from platelake.sources.metadata_csv import site_table
@@ -338,7 +339,20 @@ def _packed_tree(spark, sf, strategies=STRATEGIES):
 
 
 def pack_images(spark, sf):
-    records = read_packed(spark, _packed_tree(spark, sf))
+    return _record_sums(read_packed(spark, _packed_tree(spark, sf)))
+
+
+def pack_bucketed(spark, sf):
+    """The same from planes bucketed by address, with plans that are shuffled."""
+    planes, dest = scratch_path(spark, "bucketed"), scratch_path(spark, "packed")
+    write_bucketed(drop_plane_copies(fixtures.planes(spark, sf)), planes, buckets=4)
+    pack_job(
+        fixtures.plane_sites(spark, sf), read_bucketed(spark, planes), dest, per_file=50,
+        strict=False, unique=True, bucketed=True, broadcast_bytes=0)
+    return _record_sums(read_packed(spark, dest))
+
+
+def _record_sums(records):
     values = decode_bytes(F.col("image"))
     total = F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a + v)
     # Weighted by place, so that a pixel in the wrong place shows.
@@ -470,7 +484,7 @@ QUERIES = {f.__name__: f for f in (
     metadata_csv, strict_sites, write_arrays, convert_sites, assemble_arrays, read_window,
     read_experiments, file_summaries,
     load_sites, load_png_sites, load_png_rgb, scan_png_plates, channel_first_images, rgb_images, normalize_images,
-    pixel_stats_images, chunk_sites, pack_images, stream_examples,
+    pixel_stats_images, chunk_sites, pack_images, pack_bucketed, stream_examples,
     epoch_batches, step_plan, feed_batches, written_manifest,
     predict_classes, softmax, eval_metrics, row_losses, score_sites, score_unlabelled,
 )}
