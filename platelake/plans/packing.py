@@ -75,9 +75,10 @@ def _finish(numbered: DataFrame, strategy: str, dest: Column) -> DataFrame:
 def _random_files(rows: DataFrame, ties: list[str], per_file: int, n_seeds: int) -> DataFrame:
     if per_file < 1:
         raise ValueError("per_file must be positive")
+    # A text that is never null, as in _group_files.
     numbered = number_by_key(
-        rows, ["seed", "dataset"], "key", ties, SPLIT_DIGITS, out="rn",
-        group_limit=n_seeds * len(SPLITS),
+        rows.withColumn("split", F.concat_ws("", "dataset")), ["seed", "split"], "key", ties,
+        SPLIT_DIGITS, out="rn", group_limit=n_seeds * len(SPLITS),
     )
     files = numbered.withColumns({
         "file": padded_number(F.expr(f"(rn - 1) div {per_file} + 1")),
