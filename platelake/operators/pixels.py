@@ -116,19 +116,19 @@ def pixel_stats_rows(pixels: DataFrame) -> DataFrame:
     ))
 
 
-def _usable(images: DataFrame):
+def usable(images: DataFrame):
     """Readable planes of one byte per pixel, as far as the table tells."""
-    usable = F.col("data").isNotNull()
+    known = F.col("data").isNotNull()
     if "readable" in images.columns:
-        usable = usable & F.coalesce("readable", F.lit(False))
+        known = known & F.coalesce("readable", F.lit(False))
     if {"height", "width"} <= set(images.columns):
-        usable = usable & (F.octet_length("data") == F.col("height") * F.col("width"))
-    return F.coalesce(usable, F.lit(False))
+        known = known & (F.octet_length("data") == F.col("height") * F.col("width"))
+    return F.coalesce(known, F.lit(False))
 
 
 def unusable_planes(images: DataFrame) -> DataFrame:
     """What pixel_stats leaves out, without the bytes."""
-    return images.where(~_usable(images)).drop("data")
+    return images.where(~usable(images)).drop("data")
 
 
 def pixel_stats(images: DataFrame) -> DataFrame:
@@ -152,7 +152,7 @@ def pixel_stats(images: DataFrame) -> DataFrame:
             })
 
     sums = (
-        images.where(_usable(images)).select("channel", "data")
+        images.where(usable(images)).select("channel", "data")
         .mapInPandas(summarise, "channel int, n long, total long, squares long")
         .groupBy("channel")
         .agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")])

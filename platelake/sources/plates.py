@@ -48,12 +48,12 @@ NAMES = T.StructType([T.StructField("path", T.StringType())] + [
 PIXELS = T.StructType(
     [T.StructField("path", T.StringType()), *PLANES.fields, T.StructField("depth", T.IntegerType())])
 
-_ARROW = {T.StringType: pa.string(), T.IntegerType: pa.int32(), T.BooleanType: pa.bool_(),
+ARROW_TYPES = {T.StringType: pa.string(), T.IntegerType: pa.int32(), T.BooleanType: pa.bool_(),
           T.BinaryType: pa.binary()}
 
 
-def _arrow_schema(schema: T.StructType) -> pa.Schema:
-    return pa.schema([(f.name, _ARROW[type(f.dataType)]) for f in schema.fields])
+def arrow_schema(schema: T.StructType) -> pa.Schema:
+    return pa.schema([(f.name, ARROW_TYPES[type(f.dataType)]) for f in schema.fields])
 
 
 # Comparisons the source takes over, by the name of the filter's class.
@@ -105,7 +105,7 @@ class PlateReader(DataSourceReader):
         return found or [PlateFolder("", "", 0, "", 0)]
 
     def read(self, partition: PlateFolder) -> Iterator[pa.RecordBatch]:
-        schema = _arrow_schema(self.columns)
+        schema = arrow_schema(self.columns)
         if not partition.name:
             return
         system, root = stores.open_store(self.root)
@@ -124,7 +124,7 @@ class PlateReader(DataSourceReader):
         def row(path: str, key: dict) -> dict:
             out = {"path": path, **address, **key}
             if self.content == "pixels":
-                out.update(_plane(stores.read_file(system, path)))
+                out.update(decode_plane(stores.read_file(system, path)))
             return out
 
         rows, held = [], 0
@@ -168,7 +168,7 @@ class PlateImages(DataSource):
         return kind(dict(self.options), schema)
 
 
-def _plane(raw: bytes | None) -> dict:
+def decode_plane(raw: bytes | None) -> dict:
     """What a file holds; an unreadable one has size -1 and no pixels."""
     try:
         height, width, depth, data = decode_png(raw or b"")
@@ -268,7 +268,7 @@ def open_sites(
     distinct = list(dict.fromkeys(order))
     wanted = keys.select(*[F.col(c).cast(PLANES[c].dataType) for c in SITE_KEY]).distinct()
     tasks = min(max(1, -(-wanted.count() // SITES_PER_TASK)), MAX_TASKS)
-    schema = _arrow_schema(_OPENED)
+    schema = arrow_schema(_OPENED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, folder = stores.open_store(root)
@@ -281,7 +281,7 @@ def open_sites(
                          for c in distinct}
             if all(raw is None for raw in found.values()):
                 return {**key, "problem": f"no image file for {name}"}
-            planes = {c: _plane(raw) for c, raw in found.items()}
+            planes = {c: decode_plane(raw) for c, raw in found.items()}
             image, problem = _stack([planes[c] for c in order], order, depth)
             return {**key, **image, "problem": problem and f"{problem}: {name}"}
 

@@ -314,6 +314,23 @@ FROM stacked WHERE px // 8 BETWEEN 2 AND 6 AND px % 8 >= 4"""
 ORACLE["read_experiments"] = f"""WITH {RECORDS}
 SELECT layout, dataset, file, pos, experiment, well, CAST(total AS BIGINT) AS total
 FROM placed JOIN sums USING (id_code) WHERE experiment = 'RPE-02'"""
+ORACLE["stream_planes"] = f"""WITH {FILED}
+SELECT {FILE_KEY}, channel, 8 AS height, 8 AS width, true AS readable,
+CAST(sum(pixel) AS BIGINT) AS total FROM filed GROUP BY {FILE_KEY}, channel"""
+ORACLE["pixel_percentiles"] = f"""WITH {PIXELS}, levels AS (
+SELECT concat(CASE WHEN site_id % 4 = 0 THEN 'HUVEC-' ELSE 'RPE-' END,
+  lpad(CAST(site_id % 3 + 1 AS VARCHAR), 2, '0')) AS experiment, channel, val, count(*) AS n
+FROM pixels GROUP BY ALL),
+running AS (SELECT *, sum(n) OVER (PARTITION BY experiment, channel ORDER BY val) AS upto,
+  sum(n) OVER (PARTITION BY experiment, channel) AS total FROM levels)
+SELECT experiment, channel, CAST(any_value(total) AS BIGINT) AS n,
+round(sum(val * n) / CAST(sum(n) AS DOUBLE), 6) AS mean,
+round(sqrt(sum(val * val * n) / CAST(sum(n) AS DOUBLE)
+  - (sum(val * n) / CAST(sum(n) AS DOUBLE)) * (sum(val * n) / CAST(sum(n) AS DOUBLE))), 6) AS std,
+CAST(min(val) FILTER (upto * 100 >= total) AS INTEGER) AS p1,
+CAST(min(val) FILTER (upto * 100 >= total * 50) AS INTEGER) AS p50,
+CAST(min(val) FILTER (upto * 100 >= total * 99) AS INTEGER) AS p99
+FROM running GROUP BY experiment, channel"""
 ORACLE["pack_bucketed"] = ORACLE["pack_images"]
 ORACLE["strict_sites"] = ORACLE["load_sites"]
 ORACLE["write_arrays"] = ORACLE["chunk_sites"]

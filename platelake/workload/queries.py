@@ -12,7 +12,7 @@ from platelake.functions.labels import label_id
 from platelake.functions.paths import image_path
 from platelake.functions.scores import cross_entropy, predicted_class, probabilities
 from platelake.functions.tensors import decode_bytes, decode_floats
-from platelake.operators import feed, metadata, pixels, scoring, stack
+from platelake.operators import feed, histograms, metadata, pixels, scoring, stack
 from platelake.operators.chunks import assemble_arrays as put_arrays_together
 from platelake.operators.chunks import read_window as window_of
 from platelake.operators.chunks import to_chunks
@@ -27,11 +27,12 @@ from platelake.schemas import (
 )
 from platelake.session import cut_lineage, scratch_path
 from platelake.sources.bucketed import read_bucketed, write_bucketed
-from platelake.sources.images import parse_paths, splits_in
+from platelake.sources.images import parse_paths, read_planes, splits_in
 from platelake.sources.plates import scan_plates, write_plates
 from platelake.sources.metadata_csv import site_table
 from platelake.sources.packed import read_chunks, read_packed
 from platelake.streaming.feed import feed_examples, stream_packed
+from platelake.streaming.images import ingest_stream, stream_images
 
 EXPERIMENTS = ["RPE-05", "U2OS-03"]
 PLAN = ["seed", "dataset", "dest_path", "pos", "id_code", "site"]
@@ -221,6 +222,27 @@ def scan_png_plates(spark, sf):
         F.when(F.col("depth") == 16, total(sixteen)).otherwise(total(eight)).alias("total"))
 
 
+def stream_planes(spark, sf):
+    """Files of one split and, in a second run that goes on where the first
+    stopped, those of the other."""
+    root, dest, state = (scratch_path(spark, n) for n in ("arriving", "ingested", "ingest-state"))
+    planes = fixtures.file_planes(spark, sf)
+    for dataset in SPLITS:
+        write_plates(planes.where(F.col("dataset") == dataset), root)
+        ingest_stream(stream_images(spark, root), dest, state, drain=True).awaitTermination()
+    total = F.aggregate(decode_bytes(F.col("data")), F.lit(0).cast("long"), lambda a, v: a + v)
+    return read_planes(spark, dest).select(
+        *SITE_KEY, "channel", "height", "width", "readable", total.alias("total"))
+
+
+def pixel_percentiles(spark, sf):
+    """Statistics per experiment and channel from histograms."""
+    stats = histograms.histogram_stats(histograms.pixel_histograms(fixtures.planes(spark, sf)))
+    return stats.select(
+        "experiment", "channel", "n", F.round("mean", 6).alias("mean"),
+        F.round("std", 6).alias("std"), "p1", "p50", "p99")
+
+
 def channel_first_images(spark, sf):
     loaded = _stacked(spark, sf, "CHW")
     return loaded.select("well", F.posexplode(decode_bytes(F.col("image"))).alias("idx", "val"))
@@ -483,7 +505,8 @@ QUERIES = {f.__name__: f for f in (
     pixel_stats,
     metadata_csv, strict_sites, write_arrays, convert_sites, assemble_arrays, read_window,
     read_experiments, file_summaries,
-    load_sites, load_png_sites, load_png_rgb, scan_png_plates, channel_first_images, rgb_images, normalize_images,
+    load_sites, load_png_sites, load_png_rgb, scan_png_plates, stream_planes,
+    pixel_percentiles, channel_first_images, rgb_images, normalize_images,
     pixel_stats_images, chunk_sites, pack_images, pack_bucketed, stream_examples,
     epoch_batches, step_plan, feed_batches, written_manifest,
     predict_classes, softmax, eval_metrics, row_losses, score_sites, score_unlabelled,

@@ -1,0 +1,105 @@
+"""Image files as a stream, and histograms of planes."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from platelake.operators import histograms, pixels
+from platelake.schemas import IMAGE_KEY
+from platelake.sources.images import read_planes
+from platelake.sources.plates import scan_plates
+from platelake.streaming.images import decode_files, ingest_stream, stream_images
+from tests.screens import image_file, site_rows, write_images, write_png
+
+COLUMNS = [*IMAGE_KEY, "height", "width", "readable", "data"]
+
+
+def _rows(df):
+    return sorted(str(r) for r in df.select(*COLUMNS).collect())
+
+
+def test_two_runs_give_the_rows_of_one(spark, tmp_path):
+    root, dest, state = (str(tmp_path / n) for n in ("raw", "planes", "state"))
+    rows = site_rows(wells=5, experiments=2)
+
+    def run():
+        query = ingest_stream(stream_images(spark, root, files_per_trigger=3), dest, state, drain=True)
+        query.awaitTermination()
+
+    write_images(root, rows[:6], (1, 2))
+    with open(f"{root}/notes.png", "w") as file:
+        file.write("no image path")
+    run()
+    assert read_planes(spark, dest).count() == 12
+    run()  # nothing new
+    assert read_planes(spark, dest).count() == 12
+    write_images(root, rows[6:], (1, 2), seed=1)
+    broken = image_file(root, "train", "RPE-01", 1, "Z99", 1, 1)
+    with open(broken, "w") as file:
+        file.write("junk")
+    run()
+    assert _rows(read_planes(spark, dest)) == _rows(scan_plates(spark, root))
+
+
+def test_depth_and_broken_files_are_told(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    deep = np.arange(12, dtype=np.uint16).reshape(3, 4) * 5000
+    write_png(image_file(root, "train", "RPE-01", 1, "B02", 1, 1), deep)
+    write_png(image_file(root, "train", "RPE-01", 1, "B02", 1, 2), np.zeros((3, 4, 3), np.uint8))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    got = {r.channel: r for r in decode_files(files).collect()}
+    assert np.array_equal(np.frombuffer(got[1].data, "<u2").reshape(3, 4), deep)
+    assert (got[1].depth, got[1].readable, got[2].readable, got[2].height) == (16, True, False, -1)
+
+
+# --- histograms ------------------------------------------------------------------
+
+def _planes(spark, parts):
+    """parts: (experiment, plate, channel, values)"""
+    rows = [(e, p, c, 1, len(v), bytearray(v)) for e, p, c, v in parts]
+    return spark.createDataFrame(
+        rows, "experiment string, plate int, channel int, height int, width int, data binary")
+
+
+def test_histograms_add_up(spark):
+    rng = np.random.default_rng(0)
+    parts = [(f"E{i % 3}", i % 2, c, bytes(rng.integers(0, 200 + 10 * c, rng.integers(1, 50), dtype=np.uint8)))
+             for i in range(60) for c in (1, 2)]
+    planes = _planes(spark, parts).repartition(5)
+    fine = histograms.pixel_histograms(planes, ["experiment", "plate"])
+    coarse = {(r.experiment, r.channel): r.counts for r in
+              histograms.merge_histograms(fine, ["experiment"]).collect()}
+    direct = {(r.experiment, r.channel): r.counts for r in histograms.pixel_histograms(planes).collect()}
+    assert coarse == direct and len(direct) == 6
+    for (e, c), counts in direct.items():
+        values = np.frombuffer(b"".join(v for e2, _, c2, v in parts if (e2, c2) == (e, c)), np.uint8)
+        assert counts == np.bincount(values, minlength=256).tolist()
+    stats = histograms.histogram_stats(histograms.pixel_histograms(planes), (0, 1, 50, 99.5, 100))
+    for r in stats.collect():
+        values = np.sort(np.frombuffer(
+            b"".join(v for e, _, c, v in parts if (e, c) == (r.experiment, r.channel)), np.uint8))
+        assert r.n == len(values)
+        assert r["mean"] == pytest.approx(values.mean()) and r["std"] == pytest.approx(values.std())
+        for p in (1, 50, 99.5, 100):
+            assert r[f"p{p:g}"] == values[int(np.ceil(p * len(values) / 100)) - 1]
+        assert r.p0 == values[0]
+
+
+def test_whole_table_equals_pixel_stats(spark):
+    planes = _planes(spark, [("a", 1, 1, bytes([0, 255, 7])), ("b", 1, 1, bytes([9])), ("b", 2, 2, b"\x01")])
+    merged = histograms.merge_histograms(histograms.pixel_histograms(planes))
+    got = {r.channel: (r.n, r["mean"], r["std"]) for r in histograms.histogram_stats(merged).collect()}
+    expected = {r.channel: (r.n, r["mean"], r["std"]) for r in pixels.pixel_stats(planes).collect()}
+    assert got.keys() == expected.keys()
+    assert all(got[k] == pytest.approx(expected[k]) for k in got)
+
+
+def test_planes_that_cannot_be_counted(spark):
+    planes = _planes(spark, [("a", 1, 1, bytes(4)), (None, 1, 1, bytes(2))])
+    odd = planes.withColumns({"readable": F.lit(False)}).unionByName(
+        planes.withColumn("readable", F.lit(True))).unionByName(
+        planes.withColumns({"readable": F.lit(True), "height": F.lit(7)})).unionByName(
+        planes.withColumns({"readable": F.lit(True), "data": F.lit(None).cast("binary")}))
+    got = {r.experiment: r.counts[0] for r in histograms.pixel_histograms(odd).collect()}
+    assert got == {"a": 4, None: 2}
+    assert histograms.histogram_stats(histograms.pixel_histograms(odd.limit(0))).collect() == []
