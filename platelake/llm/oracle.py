@@ -108,6 +108,10 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def _sql(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
 def _host(url: str) -> str:
     rest = f"substr({url}, strpos({url}, '://') + 3)"
     return (f"CASE WHEN strpos(coalesce({url}, ''), '://') = 0 THEN '' ELSE "
@@ -141,7 +145,12 @@ p AS MATERIALIZED (
     AND starts_with(path, rule_path)
   GROUP BY r
 ), judged AS MATERIALIZED (SELECT * FROM p LEFT JOIN best USING (r)),
-found AS (SELECT host AS src, unnest(regexp_extract_all(html, '{urls.LINK.replace("'", "''")}', 1)) AS ref FROM p),
+attributes AS (
+  SELECT host AS src, regexp_replace(unnest(regexp_extract_all(html, '{_sql(urls.LINK)}', 0)),
+    '{_sql(urls.ATTRIBUTE)}', '') AS value FROM p
+), found AS (
+  SELECT src, CASE WHEN value[1] IN ('"', '''') THEN value[2:-2] ELSE value END AS ref FROM attributes
+),
 links AS MATERIALIZED (
   SELECT src, dst, count(*) AS n
   FROM (SELECT src, CASE WHEN starts_with(ref, '//') THEN {_host("':' || ref")}
@@ -163,7 +172,9 @@ links AS MATERIALIZED (
 ), {_spread("trust", "ahead", "trusted")},
 {_spread("distrust", "back", "blocked")}
 SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE
-  WHEN distrust.score - trust.score >= {urls.MARGIN} THEN 'block' ELSE 'allow' END) AS verdict
+  WHEN round(distrust.score, 9) >= {urls.FLOOR}
+    AND round(distrust.score * (1 - {urls.SHARE}) - trust.score * {urls.SHARE}, 9) >= 0
+  THEN 'block' ELSE 'allow' END) AS verdict
 FROM judged LEFT JOIN trust{urls.ROUNDS} AS trust USING (host)
 LEFT JOIN distrust{urls.ROUNDS} AS distrust USING (host)
 """

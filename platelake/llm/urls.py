@@ -13,10 +13,17 @@ from platelake.session import cut_lineage, drop_scratch
 
 DAMPING = 0.6
 ROUNDS = 8
-# A host is blocked if its distrust is ahead of its trust by this much. One
-# step from a wholly blocked host distrust is DAMPING at most, two steps its square.
-MARGIN = 0.4
-LINK = r"""(?i)\b(?:href|src)\s*=\s*["']([^"'<>]*)["']"""
+# A host is blocked if distrust makes up this share of its trust and distrust.
+# Sharing among many linkers and further steps make both small, so they are
+# held against each other and not against a fixed amount.
+SHARE = 0.5
+# Distrust below this is none: it is what seven steps leave of a blocked host.
+FLOOR = 0.02
+# A quoted value ends with its own quote sign, one without at white space.
+LINK = (r"(?i)\b(?:href|src)[ \t\n\f\r]*=[ \t\n\f\r]*"
+        r"""(?:"[^"<>]*"|'[^'<>]*'|[^ \t\n\f\r"'<>]+)""")
+# What stands ahead of the value.
+ATTRIBUTE = r"^[^=]*=[ \t\n\f\r]*"
 
 
 class Rule(NamedTuple):
@@ -81,8 +88,12 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     links of a host to itself. Links to hosts without any page count.
     """
     host = url_host(F.col(url))
-    targets = F.regexp_extract_all(whole(html), F.lit(LINK), F.lit(1))
-    links = pages.select(host.alias("src"), F.explode(targets).alias("to"))
+    found = F.regexp_extract_all(whole(html), F.lit(LINK), F.lit(0))
+    links = pages.select(host.alias("src"), F.explode(found).alias("found"))
+    value = F.regexp_replace("found", ATTRIBUTE, "")
+    quoted = F.startswith(value, F.lit('"')) | F.startswith(value, F.lit("'"))
+    links = links.select("src", F.when(
+        quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value).alias("to"))
     to = F.when(F.startswith("to", F.lit("//")), url_host(F.concat(F.lit(":"), F.col("to"))))
     to = to.when(F.col("to").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), url_host(F.col("to")))
     return (
@@ -160,13 +171,17 @@ def propagate(
 
 def filter_urls(
     pages: DataFrame, rules: Sequence[Rule] = RULES, url: str = "url", html: str = "html",
-    rounds: int = ROUNDS, damping: float = DAMPING, margin: float = MARGIN, row: str = "row",
+    rounds: int = ROUNDS, damping: float = DAMPING, share: float = SHARE, floor: float = FLOOR,
+    row: str = "row",
 ) -> DataFrame:
     """Each row as a struct with ``host``, ``path``, ``rule`` (null if none
     fits), ``verdict``, ``trust`` and ``distrust`` of its host.
 
-    A rule's verdict stands. Elsewhere a page is blocked if the distrust of its
-    host is ahead of its trust by ``margin``. Null urls and urls without ``://``
+    A rule's verdict stands. Elsewhere a page is blocked if its host has a
+    distrust of ``floor`` at least, and distrust makes up ``share`` of trust and
+    distrust: hosts that link to blocked ones, directly or by others, unless
+    trusted hosts link to them as much; also hosts with blocked pages of their
+    own and nothing that speaks for them. Null urls and urls without ``://``
     have no host, no scores and are allowed. Repeated rows and ids are judged
     alike, row by row. Pages of one host are counted before any shuffle and
     joined to its scores, never gathered.
@@ -176,7 +191,9 @@ def filter_urls(
     scores = cut_lineage(
         propagate(host_links(pages, url, html), seeds(marked), rounds, damping), "host-scores")
     scored = marked.join(scores, "host", "left")
-    own = F.when(F.col("distrust") - F.col("trust") >= margin, F.lit("block")).otherwise(F.lit("allow"))
+    # Rounded, so that sums in another order give the same verdict on a tie.
+    ahead = F.round(F.col("distrust") * (1 - share) - F.col("trust") * share, 9) >= 0
+    own = F.when((F.round("distrust", 9) >= floor) & ahead, F.lit("block")).otherwise(F.lit("allow"))
     return scored.select(
         row, "host", "path", "rule", F.coalesce("rule_verdict", own).alias("verdict"),
         "trust", "distrust")

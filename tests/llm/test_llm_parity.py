@@ -62,8 +62,8 @@ def test_verdicts_over_links_equal_sql(spark, tmp_path):
     for i in range(400):
         own = rng.choice(hosts)
         refs = "".join(
-            f'<a {rng.choice(["href", "SRC"])} = "{rng.choice(["http://", "//", "x:", "/"])}{rng.choice(hosts)}/en/">'
-            for _ in range(rng.randint(0, 3)))
+            f'<a {rng.choice(["href", "SRC"])} = {quote}{rng.choice(["http://", "//", "x:", "/"])}{rng.choice(hosts)}/en/{quote}>'
+            for quote in rng.choices(['"', "'", ""], k=rng.randint(0, 3)))
         pages.append((i, f"http://{own}/{rng.choice(['en/', 'es/', 'fr/', '', 'de/?://c.net/'])}", refs))
     folder = str(tmp_path)
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
@@ -195,4 +195,4 @@ def test_awkward_rows_equal_sql(spark, awkward, name):
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLE) <= set(entry.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))

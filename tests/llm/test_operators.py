@@ -683,7 +683,50 @@ def test_links_and_verdicts(spark):
     found = {(r.src, r.dst): r.n for r in urls.host_links(pages).collect()}
     assert found == {("friend.org", "bad.net"): 1, ("clean.org", "friend.org"): 1}
     verdicts = {r.row.page_id: r.verdict for r in urls.filter_urls(pages).collect()}
-    assert verdicts == {1: "block", 2: "block", 3: "allow", 4: "allow"}
+    # clean.org links to a host that links to a blocked one: two steps.
+    assert verdicts == {1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
+def _linked(spark, links, own=()):
+    """Verdicts of hosts whose pages no rule judges. ``links``: (host, hosts it
+    links to); ``own``: further (url, html)."""
+    rows = [(f"http://{h}/x", "".join(f'<a href="http://{t}/es/">' for t in to)) for h, to in links]
+    rows = [(i, *r) for i, r in enumerate([*rows, *own])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.host: r.verdict for r in urls.filter_urls(pages).where("rule is null").collect()}
+
+
+def test_distrust_reaches_what_links_to_blocked_hosts(spark):
+    bad = ("http://bad.net/es/1", "")
+    # Both linkers of one blocked host, and ten of them.
+    for n in (2, 10):
+        found = _linked(spark, [(f"l{i}.org", ["bad.net"]) for i in range(n)] + [("clean.org", ["l.info"])], [bad])
+        assert found == {**{f"l{i}.org": "block" for i in range(n)}, "clean.org": "allow"}
+    # A chain of two steps and of three; who is linked to from there is clean.
+    found = _linked(spark, [("a.org", ["b.org"]), ("b.org", ["c.org"]), ("c.org", ["bad.net", "read.org"]),
+                            ("read.org", [])], [bad])
+    assert found == {"a.org": "block", "b.org": "block", "c.org": "block", "read.org": "allow"}
+    # One page in five is blocked: its own other pages and its neighbour.
+    part = [("http://part.net/fr/1", "")] + [(f"http://part.net/en/{i}", "") for i in range(4)]
+    assert _linked(spark, [("near.org", ["part.net"]), ("far.org", [])], part) == {
+        "part.net": "block", "near.org": "block", "far.org": "allow"}
+
+
+def test_trust_outweighs_distrust(spark):
+    bad = ("http://bad.net/es/1", "")
+    good = [(f"http://good{i}.com/", '<a href="http://mixed.org/">') for i in range(2)]
+    # Ten linkers share the distrust; trusted hosts link to one of them.
+    links = [(f"l{i}.org", ["bad.net"]) for i in range(9)] + [("mixed.org", ["bad.net"])]
+    found = _linked(spark, links, [bad, *good])
+    assert found.pop("mixed.org") == "allow" and set(found.values()) == {"block"}
+
+
+def test_links_without_quotes_count(spark):
+    html = ("<a href=http://one.net/x><img src='//two.net/a\"b'> <A HREF = \"http://three.net/it's\">"
+            "<a href=http://four.net/ href=\"http://five.net>\"> <a hrefx=http://no.net/> <a href=>")
+    pages = spark.createDataFrame([(1, "http://own.org/", html)], "page_id long, url string, html string")
+    assert {r.dst for r in urls.host_links(pages).collect()} == {
+        "one.net", "two.net", "three.net", "four.net"}
 
 
 # --- 10 ----------------------------------------------------------------------
