@@ -62,10 +62,12 @@ spec = importlib.util.spec_from_file_location("given", {entry.__file__!r})
 given = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(given)
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
-for name in ("chunk_sites", "score_sites"):
+for name in ("chunk_sites", "score_sites", "load_png_sites", "scan_png_plates", "stream_planes"):
     print(name, len(given.queries()[name](spark, {SOURCE!r}).collect()))
 """
     done = subprocess.run(
         [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]
-    assert "chunk_sites 332" in done.stdout and "score_sites 83" in done.stdout
+    for line in ("chunk_sites 332", "score_sites 83", "load_png_sites 31872", "scan_png_plates 332",
+                 "stream_planes 500"):
+        assert line in done.stdout
