@@ -230,47 +230,128 @@ def uniform(keys: np.ndarray, step: int) -> np.ndarray:
     return ((z >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
 
 
-# Customers seated one by one; from then on the wait for a new table is drawn.
-ONE_BY_ONE = 24
-
-
-def seat(counts: np.ndarray, mass: np.ndarray, gain: np.ndarray, discount: float,
-         keys: np.ndarray, step: int) -> np.ndarray:
-    """Tables of each dish after all its customers are seated anew.
-
-    A customer opens a table with weight ``mass + gain * tables`` (strength and
-    discounted tables of the restaurant, times the parent's probability) against
-    the customers there less the discounts of their tables. After the first
-    few, the number of customers until the next table is drawn at once: the
-    chance of none between i and j is close to (i' / j') ** weight.
+# Up to so many customers the number of tables is drawn from its exact law;
+# beyond, the part of the law that has no closed form is scaled from there.
+LATTICE = 512
+# Steps of the grid on which tables of larger dishes are looked for.
+GRID_RATIO = 1.04
+# Cells of the lattice that are worked on at once.
+CELLS = 1 << 21
+
+
+# Tables of Stirling numbers by discount. A plain dict: it travels to workers
+# that cannot import the package.
+_STIRLING: dict[float, np.ndarray] = {}
+
+
+def log_stirling(discount: float) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers: entry (c, t) sums the
+    weights of all ways to seat c customers at t tables."""
+    if discount not in _STIRLING:
+        out = np.full((LATTICE + 1, LATTICE + 1), -np.inf)
+        out[0, 0] = 0.0
+        t = np.arange(1, LATTICE + 1)
+        for c in range(LATTICE):
+            joining = np.log(np.maximum(c - discount * t, 1e-300))
+            out[c + 1, 1:] = np.logaddexp(out[c, :-1], np.where(t <= c, out[c, 1:] + joining, -np.inf))
+        _STIRLING[discount] = out
+    return _STIRLING[discount]
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """Logarithm of the gamma function from 1 on."""
+    shift = np.maximum(10.0 - np.floor(x), 0.0)
+    z = x + shift
+    series = (z - 0.5) * np.log(z) - z + 0.9189385332046727 + (1 / 12 - (1 / 360 - 1 / (1260 * z * z)) / (z * z)) / z
+    for k in range(9):
+        series = series - np.where(k < shift, np.log(np.maximum(x + k, 1e-300)), 0.0)
+    return series
+
+
+def _large_log_stirling(count: float, tables: np.ndarray, discount: float) -> np.ndarray:
+    """The same, up to a constant, of more customers than the lattice holds.
+
+    A Stirling number is a factor in closed form times the chance that
+    independent table sizes add up to the customers. Their sums scale like
+    ``tables ** (1 / discount)``, so that chance is read off at the last row of
+    the lattice, at the number of tables that corresponds.
+    """
+    row = log_stirling(discount)[LATTICE, 1:]
+    t = np.arange(1, LATTICE + 1)
+    chance = row + t * np.log(discount) + _log_gamma(t + 1.0)
+    place = tables * (LATTICE / count) ** discount
+    # Few tables: the chance grows with their number.
+    read = np.interp(np.log(np.maximum(place, 1.0)), np.log(t), chance) + np.log(np.minimum(place, 1.0))
+    return read - tables * np.log(discount) - _log_gamma(tables + 1.0)
+
+
+def _grid(top: int) -> np.ndarray:
+    """1, 2, 3, ... with growing steps, up to ``top``."""
+    out, at = [], 1.0
+    while at < top:
+        out.append(int(at))
+        at = max(at + 1, at * GRID_RATIO)
+    return np.array([*out, top], np.float64)
+
+
+def _seat_large(count: float, mass: float, gain: float, later: float, slope: float,
+                discount: float, u: float) -> float:
+    """One draw for a large dish: a stretch of the grid, then a place in it."""
+    t = _grid(int(count))
+    opens = np.log(np.maximum(mass + gain * t, 1e-300)) + np.log(np.maximum(later + slope * t, 1e-300))
+    # Weights of the second, third, ... table, added up along the grid.
+    steps = np.diff(t)
+    upto = np.concatenate([[0.0], np.cumsum(steps * (opens[1:] + opens[:-1]) / 2)])
+    logs = upto - (opens - opens[0]) / 2 + _large_log_stirling(count, t, discount)
+    # Each place of the grid stands for the numbers after the place before, their
+    # weights going from one to the other by a constant ratio.
+    rise = np.concatenate([[0.0], np.diff(logs) / steps])
+    width = np.concatenate([[1.0], steps])
+    shrink = np.abs(rise)
+    top = np.maximum(logs, logs - rise * (width - 1)) - logs.max()
+    sums = np.where(shrink > 1e-9, -np.expm1(-shrink * width) / np.maximum(-np.expm1(-shrink), 1e-12), width)
+    heap = np.cumsum(np.exp(top) * sums)
+    aim = u * heap[-1]
+    k = min(int(np.searchsorted(heap, aim, side="right")), len(t) - 1)
+    inside = np.cumsum(np.exp(logs[k] - logs.max() - rise[k] * np.arange(width[k] - 1, -1, -1)))
+    at = int(np.searchsorted(inside, aim - (heap[k - 1] if k else 0.0), side="right"))
+    return float(t[k] - width[k] + 1 + min(at, width[k] - 1))
+
+
+def seat(counts: np.ndarray, mass: np.ndarray, gain: float, later: np.ndarray, slope: float,
+         discount: float, keys: np.ndarray, step: int) -> np.ndarray:
+    """Tables of each dish, drawn given all other seatings.
+
+    The chance of t tables goes with the ways to seat the dish's customers at
+    them and with the weights of opening the second to the t-th: table k + 1
+    is opened with ``mass + gain * k`` (strength and discounted tables of the
+    restaurant) times ``later + slope * k``, what the parent gives the dish
+    once k customers of this restaurant are there. The first one is sure.
     """
-    counts = counts.astype(np.float64)
-    tables = np.minimum(counts, 1.0)
-    step = step << 20
-    for i in range(1, ONE_BY_ONE):
-        live = np.flatnonzero(counts > i)
-        if not len(live):
-            return tables
-        t = tables[live]
-        weight = mass[live] + gain[live] * t
-        opens = uniform(keys[live], step + i) * (weight + i - discount * t) < weight
-        tables[live] += opens
-    live = np.flatnonzero(counts > ONE_BY_ONE)
-    seated = np.full(len(live), float(ONE_BY_ONE))
-    turn = step + ONE_BY_ONE
-    while len(live):
-        t = tables[live]
-        weight = np.maximum(mass[live] + gain[live] * t, 1e-300)
-        shift = discount * t - (weight - 1) / 2
-        # With a weight far above the customers nearly everyone opens a table.
-        here = np.maximum(seated - shift, 1e-3)
-        wait = here * np.expm1(np.minimum(-np.log(uniform(keys[live], turn)) / weight, 700.0))
-        seated = seated + np.maximum(np.ceil(wait), 1.0)
-        going = seated <= counts[live]
-        live, seated = live[going], seated[going]
-        tables[live] += 1
-        turn += 1
-    return tables
+    out = np.minimum(counts.astype(np.float64), 1.0)
+    u = uniform(keys, step)
+    small = np.flatnonzero((counts > 1) & (counts <= LATTICE))
+    small = small[np.argsort(counts[small], kind="stable")]
+    stirling = log_stirling(discount)
+    at = 0
+    while at < len(small):
+        c = int(counts[small[at]])
+        end = int(np.searchsorted(counts[small], c, side="right"))
+        end = min(end, at + max(1, CELLS // c))
+        rows = small[at:end]
+        k = np.arange(1, c)
+        logs = np.zeros((len(rows), c))
+        np.cumsum(np.log(np.maximum((mass[rows, None] + gain * k) * (later[rows, None] + slope * k), 1e-300)),
+                  axis=1, out=logs[:, 1:])
+        logs += stirling[c, 1:c + 1]
+        logs -= logs.max(axis=1, keepdims=True)
+        heap = np.cumsum(np.exp(logs, out=logs), axis=1, out=logs)
+        out[rows] = 1 + (heap < u[rows, None] * heap[:, -1:]).sum(axis=1)
+        at = end
+    for i in np.flatnonzero(counts > LATTICE):
+        out[i] = _seat_large(
+            float(counts[i]), float(mass[i]), gain, float(later[i]), slope, discount, float(u[i]))
+    return out
 
 
 class Totals(NamedTuple):
@@ -284,11 +365,12 @@ class Totals(NamedTuple):
     tables: np.ndarray
 
 
-def _sample(words, counts, ends, contexts, met, totals: Totals, sweeps: int):
-    """Yields (root customers, root tables, tables of each pair) per sweep.
+def _sample(words, counts, ends, contexts, met, root, tables, totals: Totals, sweeps: int, first: int):
+    """Yields (root customers, root tables, tables of each pair) per sweep,
+    going on from the ``root`` and ``tables`` of the sweep before.
 
-    Pairs of word w are ``ends[w]:ends[w + 1]``. One sweep seats all customers
-    of each dish again, first in the contexts, then in the root, whose
+    Pairs of word w are ``ends[w]:ends[w + 1]``. One sweep draws the tables of
+    each dish given all others, first in the contexts, then in the root, whose
     customers are the tables of the contexts and the tokens of rare contexts.
     Totals of whole restaurants stand from pass to pass but for the dish's own.
     """
@@ -296,70 +378,76 @@ def _sample(words, counts, ends, contexts, met, totals: Totals, sweeps: int):
     with np.errstate(over="ignore"):
         pair_keys = words[of] ^ (contexts.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     direct = counts - np.bincount(of, met, len(words))
-    tables = np.ones(len(met))
     customers = direct + np.bincount(of, tables, len(words))
-    root = np.ones(len(words))
+    # What the pass began with is part of the totals.
+    root_then, tables_then = root, tables
     base = 1.0 / (totals.vocabulary + 1)
     d0, d1, s = totals.root_discount, totals.discount, totals.strength
-    for sweep in range(sweeps):
-        p = (customers - d0 * root + (s + d0 * totals.tables[0]) * base) / (s + totals.customers[0])
-        others = np.maximum(totals.tables[contexts] - tables, 0)
-        tables = seat(met, (s + d1 * others) * p[of], d1 * p[of], d1, pair_keys, 2 * sweep + SEED)
+    for sweep in range(first, first + sweeps):
+        # The root's customers and tables of the dish without those of the pair.
+        others = customers[of] - tables
+        stay = others - d0 * np.minimum(root[of], others + 1) + (s + d0 * totals.tables[0]) * base
+        whole = s + totals.customers[0]
+        mass = s + d1 * np.maximum(totals.tables[contexts] - tables_then, 0)
+        tables = seat(met, mass, d1, stay / whole, 1.0 / whole, d1, pair_keys, 2 * sweep + SEED)
         customers = direct + np.bincount(of, tables, len(words))
-        others = np.maximum(totals.tables[0] - root, 0)
-        root = seat(customers, (s + d0 * others) * base, np.full(len(words), d0 * base), d0, words,
-                    2 * sweep + 1 + SEED)
+        mass = s + d0 * np.maximum(totals.tables[0] - root_then, 0)
+        root = seat(customers, mass, d0, np.full(len(words), base), 0.0, d0, words, 2 * sweep + 1 + SEED)
         yield customers, root, tables
 
 
+def _lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
+
+
 def _word_arrays(batch: pa.RecordBatch):
+    """Words, their counts, ends of their lists, and of each pair the context,
+    its count and its tables; then the tables of the root."""
     words = batch.column("word").to_numpy().view(np.uint64)
     counts = batch.column("n").to_numpy().astype(np.float64)
     lists = batch.column("contexts")
     ends = np.asarray(lists.offsets) - np.asarray(lists.offsets)[0]
     contexts = np.asarray(lists.flatten()).astype(np.int64)
-    met = np.asarray(batch.column("counts").flatten()).astype(np.float64)
-    return words, counts, ends, contexts, met
+    met, tables = (np.asarray(batch.column(c).flatten()).astype(np.float64) for c in ("counts", "tables"))
+    root = batch.column("root").to_numpy().astype(np.float64)
+    return words, counts, ends, contexts, met, root, tables
+
 
+_DISHES = ("word long, n long, contexts array<int>, counts array<long>, root long, customers long, "
+           "tables array<int>")
 
-def _settle_batches(totals: Totals):
-    """Tables per restaurant after some sweeps; customers of the root as -1."""
+
+def _settle_batches(totals: Totals, first: int):
+    """The dishes with their tables after some sweeps."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, customers, any_rows = np.zeros(len(totals.tables)), 0.0, False
         for batch in batches:
             arrays = _word_arrays(batch)
-            for own, root, pairs in _sample(*arrays, totals, BURN_IN):
+            for customers, root, tables in _sample(*arrays, totals, BURN_IN, first):
                 pass
-            tables += np.bincount(arrays[3], pairs, len(tables))
-            tables[0] += root.sum()
-            customers += own.sum()
-            any_rows = True
-        if any_rows:
-            names = np.arange(-1, len(tables), dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names), pa.array(np.concatenate([[customers], tables]))],
-                names=["restaurant", "n"])
+                [*(batch.column(c) for c in ("word", "n", "contexts", "counts")),
+                 pa.array(root.astype(np.int64)), pa.array(customers.astype(np.int64)),
+                 _lists(arrays[2], tables.astype(np.int32))],
+                names=[c.split()[0] for c in _DISHES.split(", ")])
 
     return run
 
 
-def _predict_batches(totals: Totals):
+def _predict_batches(totals: Totals, first: int):
     """Averages over the samples: what a word keeps of its customers in the root
     and in each context, after discounts, as a share of all customers there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, counts, ends, contexts, met = arrays = _word_arrays(batch)
+            words, _, ends, contexts, met, *_ = arrays = _word_arrays(batch)
             customers, root, pairs = np.zeros(len(words)), np.zeros(len(words)), np.zeros(len(met))
-            for k, (c, r, t) in enumerate(_sample(*arrays, totals, BURN_IN + SAMPLES)):
-                if k >= BURN_IN:
-                    customers, root, pairs = customers + c, root + r, pairs + t
+            for c, r, t in _sample(*arrays, totals, SAMPLES, first):
+                customers, root, pairs = customers + c, root + r, pairs + t
             kept = (met - totals.discount * pairs / SAMPLES) / (
                 totals.strength + totals.customers[contexts])
             own = (customers - totals.root_discount * root) / SAMPLES
             yield pa.RecordBatch.from_arrays(
                 [batch.column("word"), batch.column("n"), pa.array(own), pa.array(customers / SAMPLES),
-                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(contexts.astype(np.int32))),
-                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(kept))],
+                 _lists(ends, contexts.astype(np.int32)), _lists(ends, kept)],
                 names=["word", "n", "root", "customers", "contexts", "kept"])
 
     return run
@@ -384,6 +472,15 @@ def _discount(ones: int | None, twos: int | None) -> float:
     return min(max(ones / (ones + 2 * twos), 0.1), 0.95) if ones else 0.5
 
 
+def _context_sums(dishes: DataFrame) -> list:
+    """Customers, dishes and tables of each context; at most 1/share rows."""
+    pairs = dishes.select(F.explode(F.arrays_zip("contexts", "counts", "tables")).alias("p"))
+    return pairs.groupBy(F.col("p.contexts").alias("context")).agg(
+        F.sum("p.counts").alias("n"), F.sum("p.tables").alias("tables"),
+        F.sum((F.col("p.counts") == 1).cast("long")).alias("ones"),
+        F.sum((F.col("p.counts") == 2).cast("long")).alias("twos")).collect()
+
+
 def fit(blocks: DataFrame, share: float = CONTEXT_SHARE, strength: float = STRENGTH) -> Model:
     """Counts and seats all training tokens.
 
@@ -408,32 +505,45 @@ def fit(blocks: DataFrame, share: float = CONTEXT_SHARE, strength: float = STREN
         _pair_batches(hashes), "word long, context int, n long")
     pairs = pairs.groupBy("word", "context").agg(F.sum("n").alias("n")).groupBy("word").agg(
         F.sort_array(F.collect_list(F.struct("context", "n"))).alias("met"))
+    contexts = F.coalesce("met.context", F.array().cast("array<int>"))
     table = vocabulary.join(pairs, "word", "left").select(
-        "word", "n", F.coalesce("met.context", F.array().cast("array<int>")).alias("contexts"),
+        "word", "n", contexts.alias("contexts"),
         F.coalesce("met.n", F.array().cast("array<long>")).alias("counts"))
+    # To begin with every dish has one table in each restaurant that serves it.
+    one = F.transform("contexts", lambda c: F.lit(1))
+    direct = F.col("n") - F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
+    table = table.select(
+        "*", F.lit(1).cast("long").alias("root"), (direct + F.size("contexts")).alias("customers"),
+        one.alias("tables"))
     table, table_path = cut_lineage(table, "dishes", with_path=True)
     drop_scratch(spark, path)
 
-    flat = table.select(F.explode(F.arrays_zip("contexts", "counts")).alias("p")).groupBy(
-        F.col("p.contexts").alias("context")).agg(
-        F.sum("p.counts").alias("n"), F.count(F.lit(1)).alias("types"),
-        F.sum((F.col("p.counts") == 1).cast("long")).alias("ones"),
-        F.sum((F.col("p.counts") == 2).cast("long")).alias("twos")).collect()
-    customers, tables = np.zeros(len(hashes) + 1), np.zeros(len(hashes) + 1)
-    for r in flat:
-        customers[r["context"]], tables[r["context"]] = r["n"], r["types"]
-    customers[0], tables[0] = n - customers.sum() + tables.sum(), v
-    totals = Totals(v, _discount(ones, twos), _discount(
-        sum(r["ones"] for r in flat), sum(r["twos"] for r in flat)), strength, customers, tables)
-    for _ in range(SETTLING if v else 0):
-        got = table.mapInArrow(_settle_batches(totals), "restaurant int, n double").groupBy(
-            "restaurant").agg(F.sum("n").alias("n")).collect()
-        found = {r["restaurant"]: r["n"] for r in got}
-        customers = np.concatenate([[found[-1]], totals.customers[1:]])
-        totals = totals._replace(
-            customers=customers, tables=np.array([found[k] for k in range(len(tables))]))
+    served = _context_sums(table)
+    customers = np.zeros(len(hashes) + 1)
+    for r in served:
+        customers[r["context"]] = r["n"]
+    discounts = _discount(ones, twos), _discount(
+        sum(r["ones"] for r in served), sum(r["twos"] for r in served))
+
+    def totals_of(dishes: DataFrame, sums: list) -> Totals:
+        found = dishes.agg(F.sum("customers"), F.sum("root")).first()
+        tables = np.zeros(len(hashes) + 1)
+        for r in sums:
+            tables[r["context"]] = r["tables"]
+        tables[0] = found[1] or 0
+        all_customers = customers.copy()
+        all_customers[0] = found[0] or 0
+        return Totals(v, *discounts, strength, all_customers, tables)
+
+    totals = totals_of(table, served)
+    for k in range(SETTLING if v else 0):
+        seated, seated_path = cut_lineage(
+            table.mapInArrow(_settle_batches(totals, k * BURN_IN), _DISHES), "dishes", with_path=True)
+        drop_scratch(spark, table_path)
+        table, table_path = seated, seated_path
+        totals = totals_of(table, _context_sums(table))
     words, words_path = cut_lineage(table.mapInArrow(
-        _predict_batches(totals),
+        _predict_batches(totals, SETTLING * BURN_IN),
         "word long, n long, root double, customers double, contexts array<int>, kept array<double>"),
         "predictive", with_path=True)
     drop_scratch(spark, table_path)
