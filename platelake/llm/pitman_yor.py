@@ -1,60 +1,144 @@
 """Hierarchical Pitman-Yor language model over words.
 
-Contexts are previous words. A context that makes up a set share of all
-training tokens has a restaurant of its own; all of them share one parent, the
-restaurant without context, which also takes the tokens of rarer contexts.
-Its base is uniform over the vocabulary and one unknown word. Customers are
-seated by Gibbs sampling, and the seatings drawn after burn-in are averaged.
+Every word that stands ahead of a training token, and the end of a text, is a
+context with a restaurant of its own; all of them share one parent, the
+restaurant without context, whose base is uniform over the vocabulary and one
+unknown word. Customers are seated by Gibbs sampling, and the seatings drawn
+after burn-in are averaged.
+
+The corpus is three written tables: blocks of texts, pairs (context, word) dealt
+out by context, and words dealt out by hash. They talk in messages: packed
+arrays of numbers, one row per sender and receiver. No vocabulary, context list
+or group of one word or context comes to the driver or to a single task.
 """
 
 from __future__ import annotations
 
+import struct
+import uuid
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platelake.llm.text import let, pieces, whole
-from platelake.session import cut_lineage, drop_scratch
+from platelake.llm.text import pieces, whole
+from platelake.session import cut_lineage, drop_scratch, scratch_path
 
-# Share of the training tokens from which a word is a context: at most 1/share.
-CONTEXT_SHARE = 0.002
 STRENGTH = 1.0
-# Sampling passes that settle the totals, sweeps in each, and samples averaged.
-SETTLING = 2
+# Passes that settle the seating, passes that are averaged, and draws in each
+# of those.
 BURN_IN = 2
-SAMPLES = 4
+SAMPLES = 2
+DRAWS = 2
 # Tokens after which a block of documents is closed.
 BLOCK_TOKENS = 1 << 21
+# Tokens that a receiver of messages stands for, on average.
+PART_TOKENS = 1 << 22
+# A context with this share of the training tokens is dealt out by its words
+# too; there are 4,096 of them at most.
+HOT_SHARE = 1 / 4096
 # Stands for the end of a text, and for what is ahead of its first word.
 END = b" "
 SEED = 7
 
+# Kinds of rows.
+WORDS, COUNTS, PLACES, PAIRS, MEMBERS, LISTS, HOT, TABLES, SUMS, ROOT, SEEN, KEPT, KNOWN = range(13)
+
+_COLUMNS = [("kind", pa.int32()), ("target", pa.int64()), ("source", pa.int64()), ("a", pa.binary()),
+            ("b", pa.binary()), ("c", pa.binary()), ("d", pa.binary()), ("stats", pa.list_(pa.float64()))]
+MESSAGE = ("kind int, target long, source long, a binary, b binary, c binary, d binary, "
+           "stats array<double>")
+
+
+# --- messages ------------------------------------------------------------------
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, compressed: first the low bytes of all values,
+    then the next ones, as many as the largest needs."""
+    values = np.ascontiguousarray(values, dtype="<u8")
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = values.view(np.uint8).reshape(len(values), 8)[:, :width].T
+    return struct.pack("<QB", len(values), width) + pa.compress(
+        planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n, width = struct.unpack_from("<QB", data)
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        planes = pa.decompress(data[9:], n * width, codec="zstd")
+        out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
+    return out.view("<u8").reshape(n)
+
+
+def packed_steps(values: np.ndarray) -> bytes:
+    """The same for numbers that do not decrease."""
+    return packed(np.diff(np.ascontiguousarray(values, dtype="<u8"), prepend=np.uint64(0)))
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word)
 
+def unpacked_steps(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.uint64)
 
-def _packed(values: np.ndarray) -> bytes:
-    """Compressed, first the low bytes of all values, then the next ones."""
-    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
-    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
+def packed_floats(values: np.ndarray) -> bytes:
+    return packed(np.ascontiguousarray(values, dtype="<f4").view("<u4"))
 
-def _unpacked(data: bytes, n: int, kind) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    planes = np.frombuffer(pa.decompress(data, n * width, codec="zstd"), np.uint8)
-    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).reshape(n)
+
+def unpacked_floats(data: bytes) -> np.ndarray:
+    return unpacked(data).astype("<u4").view("<f4").astype(np.float64)
+
+
+class Messages:
+    """Rows that a task sends."""
+
+    def __init__(self):
+        self.rows = []
+
+    def add(self, kind: int, target: int, source: int, *data: bytes, stats=None) -> None:
+        self.rows.append((kind, int(target), int(source), *data, *[None] * (4 - len(data)),
+                          None if stats is None else [float(v) for v in stats]))
+
+    def table(self) -> pa.Table:
+        columns = list(zip(*self.rows, strict=True)) or [[] for _ in _COLUMNS]
+        return pa.table({name: pa.array(c, t) for c, (name, t) in zip(columns, _COLUMNS, strict=True)})
+
+
+def _rows(table: pa.Table, kind: int) -> list[dict]:
+    """Rows of a kind by sender."""
+    return sorted((r for r in table.to_pylist() if r["kind"] == kind), key=lambda r: r["source"])
+
+
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    """Evenly spread bits of whole numbers."""
+    with np.errstate(over="ignore"):
+        z = keys.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return z ^ (z >> np.uint64(31))
+
+
+def _segments(groups: np.ndarray) -> list[tuple[int, int, int]]:
+    """(group, from, to) of an ordered array."""
+    if not len(groups):
+        return []
+    starts = np.flatnonzero(np.diff(groups, prepend=groups[0] - 1 if groups[0] else groups[0] + 1))
+    starts[0] = 0
+    ends = np.append(starts[1:], len(groups))
+    return [(int(groups[i]), int(i), int(j)) for i, j in zip(starts, ends, strict=True)]
 
 
 # --- blocks: texts as numbers ---------------------------------------------------
 
+def _hash(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word)
+
+
 def _block_batches(doc_type: pa.DataType):
     """Texts to blocks: the hashes of a block's words, and its tokens as places
     in that list. Place 0 is the end of a text."""
@@ -75,9 +159,8 @@ def _block_batches(doc_type: pa.DataType):
             all_tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.int32)
             number = (task << 32) + made
             made += 1
-            values = [[number], [len(words)], [_packed(words)], [size], [_packed(all_tokens)], [ids],
-                      [held], [lengths]]
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(doc_type),
+            values = [[number], [packed(words)], [packed(all_tokens)], [size], [ids], [held], [lengths]]
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.list_(doc_type),
                      pa.list_(pa.bool_()), pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=_BLOCK_NAMES)
@@ -105,7 +188,7 @@ def _block_batches(doc_type: pa.DataType):
     return run
 
 
-_BLOCK_NAMES = ["block", "n_words", "words", "n_tokens", "tokens", "ids", "held", "lengths"]
+_BLOCK_NAMES = ["block", "words", "tokens", "n_tokens", "ids", "held", "lengths"]
 
 
 def held_out(doc_id: str) -> Column:
@@ -113,19 +196,27 @@ def held_out(doc_id: str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 10 == 0, F.lit(False))
 
 
-def token_blocks(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, str]:
-    """Written table of blocks, with its folder. Block numbers are taken from
-    the written rows, so they stay as they are when a later task is repeated."""
+def _table(df: DataFrame, name: str, key: str) -> tuple[DataFrame, str]:
+    """A written table whose rows later joins by ``key`` find where they are."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"platelake_{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).format("parquet").option("path", path).saveAsTable(table)
+    return spark.table(table), path
+
+
+def token_blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Table of blocks. Block numbers are taken from the written rows, so they
+    stay as they are when a later task is repeated."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     field = docs.schema[doc_id].dataType
     listed = docs.select(
         F.col(doc_id).alias("id"), held_out(doc_id).alias("held"),
         whole(text).cast("binary").alias("data"))
-    schema = ("block long, n_words long, words binary, n_tokens long, tokens binary, "
+    schema = ("block long, words binary, tokens binary, n_tokens long, "
               f"ids array<{field.simpleString()}>, held array<boolean>, lengths array<long>")
-    blocks = listed.mapInArrow(_block_batches(to_arrow_type(field)), schema)
-    return cut_lineage(blocks, "blocks", with_path=True)
+    return _table(listed.mapInArrow(_block_batches(to_arrow_type(field)), schema), "blocks", "block")[0]
 
 
 class Block:
@@ -133,9 +224,8 @@ class Block:
 
     def __init__(self, row: dict):
         self.number = row["block"]
-        # Not read where the context numbers are known already.
-        self.words = _unpacked(row["words"], row["n_words"], np.uint64) if "words" in row else None
-        self.tokens = _unpacked(row["tokens"], row["n_tokens"], np.int32)
+        self.words = unpacked(row["words"])
+        self.tokens = unpacked(row["tokens"]).astype(np.int32)
         self.lengths = np.array(row["lengths"], np.int64)
         self.held = np.array(row["held"], bool)
         self.ids = row["ids"]
@@ -143,77 +233,174 @@ class Block:
     def training(self) -> np.ndarray:
         return np.repeat(~self.held, self.lengths)
 
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        """Context number of each word: 1 + its place in the sorted ``hashes``,
-        0 for words that are none."""
-        place = np.searchsorted(hashes, self.words)
-        inside = np.minimum(place, max(len(hashes) - 1, 0))
-        known = (hashes[inside] == self.words) if len(hashes) else np.zeros(len(self.words), bool)
-        return np.where(known, place + 1, 0).astype(np.int32)
-
-    def contexts(self, numbers: np.ndarray) -> np.ndarray:
-        """Context number of each token: that of the word before. Every text
-        ends with token 0, so what stands before a text is an end."""
-        before = np.zeros_like(self.tokens)
-        before[1:] = self.tokens[:-1]
-        return numbers[before]
-
-    def met(self, context: np.ndarray, where: np.ndarray | None = None):
-        """Distinct (word, context) with a context, by word then context, with
-        their counts; the tokens that have one, and the place of their pairs."""
-        width = int(context.max(initial=0)) + 1
-        chosen = np.flatnonzero(context if where is None else (context > 0) & where)
-        keys = self.tokens[chosen].astype(np.int64) * width + context[chosen]
-        pairs, back, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        return pairs // width, pairs % width, counts, chosen, back
-
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield Block(batch.slice(i, 1).to_pylist()[0])
+    def word_order(self, parts: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """Places of the words by receiver and hash, and what goes to each."""
+        part = self.words % np.uint64(parts)
+        order = np.lexsort((self.words, part))
+        return order, _segments(part[order])
+
+    def numbers(self, parts: int, rows: list[dict]) -> np.ndarray:
+        """Word numbers of the block's words, from the answers of their parts."""
+        order, segments = self.word_order(parts)
+        out = np.zeros(len(self.words), np.uint64)
+        answers = {r["source"]: r["a"] for r in rows}
+        for part, a, b in segments:
+            out[order[a:b]] = unpacked_steps(answers[part]) * np.uint64(parts) + np.uint64(part)
+        return out
+
+    def pairs(self, numbers: np.ndarray, deal: Deal):
+        """Distinct pairs (context, word) by receiver, context and word; what
+        goes to each receiver; and each token's place among them."""
+        words = numbers[self.tokens]
+        # Every text ends with token 0, so what stands before a text is an end.
+        contexts = np.concatenate([numbers[:1], words[:-1]])
+        keys, back = np.unique(contexts * np.uint64(deal.bound) + words, return_inverse=True)
+        u, w = keys // np.uint64(deal.bound), keys % np.uint64(deal.bound)
+        part = deal.part(u, w)
+        order = np.argsort(part, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        return u[order], w[order], _segments(part[order]), place[back]
+
+
+class Deal(NamedTuple):
+    """How pairs are dealt out: number of parts, a bound of the word numbers,
+    and the contexts whose pairs are dealt out one by one."""
+    parts: int
+    bound: int
+    hot: np.ndarray
+
+    def is_hot(self, u: np.ndarray) -> np.ndarray:
+        if not len(self.hot):
+            return np.zeros(len(u), bool)
+        at = np.minimum(np.searchsorted(self.hot, u), len(self.hot) - 1)
+        return self.hot[at] == u
+
+    def part(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        keys = np.where(self.is_hot(u), _mixed(u) ^ w, u)
+        return _mixed(keys) % np.uint64(self.parts)
+
+
+def _runs(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of an ordered array and how often each stands there."""
+    starts = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]])) if len(u) else np.zeros(0, int)
+    return u[starts], np.diff(np.append(starts, len(u)))
+
+
+def _pair_data(u: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[bytes, ...]:
+    contexts, lengths = _runs(u)
+    return packed_steps(contexts), packed(lengths), packed(w), packed(n)
+
+
+def _pair_arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    u = np.repeat(unpacked_steps(row["a"]), unpacked(row["b"]).astype(np.int64))
+    return u, unpacked(row["c"]), unpacked(row["d"]).astype(np.int64)
+
+
+# --- counting ------------------------------------------------------------------
+
+def _block_words(parts: int) -> Callable:
+    """A block's words and their training counts, to the parts of the words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block, out = Block(batch.slice(i, 1).to_pylist()[0]), Messages()
+                counts = np.bincount(block.tokens[block.training()], minlength=len(block.words))
+                order, segments = block.word_order(parts)
+                for part, a, b in segments:
+                    own = order[a:b]
+                    out.add(WORDS, part, block.number, packed_steps(block.words[own]), packed(counts[own]))
+                yield from out.table().to_batches()
 
+    return run
 
-def _signed(words: np.ndarray) -> pa.Array:
-    return pa.array(words.view(np.int64))
 
+def _count_words(table: pa.Table) -> pa.Table:
+    """Numbers the words of a part and adds up their counts; tells each block
+    the numbers of its words."""
+    out, rows = Messages(), _rows(table, WORDS)
+    lists = [unpacked_steps(r["a"]) for r in rows]
+    _, places = np.unique(np.concatenate(lists), return_inverse=True)
+    counts = np.bincount(places, np.concatenate([unpacked(r["b"]) for r in rows])).astype(np.int64)
+    part = rows[0]["target"]
+    out.add(COUNTS, part, part, packed(counts), stats=[
+        len(counts), (counts > 0).sum(), counts.sum()])
+    ends = np.cumsum([len(x) for x in lists])
+    for row, words, end in zip(rows, lists, ends, strict=True):
+        out.add(PLACES, row["source"], part, packed_steps(places[end - len(words):end]))
+    return out.table()
+
+
+def _often(limit: float) -> Callable:
+    """Numbers and counts of a part's words with at least so many tokens."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                counts = unpacked(row["a"])
+                often = np.flatnonzero(counts >= limit)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(often), row["target"], np.int64)), pa.array(often.astype(np.int64))],
+                    names=["part", "place"])
 
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training counts of a block's words."""
-    for block in _rows(batches):
-        counts = np.bincount(block.tokens[block.training()], minlength=len(block.words))
-        seen = counts > 0
-        yield pa.RecordBatch.from_arrays(
-            [_signed(block.words[seen]), pa.array(counts[seen].astype(np.int64))], names=["word", "n"])
+    return run
 
 
-def _pair_batches(hashes: np.ndarray):
-    """Training counts of a block's (word, context) pairs."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _rows(batches):
-            words, contexts, counts, _, _ = block.met(
-                block.contexts(block.numbers(hashes)), block.training())
-            yield pa.RecordBatch.from_arrays(
-                [_signed(block.words[words]), pa.array(contexts.astype(np.int32)),
-                 pa.array(counts.astype(np.int64))], names=["word", "context", "n"])
+def _block_pairs(parts: int, deal: Deal) -> Callable:
+    """A block's pairs and their training counts, to the parts of the pairs."""
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        out = Messages()
+        for row in blocks.to_pylist():
+            block = Block(row)
+            u, w, segments, place = block.pairs(block.numbers(parts, _rows(answers, PLACES)), deal)
+            n = np.bincount(place, block.training(), len(u)).astype(np.int64)
+            for part, a, b in segments:
+                out.add(WORDS, part, block.number, *_pair_data(u[a:b], w[a:b], n[a:b]))
+        return out.table()
 
     return run
 
 
-def _request_batches(hashes: np.ndarray):
-    """Per block and word its own context number and the contexts it is met in,
-    held-out texts included."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _rows(batches):
-            numbers = block.numbers(hashes)
-            words, contexts, _, _, _ = block.met(block.contexts(numbers))
-            n = len(block.words)
-            ends = np.searchsorted(words, np.arange(n + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, block.number)), pa.array(np.arange(n, dtype=np.int32)),
-                 _signed(block.words), pa.array(numbers),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(contexts.astype(np.int32)))],
-                names=["block", "place", "word", "number", "wanted"])
+def _word_lists(parts: int, bound: int, w: np.ndarray):
+    """Distinct words by part and number, what belongs to each part, and the
+    place of each of ``w`` among them."""
+    each = np.uint64(bound // parts + 1)
+    keys, back = np.unique((w % np.uint64(parts)) * each + w // np.uint64(parts), return_inverse=True)
+    return keys % each, _segments(keys // each), back
+
+
+def _hot_rows(out: Messages, deal: Deal, u: np.ndarray, *values: np.ndarray) -> None:
+    """What this part knows of hot contexts: their customers, their tables, and
+    the tables of all samples."""
+    inside = deal.is_hot(u)
+    contexts, back = np.unique(u[inside], return_inverse=True)
+    sums = [np.bincount(back, x[inside], len(contexts)) for x in values]
+    for context, *own in zip(contexts, *sums, strict=True):
+        out.add(HOT, context, 0, stats=own)
+
+
+def _count_pairs(parts: int, deal: Deal) -> Callable:
+    """Adds up the pairs of a part; tells the parts of the words who asks for
+    them, with one table per pair to begin with."""
+    def run(table: pa.Table) -> pa.Table:
+        out, rows = Messages(), _rows(table, WORDS)
+        decoded = [_pair_arrays(r) for r in rows]
+        bound = np.uint64(deal.bound)
+        keys, places = np.unique(np.concatenate([u * bound + w for u, w, _ in decoded]), return_inverse=True)
+        n = np.bincount(places, np.concatenate([x for *_, x in decoded])).astype(np.int64)
+        u, w, part = keys // bound, keys % bound, rows[0]["target"]
+        out.add(PAIRS, part, part, *_pair_data(u, w, n), stats=[
+            n.sum(), (n > 0).sum(), (n == 1).sum(), (n == 2).sum()])
+        end = 0
+        for row, (own, *_) in zip(rows, decoded, strict=True):
+            out.add(MEMBERS, part, row["source"], packed_steps(places[end:end + len(own)]))
+            end += len(own)
+        trained = n > 0
+        lists, segments, back = _word_lists(parts, deal.bound, w[trained])
+        sums = np.bincount(back, minlength=len(lists))
+        for target, a, b in segments:
+            out.add(LISTS, target, part, packed_steps(lists[a:b]), packed(sums[a:b]))
+        _hot_rows(out, deal, u, n, trained, np.zeros(len(n)))
+        return out.table()
 
     return run
 
@@ -355,252 +542,317 @@ def seat(counts: np.ndarray, mass: np.ndarray, gain: float, later: np.ndarray, s
 
 
 class Totals(NamedTuple):
-    """What the whole corpus adds to every seat. Index 0 is the root; ``tables``
-    and ``customers`` have an entry per context after it."""
+    """What the whole corpus adds to every draw: words and tokens of training,
+    discounts, strength, customers and tables of the root, and customers and
+    tables of the hot contexts, in the order of the deal."""
     vocabulary: int
+    tokens: int
     root_discount: float
     discount: float
     strength: float
-    customers: np.ndarray
-    tables: np.ndarray
+    customers: float
+    tables: float
+    hot_customers: np.ndarray
+    hot_tables: np.ndarray
+
+    @property
+    def base(self) -> float:
+        return 1.0 / (self.vocabulary + 1)
+
+
+def _per_context(deal: Deal, u: np.ndarray, values: np.ndarray, hot_values: np.ndarray) -> np.ndarray:
+    """Sum of the values of each pair's context. That of a hot one, most of
+    whose pairs lie elsewhere, comes from the whole corpus."""
+    contexts, lengths = _runs(u)
+    starts = np.cumsum(lengths) - lengths
+    sums = np.add.reduceat(values.astype(np.float64), starts) if len(u) else np.zeros(0)
+    hot = deal.is_hot(contexts)
+    sums[hot] = hot_values[np.searchsorted(deal.hot, contexts[hot])]
+    return np.repeat(sums, lengths)
+
+
+def _seat_pairs(parts: int, deal: Deal, totals: Totals, step: int, draws: int) -> Callable:
+    """One pass over the pairs: draws their tables, given what the root holds of
+    each word, and tells the parts of the words what they send there. With
+    ``draws`` the tables are added to the samples."""
+    def run(pairs: pa.Table, answers: pa.Table) -> pa.Table:
+        out = Messages()
+        for row in _rows(pairs, PAIRS):
+            u, w, n = _pair_arrays(row)
+            trained = n > 0
+            before = _rows(answers, TABLES)
+            tables = unpacked(before[0]["a"]).astype(np.float64) if before else trained.astype(np.float64)
+            samples = unpacked(before[0]["b"]).astype(np.float64) if before else np.zeros(len(n))
+            lists, segments, back = _word_lists(parts, deal.bound, w[trained])
+            held = {r["source"]: r for r in _rows(answers, SEEN)}
+            root = np.zeros((2, len(lists)))
+            for part, a, b in segments:
+                root[0, a:b], root[1, a:b] = unpacked(held[part]["a"]), unpacked(held[part]["b"])
+            customers, root_tables = root[0][back], root[1][back]
+            d0, d1, s = totals.root_discount, totals.discount, totals.strength
+            whole = s + totals.customers
+            all_tables = _per_context(deal, u, tables, totals.hot_tables)
+            own = tables[trained]
+            # What the root holds of the word without this pair's customers.
+            others = np.maximum(customers - own, 0)
+            stay = others - d0 * np.minimum(root_tables, others + 1) + (s + d0 * totals.tables) * totals.base
+            mass = s + d1 * np.maximum(all_tables[trained] - own, 0)
+            keys = _mixed(u[trained]) ^ w[trained]
+            for k in range(max(draws, 1)):
+                own = seat(n[trained], mass, d1, stay / whole, 1.0 / whole, d1, keys, SEED + step * 8 + k)
+                if draws:
+                    samples[trained] += own
+            tables[trained] = own
+            out.add(TABLES, row["target"], row["target"], packed(tables), packed(samples))
+            sums = np.bincount(back, own, len(lists))
+            for part, a, b in segments:
+                out.add(SUMS, part, row["target"], packed(sums[a:b]))
+            _hot_rows(out, deal, u, n, tables, samples)
+        return out.table()
 
+    return run
 
-def _sample(words, counts, ends, contexts, met, root, tables, totals: Totals, sweeps: int, first: int):
-    """Yields (root customers, root tables, tables of each pair) per sweep,
-    going on from the ``root`` and ``tables`` of the sweep before.
 
-    Pairs of word w are ``ends[w]:ends[w + 1]``. One sweep draws the tables of
-    each dish given all others, first in the contexts, then in the root, whose
-    customers are the tables of the contexts and the tokens of rare contexts.
-    Totals of whole restaurants stand from pass to pass but for the dish's own.
-    """
-    of = np.repeat(np.arange(len(words)), np.diff(ends))
-    with np.errstate(over="ignore"):
-        pair_keys = words[of] ^ (contexts.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    direct = counts - np.bincount(of, met, len(words))
-    customers = direct + np.bincount(of, tables, len(words))
-    # What the pass began with is part of the totals.
-    root_then, tables_then = root, tables
-    base = 1.0 / (totals.vocabulary + 1)
-    d0, d1, s = totals.root_discount, totals.discount, totals.strength
-    for sweep in range(first, first + sweeps):
-        # The root's customers and tables of the dish without those of the pair.
-        others = customers[of] - tables
-        stay = others - d0 * np.minimum(root[of], others + 1) + (s + d0 * totals.tables[0]) * base
-        whole = s + totals.customers[0]
-        mass = s + d1 * np.maximum(totals.tables[contexts] - tables_then, 0)
-        tables = seat(met, mass, d1, stay / whole, 1.0 / whole, d1, pair_keys, 2 * sweep + SEED)
-        customers = direct + np.bincount(of, tables, len(words))
-        mass = s + d0 * np.maximum(totals.tables[0] - root_then, 0)
-        root = seat(customers, mass, d0, np.full(len(words), base), 0.0, d0, words, 2 * sweep + 1 + SEED)
-        yield customers, root, tables
-
-
-def _lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
-
-
-def _word_arrays(batch: pa.RecordBatch):
-    """Words, their counts, ends of their lists, and of each pair the context,
-    its count and its tables; then the tables of the root."""
-    words = batch.column("word").to_numpy().view(np.uint64)
-    counts = batch.column("n").to_numpy().astype(np.float64)
-    lists = batch.column("contexts")
-    ends = np.asarray(lists.offsets) - np.asarray(lists.offsets)[0]
-    contexts = np.asarray(lists.flatten()).astype(np.int64)
-    met, tables = (np.asarray(batch.column(c).flatten()).astype(np.float64) for c in ("counts", "tables"))
-    root = batch.column("root").to_numpy().astype(np.float64)
-    return words, counts, ends, contexts, met, root, tables
-
-
-_DISHES = ("word long, n long, contexts array<int>, counts array<long>, root long, customers long, "
-           "tables array<int>")
-
-
-def _settle_batches(totals: Totals, first: int):
-    """The dishes with their tables after some sweeps."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            arrays = _word_arrays(batch)
-            for customers, root, tables in _sample(*arrays, totals, BURN_IN, first):
-                pass
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("word", "n", "contexts", "counts")),
-                 pa.array(root.astype(np.int64)), pa.array(customers.astype(np.int64)),
-                 _lists(arrays[2], tables.astype(np.int32))],
-                names=[c.split()[0] for c in _DISHES.split(", ")])
+def _seat_words(totals: Totals | None, step: int, sample: bool) -> Callable:
+    """One pass over the words: adds up the customers that contexts send, draws
+    the root's tables and tells every part of pairs what it holds of its words.
+    Without totals every word that is there has one table."""
+    def run(table: pa.Table) -> pa.Table:
+        out = Messages()
+        (counted,) = _rows(table, COUNTS)
+        part, n = counted["target"], len(unpacked(counted["a"]))
+        lists = {r["source"]: unpacked_steps(r["a"]).astype(np.int64) for r in _rows(table, LISTS)}
+        sums = {r["source"]: r["a"] for r in _rows(table, SUMS)} or {
+            r["source"]: r["b"] for r in _rows(table, LISTS)}
+        customers = np.zeros(n)
+        for source, places in lists.items():
+            customers[places] += unpacked(sums[source])
+        before = _rows(table, ROOT)
+        tables = unpacked(before[0]["b"]).astype(np.float64) if before else np.minimum(customers, 1)
+        added = [unpacked(before[0][c]).astype(np.float64) if before else np.zeros(n) for c in "cd"]
+        if totals is not None:
+            d0, s = totals.root_discount, totals.strength
+            mass = s + d0 * np.maximum(totals.tables - tables, 0)
+            keys = np.arange(n, dtype=np.uint64) << np.uint64(20) ^ _mixed(np.full(n, part, np.uint64))
+            tables = seat(customers, mass, d0, np.full(n, totals.base), 0.0, d0, keys, SEED + step * 8 + 5)
+        if sample:
+            added = [added[0] + customers, added[1] + tables]
+        out.add(ROOT, part, part, packed(customers), packed(tables), *map(packed, added), stats=[
+            customers.sum(), tables.sum(), (customers == 1).sum(), (customers == 2).sum(),
+            added[0].sum(), added[1].sum()])
+        for source, places in lists.items():
+            out.add(SEEN, source, part, packed(customers[places]), packed(tables[places]))
+        return out.table()
 
     return run
 
 
-def _predict_batches(totals: Totals, first: int):
-    """Averages over the samples: what a word keeps of its customers in the root
-    and in each context, after discounts, as a share of all customers there."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words, _, ends, contexts, met, *_ = arrays = _word_arrays(batch)
-            customers, root, pairs = np.zeros(len(words)), np.zeros(len(words)), np.zeros(len(met))
-            for c, r, t in _sample(*arrays, totals, SAMPLES, first):
-                customers, root, pairs = customers + c, root + r, pairs + t
-            kept = (met - totals.discount * pairs / SAMPLES) / (
-                totals.strength + totals.customers[contexts])
-            own = (customers - totals.root_discount * root) / SAMPLES
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("n"), pa.array(own), pa.array(customers / SAMPLES),
-                 _lists(ends, contexts.astype(np.int32)), _lists(ends, kept)],
-                names=["word", "n", "root", "customers", "contexts", "kept"])
+def _discount(ones: float | None, twos: float | None) -> float:
+    """From the numbers of dishes with one and with two customers."""
+    ones, twos = ones or 0, twos or 0
+    return min(max(ones / (ones + 2 * twos), 0.1), 0.95) if ones else 0.5
 
-    return run
+
+def _sums(rows: DataFrame, kind: int, n: int) -> list[float]:
+    """Statistics of all rows of a kind, added up."""
+    found = rows.where(F.col("kind") == kind).agg(*[F.sum(F.col("stats")[i]) for i in range(n)]).first()
+    return [v or 0.0 for v in found]
+
+
+def _hot_totals(rows: DataFrame, deal: Deal) -> np.ndarray:
+    """Customers, tables and tables of all samples of the hot contexts; 4,096
+    rows at most."""
+    found = rows.where(F.col("kind") == HOT).groupBy("target").agg(
+        *[F.sum(F.col("stats")[i]) for i in range(3)]).collect()
+    out = np.zeros((3, len(deal.hot)))
+    for context, *sums in found:
+        out[:, np.searchsorted(deal.hot, np.uint64(context))] = sums
+    return out
 
 
 class Model(NamedTuple):
-    """``words``: word, n, root, customers, contexts, kept; ``hashes`` of the
-    contexts; ``back``: what each context leaves to its parent (index 0: what
-    the root leaves to the base), and ``root_total`` its customers."""
+    """``words``: rows COUNTS and ROOT by part; ``places``: numbers of the words
+    of each block; ``pairs``: rows PAIRS and MEMBERS by part; ``tables``: their
+    seating. Tables of ``samples`` draws are added up, those of the root of
+    ``root_samples``."""
     words: DataFrame
-    hashes: np.ndarray
-    tokens: int
-    vocabulary: int
-    back: np.ndarray
-    root_total: float
-    paths: list[str]
+    places: DataFrame
+    pairs: DataFrame
+    tables: DataFrame
+    parts: int
+    deal: Deal
+    totals: Totals
+    samples: int
+    root_samples: int
+    root_sums: tuple[float, float]
+    hot_samples: np.ndarray
 
 
-def _discount(ones: int | None, twos: int | None) -> float:
-    """From the numbers of dishes with one and with two customers."""
-    ones, twos = ones or 0, twos or 0
-    return min(max(ones / (ones + 2 * twos), 0.1), 0.95) if ones else 0.5
+def _pass(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Messages as a written table, a folder per kind."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy("kind").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns), path
 
 
-def _context_sums(dishes: DataFrame) -> list:
-    """Customers, dishes and tables of each context; at most 1/share rows."""
-    pairs = dishes.select(F.explode(F.arrays_zip("contexts", "counts", "tables")).alias("p"))
-    return pairs.groupBy(F.col("p.contexts").alias("context")).agg(
-        F.sum("p.counts").alias("n"), F.sum("p.tables").alias("tables"),
-        F.sum((F.col("p.counts") == 1).cast("long")).alias("ones"),
-        F.sum((F.col("p.counts") == 2).cast("long")).alias("twos")).collect()
+def _of(rows: DataFrame, *kinds: int) -> DataFrame:
+    return rows.where(F.col("kind").isin(list(kinds)))
 
 
-def fit(blocks: DataFrame, share: float = CONTEXT_SHARE, strength: float = STRENGTH) -> Model:
+def fit(blocks: DataFrame, strength: float = STRENGTH) -> Model:
     """Counts and seats all training tokens.
 
-    Words and pairs are counted by Spark over all blocks and meet per word;
-    only counts of the at most 1/share contexts come to the driver. A word
-    that makes up a third of all tokens is a row per block and context.
+    Each pass is two exchanges of messages: what the contexts send to the root,
+    and what the root holds of their words. The pairs themselves are shuffled
+    once, when they are counted, and found by part from then on.
     """
     spark = blocks.sparkSession
-    counted = blocks.select(*_BLOCK_NAMES).mapInArrow(_count_batches, "word long, n long")
-    vocabulary, path = cut_lineage(
-        counted.groupBy("word").agg(F.sum("n").alias("n")), "vocabulary", with_path=True)
-
-    def of(k: int) -> Column:
-        return F.sum((F.col("n") == k).cast("long"))
-
-    n, v, ones, twos = vocabulary.agg(F.sum("n"), F.count(F.lit(1)), of(1), of(2)).first()
-    n = n or 0
-    often = vocabulary.where(F.col("n") >= max(share * n, 1)).select("word").collect() if n else []
-    hashes = np.sort(np.array([r["word"] for r in often], np.int64).view(np.uint64))
-
-    pairs = blocks.select(*_BLOCK_NAMES).mapInArrow(
-        _pair_batches(hashes), "word long, context int, n long")
-    pairs = pairs.groupBy("word", "context").agg(F.sum("n").alias("n")).groupBy("word").agg(
-        F.sort_array(F.collect_list(F.struct("context", "n"))).alias("met"))
-    contexts = F.coalesce("met.context", F.array().cast("array<int>"))
-    table = vocabulary.join(pairs, "word", "left").select(
-        "word", "n", contexts.alias("contexts"),
-        F.coalesce("met.n", F.array().cast("array<long>")).alias("counts"))
-    # To begin with every dish has one table in each restaurant that serves it.
-    one = F.transform("contexts", lambda c: F.lit(1))
-    direct = F.col("n") - F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
-    table = table.select(
-        "*", F.lit(1).cast("long").alias("root"), (direct + F.size("contexts")).alias("customers"),
-        one.alias("tables"))
-    table, table_path = cut_lineage(table, "dishes", with_path=True)
-    drop_scratch(spark, path)
-
-    served = _context_sums(table)
-    customers = np.zeros(len(hashes) + 1)
-    for r in served:
-        customers[r["context"]] = r["n"]
-    discounts = _discount(ones, twos), _discount(
-        sum(r["ones"] for r in served), sum(r["twos"] for r in served))
-
-    def totals_of(dishes: DataFrame, sums: list) -> Totals:
-        found = dishes.agg(F.sum("customers"), F.sum("root")).first()
-        tables = np.zeros(len(hashes) + 1)
-        for r in sums:
-            tables[r["context"]] = r["tables"]
-        tables[0] = found[1] or 0
-        all_customers = customers.copy()
-        all_customers[0] = found[0] or 0
-        return Totals(v, *discounts, strength, all_customers, tables)
-
-    totals = totals_of(table, served)
-    for k in range(SETTLING if v else 0):
-        seated, seated_path = cut_lineage(
-            table.mapInArrow(_settle_batches(totals, k * BURN_IN), _DISHES), "dishes", with_path=True)
-        drop_scratch(spark, table_path)
-        table, table_path = seated, seated_path
-        totals = totals_of(table, _context_sums(table))
-    words, words_path = cut_lineage(table.mapInArrow(
-        _predict_batches(totals, SETTLING * BURN_IN),
-        "word long, n long, root double, customers double, contexts array<int>, kept array<double>"),
-        "predictive", with_path=True)
-    drop_scratch(spark, table_path)
-
-    # Whatever the words of a restaurant do not keep is left to its parent, so
-    # every distribution sums to one.
-    kept = words.select(F.explode(F.arrays_zip("contexts", "kept")).alias("p")).groupBy(
-        F.col("p.contexts").alias("context")).agg(F.sum("p.kept").alias("kept")).collect()
-    own, total = words.agg(F.sum("root"), F.sum("customers")).first()
-    back = np.ones(len(hashes) + 1)
-    for r in kept:
-        back[r["context"]] = 1 - r["kept"]
-    root_total = strength + (total or 0.0)
-    back[0] = 1 - (own or 0.0) / root_total
-    return Model(words, hashes, n, v, back, root_total, [words_path])
+    tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
+    parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // PART_TOKENS))
+
+    counted, _ = _pass(
+        blocks.mapInArrow(_block_words(parts), MESSAGE).groupBy("target").applyInArrow(
+            _count_words, MESSAGE), "words")
+    counts, places = _of(counted, COUNTS), _of(counted, PLACES)
+    vocabulary, trained = (int(v) for v in _sums(counted, COUNTS, 3)[1:])
+    largest = counts.agg(F.max(F.col("stats")[0])).first()[0] or 0
+    often = counts.mapInArrow(
+        _often(max(HOT_SHARE * trained, 2)), "part long, place long").collect() if trained else []
+    hot = np.sort(np.array([r["place"] * parts + r["part"] for r in often], np.uint64))
+    deal = Deal(parts, int(largest + 1) * parts, hot)
+    if deal.bound > 1 << 32:
+        raise ValueError("more than four billion words")
+
+    asked = blocks.groupBy("block").cogroup(places.groupBy("target")).applyInArrow(
+        _block_pairs(parts, deal), MESSAGE)
+    pairs, _ = _table(
+        asked.groupBy("target").applyInArrow(_count_pairs(parts, deal), MESSAGE), "pairs", "target")
+    lists = _of(pairs, LISTS)
+    _, _, ones, twos = _sums(pairs, PAIRS, 4)
+    hot_customers, hot_tables, hot_samples = _hot_totals(pairs, deal)
+
+    def seat_words(rows: DataFrame, totals: Totals | None, step: int, sample: bool):
+        return _pass(rows.groupBy("target").applyInArrow(
+            _seat_words(totals, step, sample), MESSAGE), "root")
+
+    root, root_path = seat_words(counts.unionByName(lists), None, 0, False)
+    customers, tables, root_ones, root_twos, *_ = _sums(root, ROOT, 6)
+    totals = Totals(vocabulary, trained, _discount(root_ones, root_twos), _discount(ones, twos),
+                    strength, customers, tables, hot_customers, hot_tables)
+    seated, seated_path = None, None
+    own = _of(pairs, PAIRS)
+    for step in range(1, BURN_IN + SAMPLES + 1):
+        sample = step > BURN_IN
+        answers = _of(root, SEEN)
+        if seated is not None:
+            answers = answers.unionByName(_of(seated, TABLES))
+        new, new_path = _pass(own.groupBy("target").cogroup(answers.groupBy("target")).applyInArrow(
+            _seat_pairs(parts, deal, totals, step, DRAWS if sample else 0), MESSAGE), "seated")
+        _, hot_tables, hot_samples = _hot_totals(new, deal)
+        totals = totals._replace(hot_tables=hot_tables)
+        told = counts.unionByName(lists).unionByName(_of(new, SUMS)).unionByName(_of(root, ROOT))
+        new_root, new_root_path = seat_words(told, totals, step, sample)
+        for path in (seated_path, root_path):
+            if path:
+                drop_scratch(spark, path)
+        seated, seated_path, root, root_path = new, new_path, new_root, new_root_path
+        customers, tables, _, _, *added = _sums(root, ROOT, 6)
+        totals = totals._replace(customers=customers, tables=tables)
+    return Model(counts.unionByName(_of(root, ROOT)), places, _of(pairs, PAIRS, MEMBERS),
+                 _of(seated, TABLES), parts, deal, totals, SAMPLES * DRAWS, SAMPLES, tuple(added),
+                 hot_samples)
 
 
 # --- scoring -------------------------------------------------------------------
 
+def _root_answers(model: tuple) -> Callable:
+    """Probabilities without context and training counts of each block's words."""
+    totals, samples, (all_customers, all_tables) = model
+
+    def run(table: pa.Table) -> pa.Table:
+        out = Messages()
+        (counted,), (root,) = _rows(table, COUNTS), _rows(table, ROOT)
+        n = unpacked(counted["a"])
+        customers, tables = unpacked(root["c"]) / samples, unpacked(root["d"]) / samples
+        whole = totals.strength + all_customers / samples
+        back = (totals.strength + totals.root_discount * all_tables / samples) / whole
+        p = (customers - totals.root_discount * tables) / whole + back * totals.base
+        for row in _rows(table, PLACES):
+            # Sent as asked: the block is the sender here.
+            places = unpacked_steps(row["a"]).astype(np.int64)
+            out.add(KNOWN, row["source"], counted["target"], packed_floats(p[places]), packed(n[places]))
+        return out.table()
+
+    return run
+
+
+def _pair_answers(model: tuple) -> Callable:
+    """What each block's pairs keep in their context, and what each context
+    leaves to the root, averaged over the samples."""
+    deal, totals, samples, hot_samples = model
+
+    def run(pairs: pa.Table, seated: pa.Table) -> pa.Table:
+        out = Messages()
+        for row in _rows(pairs, PAIRS):
+            u, _, n = _pair_arrays(row)
+            (state,) = _rows(seated, TABLES)
+            tables = unpacked(state["b"]) / samples
+            whole = totals.strength + _per_context(deal, u, n, totals.hot_customers)
+            kept = (n - totals.discount * tables) / whole
+            back = (totals.strength + totals.discount * _per_context(
+                deal, u, tables, hot_samples)) / whole
+            for member in _rows(pairs, MEMBERS):
+                places = unpacked_steps(member["a"]).astype(np.int64)
+                first = np.concatenate([[True], np.diff(u[places].astype(np.int64)) != 0])
+                out.add(KEPT, member["source"], row["target"], packed_floats(kept[places]),
+                        packed_floats(back[places[first]]), packed(_runs(u[places])[1]))
+        return out.table()
+
+    return run
+
+
 _SCORES = ("held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
            "score double")
 
 
-def _score_blocks(model_values: tuple, doc_type: pa.DataType):
-    tokens, vocabulary, back, root_total = model_values
-
-    def run(answers: pa.Table, blocks: pa.Table) -> pa.Table:
-        order = np.argsort(answers["place"].to_numpy())
-        answers = answers.take(pa.array(order)).combine_chunks()
-        counts = answers["n"].to_numpy()
-        root = answers["root"].to_numpy().astype(np.float64) / root_total + back[0] / (vocabulary + 1)
-        kept = answers["kept"].combine_chunks()
-        kept = np.asarray((kept.chunk(0) if isinstance(kept, pa.ChunkedArray) else kept).flatten())
-        (row,) = blocks.to_pylist()
-        block = Block(row)
-        context = block.contexts(answers["number"].to_numpy())
-        _, _, _, inside, place = block.met(context)
-        p = root[block.tokens]
-        p[inside] = p[inside] * back[context[inside]] + kept[place]
-        base = np.log10((counts + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
+def _score_blocks(parts: int, deal: Deal, totals: Totals, doc_type: pa.DataType) -> Callable:
+    names = ["id", *[c.split()[0] for c in _SCORES.split(", ")]]
+
+    def score(block: Block, answers: pa.Table) -> pa.Table:
+        order, segments = block.word_order(parts)
+        root, counts = np.zeros(len(block.words)), np.zeros(len(block.words))
+        known = {r["source"]: r for r in _rows(answers, KNOWN)}
+        for part, a, b in segments:
+            root[order[a:b]] = unpacked_floats(known[part]["a"])
+            counts[order[a:b]] = unpacked(known[part]["b"])
+        u, _, segments, place = block.pairs(block.numbers(parts, _rows(answers, PLACES)), deal)
+        kept, back = np.zeros(len(u)), np.zeros(len(u))
+        told = {r["source"]: r for r in _rows(answers, KEPT)}
+        for part, a, b in segments:
+            row = told[part]
+            kept[a:b] = unpacked_floats(row["a"])
+            back[a:b] = np.repeat(unpacked_floats(row["b"]), unpacked(row["c"]).astype(np.int64))
+        p = kept[place] + back[place] * root[block.tokens]
+        base = np.log10((counts + 0.1) / (totals.tokens + 0.1 * (totals.vocabulary + 1)))
         starts = np.concatenate([[0], np.cumsum(block.lengths)[:-1]]).astype(np.int64)
 
         def total(values):
             return np.add.reduceat(values, starts)
 
-        known = total((counts > 0)[block.tokens].astype(np.int64))
         return pa.table([
             pa.array(block.ids, doc_type), pa.array(block.held), pa.array(block.lengths),
-            pa.array(known), pa.array(np.full(len(starts), tokens, np.int64)),
-            pa.array(total(base[block.tokens])), pa.array(total(np.log10(p, out=p)))],
-            names=["id", *[c.split()[0] for c in _SCORES.split(", ")]])
+            pa.array(total((counts > 0)[block.tokens].astype(np.int64))),
+            pa.array(np.full(len(starts), totals.tokens, np.int64)),
+            pa.array(total(base[block.tokens])), pa.array(total(np.log10(p)))], names=names)
+
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        return pa.concat_tables([score(Block(row), answers) for row in blocks.to_pylist()])
 
     return run
 
 
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    share: float = CONTEXT_SHARE, strength: float = STRENGTH) -> DataFrame:
+                    strength: float = STRENGTH) -> DataFrame:
     """``id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score`` and ``score`` of every row.
 
@@ -609,26 +861,23 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     all counted and all scored. Without any training text every word is as
     likely as the base says.
 
-    Each block asks once for each of its distinct words, so what is shuffled
-    grows with blocks times their vocabularies, less than with the tokens.
+    Each block asks once for each of its distinct words and pairs, so what is
+    shuffled grows with the tokens, never faster.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
-    blocks, _ = token_blocks(docs, doc_id, text)
-    model = fit(blocks, share, strength)
+    blocks = token_blocks(docs, doc_id, text)
+    model = fit(blocks, strength)
+    # Blocks asked by part; here their questions go to the parts once more.
+    asked = model.places.select(
+        "kind", F.col("source").alias("target"), F.col("target").alias("source"), "a", "b", "c", "d", "stats")
+    known = model.words.unionByName(asked).groupBy("target").applyInArrow(
+        _root_answers((model.totals, model.root_samples, model.root_sums)), MESSAGE)
+    kept = model.pairs.groupBy("target").cogroup(model.tables.groupBy("target")).applyInArrow(
+        _pair_answers((model.deal, model.totals, model.samples, model.hot_samples / model.samples)),
+        MESSAGE)
+    answers = model.places.unionByName(known).unionByName(kept)
     field = docs.schema[doc_id].dataType
-    asked = blocks.select(*_BLOCK_NAMES).mapInArrow(
-        _request_batches(model.hashes),
-        "block long, place int, word long, number int, wanted array<int>")
-    by_context = F.map_from_arrays("contexts", "kept")
-    answers = asked.join(model.words, "word", "left").select(
-        "block", "place", "number", F.coalesce("n", F.lit(0)).alias("n"),
-        F.coalesce("root", F.lit(0.0)).cast("float").alias("root"),
-        F.when(F.size("wanted") == 0, F.array().cast("array<double>")).when(
-            F.col("contexts").isNull(), F.transform("wanted", lambda k: F.lit(0.0)),
-        ).otherwise(let(by_context, lambda m: F.transform("wanted", lambda k: F.coalesce(
-            F.try_element_at(m, k), F.lit(0.0))))).cast("array<float>").alias("kept"))
-    values = (model.tokens, model.vocabulary, model.back, model.root_total)
-    return answers.groupBy("block").cogroup(blocks.drop("words").groupBy("block")).applyInArrow(
-        _score_blocks(values, to_arrow_type(field)), f"id {field.simpleString()}, {_SCORES}")
-
+    return blocks.groupBy("block").cogroup(answers.groupBy("target")).applyInArrow(
+        _score_blocks(model.parts, model.deal, model.totals, to_arrow_type(field)),
+        f"id {field.simpleString()}, {_SCORES}")
