@@ -8,6 +8,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 import tiktoken
 import xxhash
@@ -58,6 +60,9 @@ def test_scores_base_and_model(spark):
         assert math.isclose(r.base_score, base, rel_tol=1e-9)
     held = [k for k in tokens if out[k]]
     assert sum(got[k].score for k in held) > sum(got[k].base_score for k in held)
+    # What a word follows tells more than half a digit a token here.
+    gain = sum(got[k].score - got[k].base_score for k in held) / sum(got[k].n_tokens for k in held)
+    assert gain > 0.5
 
 
 def test_scores_do_not_depend_on_blocks(spark, monkeypatch):
@@ -69,34 +74,242 @@ def test_scores_do_not_depend_on_blocks(spark, monkeypatch):
     assert all(math.isclose(one[k], many[k], rel_tol=1e-9) for k in one)
 
 
-def test_every_context_is_a_distribution(spark):
-    blocks, _ = pitman_yor.token_blocks(documents(spark), "doc_id", "text")
-    model = pitman_yor.fit(blocks, share=0.01)
-    words = model.words.collect()
-    assert len(words) == model.vocabulary and 0 < len(model.hashes) <= 100
-    root = {r.word: r.root / model.root_total + model.back[0] / (model.vocabulary + 1) for r in words}
-    assert math.isclose(sum(root.values()) + model.back[0] / (model.vocabulary + 1), 1, rel_tol=1e-9)
-    for k in range(1, len(model.hashes) + 1):
-        kept = sum(dict(zip(r.contexts, r.kept)).get(k, 0.0) for r in words)
-        unknown = model.back[k] * model.back[0] / (model.vocabulary + 1)
-        assert math.isclose(kept + model.back[k] * sum(root.values()) + unknown, 1, rel_tol=1e-9)
-        assert 0 < model.back[k] <= 1
-
-
-def test_seating_follows_the_restaurant():
-    """Tables against customers seated one by one with a plain generator."""
-    rng = np.random.default_rng(5)
-    for count, mass, gain, discount in ((3, 0.5, 0.2, 0.7), (200, 2.0, 0.3, 0.6), (400, 0.3, 0.05, 0.8)):
-        n = 3000
-        keys = rng.integers(0, 2 ** 63, n).astype(np.uint64)
-        got = pitman_yor.seat(np.full(n, count), np.full(n, mass), np.full(n, gain), discount, keys, 3)
-        tables = np.ones(n)
-        for i in range(1, count):
-            weight = mass + gain * tables
-            tables += rng.random(n) * (weight + i - discount * tables) < weight
-        assert got.min() >= 1 and got.max() <= count
-        assert abs(got.mean() - tables.mean()) < 0.05 * tables.mean() + 0.05
-        assert abs(got.std() - tables.std()) < 0.1 * tables.std() + 0.05
+def exact_tables(count, mass, gain, later, slope, discount):
+    """Chances of 1, 2, ... tables by adding up all ways to seat the customers."""
+    ways = np.zeros(count + 1)
+    ways[0] = 1.0
+    for i in range(count):
+        t = np.arange(1, count + 1)
+        ways = np.concatenate([[0.0], ways[:-1] + ways[1:] * np.maximum(i - discount * t, 0)])
+        ways /= ways.max()
+    k = np.arange(1, count)
+    weights = ways[1:] * np.concatenate([[1.0], np.cumprod((mass + gain * k) * (later + slope * k))])
+    return weights / weights.sum()
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 5, 8, 12, 60])
+def test_tables_follow_their_exact_law(count):
+    rng = np.random.default_rng(count)
+    for mass, gain, later, slope in ((0.1, 0.9, 1.0, 0.0), (0.5, 0.05, 0.7, 0.0), (2.0, 0.6, 0.1, 0.05)):
+        for discount in (0.3, 0.9):
+            exact = exact_tables(count, mass, gain, later, slope, discount)
+            n = 20_000
+            got = pitman_yor.seat(
+                np.full(n, count), np.full(n, mass), gain, np.full(n, later), slope, discount,
+                rng.integers(0, 2 ** 63, n).astype(np.uint64), 3)
+            seen = np.bincount(got.astype(int), minlength=count + 1)[1:] / n
+            assert np.abs(seen - exact).max() < 5 * math.sqrt(0.25 / n)
+
+
+@pytest.mark.parametrize("count, mass, gain, later, slope, discount", [
+    (700, 1.0, 0.8, 0.05, 0.001, 0.8), (2000, 30.0, 0.7, 0.02, 0.0001, 0.7),
+    (1500, 400.0, 0.8, 0.05, 0.0001, 0.8), (900, 1.5, 0.5, 1e-5, 0.0, 0.5)])
+def test_tables_beyond_the_lattice(count, mass, gain, later, slope, discount):
+    t = np.arange(1, count + 1)
+    logs = np.full(count + 1, -np.inf)
+    logs[0] = 0.0
+    for i in range(count):
+        joined = logs[1:] + np.log(np.maximum(i - discount * t, 1e-300))
+        logs = np.concatenate([[-np.inf], np.logaddexp(logs[:-1], joined)])
+    k = np.arange(1, count)
+    logs = logs[1:] + np.concatenate([[0.0], np.cumsum(np.log((mass + gain * k) * (later + slope * k)))])
+    exact = np.exp(logs - logs.max())
+    exact /= exact.sum()
+    mean, n = (exact * t).sum(), 2000
+    spread = math.sqrt((exact * t * t).sum() - mean * mean)
+    rng = np.random.default_rng(count)
+    got = pitman_yor.seat(
+        np.full(n, count), np.full(n, mass), gain, np.full(n, later), slope, discount,
+        rng.integers(0, 2 ** 63, n).astype(np.uint64), 3)
+    assert abs(got.mean() - mean) < 0.02 * mean + 5 * spread / math.sqrt(n)
+    assert abs(got.std() - spread) < 0.1 * spread + 0.05
+
+
+def test_messages_hold_their_numbers():
+    rng = np.random.default_rng(0)
+    for top in (0, 1, 255, 256, 1 << 40, (1 << 64) - 1):
+        for n in (0, 1, 1000):
+            values = rng.integers(0, top, n, dtype=np.uint64, endpoint=True)
+            assert np.array_equal(pitman_yor.unpacked(pitman_yor.packed(values)), values)
+            values.sort()
+            assert np.array_equal(pitman_yor.unpacked_steps(pitman_yor.packed_steps(values)), values)
+    floats = rng.standard_normal(50).astype(np.float32)
+    assert np.array_equal(pitman_yor.unpacked_floats(pitman_yor.packed_floats(floats)), floats)
+
+
+class Passed:
+    """The model's tasks with their messages carried by hand."""
+
+    def __init__(self, texts, parts, hot=()):
+        places = {pitman_yor.END: 0}
+        tokens = [places.setdefault(w, len(places)) for text in texts for w in [*text, pitman_yor.END]]
+        self.block = pitman_yor.Block({
+            "block": 0, "words": pitman_yor.packed(np.array([xxhash.xxh64_intdigest(w) for w in places], np.uint64)),
+            "tokens": pitman_yor.packed(np.array(tokens)), "ids": list(range(len(texts))),
+            "held": [False] * len(texts), "lengths": [len(t) + 1 for t in texts]})
+        self.row = pa.table({
+            "block": [0], "words": pa.array([pitman_yor.packed(self.block.words)], pa.binary()),
+            "tokens": pa.array([pitman_yor.packed(np.array(tokens))], pa.binary()),
+            "ids": [self.block.ids], "held": [[False] * len(texts)], "lengths": [list(map(int, self.block.lengths))]})
+        self.parts, self.places = parts, places
+        first = pa.Table.from_batches(pitman_yor._block_words(parts)(iter(self.row.to_batches())))
+        words = self.each(first, pitman_yor._count_words)
+        self.counts, self.answers = (self.of(words, k) for k in (pitman_yor.COUNTS, pitman_yor.PLACES))
+        self.numbers = self.block.numbers(parts, pitman_yor._rows(self.answers, pitman_yor.PLACES))
+        bound = (int(self.numbers.max()) // parts + 1) * parts
+        self.deal = pitman_yor.Deal(parts, bound, np.sort(self.numbers[[places[h] for h in hot]]))
+        pairs = pitman_yor._block_pairs(parts, self.deal)(self.row, self.answers)
+        self.pairs = self.each(pairs, pitman_yor._count_pairs(parts, self.deal))
+
+    @staticmethod
+    def of(table, *kinds):
+        return table.filter(pa.compute.is_in(table["kind"], pa.array(kinds, pa.int32())))
+
+    @staticmethod
+    def each(table, function):
+        groups = sorted(set(table["target"].to_pylist()))
+        return pa.concat_tables([
+            function(table.filter(pa.compute.equal(table["target"], g))) for g in groups])
+
+    def hot(self, table):
+        out = np.zeros((3, len(self.deal.hot)))
+        for r in self.of(table, pitman_yor.HOT).to_pylist():
+            out[:, np.searchsorted(self.deal.hot, np.uint64(r["target"]))] += r["stats"]
+        return out
+
+    def sums(self, table, kind):
+        return np.sum([r["stats"] for r in self.of(table, kind).to_pylist()], axis=0)
+
+    def seated(self, burn_in, samples, discounts, strength=1.0):
+        """Averaged probabilities of every word in every context."""
+        lists = self.of(self.pairs, pitman_yor.LISTS)
+        root = self.each(pa.concat_tables([self.counts, lists]), pitman_yor._seat_words(None, 0, False))
+        n = len(self.block.tokens)
+        customers, tables = self.sums(root, pitman_yor.ROOT)[:2]
+        hot = self.hot(self.pairs)
+        totals = pitman_yor.Totals(len(self.places), n, *discounts, strength, customers, tables, hot[0], hot[1])
+        seated = self.of(self.pairs, pitman_yor.TABLES)
+        for step in range(1, burn_in + samples + 1):
+            sample = step > burn_in
+            answers = pa.concat_tables([self.of(root, pitman_yor.SEEN), self.of(seated, pitman_yor.TABLES)])
+            run = pitman_yor._seat_pairs(self.parts, self.deal, totals, step, int(sample))
+            seated = pa.concat_tables([
+                run(self.at(self.of(self.pairs, pitman_yor.PAIRS), g), self.at(answers, g))
+                for g in sorted(set(self.of(self.pairs, pitman_yor.PAIRS)["target"].to_pylist()))])
+            totals = totals._replace(hot_tables=self.hot(seated)[1])
+            told = pa.concat_tables([self.counts, lists, self.of(seated, pitman_yor.SUMS), self.of(root, pitman_yor.ROOT)])
+            root = self.each(told, pitman_yor._seat_words(totals, step, sample))
+            customers, tables, _, _, *added = self.sums(root, pitman_yor.ROOT)
+            totals = totals._replace(customers=customers, tables=tables)
+        asked = pa.table({**{c: self.answers[c] for c in self.answers.column_names},
+                          "target": self.answers["source"], "source": self.answers["target"]}).select(
+                              self.answers.column_names)
+        known = self.each(pa.concat_tables([self.counts, self.of(root, pitman_yor.ROOT), asked]),
+                          pitman_yor._root_answers((totals, samples, tuple(added))))
+        kept = pa.concat_tables([
+            pitman_yor._pair_answers((self.deal, totals, samples, self.hot(seated)[2] / samples))(
+                self.at(self.of(self.pairs, pitman_yor.PAIRS, pitman_yor.MEMBERS), g), self.at(seated, g))
+            for g in sorted(set(self.of(self.pairs, pitman_yor.PAIRS)["target"].to_pylist()))])
+        words = {v: k for k, v in self.places.items()}
+        number = {int(x): words[i] for i, x in enumerate(self.numbers)}
+        order, segments = self.block.word_order(self.parts)
+        root_p = {}
+        for r in pitman_yor._rows(known, pitman_yor.KNOWN):
+            a, b = next((a, b) for part, a, b in segments if part == r["source"])
+            for i, p in zip(order[a:b], pitman_yor.unpacked_floats(r["a"])):
+                root_p[words[int(i)]] = p
+        u, w, segments, _ = self.block.pairs(self.numbers, self.deal)
+        kept_p, back = {}, {}
+        for r in pitman_yor._rows(kept, pitman_yor.KEPT):
+            a, b = next((a, b) for part, a, b in segments if part == r["source"])
+            each = np.repeat(pitman_yor.unpacked_floats(r["b"]), pitman_yor.unpacked(r["c"]).astype(int))
+            for x, y, p, rest in zip(u[a:b], w[a:b], pitman_yor.unpacked_floats(r["a"]), each):
+                kept_p[number[int(x)], number[int(y)]] = p
+                back[number[int(x)]] = rest
+        return root_p, kept_p, back
+
+    @staticmethod
+    def at(table, group):
+        return table.filter(pa.compute.equal(table["target"], group))
+
+
+def seated_one_by_one(texts, discounts, strength, sweeps, burn_in, seed):
+    """The restaurants with every customer and table, each customer leaving and
+    coming back in turn; averaged probabilities of all pairs of words."""
+    rng = random.Random(seed)
+    end = pitman_yor.END
+    pairs = [(a, b) for t in texts for a, b in zip([end, *t], [*t, end])]
+    words = sorted({w for p in pairs for w in p})
+    base, (d0, d1) = 1 / (len(words) + 1), discounts
+    rooms = {u: defaultdict(list) for u in words}
+    root = defaultdict(list)
+
+    def root_p(w):
+        tables, customers = sum(map(len, root.values())), sum(map(sum, root.values()))
+        return (sum(root[w]) - d0 * len(root[w]) + (strength + d0 * tables) * base) / (strength + customers)
+
+    def sit(tables, discount, fresh):
+        at = rng.choices(range(len(tables) + 1), [*(c - discount for c in tables), fresh])[0]
+        if at == len(tables):
+            tables.append(0)
+        tables[at] += 1
+        return tables[at] == 1
+
+    def leave(tables):
+        at = rng.choices(range(len(tables)), tables)[0]
+        tables[at] -= 1
+        if not tables[at]:
+            tables.pop(at)
+            return True
+        return False
+
+    def come(u, w):
+        own = sum(map(len, rooms[u].values()))
+        if sit(rooms[u][w], d1, (strength + d1 * own) * root_p(w)):
+            sit(root[w], d0, (strength + d0 * sum(map(len, root.values()))) * base)
+
+    for u, w in pairs:
+        come(u, w)
+    total = defaultdict(float)
+    for k in range(burn_in + sweeps):
+        for u, w in pairs:
+            if leave(rooms[u][w]):
+                leave(root[w])
+            come(u, w)
+        if k >= burn_in:
+            ahead = {w: root_p(w) for w in words}
+            for u in words:
+                n = sum(map(sum, rooms[u].values()))
+                t = sum(map(len, rooms[u].values()))
+                for w in words:
+                    c = rooms[u].get(w, [])
+                    total[u, w] += (sum(c) - d1 * len(c) + (strength + d1 * t) * ahead[w]) / (strength + n) / sweeps
+    return total
+
+
+@pytest.mark.parametrize("parts, hot", [(1, ()), (3, (b"a", b"the")), (7, (pitman_yor.END,))])
+def test_model_against_seating_one_by_one(parts, hot):
+    rng = random.Random(4)
+    words = [b"the", b"a", b"cat", b"dog", b"sat", b"ran", b"on", b"mat"]
+    follow = {w: rng.choices(words, k=2) for w in words}
+    texts = []
+    for _ in range(16):
+        text = [rng.choice(words)]
+        while len(text) < 9:
+            text.append(rng.choice(follow[text[-1]]) if rng.random() < 0.7 else rng.choice(words))
+        texts.append(text)
+    texts.append([b"rare", b"rare", b"the"])
+    discounts = (0.4, 0.6)
+    expected = seated_one_by_one(texts, discounts, 1.0, 400, 30, seed=1)
+    root, kept, back = Passed(texts, parts, hot).seated(15, 120, discounts)
+    got = {(u, w): kept.get((u, w), 0.0) + back[u] * root[w] for u, w in expected}
+    # Words, contexts and one unknown word: each distribution sums to one.
+    rest = 1 - sum(root.values())
+    assert 0 < rest < 0.1
+    for u in back:
+        assert math.isclose(sum(got[u, w] for w in root) + back[u] * rest, 1, rel_tol=1e-5)
+    error = [math.log10(got[k] / expected[k]) for k in expected]
+    assert abs(np.mean(error)) < 0.02 and np.abs(error).max() < 0.25 and np.std(error) < 0.06
 
 
 def test_hot_word_and_empty_training(spark):
