@@ -31,15 +31,15 @@ from platelake.llm.text import pieces, whole
 from platelake.session import cut_lineage, drop_scratch, scratch_path
 
 STRENGTH = 1.0
-# Passes that settle the seating, passes that are averaged, and draws in each
-# of those.
+# Passes that settle the seating, and passes that are averaged.
 BURN_IN = 2
 SAMPLES = 2
-DRAWS = 2
 # Tokens after which a block of documents is closed.
 BLOCK_TOKENS = 1 << 21
-# Tokens that a receiver of messages stands for, on average.
+# Tokens that a receiver of messages stands for, on average, and how many
+# receivers there are at least.
 PART_TOKENS = 1 << 22
+PARTS = 48
 # A context with this share of the training tokens is dealt out by its words
 # too; there are 4,096 of them at most.
 HOT_SHARE = 1 / 4096
@@ -571,10 +571,10 @@ def _per_context(deal: Deal, u: np.ndarray, values: np.ndarray, hot_values: np.n
     return np.repeat(sums, lengths)
 
 
-def _seat_pairs(parts: int, deal: Deal, totals: Totals, step: int, draws: int) -> Callable:
+def _seat_pairs(parts: int, deal: Deal, totals: Totals, step: int, sample: bool) -> Callable:
     """One pass over the pairs: draws their tables, given what the root holds of
-    each word, and tells the parts of the words what they send there. With
-    ``draws`` the tables are added to the samples."""
+    each word, and tells the parts of the words what they send there. A
+    ``sample`` adds the tables to those of the samples before."""
     def run(pairs: pa.Table, answers: pa.Table) -> pa.Table:
         out = Messages()
         for row in _rows(pairs, PAIRS):
@@ -598,11 +598,10 @@ def _seat_pairs(parts: int, deal: Deal, totals: Totals, step: int, draws: int) -
             stay = others - d0 * np.minimum(root_tables, others + 1) + (s + d0 * totals.tables) * totals.base
             mass = s + d1 * np.maximum(all_tables[trained] - own, 0)
             keys = _mixed(u[trained]) ^ w[trained]
-            for k in range(max(draws, 1)):
-                own = seat(n[trained], mass, d1, stay / whole, 1.0 / whole, d1, keys, SEED + step * 8 + k)
-                if draws:
-                    samples[trained] += own
-            tables[trained] = own
+            tables[trained] = seat(
+                n[trained], mass, d1, stay / whole, 1.0 / whole, d1, keys, SEED + step * 2)
+            if sample:
+                samples += tables
             out.add(TABLES, row["target"], row["target"], packed(tables), packed(samples))
             sums = np.bincount(back, own, len(lists))
             for part, a, b in segments:
@@ -634,7 +633,7 @@ def _seat_words(totals: Totals | None, step: int, sample: bool) -> Callable:
             d0, s = totals.root_discount, totals.strength
             mass = s + d0 * np.maximum(totals.tables - tables, 0)
             keys = np.arange(n, dtype=np.uint64) << np.uint64(20) ^ _mixed(np.full(n, part, np.uint64))
-            tables = seat(customers, mass, d0, np.full(n, totals.base), 0.0, d0, keys, SEED + step * 8 + 5)
+            tables = seat(customers, mass, d0, np.full(n, totals.base), 0.0, d0, keys, SEED + step * 2 + 1)
         if sample:
             added = [added[0] + customers, added[1] + tables]
         out.add(ROOT, part, part, packed(customers), packed(tables), *map(packed, added), stats=[
@@ -673,8 +672,7 @@ def _hot_totals(rows: DataFrame, deal: Deal) -> np.ndarray:
 class Model(NamedTuple):
     """``words``: rows COUNTS and ROOT by part; ``places``: numbers of the words
     of each block; ``pairs``: rows PAIRS and MEMBERS by part; ``tables``: their
-    seating. Tables of ``samples`` draws are added up, those of the root of
-    ``root_samples``."""
+    seating. Tables of ``samples`` draws are added up."""
     words: DataFrame
     places: DataFrame
     pairs: DataFrame
@@ -683,7 +681,6 @@ class Model(NamedTuple):
     deal: Deal
     totals: Totals
     samples: int
-    root_samples: int
     root_sums: tuple[float, float]
     hot_samples: np.ndarray
 
@@ -708,7 +705,7 @@ def fit(blocks: DataFrame, strength: float = STRENGTH) -> Model:
     """
     spark = blocks.sparkSession
     tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
-    parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // PART_TOKENS))
+    parts = max(PARTS, -(-tokens // PART_TOKENS))
 
     counted, _ = _pass(
         blocks.mapInArrow(_block_words(parts), MESSAGE).groupBy("target").applyInArrow(
@@ -747,7 +744,7 @@ def fit(blocks: DataFrame, strength: float = STRENGTH) -> Model:
         if seated is not None:
             answers = answers.unionByName(_of(seated, TABLES))
         new, new_path = _pass(own.groupBy("target").cogroup(answers.groupBy("target")).applyInArrow(
-            _seat_pairs(parts, deal, totals, step, DRAWS if sample else 0), MESSAGE), "seated")
+            _seat_pairs(parts, deal, totals, step, sample), MESSAGE), "seated")
         _, hot_tables, hot_samples = _hot_totals(new, deal)
         totals = totals._replace(hot_tables=hot_tables)
         told = counts.unionByName(lists).unionByName(_of(new, SUMS)).unionByName(_of(root, ROOT))
@@ -759,8 +756,7 @@ def fit(blocks: DataFrame, strength: float = STRENGTH) -> Model:
         customers, tables, _, _, *added = _sums(root, ROOT, 6)
         totals = totals._replace(customers=customers, tables=tables)
     return Model(counts.unionByName(_of(root, ROOT)), places, _of(pairs, PAIRS, MEMBERS),
-                 _of(seated, TABLES), parts, deal, totals, SAMPLES * DRAWS, SAMPLES, tuple(added),
-                 hot_samples)
+                 _of(seated, TABLES), parts, deal, totals, SAMPLES, tuple(added), hot_samples)
 
 
 # --- scoring -------------------------------------------------------------------
@@ -872,7 +868,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     asked = model.places.select(
         "kind", F.col("source").alias("target"), F.col("target").alias("source"), "a", "b", "c", "d", "stats")
     known = model.words.unionByName(asked).groupBy("target").applyInArrow(
-        _root_answers((model.totals, model.root_samples, model.root_sums)), MESSAGE)
+        _root_answers((model.totals, model.samples, model.root_sums)), MESSAGE)
     kept = model.pairs.groupBy("target").cogroup(model.tables.groupBy("target")).applyInArrow(
         _pair_answers((model.deal, model.totals, model.samples, model.hot_samples / model.samples)),
         MESSAGE)

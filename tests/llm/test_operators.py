@@ -192,7 +192,7 @@ class Passed:
         for step in range(1, burn_in + samples + 1):
             sample = step > burn_in
             answers = pa.concat_tables([self.of(root, pitman_yor.SEEN), self.of(seated, pitman_yor.TABLES)])
-            run = pitman_yor._seat_pairs(self.parts, self.deal, totals, step, int(sample))
+            run = pitman_yor._seat_pairs(self.parts, self.deal, totals, step, sample)
             seated = pa.concat_tables([
                 run(self.at(self.of(self.pairs, pitman_yor.PAIRS), g), self.at(answers, g))
                 for g in sorted(set(self.of(self.pairs, pitman_yor.PAIRS)["target"].to_pylist()))])
