@@ -93,7 +93,11 @@ class ByteBpe:
             {chars(t): i for t, i in ranks.items()}, [(chars(a), chars(b)) for a, b in merges],
             cache_capacity=0)
         self.pattern = regex.compile(pattern)
-        self.token_bytes = {i: t for t, i in ranks.items()}
+        # Decoding goes the other way: the characters of the model's tokens back
+        # through the table. A token may hold a part of a character only.
+        back = {ord(c): b for b, c in enumerate(table)}
+        self.token_bytes = {
+            i: self.model.id_to_token(i).translate(back).encode("latin-1") for i in ranks.values()}
         self.remembered: dict[str, bytes] = {}
 
     def tokens(self, piece: str) -> list[tuple[int, int, int]]:

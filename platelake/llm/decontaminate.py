@@ -116,7 +116,9 @@ def _covered(spans: Column) -> Column:
 
 def annotate(docs: DataFrame, benchmark: DataFrame, row: str = "row", **options) -> DataFrame:
     """Every input row as a struct, with ``n_words``, ``n_hit``, ``items`` and
-    ``spans`` (both empty if clean). A null text has no words."""
+    ``spans`` (both empty if clean). A null text has no words. Windows of
+    benchmark rows without an ``item_id`` hit words like others, but are no
+    item: they count in ``n_hit`` and ``spans`` and not in ``items``."""
     doc_id, text = options.get("doc_id", "doc_id"), options.get("text", "text")
     hits = overlaps(docs, benchmark, **options)
     rows = docs.select(

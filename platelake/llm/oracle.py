@@ -1,11 +1,13 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from platelake.llm import urls
+from platelake.llm import quality, urls
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 PLAIN = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
+_ALONE = ", ".join(f"({1 << i}, '{rule}')" for i, rule in enumerate(quality.RULES))
+
 QUALITY = rf"""
 WITH w AS (
   SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t, {WORDS} AS words,
@@ -40,8 +42,10 @@ WITH w AS (
   FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       fail_bits = 0 AS kept, fail_bits
-FROM f
+       fail_bits = 0 AS kept, fail_bits, only_rule,
+       CASE WHEN only_rule IS NOT NULL THEN count(*) FILTER (fail_bits = 0) OVER ()
+         + count(*) OVER (PARTITION BY fail_bits) END AS kept_without
+FROM f LEFT JOIN (VALUES {_ALONE}) alone(fail_bits, only_rule) USING (fail_bits)
 """
 
 WARC = """

@@ -166,6 +166,23 @@ def ablations(entries: DataFrame, policy: Sequence[str] = RULES) -> DataFrame:
     )
 
 
+def with_ablations(entries: DataFrame, policy: Sequence[str] = RULES) -> DataFrame:
+    """Adds what the policy would do without a rule to the documents that this
+    rule alone rejects: ``only_rule``, and ``kept_without``, how many documents
+    the policy would keep then. Both are null for all other documents.
+
+    ``entries`` should be a written table: it is read twice, and no rule is
+    evaluated again. What is joined has a row per rule.
+    """
+    own = F.col("fail_bits").bitwiseAND(F.lit(mask(policy)).cast("long"))
+    only = F.lit(None).cast("string")
+    for rule in policy:
+        only = F.when(own == mask([rule]), F.lit(rule)).otherwise(only)
+    without = ablations(entries, policy).select(
+        F.col("rule").alias("only_rule"), F.col("n_kept_without").alias("kept_without"))
+    return entries.withColumn("only_rule", only).join(F.broadcast(without), "only_rule", "left")
+
+
 def keep(docs: DataFrame, policy: Sequence[str] = POLICIES[POLICY], text: str = "text") -> DataFrame:
     """The documents that pass a policy, with their own columns."""
     return ledger(docs, text).where(passes(policy)).select("row.*")

@@ -11,7 +11,7 @@ from platelake.llm import (
     simhash, urls, warc,
 )
 from platelake.llm.text import ascii_lower, whole
-from platelake.session import scratch_path
+from platelake.session import cut_lineage, scratch_path
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -25,11 +25,15 @@ def op1_pitman_yor(spark, sf):
 
 def op2_quality_rules(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text")
-    judged = quality.apply_policies(quality.ledger(docs))
+    # Written once: policies and ablations read the bits.
+    entries = cut_lineage(
+        quality.ledger(docs).select("row.doc_id", *quality.MEASURES, "fail_bits"), "ledger")
+    judged = quality.with_ablations(
+        quality.apply_policies(entries), quality.POLICIES[quality.POLICY])
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select(
-        "row.doc_id", *base, (~F.col("kept_base")).alias("base_failed"),
-        F.col(f"kept_{quality.POLICY}").alias("kept"), "fail_bits")
+        "doc_id", *base, (~F.col("kept_base")).alias("base_failed"),
+        F.col(f"kept_{quality.POLICY}").alias("kept"), "fail_bits", "only_rule", "kept_without")
 
 
 def op3_licences(spark, sf):

@@ -55,7 +55,7 @@ def spans_of(tags: np.ndarray) -> list[tuple[int, int, int]]:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1.0)
+    return 0.5 * (np.tanh(0.5 * x) + 1.0)  # of the type of x
 
 
 def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -87,8 +87,8 @@ class Tagger:
         n, length, _ = x.shape
         size = self.hidden
         weights, bias = self.p["W" + way], self.p["b" + way]
-        h, c = np.zeros((n, size)), np.zeros((n, size))
-        out, kept = np.empty((n, length, size)), []
+        h, c = np.zeros((n, size), x.dtype), np.zeros((n, size), x.dtype)
+        out, kept = np.empty((n, length, size), x.dtype), []
         for t in range(length) if way == "f" else range(length - 1, -1, -1):
             joined = np.concatenate([x[:, t], h], 1)
             z = joined @ weights + bias

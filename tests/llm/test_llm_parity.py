@@ -2,6 +2,8 @@
 
 import datetime
 import random
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -44,13 +46,19 @@ def skewed(tmp_path_factory):
     ) TO '{folder}/pages.parquet' (FORMAT parquet)""")
     for name in ("benchmark", "labels"):
         connection.execute(f"COPY (SELECT * FROM '{SOURCE}/{name}.parquet') TO '{folder}/{name}.parquet' (FORMAT parquet)")
+    vectors = f"'{SOURCE}/embeddings.parquet'"
+    connection.execute(f"""COPY (
+        SELECT * FROM {vectors}
+        UNION ALL SELECT 100000 + i, (SELECT embedding FROM {vectors} WHERE vec_id = 11),
+                         CAST(i % 3 AS INTEGER) FROM range(150) t(i)
+    ) TO '{folder}/embeddings.parquet' (FORMAT parquet)""")
     return folder
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql_on_hot_rows(spark, skewed, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{skewed}/{table}.parquet'")
     assert compare(QUERIES[name](spark, skewed), connection, ORACLE[name]) == ""
 
@@ -121,8 +129,14 @@ def awkward(spark, tmp_path_factory):
     spark.createDataFrame(awkward_pages(), PAGES).write.parquet(f"{folder}/pages.parquet")
     spark.createDataFrame(
         [(1, "two THREE four five six seven eight nine ten eleven"), (2, "w1x1 w2x2"), (3, None),
-         (None, "four five six seven"), (3, ""), (4, "four, five: six seven!")], "item_id long, text string",
+         (None, "four five six seven"), (3, ""), (4, "four, five: six seven!"),
+         (None, "under the MIT license")], "item_id long, text string",
     ).write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([
+        (100, 1, [1.0, 0.5]), (100, 1, [1.0, 0.5]), (None, 1, [1.0, 1.0]), (200, None, [1.0]), (300, 2, None),
+        (1, 1, [1.0, 0.25]), (2, 1, [0.5, None]), (3, 2, [0.5, 0.25]), (4, 2, [0.5, 0.25]),
+        (5, 3, [float("nan"), 1.0]), (6, 3, [0.5, 0.125]), (14, 0, [0.75, 0.5]), (400, 9, [])],
+        "vec_id long, label int, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
     return folder
 
 
@@ -132,6 +146,8 @@ def empty(spark, tmp_path_factory):
     spark.createDataFrame([], DOCS).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], PAGES).write.parquet(f"{folder}/pages.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([], "vec_id long, label int, embedding array<float>").write.parquet(
+        f"{folder}/embeddings.parquet")
     return folder
 
 
@@ -146,7 +162,7 @@ def test_empty_tables_give_no_rows(spark, empty, quick_tagger, name):
     assert QUERIES[name](spark, empty).collect() == []
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op11_hard_negatives"}))
 def test_every_row_has_a_result(spark, awkward, quick_tagger, name):
     rows = QUERIES[name](spark, awkward).collect()
     column, given = ("page_id", awkward_pages()) if "page_id" in rows[0] else ("doc_id", awkward_documents())
@@ -170,6 +186,21 @@ def test_long_texts(spark, awkward):
     assert pair and all((r.n_hit, r.n_items) == (2 * pair, 1) for r in hits.values())
 
 
+def test_awkward_vectors_have_their_negatives(spark, awkward):
+    """Two rows are one anchor, and neither is its positive."""
+    rows = QUERIES["op11_hard_negatives"](spark, awkward).collect()
+    # Anchor 100 (label 1): 1 and 14 have its label; of others 3 and 4 tie.
+    assert sorted(map(tuple, rows)) == [
+        (100, 1, 1, 3, 73728, 40960), (100, 1, 2, 4, 73728, 40960), (100, 1, 3, 6, 73728, 36864),
+        (100, 14, 1, 3, 65536, 40960), (100, 14, 2, 4, 65536, 40960), (100, 14, 3, 6, 65536, 36864)]
+
+
+def test_awkward_manifest_equals_sql(spark, awkward):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{awkward}/documents.parquet/*.parquet'")
+    assert compare(QUERIES["op13_manifest"](spark, awkward), connection, ORACLE["op13_manifest"]) == ""
+
+
 # Nulls beside ids and repeated ids are defined by the operators, not by the SQL.
 @pytest.mark.parametrize("name", ["op2_quality_rules", "op9_url_filter", "op10_decontamination"])
 def test_awkward_rows_equal_sql(spark, awkward, name):
@@ -183,16 +214,45 @@ def test_awkward_rows_equal_sql(spark, awkward, name):
         '{awkward}/documents.parquet/*.parquet' WHERE doc_id IS NOT NULL AND doc_id NOT IN {LONG_IDS}""")
     df = QUERIES[name](spark, awkward).where(f"doc_id NOT IN {LONG_IDS}").dropDuplicates()
     if name == "op10_decontamination":
-        # The item without an id hits as well; leave out what it alone hits.
-        spark_rows = {r.doc_id: r for r in df.collect()}
-        sql = {r[0]: r for r in connection.execute(ORACLE[name]).fetchall()}
-        assert all(spark_rows[k].n_words == v[1] and spark_rows[k].n_items == v[3] for k, v in sql.items())
-        assert all(spark_rows[k].items_sha256 == v[4] for k, v in sql.items())
+        # Windows of the item without an id hit words, but are no item.
+        rows = {r.doc_id: r for r in df.collect()}
+        named = {r[0]: r for r in connection.execute(ORACLE[name]).fetchall()}
+        connection.execute(f"""CREATE OR REPLACE VIEW benchmark AS SELECT coalesce(item_id, -1) AS item_id, text
+            FROM '{awkward}/benchmark.parquet/*.parquet'""")
+        hits = {r[0]: r for r in connection.execute(ORACLE[name]).fetchall()}
+        assert rows.keys() == named.keys() == hits.keys()
+        for k, r in rows.items():
+            assert (r.n_words, r.n_items, r.items_sha256) == (named[k][1], named[k][3], named[k][4])
+            assert (r.n_hit, r.contaminated) == (hits[k][2], hits[k][5])
+        assert any(r.n_hit and not r.n_items for r in rows.values())
     else:
-        assert compare(df, connection, ORACLE[name]) == ""
+        # The ablations count all documents, also those left out here.
+        sql = f"SELECT * EXCLUDE (kept_without) FROM ({ORACLE[name]})"
+        assert compare(df.drop("kept_without"), connection, sql) == ""
 
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLE) <= set(entry.oracle_sql())
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+
+
+def test_python_workers_need_no_package_on_their_path(tmp_path):
+    """All operators from a foreign folder, as a driver that loads the entry
+    file by path."""
+    code = f"""
+import importlib.util
+from pyspark.sql import SparkSession
+spec = importlib.util.spec_from_file_location("given", {entry.__file__!r})
+given = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(given)
+spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config(
+    "spark.sql.shuffle.partitions", "4").getOrCreate()
+for name in given.queries():
+    if name == "pipeline" or name.startswith("op"):
+        print("rows", name, given.queries()[name](spark, {SOURCE!r}).count())
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=900)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert done.stdout.count("rows op") == len(QUERIES) and "rows pipeline" in done.stdout
