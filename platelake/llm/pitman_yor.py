@@ -517,7 +517,11 @@ def seat(counts: np.ndarray, mass: np.ndarray, gain: float, later: np.ndarray, s
     """
     out = np.minimum(counts.astype(np.float64), 1.0)
     u = uniform(keys, step)
-    small = np.flatnonzero((counts > 1) & (counts <= LATTICE))
+    # Of two customers the second sits down with the first or does not.
+    two = np.flatnonzero(counts == 2)
+    opens = (mass[two] + gain) * (later[two] + slope)
+    out[two] += u[two] * (opens + 1 - discount) < opens
+    small = np.flatnonzero((counts > 2) & (counts <= LATTICE))
     small = small[np.argsort(counts[small], kind="stable")]
     stirling = log_stirling(discount)
     at = 0
@@ -528,8 +532,11 @@ def seat(counts: np.ndarray, mass: np.ndarray, gain: float, later: np.ndarray, s
         rows = small[at:end]
         k = np.arange(1, c)
         logs = np.zeros((len(rows), c))
-        np.cumsum(np.log(np.maximum((mass[rows, None] + gain * k) * (later[rows, None] + slope * k), 1e-300)),
-                  axis=1, out=logs[:, 1:])
+        opens = logs[:, 1:]
+        np.multiply(mass[rows, None] + gain * k, later[rows, None] + slope * k, out=opens)
+        np.maximum(opens, 1e-300, out=opens)
+        np.log(opens, out=opens)
+        np.cumsum(opens, axis=1, out=opens)
         logs += stirling[c, 1:c + 1]
         logs -= logs.max(axis=1, keepdims=True)
         heap = np.cumsum(np.exp(logs, out=logs), axis=1, out=logs)
