@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from platelake.llm.notices import HEADS, TEMPLATES
 from platelake.llm.text import pieces, whole
 
 # Shortest match that takes part in a chain, in words.
@@ -27,50 +28,18 @@ PHRASES = (
     ("cc-by-nc", "cc by nc"),
 )
 
-# Notices and grants as their publishers word them.
-TEMPLATES = (
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-            "software and associated documentation files (the \"Software\"), to deal in the Software "
-            "without restriction, including without limitation the rights to use, copy, modify, "
-            "merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use "
-                 "this file except in compliance with the License. You may obtain a copy of the "
-                 "License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0"),
-    ("gpl-3", "licensed under the GNU General Public License, version 3"),
-    ("gpl-3", "under the terms of the GNU General Public License as published by the Free Software "
-              "Foundation, either version 3 of the License, or (at your option) any later version"),
-    ("gpl-2", "under the terms of the GNU General Public License as published by the Free Software "
-              "Foundation; either version 2 of the License, or (at your option) any later version"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are "
-            "permitted provided that the following conditions are met"),
-    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("cc-by-nc", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International "
-                 "License"),
-    ("cc-by", "licensed under a Creative Commons Attribution 4.0 International License"),
-    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with "
-            "or without fee is hereby granted"),
-    ("gpl-2", "licensed under the GNU General Public License, version 2"),
-    ("lgpl-3", "licensed under the GNU Lesser General Public License, version 3"),
-    ("lgpl-2.1", "licensed under the GNU Lesser General Public License, version 2.1"),
-    ("lgpl-2", "licensed under the GNU Library General Public License, version 2"),
-    ("agpl-3", "licensed under the GNU Affero General Public License, version 3"),
-    *((label, f"under the terms of the GNU {name} General Public License as published by the Free "
-              f"Software Foundation, either version {version} of the License, or (at your option) "
-              "any later version")
-      for label, name, version in (
-          ("lgpl-3", "Lesser", "3"), ("lgpl-2.1", "Lesser", "2.1"), ("lgpl-2", "Library", "2"),
-          ("agpl-3", "Affero", "3"))),
-    *((f"cc-by-{label}", f"licensed under a Creative Commons Attribution-{name} 4.0 International License")
-      for label, name in (
-          ("sa", "ShareAlike"), ("nd", "NoDerivatives"), ("nc-sa", "NonCommercial-ShareAlike"),
-          ("nc-nd", "NonCommercial-NoDerivatives"))),
-)
-
 # Words that make another licence of the same notice. None may stand in a gap,
 # and like the version number a template's own must be matched.
 MARKERS = frozenset(w.encode() for w in (
     "lesser", "library", "affero", "noncommercial", "sharealike", "noderivatives", "noderivs"))
+# A number behind one of these words is that of a version.
+NUMBERED = frozenset(w.encode() for w in (
+    "version", "v", "attribution", "noncommercial", "sharealike", "noderivatives", "noderivs"))
+# Behind this word every word counts.
+IDENTIFIER = b"identifier"
+# A notice right behind this word, or a few words on, is none.
+DENIAL = b"not"
+DENIED_WORDS = 3
 
 # Every byte that is no part of a word becomes a space; A-Z are lower-cased before.
 _TO_WORDS = bytes(
@@ -83,12 +52,13 @@ def words_of(data: bytes) -> list[bytes]:
 
 def key_places(words: Sequence[bytes]) -> list[int]:
     """Places of the words that tell a template from its neighbours: markers,
-    and the numbers right behind "version" or "v", but for a zero."""
-    out, counting = [], False
+    the numbers of versions but for a zero, and whatever an identifier holds."""
+    out, counting, named = [], False, False
     for place, word in enumerate(words):
-        counting = word.isdigit() and (counting or (place > 0 and words[place - 1] in (b"version", b"v")))
-        if word in MARKERS or (counting and word != b"0"):
+        counting = word.isdigit() and (counting or (place > 0 and words[place - 1] in NUMBERED))
+        if named or word in MARKERS or (counting and word != b"0"):
             out.append(place)
+        named = named or word == IDENTIFIER
     return out
 
 
@@ -114,10 +84,11 @@ class Automaton:
     """Generalised suffix automaton of the templates and phrases. Its size
     follows from the templates, which are a parameter, not from any table."""
 
-    def __init__(self, phrases=PHRASES, templates=TEMPLATES):
-        texts = [*phrases, *templates]
+    def __init__(self, phrases=PHRASES, templates=TEMPLATES, heads=()):
+        texts = [*phrases, *templates, *heads]
         self.labels = [label for label, _ in texts]
         self.phrase_count = len(phrases)
+        self.first_head = len(phrases) + len(templates)
         self.vocabulary: dict[bytes, int] = {}
         self.sizes: list[int] = []
         self.tokens: list[list[int]] = []
@@ -136,6 +107,7 @@ class Automaton:
                 self.states[last].ends.append((k, place))
         # Markers are known words even where no template has them.
         self.markers = {self.vocabulary.setdefault(w, len(self.vocabulary)) for w in sorted(MARKERS)}
+        self.denial = self.vocabulary.setdefault(DENIAL, len(self.vocabulary))
         self.reach = max(self.sizes, default=0)
         self._ending: dict[tuple[int, int | None], list[tuple[int, int, int]]] = {}
         self._close()
@@ -219,6 +191,8 @@ class Scan:
         self.at = -1
         # Places of the last markers, as far back as a gap may lie.
         self.marked: deque = deque()
+        # Places of the last denials, as far back as a match may begin.
+        self.denied: deque = deque()
         # Per template the chains that a match could still go on.
         self.open: dict[int, deque] = {}
         self.found: list[tuple] = []
@@ -246,6 +220,10 @@ class Scan:
             self.marked.append(place)
             while place - self.marked[0] > self.a.reach + self.max_gap + 1:
                 self.marked.popleft()
+        if token == self.a.denial:
+            self.denied.append(place)
+            while place - self.denied[0] > self.a.reach + DENIED_WORDS + 1:
+                self.denied.popleft()
         if following is None:
             self.state = self.length = 0
             return
@@ -285,6 +263,8 @@ class Scan:
             chains.popleft()
         # Value, first word, words covered, words in gaps.
         best = (size, -start, size, 0) if not keys or begin <= keys[0] else None
+        if any(start - DENIED_WORDS <= place_ < start for place_ in self.denied):
+            best = None
         for end, template_end, covered, gaps, first in chains:
             # Words shared by both matches count once.
             shared = max(end - start + 1, template_end - begin + 1, 0)
@@ -306,8 +286,9 @@ class Scan:
             self.found.append((-first, self.at, k, min(score, 1.0)))
 
     def spans(self) -> list[Span]:
-        """Template spans that do not overlap: the better covered of two
-        stands, then the longer, then the one further ahead."""
+        """Template spans that do not overlap: whole texts and notices stand
+        before heads, then the better covered of two, then the longer, then the
+        one further ahead."""
         self._match_ends(None)
         self.state = self.length = 0
         out: list[Span] = []
@@ -323,7 +304,9 @@ class Scan:
 
     def _pick(self, group: list[tuple]) -> list[Span]:
         taken: list[Span] = []
-        for first, end, k, score in sorted(group, key=lambda g: (-g[3], g[0] - g[1], g[0], g[2])):
+        head = self.a.first_head
+        for first, end, k, score in sorted(
+                group, key=lambda g: (g[2] >= head, -g[3], g[0] - g[1], g[0], g[2])):
             if all(end < s.start or first >= s.end for s in taken):
                 taken.append(Span(self.a.labels[k], first, end + 1, score))
         return sorted(taken, key=lambda s: s.start)
@@ -352,12 +335,12 @@ def scan_text(automaton: Automaton, data: bytes, **options) -> tuple:
             [s._asdict() for s in spans])
 
 
-def _scan_batches(phrases, templates, options):
+def _scan_batches(phrases, templates, heads, options):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = None
         names = [c.split()[0] for c in _SCHEMA.split(", ")]
         for batch in batches:
-            automaton = automaton or Automaton(phrases, templates)
+            automaton = automaton or Automaton(phrases, templates, heads)
             rows = [scan_text(automaton, x.as_py(), **options) for x in batch.column("data")]
             columns = list(zip(*rows, strict=True)) or [[] for _ in names]
             yield pa.RecordBatch.from_arrays(
@@ -369,17 +352,19 @@ def _scan_batches(phrases, templates, options):
 
 def scan_licences(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases=PHRASES,
-    templates=TEMPLATES, **options,
+    templates=TEMPLATES, heads=HEADS, **options,
 ) -> DataFrame:
     """``id`` and what was found in each text.
 
     ``n_base``, ``first_word``, ``last_word`` and ``base_labels`` are about the
     phrases: places, smallest and largest start (words from 0, null if none)
     and labels. ``spans`` are the covered template spans, ``labels`` the
-    labels of both, ``score`` the best cover. Null texts are empty and have no
+    labels of both, ``score`` the best cover. ``heads`` are openings and clauses
+    that count where no whole template is. A notice within three words of a
+    "not" ahead of it is none. Null texts are empty and have no
     words. Rows are independent; repeated rows give repeated results.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     listed = docs.select(F.col(doc_id).alias("id"), whole(text).cast("binary").alias("data"))
     return listed.mapInArrow(
-        _scan_batches(tuple(phrases), tuple(templates), options), f"id {kind}, {_SCHEMA}")
+        _scan_batches(tuple(phrases), tuple(templates), tuple(heads), options), f"id {kind}, {_SCHEMA}")

@@ -32,8 +32,8 @@ DECODED = 512
 # Bounds of the labelled sample the tagger is fitted on.
 SAMPLE_DOCS = 600
 SAMPLE_WINDOWS_OF_A_DOC = 6
-MADE_WINDOWS = 4000
-STEPS = 800
+MADE_WINDOWS = 6000
+STEPS = 1200
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # Repeats that cannot give anything back keep no way back, however long they are.

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from platelake.llm import (
-    bpe, components, decontaminate, licences, lines, pii, pitman_yor, quality, simhash, tagger, urls, warc,
+    bpe, components, decontaminate, licences, lines, notices, pii, pitman_yor, quality, simhash, tagger, urls, warc,
 )
 from platelake.llm import text as texts
 
@@ -464,6 +465,60 @@ def test_near_licences_are_told_apart(text, label):
         assert both[5] == ",".join(sorted({label, other_label} - {""}))
 
 
+def whole_labels(text):
+    automaton = licences.Automaton(licences.PHRASES, licences.TEMPLATES, licences.HEADS)
+    return licences.scan_text(automaton, text.encode())[5]
+
+
+@pytest.mark.parametrize("label, text", notices.WHOLE, ids=[label for label, _ in notices.WHOLE])
+def test_whole_licences_are_told_apart(label, text):
+    assert whole_labels(f"Copyright (c) 2020 Jane Doe. {text} And so on.") == label
+    # As in the head of a source file, and without its last tenth.
+    lines = [f" * {text[i:i + 70]}" for i in range(0, len(text), 70)]
+    assert whole_labels("/*\n" + "\n".join(f" * {x}" for x in textwrap.wrap(text, 70)) + "\n */ int x;") == label
+    assert len(lines) < 3 or label in whole_labels(text[:len(text) * 19 // 20])
+
+
+@pytest.mark.parametrize("text, labels", [
+    (notices.HEADS[2][1] + ".", "isc-or-0bsd"),
+    (notices.HEADS[0][1] + " and nothing else", "mit"),
+    ("Neither the name of the Foo Project nor the names of its contributors may be used to endorse or promote "
+     "products derived from this software without specific prior written permission.", "bsd-3"),
+    ("This is not licensed under the GNU General Public License, version 3", ""),
+    ("It shall not be licensed under the Apache License, Version 2.0", "apache-2"),  # the phrase counts
+    ("This was not known. It is licensed under the GNU General Public License, version 3", "gpl-3"),
+    ("licensed under a Creative Commons Attribution 3.0 Unported License", "cc-by-3.0"),
+    ("licensed under a Creative Commons Attribution-ShareAlike 2.0 License", "cc-by-sa-2.0"),
+    ("released under GPL v3 or later, see COPYING", "gpl-3"),
+    ("SPDX-License-Identifier: GPL-3.0-or-later", "gpl-3"), ("SPDX-License-Identifier: MIT-0", "mit-0"),
+    ("SPDX-License-Identifier: BSD-4-Clause", "bsd-4"), ("SPDX-License-Identifier: WTFPL", ""),
+    ("SPDX-License-Identifier: GPL-1.0", ""), ("SPDX-License-Identifier: 0BSD", "0bsd"),
+])
+def test_notices_heads_and_denials(text, labels):
+    assert whole_labels(text) == labels
+
+
+def test_planted_notices_are_found():
+    """Notices among other words, one word in forty of theirs changed."""
+    rng = random.Random(11)
+    automaton = licences.Automaton(licences.PHRASES, licences.TEMPLATES, licences.HEADS)
+    found = wrong = total = 0
+    for label, text in notices.TEMPLATES * 3:
+        words = text.split()
+        keys = set(licences.key_places(licences.words_of(text.encode())))
+        if len(licences.words_of(text.encode())) == len(words):
+            words = [w if i in keys or rng.random() > 0.025 else "other" for i, w in enumerate(words)]
+        elif len(words) > 60:
+            words = [w if rng.random() > 0.025 else "other" for w in words]
+        around = [" ".join(rng.choice(["code", "of", "the", "file", "see", "this", "work"]) for _ in range(30))
+                  for _ in range(2)]
+        labels = set(licences.scan_text(automaton, f"{around[0]} {' '.join(words)} {around[1]}".encode())[5].split(","))
+        total += 1
+        found += label in labels
+        wrong += bool(labels - {label, ""} - {"cc-by-nc", "apache-2"})
+    assert found / total > 0.95 and wrong / total < 0.03
+
+
 def test_words_in_gaps_lower_the_score():
     text = "licensed under a fine Creative Commons Attribution 4.0 International License"
     found = licences.scan_text(licences.Automaton(), text.encode())
@@ -655,8 +710,11 @@ def test_tagger_gradients():
 def test_tagger_and_spans(spark):
     docs = documents(spark)
     model = pii.train(docs)
-    codes, tags = pii.made_windows(300, seed=99)
-    assert (model.decode(codes) == tags).all(1).mean() > 0.95
+    # On texts the tagger has not seen, made by the same formats.
+    shares = pii.measured(model)
+    for kind in (*pii.KINDS, "all", "beyond"):
+        precision, recall, n = shares[kind]
+        assert precision > 0.9 and recall > 0.9 and n > 150, (kind, shares)
     rows = {r.id: r for r in pii.find_personal_data(docs, tagger=model).collect()}
     for doc in docs.collect():
         text, r = doc.text or "", rows[doc.doc_id]
@@ -692,6 +750,12 @@ def trained(spark):
     ("pay four " + "one " * 15 + "today", "card", "four" + " one" * 15),
     ("dial plus four four 20 seven nine four six oh nine five eight now", "phone",
      "plus four four 20 seven nine four six oh nine five eight"),
+    ("call 555.123.4567 now", "phone", "555.123.4567"),
+    ("tel: 020 7946 0958", "phone", "020 7946 0958"),
+    ("card 4111.1111.1111.1111", "card", "4111.1111.1111.1111"),
+    ("joe @ host . com", "email", "joe @ host . com"),
+    ("the host is 10[.]0[.]0[.]1 here", "ip", "10[.]0[.]0[.]1"),
+    ("on 2024-05-17 we sold 1,250.75 of v1.2.34 and 12 x 4000", None, ""),
     ("look at example.org for one or two", None, ""),
     ("one two three four and the dot at the end", None, ""),
 ])
