@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,13 +126,16 @@ def drop_plane_copies(images: DataFrame) -> DataFrame:
     rest = [c for c in images.columns if c != "data"]
     address = [c for c in (*SITE_KEY, "channel") if c in rest]
     word, bit = _copy_bit(address)
-    repeated = images.groupBy(*address).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    # Rows without a whole address are no copies of each other.
+    whole = reduce(and_, [F.col(c).isNotNull() for c in address])
+    repeated = images.where(whole).groupBy(*address).agg(
+        F.count(F.lit(1)).alias("_n")).where("_n > 1")
     bitmap = cut_lineage(
         repeated.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits")), "plane-copies")
     if bitmap.isEmpty():
         return images
     held = images.withColumn("_word", word).join(F.broadcast(bitmap), "_word", "left")
-    marked = F.coalesce(F.col("_bits"), F.lit(0).cast("long")).bitwiseAND(bit) != 0
+    marked = whole & (F.coalesce(F.col("_bits"), F.lit(0).cast("long")).bitwiseAND(bit) != 0)
     # Different planes of one address both stay: group_planes refuses them.
     copies = held.where(marked).withColumn("_mark", F.xxhash64("data"))
     merged = copies.groupBy(*rest, "_mark").agg(F.max("data").alias("data"))
