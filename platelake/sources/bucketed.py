@@ -3,7 +3,7 @@ of its own: the folder says how many buckets there are."""
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,8 +18,8 @@ BUCKET_BYTES = 512 << 20
 MAX_BUCKETS = 100_000
 
 
-def _name(path: str) -> str:
-    return "platelake_planes_" + hashlib.md5(path.encode()).hexdigest()
+def _name() -> str:
+    return "platelake_planes_" + uuid.uuid4().hex
 
 
 def write_bucketed(
@@ -41,14 +41,15 @@ def write_bucketed(
     unit = f"buckets={buckets}"
     path = f"{folder}/{unit}"
     order = [*SITE_KEY, *(["channel"] if "channel" in planes.columns else [])]
+    name = _name()
     (
         planes.repartition(buckets, *SITE_KEY).sortWithinPartitions(*order)
         .write.bucketBy(buckets, *SITE_KEY).sortBy(*SITE_KEY).format("parquet")
         .option("compression", "zstd").options(**image_parquet("data", plane_bytes))
-        .option("path", path).saveAsTable(_name(path))
+        .option("path", path).saveAsTable(name)
     )
     # The files stay: the table is one of a path.
-    spark.sql(f"DROP TABLE {_name(path)}")
+    spark.sql(f"DROP TABLE {name}")
     gone = [u for u in units(spark, root) or {} if u != unit]
     commit(spark, root, run, [unit, *gone])
     return buckets
@@ -56,7 +57,7 @@ def write_bucketed(
 
 def read_bucketed(spark: SparkSession, root: str) -> DataFrame:
     """The planes of write_bucketed. Joins and groupings by address find them
-    partitioned. The folder becomes a table of the session's catalogue."""
+    partitioned. The catalogue holds the table only while it is looked up."""
     held = units(spark, root)
     if not held:
         raise ValueError(f"no bucketed planes in {root}")
@@ -64,9 +65,11 @@ def read_bucketed(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root.rstrip('/')}/run={run}/{unit}"
     columns = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
-    key = ", ".join(SITE_KEY)
+    key, name = ", ".join(SITE_KEY), _name()
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_name(path)} ({columns}) USING parquet "
+        f"CREATE TABLE {name} ({columns}) USING parquet "
         f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {directories(unit)['buckets']} BUCKETS "
         f"LOCATION '{path}'")
-    return spark.table(_name(path))
+    planes = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return planes
