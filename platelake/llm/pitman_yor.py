@@ -202,7 +202,10 @@ def _table(df: DataFrame, name: str, key: str) -> tuple[DataFrame, str]:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"platelake_{name}_{uuid.uuid4().hex}"
     df.write.bucketBy(buckets, key).format("parquet").option("path", path).saveAsTable(table)
-    return spark.table(table), path
+    written = spark.table(table)
+    # The files stay, and the frame knows them; the catalogue need not.
+    spark.sql(f"DROP TABLE {table}")
+    return written, path
 
 
 def token_blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
