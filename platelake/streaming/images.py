@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from platelake.functions.paths import key_columns, with_path_parts
 from platelake.schemas import IMAGE_KEY
 from platelake.session import image_parquet
-from platelake.sources.plates import BATCH_BYTES, PIXELS, arrow_schema, decode_plane
+from platelake.sources.plates import BATCH_BYTES, PIXELS, SPLITS_PER_PLATE, arrow_schema, decode_plane
 
 # Fixed value: the columns of Spark's binary file source.
 _FILES = T.StructType([
@@ -24,6 +24,10 @@ _FILES = T.StructType([
 ])
 _SCHEMA = arrow_schema(PIXELS)
 
+# Tasks that open the files of a batch, at most. Spark counts megabytes for
+# opening a file, so one task of its own would hold only a few small images.
+OPENING_TASKS = 2048
+
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -38,26 +42,38 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
 
 
+def _with_keys(files: DataFrame) -> DataFrame:
+    keyed = with_path_parts(files, F.col("path"), "_parts").where(F.size("_parts") == 6)
+    keys = [c.alias(name) for name, c in key_columns(F.col("_parts")).items()]
+    return keyed.select("path", *keys, "content")
+
+
 def decode_files(files: DataFrame) -> DataFrame:
     """Planes of binary files (path, content), batch or stream: as scan_plates
     gives them. Files whose path is no image path are left out."""
-    keyed = with_path_parts(files, F.col("path"), "_parts").where(F.size("_parts") == 6)
-    keys = [c.alias(name) for name, c in key_columns(F.col("_parts")).items()]
-    return keyed.select("path", *keys, "content").mapInArrow(_decode, PIXELS)
+    return _with_keys(files).mapInArrow(_decode, PIXELS)
 
 
 def stream_images(
     spark: SparkSession, root: str, files_per_trigger: int | None = None
 ) -> DataFrame:
     """Planes of the image files under a root as a stream. A file is read once:
-    one that is changed later under the same name is not read again."""
+    one that is changed later under the same name is not read again.
+
+    The bytes of a plate come together in a few tasks before they are decoded:
+    decoding tasks and the files written from them follow the plates, not the
+    number of images.
+    """
     reader = (
         spark.readStream.format("binaryFile").schema(_FILES)
         .option("pathGlobFilter", "*.png").option("recursiveFileLookup", "true")
     )
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return decode_files(reader.load(root))
+    files = _with_keys(reader.load(root).select("path", "content").coalesce(OPENING_TASKS))
+    part = F.crc32(F.col("path").cast("binary")) % SPLITS_PER_PLATE
+    dealt = files.repartition("dataset", "experiment", "plate", part)
+    return dealt.mapInArrow(_decode, PIXELS)
 
 
 def ingest_stream(planes: DataFrame, dest: str, checkpoint: str, drain: bool = False) -> StreamingQuery:

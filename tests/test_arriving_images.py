@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from platelake.operators import histograms, pixels
 from platelake.schemas import IMAGE_KEY
 from platelake.sources.images import read_planes
-from platelake.sources.plates import scan_plates
+from platelake.sources.plates import SPLITS_PER_PLATE, scan_plates
+from platelake.streaming import images
 from platelake.streaming.images import decode_files, ingest_stream, stream_images
 from tests.screens import image_file, site_rows, write_images, write_png
 
@@ -41,6 +42,33 @@ def test_two_runs_give_the_rows_of_one(spark, tmp_path):
     assert _rows(read_planes(spark, dest)) == _rows(scan_plates(spark, root))
 
 
+def test_small_files_of_a_plate_are_decoded_together(spark, tmp_path, monkeypatch):
+    """Where Spark gives a task two files only, planes still come in few files,
+    and few tasks open them."""
+    root, dest, state = (str(tmp_path / n) for n in ("raw", "planes", "state"))
+    write_images(root, site_rows(wells=8, experiments=2), (1, 2, 3))
+    monkeypatch.setattr(images, "OPENING_TASKS", 5)
+    before = {k: spark.conf.get(k) for k in (
+        "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")}
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "4m")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8m")
+        query = ingest_stream(stream_images(spark, root), dest, state, drain=True)
+        query.awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    planes = read_planes(spark, dest)
+    assert len(planes.inputFiles()) <= 4 * SPLITS_PER_PLATE
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup(str(query.runId))
+              for s in tracker.getJobInfo(job).stageIds]
+    # The files are listed by 96 tasks, which Spark does for itself.
+    assert sorted(tracker.getStageInfo(s).numTasks for s in stages)[-2] <= 8
+    rows = _rows(planes)
+    assert rows == _rows(scan_plates(spark, root)) and len(rows) == 96
+
+
 def test_depth_and_broken_files_are_told(spark, tmp_path):
     root = str(tmp_path / "raw")
     deep = np.arange(12, dtype=np.uint16).reshape(3, 4) * 5000
