@@ -27,6 +27,10 @@ _SCHEMA = arrow_schema(PIXELS)
 # Tasks that open the files of a batch, at most. Spark counts megabytes for
 # opening a file, so one task of its own would hold only a few small images.
 OPENING_TASKS = 2048
+# Files of one batch, whose names and sizes the driver holds.
+BATCH_FILES = 100_000
+# Fixed value: names Spark keeps from one batch to the next unless told otherwise.
+KEPT_NAMES = 10_000
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,21 +59,26 @@ def decode_files(files: DataFrame) -> DataFrame:
 
 
 def stream_images(
-    spark: SparkSession, root: str, files_per_trigger: int | None = None
+    spark: SparkSession, root: str, files_per_trigger: int | None = BATCH_FILES
 ) -> DataFrame:
     """Planes of the image files under a root as a stream. A file is read once:
     one that is changed later under the same name is not read again.
 
     The bytes of a plate come together in a few tasks before they are decoded:
     decoding tasks and the files written from them follow the plates, not the
-    number of images.
+    number of images. A batch has at most ``files_per_trigger`` files; None
+    takes all that are there, and the driver holds their names at once.
     """
     reader = (
         spark.readStream.format("binaryFile").schema(_FILES)
         .option("pathGlobFilter", "*.png").option("recursiveFileLookup", "true")
     )
     if files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+        reader = (
+            reader.option("maxFilesPerTrigger", files_per_trigger)
+            # With fewer names than a batch takes every other one would be small.
+            .option("maxCachedFiles", max(files_per_trigger, KEPT_NAMES))
+        )
     files = _with_keys(reader.load(root).select("path", "content").coalesce(OPENING_TASKS))
     part = F.crc32(F.col("path").cast("binary")) % SPLITS_PER_PLATE
     dealt = files.repartition("dataset", "experiment", "plate", part)
